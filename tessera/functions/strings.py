@@ -63,8 +63,9 @@ def to_double(c, default: float | None = None) -> Column:
 def split_lines(c) -> Column:
     """Lines of a text the way a Hadoop text reader cuts them: on \\n, \\r\\n
     or \\r, with no extra empty line after a final terminator."""
-    body = F.regexp_replace(as_col(c), r"(\r\n|\n|\r)$", "")
-    return F.split(body, r"\r\n|\n|\r", -1)
+    s = as_col(c)
+    body = F.regexp_replace(s, r"(\r\n|\n|\r)\z", "")
+    return F.when(s == "", _empty_string_array()).otherwise(F.split(body, r"\r\n|\n|\r", -1))
 
 
 def tuple_string(*cols) -> Column:

@@ -1 +1,137 @@
-"""placeholder"""
+"""Text queries over the corpus stand-in (documents): word counts, crawl,
+inverted indexes (programs of modules 1 and 2)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import text as tx
+from tessera.plans import standins as si
+from tessera.plans.registry import query
+from tessera.sources.tables import Tables
+
+STOP_DOC_FRACTION = 0.5     # stop words by rule: in at least half the documents
+LINE_POSTINGS = 1000        # postings per output line
+
+
+# ---------------------------------------------------------------- SQL helpers
+
+def sql_java_split(s: str, pat: str) -> str:
+    """Java ``String.split`` in DuckDB: drop trailing empty tokens."""
+    pat = pat.replace("'", "''")
+    return (f"(CASE WHEN {s} = '' THEN [''] "
+            f"WHEN regexp_full_match({s}, '(?:{pat})+') THEN []::VARCHAR[] "
+            f"ELSE string_split_regex(regexp_replace({s}, '(?:{pat})+$', ''), '{pat}') END)")
+
+
+def sql_java_trim(s: str) -> str:
+    return f"regexp_replace({s}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+
+
+SQL_SPACE = "[ \\t\\n\\x0B\\f\\r]"
+
+
+def sql_normalize(s: str) -> str:
+    return f"regexp_replace({sql_java_trim(s)}, '{SQL_SPACE}*\\n{SQL_SPACE}*', ' ', 'g')"
+
+
+SQL_LINES = ("(CASE WHEN text = '' THEN []::VARCHAR[] ELSE string_split_regex("
+             "regexp_replace(text, '(\\r\\n|\\n|\\r)\\z', ''), '\\r\\n|\\n|\\r') END)")
+
+DOCS_CTE = f"""docs AS (
+  SELECT CAST(doc_id AS VARCHAR) AS doc, {sql_normalize('text')} AS text FROM documents)"""
+
+TOKENS_CTE = DOCS_CTE + f""",
+tok AS (
+  SELECT unnest({sql_java_split(sql_java_trim('lower(text)'), "[^\\w']")}) AS word, doc FROM docs)"""
+
+POSTINGS_CTE = TOKENS_CTE + """,
+post AS (SELECT word, doc, COUNT(*) AS n FROM tok GROUP BY word, doc)"""
+
+STOP_CTE = TOKENS_CTE + f""",
+post_all AS (SELECT word, doc FROM tok GROUP BY word, doc),
+stop AS (
+  SELECT word FROM post_all GROUP BY word
+  HAVING COUNT(*) >= (SELECT COUNT(DISTINCT doc) FROM post_all) * {STOP_DOC_FRACTION}
+  UNION SELECT unnest(['', '''', '_'])),
+post AS (
+  SELECT word, doc, COUNT(*) AS n FROM tok
+  WHERE word NOT IN (SELECT word FROM stop) GROUP BY word, doc)"""
+
+
+# ---------------------------------------------------------------- word count
+
+@query("word_count", f"""
+SELECT word, COUNT(*) AS count FROM (
+  SELECT unnest({sql_java_split('lower(text)', '\\W+')}) AS word FROM documents)
+GROUP BY word""")
+def word_count(spark, sf_dir):
+    """Word count with each document as one record."""
+    return tx.word_count(Tables(spark, sf_dir).documents, "text")
+
+
+@query("word_count_lines", f"""
+SELECT word, COUNT(*) AS count FROM (
+  SELECT unnest({sql_java_split('lower(line)', '\\W+')}) AS word FROM (
+    SELECT unnest({SQL_LINES}) AS line FROM documents))
+GROUP BY word""")
+def word_count_lines(spark, sf_dir):
+    """Word count over text lines, as when the corpus is read as a text file."""
+    return tx.word_count(tx.lines_of(Tables(spark, sf_dir).documents, "text"), "value")
+
+
+# ---------------------------------------------------------------- crawl
+
+@query("crawl_normalize", f"""
+SELECT CAST(doc_id AS VARCHAR) AS id, {sql_normalize('text')} AS text FROM documents""")
+def crawl_normalize(spark, sf_dir):
+    docs = Tables(spark, sf_dir).documents.select(F.col("doc_id").cast("string").alias("path"), "text")
+    return tx.crawl(docs, "path", "text")
+
+
+# ---------------------------------------------------------------- inverted indexes
+
+def _crawled(spark, sf_dir):
+    return tx.crawl(si.corpus(Tables(spark, sf_dir)), "doc", "text").withColumnRenamed("id", "doc")
+
+
+@query("inverted_index_postings", "WITH " + POSTINGS_CTE + "\nSELECT word, doc, n FROM post")
+def inverted_index_postings(spark, sf_dir):
+    return tx.postings(tx.index_tokens(_crawled(spark, sf_dir)))
+
+
+@query("inverted_index", "WITH " + POSTINGS_CTE + """
+SELECT word, row_number() OVER (PARTITION BY word ORDER BY n DESC, doc) AS rank, doc, n
+FROM post""")
+def inverted_index(spark, sf_dir):
+    """Postings ranked within each word by count, then document."""
+    return tx.rank_postings(tx.postings(tx.index_tokens(_crawled(spark, sf_dir))))
+
+
+@query("inverted_index_lines", "WITH " + POSTINGS_CTE + f""",
+ranked AS (SELECT word, row_number() OVER (PARTITION BY word ORDER BY n DESC, doc) AS rank,
+                  doc, n FROM post)
+SELECT word, CAST(floor((rank - 1) / {LINE_POSTINGS}) AS INTEGER) AS part,
+       string_agg('(' || doc || ',' || CAST(n AS VARCHAR) || ')', ', ' ORDER BY rank) AS postings
+FROM ranked GROUP BY ALL""")
+def inverted_index_lines(spark, sf_dir):
+    ranked = tx.rank_postings(tx.postings(tx.index_tokens(_crawled(spark, sf_dir))))
+    return tx.postings_lines(ranked, LINE_POSTINGS)
+
+
+@query("inverted_index_stopwords", "WITH " + STOP_CTE + """
+SELECT word, row_number() OVER (PARTITION BY word ORDER BY n DESC, doc) AS rank, doc, n
+FROM post""")
+def inverted_index_stopwords(spark, sf_dir):
+    """Ranked postings without stop words; stop words = words in at least half
+    of the documents plus the tokenizer leaks."""
+    post_all = tx.postings(tx.index_tokens(_crawled(spark, sf_dir)))
+    stop = tx.frequent_words(post_all, STOP_DOC_FRACTION)
+    ranked = tx.rank_postings(tx.remove_words(post_all, stop))
+    return ranked.orderBy("word", "rank")
+
+
+@query("stop_words_by_rule", "WITH " + STOP_CTE + "\nSELECT word FROM stop")
+def stop_words_by_rule(spark, sf_dir):
+    post_all = tx.postings(tx.index_tokens(_crawled(spark, sf_dir)))
+    return tx.frequent_words(post_all, STOP_DOC_FRACTION)

@@ -1 +1,85 @@
-"""placeholder"""
+"""The flight graph (module 5): airports as vertices, routes as weighted edges."""
+
+from __future__ import annotations
+
+from tessera.operators import graph as gr
+from tessera.plans import standins as si
+from tessera.plans.oracle_sql import FLIGHTS_CTE, ROUTE_AIRPORTS_CTE, with_
+from tessera.plans.registry import query
+from tessera.sources.tables import Tables
+
+TOP_K = 10
+
+GRAPH_CTES = with_(FLIGHTS_CTE, ROUTE_AIRPORTS_CTE, """
+vertices AS (
+  SELECT v.id, coalesce(a.airport, v.id) AS attr
+  FROM (SELECT DISTINCT id FROM (SELECT origin AS id FROM flights
+                                 UNION ALL SELECT dest FROM flights)) v
+  LEFT JOIN route_airports a ON v.id = a.iata)""", """
+edges AS (SELECT origin AS src, dest AS dst, COUNT(*) AS attr FROM flights GROUP BY origin, dest)""",
+"""
+triplets AS (
+  SELECT e.src, s.attr AS src_attr, e.dst, d.attr AS dst_attr, e.attr
+  FROM edges e JOIN vertices s ON e.src = s.id JOIN vertices d ON e.dst = d.id)""")
+
+
+def _graph(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    f = si.flights(t)
+    v = gr.label_vertices(gr.vertices_from(f), si.route_airports(t), "iata", "airport")
+    return v, gr.edges_from(f)
+
+
+@query("graph_vertices", GRAPH_CTES + "SELECT id, attr FROM vertices")
+def graph_vertices(spark, sf_dir):
+    return _graph(spark, sf_dir)[0]
+
+
+@query("graph_edges", GRAPH_CTES + "SELECT src, dst, attr FROM edges")
+def graph_edges(spark, sf_dir):
+    return _graph(spark, sf_dir)[1]
+
+
+@query("graph_size", GRAPH_CTES + """
+SELECT (SELECT COUNT(*) FROM (SELECT src AS id FROM edges UNION SELECT dst FROM edges)) AS num_vertices,
+       (SELECT COUNT(*) FROM edges) AS num_edges""")
+def graph_size(spark, sf_dir):
+    return gr.graph_size(_graph(spark, sf_dir)[1])
+
+
+@query("graph_triplets", GRAPH_CTES + "SELECT src, src_attr, dst, dst_attr, attr FROM triplets")
+def graph_triplets(spark, sf_dir):
+    v, e = _graph(spark, sf_dir)
+    return gr.triplets(e, v)
+
+
+@query("graph_top_routes", GRAPH_CTES + f"""
+SELECT src_attr, dst_attr, attr, src_attr || ' -> ' || dst_attr || ': ' || CAST(attr AS VARCHAR) AS route
+FROM triplets ORDER BY attr DESC, src_attr, dst_attr LIMIT {TOP_K}""")
+def graph_top_routes(spark, sf_dir):
+    v, e = _graph(spark, sf_dir)
+    return gr.top_routes(gr.triplets(e, v), TOP_K)
+
+
+@query("graph_busiest", GRAPH_CTES + """
+SELECT src_attr AS airport, CAST(SUM(attr) AS BIGINT) AS total FROM triplets
+GROUP BY src_attr ORDER BY total DESC, airport LIMIT 1""")
+def graph_busiest(spark, sf_dir):
+    v, e = _graph(spark, sf_dir)
+    return gr.busiest(gr.triplets(e, v), 1)
+
+
+@query("graph_in_degree", GRAPH_CTES + f"""
+SELECT COUNT(*) AS degree, v.attr AS airport, v.id FROM edges e JOIN vertices v ON e.dst = v.id
+GROUP BY v.id, v.attr ORDER BY degree, airport LIMIT {TOP_K}""")
+def graph_in_degree(spark, sf_dir):
+    v, e = _graph(spark, sf_dir)
+    return gr.least(gr.degrees(e, v, "in"), TOP_K)
+
+
+@query("graph_out_degree", GRAPH_CTES + f"""
+SELECT COUNT(*) AS degree, v.attr AS airport, v.id FROM edges e JOIN vertices v ON e.src = v.id
+GROUP BY v.id, v.attr ORDER BY degree DESC, airport LIMIT {TOP_K}""")
+def graph_out_degree(spark, sf_dir):
+    v, e = _graph(spark, sf_dir)
+    return gr.most(gr.degrees(e, v, "out"), TOP_K)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import text as tx
 from tessera.plans import standins as si
 from tessera.plans.registry import query
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources.tables import Tables
 
 STOP_DOC_FRACTION = 0.5     # stop words by rule: in at least half the documents
@@ -125,7 +126,10 @@ FROM post""")
 def inverted_index_stopwords(spark, sf_dir):
     """Ranked postings without stop words; stop words = words in at least half
     of the documents plus the tokenizer leaks."""
-    post_all = tx.postings(tx.index_tokens(_crawled(spark, sf_dir)))
+    # the postings feed three consumers (document total, document
+    # frequencies, the anti join): write them once to the shared folder
+    ensure_checkpoint_dir(spark)
+    post_all = tx.postings(tx.index_tokens(_crawled(spark, sf_dir))).checkpoint(eager=True)
     stop = tx.frequent_words(post_all, STOP_DOC_FRACTION)
     ranked = tx.rank_postings(tx.remove_words(post_all, stop))
     return ranked.orderBy("word", "rank")

@@ -1 +1,124 @@
-"""placeholder"""
+"""Module 5 models on the stand-ins: ALS on ratings, k-means on embeddings,
+Naive Bayes on labelled documents, and the post filter of the stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions.strings import contains_any
+from tessera.operators import ml
+from tessera.plans import standins as si
+from tessera.plans.oracle_sql import RATINGS_CTE, with_
+from tessera.plans.q_text import sql_java_split
+from tessera.plans.registry import query
+from tessera.sources.tables import Tables
+
+# The reference's stream keywords (its input was on-topic posts).
+REFERENCE_KEYWORDS = ("programming", "computer", "crash")
+# Keywords for the stand-in posts (invented prose).
+POST_KEYWORDS = ("this", "from", "with")
+
+ALS_SEED = 42
+KMEANS_K = 3
+KMEANS_SEED = 1
+TEST_FRACTION = 0.1
+
+
+@query("ratings_summary", with_(RATINGS_CTE) + """
+SELECT COUNT(*) AS num_ratings, COUNT(DISTINCT userId) AS num_users,
+       COUNT(DISTINCT movieId) AS num_movies FROM ratings""")
+def ratings_summary(spark, sf_dir):
+    return ml.ratings_summary(si.ratings(Tables(spark, sf_dir)))
+
+
+def _als_predictions(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    r = (si.ratings(t).groupBy("userId", "movieId").agg(F.avg("rating").alias("rating")))
+    train, test = r.randomSplit([1 - TEST_FRACTION, TEST_FRACTION], seed=ALS_SEED)
+    model = ml.fit_als(train, seed=ALS_SEED)
+    return model.transform(test), t
+
+
+@query("als_predict")
+def als_predict(spark, sf_dir):
+    """Held-out ratings scored by ALS (rank 10, 10 iterations); rows only."""
+    return _als_predictions(spark, sf_dir)[0]
+
+
+@query("false_positives")
+def false_positives(spark, sf_dir):
+    """Held-out ratings <= 1 that ALS predicts >= 4, with the part name."""
+    pred, t = _als_predictions(spark, sf_dir)
+    return ml.false_positives(pred, si.movies(t))
+
+
+@query("kmeans_assign")
+def kmeans_assign(spark, sf_dir):
+    v = si.vectors(Tables(spark, sf_dir))
+    model = ml.fit_kmeans(v, k=KMEANS_K, max_iter=10, seed=KMEANS_SEED)
+    return model.transform(v).select("vec_id", "label", "prediction")
+
+
+@query("kmeans_centers")
+def kmeans_centers(spark, sf_dir):
+    v = si.vectors(Tables(spark, sf_dir))
+    model = ml.fit_kmeans(v, k=KMEANS_K, max_iter=10, seed=KMEANS_SEED)
+    return ml.centers(spark, model)
+
+
+@query("nb_predict_hashed")
+def nb_predict_hashed(spark, sf_dir):
+    p = si.posts(Tables(spark, sf_dir))
+    model, labels = ml.fit_nb_hashed(p, "text", "label")
+    return ml.predict_nb_hashed(model, labels, p, "text").select("doc_id", "label", "prediction")
+
+
+NB_SQL = f"""
+WITH d AS (SELECT doc_id AS doc, text, CAST(quality AS DOUBLE) AS label
+           FROM documents JOIN labels USING (doc_id)),
+tok AS (SELECT doc, label, unnest({sql_java_split('text', ' ')}) AS word FROM d),
+wc AS (SELECT label, word, COUNT(*) AS cnt FROM tok GROUP BY label, word),
+vv AS (SELECT COUNT(DISTINCT word) AS v FROM wc),
+cls AS (SELECT label, COUNT(*) AS ndocs FROM d GROUP BY label),
+tot AS (SELECT label, SUM(cnt) AS total FROM wc GROUP BY label),
+nn AS (SELECT SUM(ndocs) AS n FROM cls),
+params AS (SELECT cls.label, ln(ndocs) - ln(n) AS prior,
+                  ln(coalesce(total, 0) + 1.0 * v) AS denom
+           FROM cls LEFT JOIN tot USING (label) CROSS JOIN vv CROSS JOIN nn),
+tf AS (SELECT doc, word, COUNT(*) AS tf FROM tok GROUP BY doc, word),
+len AS (SELECT doc, SUM(tf) AS l FROM tf GROUP BY doc),
+base AS (SELECT doc, label, prior + l * (ln(1.0) - denom) AS base FROM len CROSS JOIN params),
+sparse AS (SELECT doc, wc.label, SUM(tf * (ln(cnt + 1.0) - ln(1.0))) AS extra
+           FROM tf JOIN wc USING (word) GROUP BY doc, wc.label),
+score AS (SELECT b.doc, b.label, b.base + coalesce(s.extra, 0) AS score
+          FROM base b LEFT JOIN sparse s ON b.doc = s.doc AND b.label = s.label),
+best AS (SELECT doc, label AS prediction FROM (
+           SELECT *, row_number() OVER (PARTITION BY doc ORDER BY score DESC, label) AS rn
+           FROM score) WHERE rn = 1)
+SELECT d.doc AS doc_id, d.label, best.prediction FROM d JOIN best ON d.doc = best.doc"""
+
+
+@query("nb_predict", NB_SQL)
+def nb_predict(spark, sf_dir):
+    """Exact multinomial Naive Bayes (smoothing 1) on the labelled documents."""
+    p = si.posts(Tables(spark, sf_dir))
+    model = ml.fit_nb_exact(p, "doc_id", "text", "label", smoothing=1.0)
+    pred = ml.predict_nb_exact(model, p, "doc_id", "text")
+    return (p.select("doc_id", "label")
+            .join(pred.withColumnRenamed("doc", "doc_id"), "doc_id"))
+
+
+def _sql_contains_any(col, words):
+    return "(" + " OR ".join(f"contains(lower({col}), '{w}')" for w in words) + ")"
+
+
+@query("post_filter", f"""
+SELECT d.doc_id, d.source AS "user", d.text, CAST(l.quality AS DOUBLE) AS label
+FROM documents d JOIN labels l USING (doc_id)
+WHERE d.lang = 'en' AND l.toxic = 0 AND {_sql_contains_any('d.text', POST_KEYWORDS)}""")
+def post_filter(spark, sf_dir):
+    """English, non-sensitive posts that mention any keyword."""
+    p = si.posts(Tables(spark, sf_dir))
+    return (p.where((F.col("lang") == "en") & ~F.col("sensitive")
+                    & contains_any("text", POST_KEYWORDS))
+            .select("doc_id", "user", "text", "label"))

@@ -1 +1,106 @@
-"""placeholder"""
+"""Streams and sinks over the driver's tables: per-batch value counts, the
+partitioned flight ETL, post scoring, and a Parquet round trip. The streaming
+queries read the tables as file streams (``availableNow``), write to the
+shared folder, and return what they wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera import streaming as st
+from tessera.operators import ml, sinks
+from tessera.plans import standins as si
+from tessera.plans.oracle_sql import FLIGHTS_CTE, with_
+from tessera.plans.q_ml import POST_KEYWORDS
+from tessera.plans.registry import query
+from tessera.session import shared_dir
+from tessera.sources.tables import Tables, read_table
+
+
+def number_lines(events):
+    """The numbers stream stand-in: ``"<user_id> <event_type>"`` per event;
+    the second token is not a number and counts as a reject."""
+    return events.select(F.format_string("%d %s", "user_id", "event_type").alias("value"))
+
+
+VALUE_COUNTS_SQL = """
+SELECT TRY_CAST(t AS INTEGER) AS n, COUNT(*) AS count FROM (
+  SELECT unnest(string_split_regex(trim(CAST(user_id AS VARCHAR) || ' ' || event_type), '\\s+')) AS t
+  FROM events)
+GROUP BY 1"""
+
+
+@query("value_counts", VALUE_COUNTS_SQL)
+def value_counts(spark, sf_dir):
+    """Count of each number in the lines; non-numbers grouped under null."""
+    nums = st.parse_numbers(number_lines(Tables(spark, sf_dir).events))
+    return nums.groupBy(F.when(F.col("ok"), F.col("n")).alias("n")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def _stream_table(spark, sf_dir, name, max_files=1):
+    schema = read_table(spark, sf_dir, name).schema
+    return st.file_stream(spark, sf_dir, "parquet", schema=schema, glob=f"{name}.parquet",
+                          max_files_per_trigger=max_files)
+
+
+@query("stream_value_counts", VALUE_COUNTS_SQL)
+def stream_value_counts(spark, sf_dir):
+    """Per-batch counts from a stream of the events table, summed over batches."""
+    out, ck = shared_dir(spark, "value-counts"), shared_dir(spark, "value-counts-ck")
+    nums = st.parse_numbers(number_lines(_stream_table(spark, sf_dir, "events")))
+    st.run_available(st.per_batch_value_counts(nums, out, ck, {"availableNow": True}))
+    return (spark.read.parquet(out).groupBy("n")
+            .agg(F.sum("count").cast("long").alias("count")))
+
+
+ETL_COUNTS_SQL = with_(FLIGHTS_CTE) + """
+SELECT strftime(l_shipdate, '%Y') AS depYear, strftime(l_shipdate, '%m') AS depMonth,
+       strftime(l_shipdate, '%d') AS depDay, COUNT(*) AS count
+FROM flights GROUP BY ALL"""
+
+
+@query("etl_partition_counts", ETL_COUNTS_SQL)
+def etl_partition_counts(spark, sf_dir):
+    """Rows per date partition of the flight ETL (batch form)."""
+    rows = sinks.etl_rows(si.flights(Tables(spark, sf_dir)))
+    return rows.groupBy("depYear", "depMonth", "depDay").count()
+
+
+@query("stream_etl_partition_counts", ETL_COUNTS_SQL)
+def stream_etl_partition_counts(spark, sf_dir):
+    """Line items arrive as a stream, are joined with the static orders,
+    customers and suppliers, and are written per date by the file sink; the
+    written partitions are read back and counted."""
+    t = Tables(spark, sf_dir)
+    out, ck = shared_dir(spark, "flights-etl"), shared_dir(spark, "flights-etl-ck")
+    fl = si.flights(t, lineitem=_stream_table(spark, sf_dir, "lineitem"))
+    st.run_available(st.flight_etl(fl, out, ck, {"availableNow": True}))
+    return sinks.read_by_date(spark, out).groupBy("depYear", "depMonth", "depDay").count()
+
+
+@query("stream_post_scores")
+def stream_post_scores(spark, sf_dir):
+    """Posts arrive as a stream of documents joined with the static labels,
+    are filtered and scored by a Naive Bayes model trained in batch; rows only."""
+    t = Tables(spark, sf_dir)
+    model, labels = ml.fit_nb_hashed(si.posts(t), "text", "label")
+    posts = si.posts(t, documents=_stream_table(spark, sf_dir, "documents"))
+    scored = st.score_posts(posts, model, labels, POST_KEYWORDS).select("doc_id", "label", "prediction", "text")
+    out, ck = shared_dir(spark, "post-scores"), shared_dir(spark, "post-scores-ck")
+    q = (scored.writeStream.format("parquet").option("checkpointLocation", ck)
+         .trigger(availableNow=True).start(out))
+    st.run_available(q)
+    return spark.read.parquet(out)
+
+
+ROUNDTRIP_N = 100
+
+
+@query("parquet_roundtrip", f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name AS description FROM supplier
+ORDER BY code LIMIT {ROUNDTRIP_N}""")
+def parquet_roundtrip(spark, sf_dir):
+    """The first 100 carriers (suppliers) by code, written as Parquet and read back."""
+    carriers = Tables(spark, sf_dir).supplier.select(
+        F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("description"))
+    return sinks.parquet_roundtrip(carriers, shared_dir(spark, "carriers"), ROUNDTRIP_N, ["code"])

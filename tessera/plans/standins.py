@@ -31,9 +31,13 @@ def _int(c) -> F.Column:
     return c.cast("int")
 
 
-def flight_rows(t: Tables) -> DataFrame:
-    """Flights with their line-item keys (``l_orderkey``, ``l_linenumber``)."""
-    li, o, c, s = t.lineitem, t.orders, t.customer, t.supplier
+def flight_rows(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
+    """Flights with their line-item keys (``l_orderkey``, ``l_linenumber``).
+
+    ``lineitem`` may be given instead of the table, for example a stream of
+    line items joined with the static dimensions."""
+    li = t.lineitem if lineitem is None else lineitem
+    o, c, s = t.orders, t.customer, t.supplier
     j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
            .join(c, o["o_custkey"] == c["c_custkey"])
            .join(s, li["l_suppkey"] == s["s_suppkey"]))
@@ -72,9 +76,9 @@ FLIGHT_COLUMNS = ["date", "times", "uniqueCarrier", "flightNum", "tailNum", "ori
                   "weatherDelay", "nasDelay", "securityDelay", "lateAircraftDelay"]
 
 
-def flights(t: Tables) -> DataFrame:
+def flights(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
     """The 16-column flight record."""
-    return flight_rows(t).select(*FLIGHT_COLUMNS)
+    return flight_rows(t, lineitem).select(*FLIGHT_COLUMNS)
 
 
 def route_airports(t: Tables) -> DataFrame:
@@ -101,8 +105,9 @@ def corpus(t: Tables) -> DataFrame:
     return t.documents.select(F.col("doc_id").cast("string").alias("doc"), "text")
 
 
-def posts(t: Tables) -> DataFrame:
-    d, lab = t.documents, t.labels
+def posts(t: Tables, documents: DataFrame | None = None) -> DataFrame:
+    d = t.documents if documents is None else documents
+    lab = t.labels
     return (d.join(lab, "doc_id")
             .select("doc_id", F.col("source").alias("user"), "lang",
                     (F.col("toxic") == 1).alias("sensitive"), "text",

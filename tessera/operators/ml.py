@@ -149,7 +149,10 @@ def predict_nb_exact(model: dict, docs: DataFrame, doc: str = "doc_id",
     where L is the number of known tokens; ties go to the smaller label."""
     tf = (nb_tokens(docs, doc, text).join(model["vocab"], "word", "left_semi")
           .groupBy("doc", "word").agg(F.count(F.lit(1)).alias("tf")))
-    length = tf.groupBy("doc").agg(F.sum("tf").alias("L"))
+    # documents without any known word still get a (prior-only) score
+    length = (docs.select(F.col(doc).alias("doc"))
+              .join(tf.groupBy("doc").agg(F.sum("tf").alias("L")), "doc", "left")
+              .select("doc", F.coalesce("L", F.lit(0)).alias("L")))
     cls = F.array(*[F.struct(F.lit(c["label"]).alias("label"), F.lit(c["prior"]).alias("prior"),
                              F.lit(c["denom"]).alias("denom")) for c in model["classes"]])
     base = (length.select("doc", "L", F.explode(cls).alias("c"))

@@ -18,7 +18,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: ``(path STRING, text STRING)`` (SRC-2 input)."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
 
 
@@ -42,21 +42,22 @@ def read_csv(spark: SparkSession, path: str, header: bool = True, infer: bool =
 def read_json_lines(spark: SparkSession, path: str,
                     schema: T.StructType | None = None) -> DataFrame:
     """JSON lines; a malformed line becomes a row with ``_corrupt_record`` set
-    and the read goes on (SRC-5). With a schema, the corrupt column is added."""
-    r = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    if schema is not None:
-        if CORRUPT not in schema.fieldNames():
-            schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-        r = r.schema(schema)
-    return r.json(path)
+    and the read goes on (SRC-5). Without a schema one inference pass runs
+    first. Lines are read as text and parsed with ``from_json``, so the
+    corrupt column is an ordinary column: counting or selecting it alone
+    needs no cache (a raw JSON scan refuses such queries). Blank lines are
+    skipped, as the JSON reader does."""
+    if schema is None:
+        schema = spark.read.json(path).schema
+    fields = [f for f in schema.fields if f.name != CORRUPT]
+    full = T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text(path).where(F.trim(F.col("value")) != "")
+    return lines.select(F.from_json(F.col("value"), full, opts).alias("_j")).select("_j.*")
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the corrupt column, rejected rows) (SRC-6).
-
-    Spark refuses a raw-file query whose only referenced column is the corrupt
-    one; keeping every column in the rejected side avoids that without caching.
-    """
+    """(good rows without the corrupt column, rejected rows) (SRC-6)."""
     if CORRUPT not in df.columns:
         return df, df.limit(0)
     good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)

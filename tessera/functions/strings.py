@@ -8,6 +8,8 @@ Spark's ``trim`` strips only spaces.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,13 +25,32 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# A single character class, optionally repeated: "\W+", "[^\w']", "\s+", " ".
+_CLASS_PATTERN = re.compile(r"^(\[(?:\\.|[^\]\\])+\]|\\[WwSsDd]|[^\\.^$|?*+()\[\]{}])\+?$")
+
+
 def java_split(c, pattern: str, drop_empty: bool = False) -> Column:
     """Split like ``java.lang.String.split(pattern)``.
 
     Leading empty tokens stay, trailing ones go; ``""`` splits to ``[""]``.
     ``drop_empty`` removes every empty token (not what the reference does).
+
+    When the pattern is one character class (``\W+``, ``[^\w']``, ``" "``),
+    trailing empty tokens are exactly the trailing run of separator chars, so
+    the run is cut with a regex before splitting; this keeps the expression
+    inside generated code. Other patterns trim the array instead (higher-order
+    functions, evaluated without codegen).
     """
     s = as_col(c)
+    m = _CLASS_PATTERN.match(pattern)
+    if m:
+        body = F.regexp_replace(s, f"(?:{m.group(1)})+\\z", "")
+        out = (F.when(s == F.lit(""), F.array(F.lit("")))
+                .when(body == F.lit(""), _empty_string_array())
+                .otherwise(F.split(body, pattern, -1)))
+        if drop_empty:
+            out = F.array_remove(out, "")
+        return out
     parts = F.split(s, pattern, -1)
     # 1-based position, counted from the end, of the last non-empty token
     last = F.array_position(F.reverse(F.transform(parts, lambda x: x != F.lit(""))), True)

@@ -103,8 +103,8 @@ def predict_nb_hashed(model, labels, docs: DataFrame, text: str = "text") -> Dat
 
 # ---------------------------------------------------------------- Naive Bayes, exact (ML-10b)
 
-def nb_tokens(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc).alias("doc"),
+def nb_tokens(docs: DataFrame, doc: str, text: str, *keep: str) -> DataFrame:
+    return docs.select(F.col(doc).alias("doc"), *keep,
                        F.explode(java_split(F.col(text), " ")).alias("word"))
 
 
@@ -112,56 +112,49 @@ def fit_nb_exact(docs: DataFrame, doc: str = "doc_id", text: str = "text",
                  label: str = "label", smoothing: float = 1.0) -> dict:
     """Multinomial Naive Bayes over the exact vocabulary.
 
-    log P(w|c) = ln(count(c,w) + a) - ln(total(c) + a*V). The per-(class,
-    word) table stays distributed; only one row per class (prior, total) is
-    brought to the driver as model parameters.
+    log P(w|c) = ln(count(c,w) + a) - ln(total(c) + a*V). The (class, word)
+    count table is the model; it is written once to the shared folder and
+    stays distributed. Only one row per class (prior, log denominator) is
+    brought to the driver.
     """
-    spark = docs.sparkSession
-    tok = nb_tokens(docs, doc, text).join(docs.select(F.col(doc).alias("doc"),
-                                                      F.col(label).alias("label")), "doc")
-    word_class = tok.groupBy("label", "word").agg(F.count(F.lit(1)).alias("cnt"))
-    vocab = word_class.select("word").distinct()
-    v = vocab.count()
-    per_class = {r["label"]: r for r in (
-        docs.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("ndocs"))
-        .join(word_class.groupBy("label").agg(F.sum("cnt").alias("total")), "label", "left")
-        .collect())}
-    n = sum(r["ndocs"] for r in per_class.values())
-    classes = []
-    for lab, r in sorted(per_class.items()):
-        total = r["total"] or 0
-        classes.append({
-            "label": float(lab),
-            "prior": math.log(r["ndocs"]) - math.log(n),
-            "denom": math.log(total + smoothing * v),
-        })
-    a = math.log(smoothing)
-    # only words seen in a class get a term beyond the smoothing floor
-    gain = word_class.select("label", "word",
-                             (F.log(F.col("cnt") + F.lit(smoothing)) - F.lit(a)).alias("gain"))
-    return {"classes": classes, "gain": gain, "vocab": vocab, "log_a": a, "spark": spark}
+    from tessera.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(docs.sparkSession)
+    tok = nb_tokens(docs, doc, text, F.col(label).cast("double").alias("label"))
+    word_class = (tok.groupBy("label", "word").agg(F.count(F.lit(1)).alias("cnt"))
+                  .checkpoint(eager=True))
+    v = word_class.select(F.count_distinct("word")).first()[0]
+    ndocs = {r[0]: r[1] for r in docs.groupBy(F.col(label).cast("double")).count().collect()}
+    totals = {r[0]: r[1] for r in word_class.groupBy("label").agg(F.sum("cnt")).collect()}
+    n = sum(ndocs.values())
+    log_a = math.log(smoothing)
+    classes = [{"label": float(c), "prior": math.log(ndocs[c]) - math.log(n),
+                "floor": log_a - math.log((totals.get(c) or 0) + smoothing * v)}
+               for c in sorted(ndocs)]
+    # per word, the term of every class: floor(c) plus ln(cnt + a) - ln(a) when seen in c
+    seen = word_class.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct(
+        "label", (F.log(F.col("cnt") + F.lit(smoothing)) - F.lit(log_a)).alias("g")))).alias("m"))
+    terms = seen.select("word", F.array(*[
+        F.lit(c["floor"]) + F.coalesce(F.col("m")[F.lit(c["label"])], F.lit(0.0))
+        for c in classes]).alias("terms"))
+    return {"classes": classes, "terms": terms}
 
 
 def predict_nb_exact(model: dict, docs: DataFrame, doc: str = "doc_id",
                      text: str = "text") -> DataFrame:
-    """(doc, prediction): argmax over classes of
-    prior + L*(ln a - denom) + sum over known words of tf * gain,
-    where L is the number of known tokens; ties go to the smaller label."""
-    tf = (nb_tokens(docs, doc, text).join(model["vocab"], "word", "left_semi")
-          .groupBy("doc", "word").agg(F.count(F.lit(1)).alias("tf")))
-    # documents without any known word still get a (prior-only) score
-    length = (docs.select(F.col(doc).alias("doc"))
-              .join(tf.groupBy("doc").agg(F.sum("tf").alias("L")), "doc", "left")
-              .select("doc", F.coalesce("L", F.lit(0)).alias("L")))
-    cls = F.array(*[F.struct(F.lit(c["label"]).alias("label"), F.lit(c["prior"]).alias("prior"),
-                             F.lit(c["denom"]).alias("denom")) for c in model["classes"]])
-    base = (length.select("doc", "L", F.explode(cls).alias("c"))
-            .select("doc", F.col("c.label").alias("label"),
-                    (F.col("c.prior") + F.col("L") * (F.lit(model["log_a"]) - F.col("c.denom")))
-                    .alias("base")))
-    sparse = (tf.join(model["gain"], "word")
-              .groupBy("doc", "label").agg(F.sum(F.col("tf") * F.col("gain")).alias("extra")))
-    score = (base.join(sparse, ["doc", "label"], "left")
-             .select("doc", "label", (F.col("base") + F.coalesce("extra", F.lit(0.0))).alias("score")))
-    best = score.groupBy("doc").agg(F.max(F.struct("score", (-F.col("label")).alias("nl"))).alias("m"))
-    return best.select("doc", (-F.col("m.nl")).alias("prediction"))
+    """(doc, prediction): argmax over classes of prior + sum over known words
+    of tf * term(class, word); unknown words are ignored and ties go to the
+    smaller label. Priors enter by a union, so no document x class join."""
+    classes = model["classes"]
+    tf = (nb_tokens(docs, doc, text).groupBy("doc", "word")
+          .agg(F.count(F.lit(1)).alias("tf")))
+    idx = F.array(*[F.lit(i) for i in range(len(classes))])
+    contrib = (tf.join(model["terms"], "word")
+               .select("doc", F.explode(F.arrays_zip(idx.alias("i"), F.col("terms").alias("t"))).alias("z"), "tf")
+               .select("doc", F.col("z.i").alias("i"), (F.col("tf") * F.col("z.t")).alias("v")))
+    priors = docs.select(F.col(doc).alias("doc"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(c["prior"]).alias("v")) for i, c in enumerate(classes)
+    ])).alias("p")).select("doc", "p.i", "p.v")
+    score = priors.unionByName(contrib).groupBy("doc", "i").agg(F.sum("v").alias("score"))
+    best = score.groupBy("doc").agg(F.max(F.struct("score", (-F.col("i")).alias("ni"))).alias("m"))
+    labels = F.array(*[F.lit(c["label"]) for c in classes])
+    return best.select("doc", F.element_at(labels, 1 - F.col("m.ni")).alias("prediction"))

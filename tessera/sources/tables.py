@@ -11,10 +11,29 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# Tables whose per-row work is heavy (text) or that feed the big joins, with
+# the key to spread them by.
+SPREAD_KEYS = {"lineitem": "l_orderkey", "documents": "doc_id"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition a scan by ``keys`` when it yields fewer input
+    partitions than the cluster has cores (a file with one row group is read
+    by one task). Large inputs made of many files or row groups already have
+    more splits than cores and are returned unchanged, so this never adds a
+    shuffle at scale. Filters and column pruning still reach the scan."""
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), par)
+    return df.repartition(n, *keys)
+
+
 class Tables:
     """Attribute access to the tables of one scale-factor folder: ``t.lineitem``."""
 
@@ -24,7 +43,10 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return read_table(self.spark, self.sf_dir, name)
+            df = read_table(self.spark, self.sf_dir, name)
+            if name in SPREAD_KEYS:
+                df = spread(df, SPREAD_KEYS[name])
+            return df
         raise AttributeError(name)
 
     def register_views(self, names=TABLES) -> None:

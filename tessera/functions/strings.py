@@ -30,7 +30,7 @@ _CLASS_PATTERN = re.compile(r"^(\[(?:\\.|[^\]\\])+\]|\\[WwSsDd]|[^\\.^$|?*+()\[\
 
 
 def java_split(c, pattern: str, drop_empty: bool = False) -> Column:
-    """Split like ``java.lang.String.split(pattern)``.
+    r"""Split like ``java.lang.String.split(pattern)``.
 
     Leading empty tokens stay, trailing ones go; ``""`` splits to ``[""]``.
     ``drop_empty`` removes every empty token (not what the reference does).

@@ -92,21 +92,27 @@ def sorted_postings(post: DataFrame) -> DataFrame:
     return post.orderBy("word", F.desc("n"), "doc")
 
 
-def rank_postings(post: DataFrame) -> DataFrame:
+def rank_postings(post: DataFrame, materialize: bool = True) -> DataFrame:
     """Add ``rank`` (1-based) of each posting within its word by (n desc, doc).
 
-    No word is gathered into one task: the postings are range-sorted (a hot
-    word spans many partitions), the sorted table is checkpointed so row ids
-    are stable, and a word's rank offset in each partition comes from a
-    window over (partition, word) counts, one row per partition the word spans.
+    No word is gathered into one task: the postings are range-sorted, so a
+    hot word spans several partitions; each row gets its partition id and a
+    row id, and a word's rank offset in a partition comes from a window over
+    (partition, word) counts, one row per partition the word spans.
+    The sort key is a total order ((word, doc) is unique), so partition and
+    row ids come out the same if a task is recomputed after a lost executor.
+
+    The input is read three times (range sampling, rows, per-partition
+    counts); ``materialize`` writes it once to the shared checkpoint folder
+    first, which also cuts its lineage.
     """
-    spark = post.sparkSession
-    ensure_checkpoint_dir(spark)
+    if materialize:
+        ensure_checkpoint_dir(post.sparkSession)
+        post = post.checkpoint(eager=True)
     s = (sorted_postings(post)
          .select("word", "doc", "n",
                  F.spark_partition_id().alias("_pid"),
-                 F.monotonically_increasing_id().alias("_mid"))
-         .checkpoint(eager=True))
+                 F.monotonically_increasing_id().alias("_mid")))
     per = s.groupBy("_pid", "word").agg(F.count(F.lit(1)).alias("_cnt"),
                                          F.min("_mid").alias("_first"))
     w = Window.partitionBy("word").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

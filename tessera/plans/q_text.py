@@ -130,7 +130,7 @@ def inverted_index_stopwords(spark, sf_dir):
     # frequencies, the anti join): write them once to the shared folder
     ensure_checkpoint_dir(spark)
     post_all = tx.postings(tx.index_tokens(_crawled(spark, sf_dir))).checkpoint(eager=True)
-    stop = tx.frequent_words(post_all, STOP_DOC_FRACTION)
+    stop = tx.frequent_words(post_all, STOP_DOC_FRACTION).checkpoint(eager=True)
     ranked = tx.rank_postings(tx.remove_words(post_all, stop))
     return ranked.orderBy("word", "rank")
 

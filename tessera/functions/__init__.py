@@ -7,6 +7,7 @@ from tessera.functions.strings import (
 )
 from tessera.functions.dates import (
     parse_ymd, parse_hms, parse_date_time, date_label, times_label, WEEKDAYS,
+    order_by_date, order_by_times,
 )
 from tessera.functions.numeric import exact_avg, exact_sum, safe_ratio
 
@@ -14,5 +15,5 @@ __all__ = [
     "as_col", "java_split", "java_trim", "to_int", "to_double", "split_lines",
     "tuple_string", "contains_any", "normalize_quotes",
     "parse_ymd", "parse_hms", "parse_date_time", "date_label", "times_label",
-    "WEEKDAYS", "exact_avg", "exact_sum", "safe_ratio",
+    "WEEKDAYS", "order_by_date", "order_by_times", "exact_avg", "exact_sum", "safe_ratio",
 ]

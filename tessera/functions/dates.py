@@ -64,3 +64,15 @@ def times_label(times_struct) -> Column:
     fields = ["depTime", "crsDepTime", "arrTime", "crsArrTime", "actualElapsedTime",
               "crsElapsedTime", "airTime", "arrDelay", "depDelay", "taxiIn", "taxiOut"]
     return F.concat(F.lit("("), F.concat_ws(",", *[t[f].cast("string") for f in fields]), F.lit(")"))
+
+
+def order_by_date(df, date_struct: str = "date"):
+    """Sort by year, month, day of month; the weekday is not compared (DAT-4)."""
+    d = date_struct
+    return df.orderBy(f"{d}.year", f"{d}.month", f"{d}.dayOfMonth")
+
+
+def order_by_times(df, times_struct: str = "times"):
+    """Sort by the four clock fields only, not all eleven (DAT-5)."""
+    t = times_struct
+    return df.orderBy(f"{t}.depTime", f"{t}.crsDepTime", f"{t}.arrTime", f"{t}.crsArrTime")

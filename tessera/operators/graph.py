@@ -13,6 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def code_id(c) -> F.Column:
+    """A 64-bit id for a code, when a numeric vertex id is wanted (HSH-1).
+    The reference used a 32-bit string hash, where two codes can collide;
+    the operators here key by the code itself and need no id."""
+    return F.xxhash64(F.col(c) if isinstance(c, str) else c)
+
+
 def vertices_from(df: DataFrame, src: str = "origin", dst: str = "dest") -> DataFrame:
     """Distinct endpoint codes of the rows: ``id`` (GRF-1)."""
     return df.select(F.explode(F.array(F.col(src), F.col(dst))).alias("id")).distinct()

@@ -52,6 +52,12 @@ def ratings_summary(ratings: DataFrame, user: str = "userId", item: str = "movie
                        F.count_distinct(item).alias("num_movies"))
 
 
+def score_pairs(spark: SparkSession, model, pairs, user: str = "userId",
+                item: str = "movieId") -> DataFrame:
+    """Predicted ratings for chosen (user, item) pairs (ML-4)."""
+    return model.transform(spark.createDataFrame(list(pairs), f"{user} int, {item} int"))
+
+
 # ---------------------------------------------------------------- k-means (ML-6..8)
 
 def fit_kmeans(vectors: DataFrame, k: int = 3, max_iter: int = 10, seed: int = 1,

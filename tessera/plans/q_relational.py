@@ -31,8 +31,15 @@ def _flights(spark: SparkSession, sf_dir: str):
     return si.flights(Tables(spark, sf_dir))
 
 
-def _view(spark: SparkSession, sf_dir: str, name: str, df_fn):
-    df_fn(Tables(spark, sf_dir)).createOrReplaceTempView(name)
+def _sql(spark: SparkSession, text: str, **frames):
+    """Run SQL with DataFrames bound to ``{name}`` placeholders; nothing is
+    registered in the session catalog, so concurrent callers cannot clash."""
+    return spark.sql(text, **frames)
+
+
+def _oracle(text: str) -> str:
+    """The same SQL for DuckDB, where the placeholders are the view names."""
+    return text.replace("{flights}", "flights").replace("{airports}", "airports")
 
 
 # ------------------------------------------------------------------ route counts
@@ -49,10 +56,10 @@ def route_counts(spark, sf_dir):
 
 @query("route_counts_sql", ROUTE_COUNTS_SQL)
 def route_counts_sql(spark, sf_dir):
-    _view(spark, sf_dir, "flights", si.flights)
-    return spark.sql("""
-        SELECT origin, dest, COUNT(*) AS count FROM flights
-        GROUP BY origin, dest ORDER BY count DESC, origin, dest""")
+    return _sql(spark, """
+        SELECT origin, dest, COUNT(*) AS count FROM {flights}
+        GROUP BY origin, dest ORDER BY count DESC, origin, dest""",
+                flights=_flights(spark, sf_dir))
 
 
 @query("route_counts_coalesced", ROUTE_COUNTS_SQL)
@@ -100,11 +107,10 @@ def agg_basic(spark, sf_dir):
 
 @query("agg_basic_sql", AGG_BASIC_SQL)
 def agg_basic_sql(spark, sf_dir):
-    _view(spark, sf_dir, "flights", si.flights)
-    return spark.sql("""
+    return _sql(spark, """
         SELECT MIN(times.actualElapsedTime) AS min, MAX(times.actualElapsedTime) AS max,
                AVG(times.actualElapsedTime) AS avg, SUM(times.actualElapsedTime) AS sum
-        FROM flights""")
+        FROM {flights}""", flights=_flights(spark, sf_dir))
 
 
 @query("agg_nested_struct", with_(FLIGHTS_CTE) + """
@@ -240,49 +246,46 @@ SELECT origin, dest,
   {_avg_list(AVG_COLUMNS)}
 FROM flights GROUP BY origin, dest""")
 def group_avgs_sql(spark, sf_dir):
-    _view(spark, sf_dir, "flights", si.flights)
-    return spark.sql(f"""
+    return _sql(spark, f"""
         SELECT origin, dest,
           {_sql_avgs(AVG_COLUMNS)}
-        FROM flights GROUP BY origin, dest""")
+        FROM {{flights}} GROUP BY origin, dest""", flights=_flights(spark, sf_dir))
 
 
 GROUP_COUNT_AVGS = """
 SELECT origin, dest, COUNT(*) AS count, AVG(times.actualElapsedTime) AS avg_time,
        AVG(distance) AS avg_dist
-FROM flights GROUP BY origin, dest ORDER BY avg_dist DESC"""
+FROM {flights} GROUP BY origin, dest ORDER BY avg_dist DESC"""
 
 
-@query("group_count_avgs_sql", with_(FLIGHTS_CTE) + GROUP_COUNT_AVGS)
+@query("group_count_avgs_sql", with_(FLIGHTS_CTE) + _oracle(GROUP_COUNT_AVGS))
 def group_count_avgs_sql(spark, sf_dir):
-    _view(spark, sf_dir, "flights", si.flights)
-    return spark.sql(GROUP_COUNT_AVGS)
+    return _sql(spark, GROUP_COUNT_AVGS, flights=_flights(spark, sf_dir))
 
 
 @query("group_ratio_sql", with_(FLIGHTS_CTE) + f"""
 SELECT origin, dest, {RATIO_SELECT}
 FROM flights GROUP BY origin, dest ORDER BY avg_dist DESC""")
 def group_ratio_sql(spark, sf_dir):
-    _view(spark, sf_dir, "flights", si.flights)
-    return spark.sql("""
+    return _sql(spark, """
         SELECT origin, dest,
           AVG(distance) AS avg_dist,
           MIN(times.actualElapsedTime) AS min_time,
           MAX(times.actualElapsedTime) AS max_time,
           AVG(times.actualElapsedTime) AS avg_time,
           try_divide(AVG(distance), AVG(times.actualElapsedTime)) AS t_d
-        FROM flights GROUP BY origin, dest ORDER BY avg_dist DESC""")
+        FROM {flights} GROUP BY origin, dest ORDER BY avg_dist DESC""",
+                flights=_flights(spark, sf_dir))
 
 
 GROUP_TWO_AVGS = """
 SELECT origin, dest, AVG(canceled) AS canceled, AVG(weatherDelay) AS weatherDelay
-FROM flights GROUP BY origin, dest ORDER BY canceled DESC"""
+FROM {flights} GROUP BY origin, dest ORDER BY canceled DESC"""
 
 
-@query("group_two_avgs_sql", with_(FLIGHTS_CTE) + GROUP_TWO_AVGS)
+@query("group_two_avgs_sql", with_(FLIGHTS_CTE) + _oracle(GROUP_TWO_AVGS))
 def group_two_avgs_sql(spark, sf_dir):
-    _view(spark, sf_dir, "flights", si.flights)
-    return spark.sql(GROUP_TWO_AVGS)
+    return _sql(spark, GROUP_TWO_AVGS, flights=_flights(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ the airport table
@@ -290,19 +293,18 @@ def group_two_avgs_sql(spark, sf_dir):
 @query("dim_count", with_(AIRPORTS_CTE) +
        "SELECT country, COUNT(*) AS count FROM airports GROUP BY country")
 def dim_count(spark, sf_dir):
-    _view(spark, sf_dir, "airports", si.airports)
-    return spark.sql("SELECT country, COUNT(*) AS count FROM airports GROUP BY country")
+    return _sql(spark, "SELECT country, COUNT(*) AS count FROM {airports} GROUP BY country",
+                airports=si.airports(Tables(spark, sf_dir)))
 
 
 DIM_COUNT_FILTERED = f"""
-SELECT state, COUNT(*) AS count FROM airports
+SELECT state, COUNT(*) AS count FROM {{airports}}
 WHERE country = '{HOME_COUNTRY}' GROUP BY state ORDER BY count DESC"""
 
 
-@query("dim_count_filtered", with_(AIRPORTS_CTE) + DIM_COUNT_FILTERED)
+@query("dim_count_filtered", with_(AIRPORTS_CTE) + _oracle(DIM_COUNT_FILTERED))
 def dim_count_filtered(spark, sf_dir):
-    _view(spark, sf_dir, "airports", si.airports)
-    return spark.sql(DIM_COUNT_FILTERED)
+    return _sql(spark, DIM_COUNT_FILTERED, airports=si.airports(Tables(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ dates, sorts
@@ -361,14 +363,14 @@ def route_names(spark, sf_dir):
 @query("route_names_sql", ROUTE_NAMES_SQL)
 def route_names_sql(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    si.flights(t).groupBy("origin", "dest").count().createOrReplaceTempView("fbasql")
-    si.route_airports(t).createOrReplaceTempView("route_airports")
-    return spark.sql("""
+    return _sql(spark, """
         SELECT f.origin, a1.airport AS origin_airport,
                f.dest, a2.airport AS dest_airport, f.count
-        FROM fbasql f
-        JOIN route_airports a1 ON f.origin = a1.iata
-        JOIN route_airports a2 ON f.dest = a2.iata""")
+        FROM {fbasql} f
+        JOIN {airports} a1 ON f.origin = a1.iata
+        JOIN {airports} a2 ON f.dest = a2.iata""",
+                fbasql=si.flights(t).groupBy("origin", "dest").count(),
+                airports=si.route_airports(t))
 
 
 def _cancelled_routes_on_day(t: Tables, day: dt.datetime):
@@ -398,6 +400,5 @@ def left_outer_all(spark, sf_dir):
 @query("left_outer_sql", LEFT_OUTER_SQL)
 def left_outer_sql(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    _cancelled_routes_on_day(t, CANCEL_DAY).createOrReplaceTempView("fba")
-    si.route_airports(t).createOrReplaceTempView("route_airports")
-    return spark.sql("SELECT * FROM route_airports a LEFT OUTER JOIN fba f ON a.iata = f.origin")
+    return _sql(spark, "SELECT * FROM {airports} a LEFT OUTER JOIN {fba} f ON a.iata = f.origin",
+                airports=si.route_airports(t), fba=_cancelled_routes_on_day(t, CANCEL_DAY))

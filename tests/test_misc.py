@@ -64,3 +64,13 @@ def test_score_given_rows(spark):
     nb, labels = ml.fit_nb_hashed(train, num_features=1 << 8)
     sentences = spark.createDataFrame([("great good day",), ("awful bad day",)], "text string")
     assert [x["prediction"] for x in ml.predict_nb_hashed(nb, labels, sentences).collect()] == [4.0, 0.0]
+
+
+def test_write_by_date(spark, tmp):
+    good, _ = P.parse_flights(lines_df(spark, FLIGHTS))
+    out = os.path.join(tmp, "etl")
+    sinks.write_by_date(good, out)
+    assert sorted(os.listdir(os.path.join(out, "depYear=2008", "depMonth=01"))) == [
+        "depDay=03", "depDay=04", "depDay=05"]
+    back = sinks.read_by_date(spark, out)
+    assert dict(back.dtypes)["depMonth"] == "string" and back.count() == 3

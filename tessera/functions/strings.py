@@ -62,9 +62,14 @@ def java_split(c, pattern: str, drop_empty: bool = False) -> Column:
     return out
 
 
+# The characters String.trim removes: U+0000 through U+0020.
+_JAVA_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
+
+
 def java_trim(c) -> Column:
-    """``String.trim``: remove chars U+0000..U+0020 from both ends."""
-    return F.regexp_replace(as_col(c), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    """``String.trim``: remove chars U+0000..U+0020 from both ends (a
+    character-set trim, no regex)."""
+    return F.trim(as_col(c), F.lit(_JAVA_TRIM_CHARS))
 
 
 def to_int(c, default: int | None = -1) -> Column:

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.strings import JAVA_SPACE, as_col, java_split, java_trim, split_lines
-from tessera.operators.joins import anti_join_small
+from tessera.operators.joins import (
+    DEFAULT_MAX_BROADCAST_ROWS, anti_join_small, broadcast_if_small,
+)
 from tessera.session import ensure_checkpoint_dir
 
 WORD_SPLIT = r"\W+"          # word count tokenizer
@@ -92,23 +94,45 @@ def sorted_postings(post: DataFrame) -> DataFrame:
     return post.orderBy("word", F.desc("n"), "doc")
 
 
-def rank_postings(post: DataFrame, materialize: bool = True) -> DataFrame:
-    """Add ``rank`` (1-based) of each posting within its word by (n desc, doc).
+HOT_POSTINGS = 1_000_000
+
 
-    No word is gathered into one task: the postings are range-sorted, so a
-    hot word spans several partitions; each row gets its partition id and a
-    row id, and a word's rank offset in a partition comes from a window over
-    (partition, word) counts, one row per partition the word spans.
-    The sort key is a total order ((word, doc) is unique), so partition and
-    row ids come out the same if a task is recomputed after a lost executor.
+def rank_postings(post: DataFrame, materialize: bool = True,
+                  hot_postings: int = HOT_POSTINGS) -> DataFrame:
+    """Add ``rank`` (1-based) of each posting within its word by (n desc, doc).
 
-    The input is read three times (range sampling, rows, per-partition
-    counts); ``materialize`` writes it once to the shared checkpoint folder
-    first, which also cuts its lineage.
+    A word with at most ``hot_postings`` postings is ranked by a window over
+    the word (one task holds at most that many rows). Hotter words, at most
+    total / hot_postings of them, are ranked by ``_rank_spanning``, which
+    never gathers a word into one task. The input is read several times;
+    ``materialize`` writes it once to the shared checkpoint folder first,
+    which also cuts its lineage.
     """
     if materialize:
         ensure_checkpoint_dir(post.sparkSession)
         post = post.checkpoint(eager=True)
+    by_word = Window.partitionBy("word").orderBy(F.desc("n"), "doc")
+
+    def windowed(df):
+        return df.select("word", F.row_number().over(by_word).cast("long").alias("rank"), "doc", "n")
+
+    hot = (post.groupBy("word").agg(F.count(F.lit(1)).alias("_m"))
+           .where(F.col("_m") > hot_postings).select("word"))
+    if hot.limit(1).count() == 0:
+        return windowed(post)
+    hot = broadcast_if_small(hot, DEFAULT_MAX_BROADCAST_ROWS)
+    cold = windowed(post.join(hot, "word", "left_anti"))
+    return cold.unionByName(_rank_spanning(post.join(hot, "word", "left_semi")))
+
+
+def _rank_spanning(post: DataFrame) -> DataFrame:
+    """Rank for words too large for one task: the postings are range-sorted
+    by (word, n desc, doc), so a hot word spans several partitions; each row
+    gets its partition id and row id, and the word's offset in a partition
+    comes from a window over (partition, word) counts, one row per partition
+    the word spans. The sort key is a total order ((word, doc) is unique), so
+    the ids come out the same if a task is recomputed after a lost executor.
+    """
     s = (sorted_postings(post)
          .select("word", "doc", "n",
                  F.spark_partition_id().alias("_pid"),

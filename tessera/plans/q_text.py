@@ -131,7 +131,8 @@ def inverted_index_stopwords(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     post_all = tx.postings(tx.index_tokens(_crawled(spark, sf_dir))).checkpoint(eager=True)
     stop = tx.frequent_words(post_all, STOP_DOC_FRACTION).checkpoint(eager=True)
-    ranked = tx.rank_postings(tx.remove_words(post_all, stop))
+    # the ranking input is a broadcast anti join of a checkpoint: cheap to re-read
+    ranked = tx.rank_postings(tx.remove_words(post_all, stop), materialize=False)
     return ranked.orderBy("word", "rank")
 
 

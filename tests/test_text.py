@@ -78,9 +78,15 @@ def test_inverted_index_ranks(spark, many_partitions):
     post, ranked = brute_index(docs)
     got_post = {(r["word"], r["doc"]): r["n"] for r in tx.postings(tx.index_tokens(df)).collect()}
     assert got_post == dict(post)
-    rk = tx.rank_postings(tx.postings(tx.index_tokens(df)))
-    got = {(r["word"], r["doc"]): (r["rank"], r["n"]) for r in rk.collect()}
+    # hot words (more than 5 postings) take the spanning path, the rest a window
+    for hot in (5, 1_000_000):
+        rk = tx.rank_postings(tx.postings(tx.index_tokens(df)), hot_postings=hot)
+        got = {(r["word"], r["doc"]): (r["rank"], r["n"]) for r in rk.collect()}
+        assert got == ranked, hot
+    spanning = tx._rank_spanning(tx.postings(tx.index_tokens(df)))
+    got = {(r["word"], r["doc"]): (r["rank"], r["n"]) for r in spanning.collect()}
     assert got == ranked
+    rk = tx.rank_postings(tx.postings(tx.index_tokens(df)), hot_postings=5)
     lines = {(r["word"], r["part"]): r["postings"] for r in tx.postings_lines(rk, 50).collect()}
     assert len([k for k in lines if k[0] == "hot"]) == 3
     assert lines[("cat", 0)] == "(d1,1), (d10,1), (d2,1)"

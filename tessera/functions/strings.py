@@ -66,6 +66,32 @@ def java_split(c, pattern: str, drop_empty: bool = False) -> Column:
 _JAVA_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
 
 
+def explode_split(df, text: Column, pattern: str, keep=(), alias: str = "word",
+                  drop_empty: bool = False):
+    """One row per token of ``java_split(text, pattern)``, plus ``keep`` columns.
+
+    The text and, for character-class patterns, its body without trailing
+    separators are projected once; the explode then runs on an expression of
+    those columns. Exploding a bare array column instead would let Catalyst
+    infer a ``size(array) > 0`` filter and push it, with the whole text
+    expression copied into it, below any repartition into the scan.
+    """
+    keep = [F.col(k) if isinstance(k, str) else k for k in keep]
+    staged = df.select(*keep, text.alias("_s"))
+    m = _CLASS_PATTERN.match(pattern)
+    kept = [c for c in staged.columns if c != "_s"]
+    if not m:
+        return staged.select(*kept, F.explode(java_split(F.col("_s"), pattern, drop_empty)).alias(alias))
+    staged = staged.select(*kept, "_s",
+                           F.regexp_replace("_s", f"(?:{m.group(1)})+\\z", "").alias("_b"))
+    toks = (F.when(F.col("_s") == F.lit(""), F.array(F.lit("")))
+             .when(F.col("_b") == F.lit(""), _empty_string_array())
+             .otherwise(F.split(F.col("_b"), pattern, -1)))
+    if drop_empty:
+        toks = F.array_remove(toks, "")
+    return staged.select(*kept, F.explode(toks).alias(alias))
+
+
 def java_trim(c) -> Column:
     """``String.trim``: remove chars U+0000..U+0020 from both ends (a
     character-set trim, no regex)."""

@@ -19,7 +19,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.strings import java_split
+from tessera.functions.strings import explode_split, java_split
 
 
 # ---------------------------------------------------------------- ALS (ML-1..5)
@@ -109,9 +109,9 @@ def predict_nb_hashed(model, labels, docs: DataFrame, text: str = "text") -> Dat
 
 # ---------------------------------------------------------------- Naive Bayes, exact (ML-10b)
 
-def nb_tokens(docs: DataFrame, doc: str, text: str, *keep: str) -> DataFrame:
-    return docs.select(F.col(doc).alias("doc"), *keep,
-                       F.explode(java_split(F.col(text), " ")).alias("word"))
+def nb_tokens(docs: DataFrame, doc: str, text: str, *keep) -> DataFrame:
+    """(doc, keep..., word) for the words of ``text`` split on one space."""
+    return explode_split(docs, F.col(text), " ", [F.col(doc).alias("doc"), *keep])
 
 
 def fit_nb_exact(docs: DataFrame, doc: str = "doc_id", text: str = "text",

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.strings import JAVA_SPACE, as_col, java_split, java_trim, split_lines
+from tessera.functions.strings import JAVA_SPACE, as_col, explode_split, java_trim, split_lines
 from tessera.operators.joins import (
     DEFAULT_MAX_BROADCAST_ROWS, anti_join_small, broadcast_if_small,
 )
@@ -36,7 +36,7 @@ def words(df: DataFrame, text_col: str = "value", pattern: str = WORD_SPLIT,
           lowercase: bool = True, drop_empty: bool = False, keep=()) -> DataFrame:
     """One row per token: ``keep`` columns + ``word``."""
     t = F.lower(F.col(text_col)) if lowercase else F.col(text_col)
-    return df.select(*keep, F.explode(java_split(t, pattern, drop_empty)).alias("word"))
+    return explode_split(df, t, pattern, keep, "word", drop_empty)
 
 
 def word_count(df: DataFrame, text_col: str = "value", drop_empty: bool = False) -> DataFrame:
@@ -69,8 +69,7 @@ def index_tokens(docs: DataFrame, doc_col: str = "doc", text_col: str = "text",
     t = F.lower(F.col(text_col)) if lowercase else F.col(text_col)
     if normalize_quotes:
         t = F.translate(t, "’", "'")
-    return docs.select(F.explode(java_split(java_trim(t), INDEX_SPLIT)).alias("word"),
-                       F.col(doc_col).alias("doc"))
+    return explode_split(docs, java_trim(t), INDEX_SPLIT, [F.col(doc_col).alias("doc")])
 
 
 def postings(tokens: DataFrame, stop_words: DataFrame | None = None) -> DataFrame:

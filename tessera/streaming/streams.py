@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tessera.functions.strings import contains_any, java_split
+from tessera.functions.strings import contains_any, explode_split
 from tessera.operators.joins import broadcast_if_small
 from tessera.operators.sinks import DATE_COLS, ETL_COLUMNS, etl_rows
 
@@ -42,7 +42,7 @@ def parse_numbers(lines: DataFrame, col: str = "value") -> DataFrame:
     """Whitespace-separated integers -> one row per number ``n``, plus
     ``ok``: tokens that are not integers are kept with ``ok = false`` so the
     caller can count them (the reference's job died on the first one)."""
-    tok = lines.select(F.explode(java_split(F.trim(F.col(col)), r"\s+", drop_empty=True)).alias("t"))
+    tok = explode_split(lines, F.trim(F.col(col)), r"\s+", alias="t", drop_empty=True)
     return tok.select(F.col("t").try_cast("int").alias("n"), F.col("t").try_cast("int").isNotNull().alias("ok"))
 
 

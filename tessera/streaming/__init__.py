@@ -1,9 +1,9 @@
 """Structured Streaming pipelines (SRC-19/20, STM-1..8)."""
 
 from tessera.streaming.streams import (
-    file_stream, parse_numbers, per_batch_value_counts, flight_etl, score_posts,
+    file_stream, parse_numbers, per_batch_value_counts, flight_etl, write_etl_batch, score_posts,
     filter_posts, run_available, run_for, TerminationWatcher,
 )
 
-__all__ = ["file_stream", "parse_numbers", "per_batch_value_counts", "flight_etl",
+__all__ = ["file_stream", "parse_numbers", "per_batch_value_counts", "flight_etl", "write_etl_batch",
            "score_posts", "filter_posts", "run_available", "run_for", "TerminationWatcher"]

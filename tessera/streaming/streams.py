@@ -74,17 +74,27 @@ def write_etl_batch(rows: DataFrame, out_path: str, batch_id: int,
     directory, so a replayed batch replaces exactly its own output.
     """
     rows = rows.persist()
+    sizes = None
     try:
         sizes = (rows.groupBy(*DATE_COLS).agg(F.count(F.lit(1)).alias("_n"))
                  .select(*DATE_COLS, F.ceil(F.col("_n") / F.lit(rows_per_file)).cast("int").alias("_files")))
+        sizes = sizes.persist()
         salted = rows.join(broadcast_if_small(sizes, 100_000), DATE_COLS)
         salt = F.pmod(F.xxhash64(*ETL_COLUMNS), F.col("_files"))
-        (salted.repartition(*[F.col(c) for c in DATE_COLS], salt)
+        # an explicit count: AQE would coalesce a small batch into one task
+        # that writes every date serially
+        spark = rows.sparkSession
+        files = sizes.agg(F.sum("_files")).first()[0] or 1
+        n = max(spark.sparkContext.defaultParallelism,
+                min(files, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        (salted.repartition(n, *[F.col(c) for c in DATE_COLS], salt)
          .drop("_files")
          .write.mode("overwrite").option("sep", "|")
          .partitionBy(*DATE_COLS).csv(f"{out_path.rstrip('/')}/batch={batch_id}"))
     finally:
         rows.unpersist()
+        if sizes is not None:
+            sizes.unpersist()
 
 
 def flight_etl(flights: DataFrame, out_path: str, checkpoint: str,

@@ -97,7 +97,7 @@ HOT_POSTINGS = 1_000_000
 
 
 def rank_postings(post: DataFrame, materialize: bool = True,
-                  hot_postings: int = HOT_POSTINGS) -> DataFrame:
+                  hot_postings: int = HOT_POSTINGS, by_word_order: bool = False) -> DataFrame:
     """Add ``rank`` (1-based) of each posting within its word by (n desc, doc).
 
     A word with at most ``hot_postings`` postings is ranked by a window over
@@ -105,7 +105,9 @@ def rank_postings(post: DataFrame, materialize: bool = True,
     total / hot_postings of them, are ranked by ``_rank_spanning``, which
     never gathers a word into one task. The input is read several times;
     ``materialize`` writes it once to the shared checkpoint folder first,
-    which also cuts its lineage.
+    which also cuts its lineage. With ``by_word_order`` the window input is
+    range-partitioned by word, so a later sort by (word, rank) needs no
+    further shuffle when there is no hot word.
     """
     if materialize:
         ensure_checkpoint_dir(post.sparkSession)
@@ -113,6 +115,8 @@ def rank_postings(post: DataFrame, materialize: bool = True,
     by_word = Window.partitionBy("word").orderBy(F.desc("n"), "doc")
 
     def windowed(df):
+        if by_word_order:
+            df = df.repartitionByRange("word")
         return df.select("word", F.row_number().over(by_word).cast("long").alias("rank"), "doc", "n")
 
     hot = (post.groupBy("word").agg(F.count(F.lit(1)).alias("_m"))

@@ -132,7 +132,8 @@ def inverted_index_stopwords(spark, sf_dir):
     post_all = tx.postings(tx.index_tokens(_crawled(spark, sf_dir))).checkpoint(eager=True)
     stop = tx.frequent_words(post_all, STOP_DOC_FRACTION).checkpoint(eager=True)
     # the ranking input is a broadcast anti join of a checkpoint: cheap to re-read
-    ranked = tx.rank_postings(tx.remove_words(post_all, stop), materialize=False)
+    ranked = tx.rank_postings(tx.remove_words(post_all, stop), materialize=False,
+                              by_word_order=True)
     return ranked.orderBy("word", "rank")
 
 

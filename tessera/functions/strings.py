@@ -44,13 +44,21 @@ def java_split(c, pattern: str, drop_empty: bool = False) -> Column:
     s = as_col(c)
     m = _CLASS_PATTERN.match(pattern)
     if m:
-        body = F.regexp_replace(s, f"(?:{m.group(1)})+\\z", "")
-        out = (F.when(s == F.lit(""), F.array(F.lit("")))
-                .when(body == F.lit(""), _empty_string_array())
-                .otherwise(F.split(body, pattern, -1)))
-        if drop_empty:
-            out = F.array_remove(out, "")
-        return out
+        return _split_class(s, pattern, m.group(1), drop_empty)
+    return _split_general(s, pattern, drop_empty)
+
+
+def _split_class(s: Column, pattern: str, char_class: str, drop_empty: bool) -> Column:
+    body = F.regexp_replace(s, f"(?:{char_class})+\\z", "")
+    out = (F.when(s == F.lit(""), F.array(F.lit("")))
+            .when(body == F.lit(""), _empty_string_array())
+            .otherwise(F.split(body, pattern, -1)))
+    if drop_empty:
+        out = F.array_remove(out, "")
+    return out
+
+
+def _split_general(s: Column, pattern: str, drop_empty: bool) -> Column:
     parts = F.split(s, pattern, -1)
     # 1-based position, counted from the end, of the last non-empty token
     last = F.array_position(F.reverse(F.transform(parts, lambda x: x != F.lit(""))), True)

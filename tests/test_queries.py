@@ -63,3 +63,17 @@ def test_plans(spark):
     rc = plan(QUERIES["route_counts"](spark, SF001))
     assert rc.count("HashAggregate") >= 2      # partial + final
     assert "l_extendedprice" not in rc          # columns pruned at the scan
+
+
+@pytest.mark.parametrize("df_name,sql_name", [
+    ("route_counts", "route_counts_sql"), ("route_names", "route_names_sql"),
+    ("left_outer_all", "left_outer_sql"), ("agg_basic", "agg_basic_sql"),
+    ("value_counts", "stream_value_counts"), ("etl_partition_counts", "stream_etl_partition_counts"),
+])
+def test_dataframe_equals_sql_twin(spark, df_name, sql_name):
+    a = QUERIES[df_name](spark, SF001)
+    b = QUERIES[sql_name](spark, SF001)
+    assert sorted(a.columns) == sorted(b.columns)
+    cols = sorted(a.columns)
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(a.select(*cols).collect(), key=key) == sorted(b.select(*cols).collect(), key=key)

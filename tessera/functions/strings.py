@@ -27,6 +27,19 @@ def as_col(c) -> Column:
 
 # A single character class, optionally repeated: "\W+", "[^\w']", "\s+", " ".
 _CLASS_PATTERN = re.compile(r"^(\[(?:\\.|[^\]\\])+\]|\\[WwSsDd]|[^\\.^$|?*+()\[\]{}])\+?$")
+# One punctuation character with optional spaces around it: "\s*,\s*", "\s*\|\s*".
+_SPACED_SEPARATOR = re.compile(r"^\\s\*(\\[^A-Za-z0-9\s]|[^\\.^$|?*+()\[\]{}A-Za-z0-9_\s])\\s\*$")
+
+
+def _strip_unit(pattern: str) -> str | None:
+    """The regex whose trailing run is exactly what Java drops as trailing
+    empty tokens, for the pattern shapes where that holds; else None."""
+    m = _CLASS_PATTERN.match(pattern)
+    if m:
+        return m.group(1)
+    if _SPACED_SEPARATOR.match(pattern):
+        return pattern
+    return None
 
 
 def java_split(c, pattern: str, drop_empty: bool = False) -> Column:
@@ -35,21 +48,23 @@ def java_split(c, pattern: str, drop_empty: bool = False) -> Column:
     Leading empty tokens stay, trailing ones go; ``""`` splits to ``[""]``.
     ``drop_empty`` removes every empty token (not what the reference does).
 
-    When the pattern is one character class (``\W+``, ``[^\w']``, ``" "``),
-    trailing empty tokens are exactly the trailing run of separator chars, so
-    the run is cut with a regex before splitting; this keeps the expression
-    inside generated code. Other patterns trim the array instead (higher-order
-    functions, evaluated without codegen).
+    When the pattern is one character class (``\W+``, ``[^\w']``, ``" "``)
+    or one punctuation character with optional spaces (``\s*,\s*``),
+    trailing empty tokens are exactly the trailing run of separator matches,
+    so the run is cut with a regex before splitting; this keeps the
+    expression inside generated code. Other patterns (``::``, where ``a:::``
+    shows the difference) trim the array instead (higher-order functions,
+    evaluated without codegen).
     """
     s = as_col(c)
-    m = _CLASS_PATTERN.match(pattern)
-    if m:
-        return _split_class(s, pattern, m.group(1), drop_empty)
+    unit = _strip_unit(pattern)
+    if unit is not None:
+        return _split_class(s, pattern, unit, drop_empty)
     return _split_general(s, pattern, drop_empty)
 
 
-def _split_class(s: Column, pattern: str, char_class: str, drop_empty: bool) -> Column:
-    body = F.regexp_replace(s, f"(?:{char_class})+\\z", "")
+def _split_class(s: Column, pattern: str, unit: str, drop_empty: bool) -> Column:
+    body = F.regexp_replace(s, f"(?:{unit})+\\z", "")
     out = (F.when(s == F.lit(""), F.array(F.lit("")))
             .when(body == F.lit(""), _empty_string_array())
             .otherwise(F.split(body, pattern, -1)))
@@ -86,12 +101,12 @@ def explode_split(df, text: Column, pattern: str, keep=(), alias: str = "word",
     """
     keep = [F.col(k) if isinstance(k, str) else k for k in keep]
     staged = df.select(*keep, text.alias("_s"))
-    m = _CLASS_PATTERN.match(pattern)
+    unit = _strip_unit(pattern)
     kept = [c for c in staged.columns if c != "_s"]
-    if not m:
+    if unit is None:
         return staged.select(*kept, F.explode(java_split(F.col("_s"), pattern, drop_empty)).alias(alias))
     staged = staged.select(*kept, "_s",
-                           F.regexp_replace("_s", f"(?:{m.group(1)})+\\z", "").alias("_b"))
+                           F.regexp_replace("_s", f"(?:{unit})+\\z", "").alias("_b"))
     toks = (F.when(F.col("_s") == F.lit(""), F.array(F.lit("")))
              .when(F.col("_b") == F.lit(""), _empty_string_array())
              .otherwise(F.split(F.col("_b"), pattern, -1)))

@@ -26,8 +26,8 @@ def java_split_reference(s: str, pat: str) -> list[str]:
     return out
 
 
-PATTERNS = [r"\W+", r"[^\w']", r"\s*,\s*", " ", "::", r"\s+"]
-ALPHABET = list("ab'_ ,:-.\t\n") + ["é", "Z", "9"]
+PATTERNS = [r"\W+", r"[^\w']", r"\s*,\s*", r"\s*\|\s*", " ", "::", r"\s+", r"\s*[^\d]+\s*"]
+ALPHABET = list("ab'_ ,:-.|/\t\n") + ["é", "Z", "9", "1"]
 
 
 def random_strings(n: int, seed: int) -> list[str]:
@@ -44,14 +44,24 @@ def test_split_matches_java(spark, pat):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(strings)], "i int, s string")
     cols = [S.java_split(F.col("s"), pat).alias("fast"),
             S._split_general(F.col("s"), pat, False).alias("general")]
-    m = S._CLASS_PATTERN.match(pat)
-    if m:
-        cols.append(S._split_class(F.col("s"), pat, m.group(1), False).alias("cls"))
+    unit = S._strip_unit(pat)
+    if unit is not None:
+        cols.append(S._split_class(F.col("s"), pat, unit, False).alias("cls"))
     rows = {r["i"]: r for r in df.select("i", *cols).collect()}
     for i, s in enumerate(strings):
         want = java_split_reference(s, pat)
         r = rows[i]
         assert r["general"] == want, (pat, s, r["general"], want)
         assert r["fast"] == want, (pat, s, r["fast"], want)
-        if m:
+        if unit is not None:
             assert r["cls"] == want, (pat, s, r["cls"], want)
+
+
+def test_fast_path_selection():
+    assert S._strip_unit(r"\W+") == r"\W"
+    assert S._strip_unit(r"[^\w']") == r"[^\w']"
+    assert S._strip_unit(" ") == " "
+    assert S._strip_unit(r"\s*,\s*") == r"\s*,\s*"
+    assert S._strip_unit(r"\s*\|\s*") == r"\s*\|\s*"
+    assert S._strip_unit("::") is None
+    assert S._strip_unit(r"\s*[^\d]+\s*") is None

@@ -24,10 +24,13 @@ triplets AS (
 
 
 def _graph(spark, sf_dir):
+    """(vertices, edges). Every flight yields an edge, so the airports are
+    the edge endpoints: the flights are aggregated once, and the vertex set
+    comes from the small edge table instead of a second pass over them."""
     t = Tables(spark, sf_dir)
-    f = si.flights(t)
-    v = gr.label_vertices(gr.vertices_from(f), si.route_airports(t), "iata", "airport")
-    return v, gr.edges_from(f)
+    e = gr.edges_from(si.flights(t))
+    v = gr.label_vertices(gr.vertices_from(e, "src", "dst"), si.route_airports(t), "iata", "airport")
+    return v, e
 
 
 @query("graph_vertices", GRAPH_CTES + "SELECT id, attr FROM vertices")

@@ -104,3 +104,62 @@ def parquet_roundtrip(spark, sf_dir):
     carriers = Tables(spark, sf_dir).supplier.select(
         F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("description"))
     return sinks.parquet_roundtrip(carriers, shared_dir(spark, "carriers"), ROUNDTRIP_N, ["code"])
+
+
+# ---------------------------------------------------------------- file sources over written tables
+
+@query("text_file_word_count", """
+SELECT word, COUNT(*) AS count FROM (
+  SELECT unnest(CASE WHEN lower(line) = '' THEN [''] WHEN regexp_full_match(lower(line), '(?:\\W+)+')
+                THEN []::VARCHAR[] ELSE string_split_regex(regexp_replace(lower(line), '(?:\\W+)+$', ''), '\\W+') END) AS word
+  FROM (SELECT unnest(CASE WHEN text = '' THEN []::VARCHAR[] ELSE string_split_regex(
+          regexp_replace(text, '(\\r\\n|\\n|\\r)\\z', ''), '\\r\\n|\\n|\\r') END) AS line FROM documents))
+GROUP BY word""")
+def text_file_word_count(spark, sf_dir):
+    """The corpus written as text files, read back line by line (SRC-1) and
+    word-counted: equal to the word count over the documents' lines (a
+    document ending in a line break would add one empty line)."""
+    from tessera.operators import text as tx
+    from tessera.sources.files import read_lines
+    path = shared_dir(spark, "corpus-text")
+    Tables(spark, sf_dir).documents.select("text").write.text(path)
+    return tx.word_count(read_lines(spark, path), "value")
+
+
+@query("csv_header_roundtrip", """
+SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""")
+def csv_header_roundtrip(spark, sf_dir):
+    """Suppliers written as CSV with a header and read back with inferred
+    types (SRC-3)."""
+    from tessera.sources.files import read_csv
+    path = shared_dir(spark, "supplier-csv")
+    Tables(spark, sf_dir).supplier.write.option("header", True).csv(path)
+    df = read_csv(spark, path, header=True, infer=True)
+    return df.select(F.col("s_suppkey").cast("int").alias("s_suppkey"), "s_name",
+                     F.col("s_nationkey").cast("int").alias("s_nationkey"),
+                     F.col("s_acctbal").cast("double").alias("s_acctbal"))
+
+
+@query("csv_positional_roundtrip", """
+SELECT n_nationkey AS key, n_name AS name, n_regionkey AS region FROM nation""")
+def csv_positional_roundtrip(spark, sf_dir):
+    """Nations written as CSV without a header, read back with inferred types
+    and named by position (SRC-4)."""
+    from tessera.sources.files import read_csv
+    path = shared_dir(spark, "nation-csv")
+    Tables(spark, sf_dir).nation.write.csv(path)
+    return read_csv(spark, path, header=False, infer=True, names=["key", "name", "region"])
+
+
+@query("json_roundtrip", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def json_roundtrip(spark, sf_dir):
+    """Customers written as JSON lines and read back with an inferred schema
+    and corrupt-record handling (SRC-5/6); the good rows, in table types."""
+    from tessera.sources.files import read_json_lines, split_corrupt
+    path = shared_dir(spark, "customer-json")
+    Tables(spark, sf_dir).customer.write.json(path)
+    good, _bad = split_corrupt(read_json_lines(spark, path))
+    return good.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name",
+                       F.col("c_nationkey").cast("int").alias("c_nationkey"),
+                       F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_mktsegment")

@@ -149,7 +149,8 @@ def predict_nb_exact(model: dict, docs: DataFrame, doc: str = "doc_id",
                      text: str = "text") -> DataFrame:
     """(doc, prediction): argmax over classes of prior + sum over known words
     of tf * term(class, word); unknown words are ignored and ties go to the
-    smaller label. Priors enter by a union, so no document x class join."""
+    smaller label. Priors enter by a union, so no document x class join,
+    and all class scores of a document come from one hash aggregate."""
     classes = model["classes"]
     tf = (nb_tokens(docs, doc, text).groupBy("doc", "word")
           .agg(F.count(F.lit(1)).alias("tf")))
@@ -160,7 +161,17 @@ def predict_nb_exact(model: dict, docs: DataFrame, doc: str = "doc_id",
     priors = docs.select(F.col(doc).alias("doc"), F.explode(F.array(*[
         F.struct(F.lit(i).alias("i"), F.lit(c["prior"]).alias("v")) for i, c in enumerate(classes)
     ])).alias("p")).select("doc", "p.i", "p.v")
-    score = priors.unionByName(contrib).groupBy("doc", "i").agg(F.sum("v").alias("score"))
-    best = score.groupBy("doc").agg(F.max(F.struct("score", (-F.col("i")).alias("ni"))).alias("m"))
-    labels = F.array(*[F.lit(c["label"]) for c in classes])
-    return best.select("doc", F.element_at(labels, 1 - F.col("m.ni")).alias("prediction"))
+    # one hash aggregate keyed by document: the score of each class is a
+    # column (the classes are model parameters, few and known here)
+    k = len(classes)
+    sums = [F.sum(F.when(F.col("i") == j, F.col("v"))).alias(f"_s{j}") for j in range(k)]
+    per_doc = priors.unionByName(contrib).groupBy("doc").agg(*sums)
+    if k == 1:
+        return per_doc.select("doc", F.lit(classes[0]["label"]).alias("prediction"))
+    top = F.greatest(*[F.col(f"_s{j}") for j in range(k)])
+    pick = None
+    for j in range(k):            # the first (smallest) class reaching the top score
+        hit = F.col(f"_s{j}") == top
+        lab = F.lit(classes[j]["label"])
+        pick = F.when(hit, lab) if pick is None else pick.when(hit, lab)
+    return per_doc.select("doc", pick.alias("prediction"))

@@ -61,9 +61,14 @@ FROM flights GROUP BY ALL"""
 
 @query("etl_partition_counts", ETL_COUNTS_SQL)
 def etl_partition_counts(spark, sf_dir):
-    """Rows per date partition of the flight ETL (batch form)."""
-    rows = sinks.etl_rows(si.flights(Tables(spark, sf_dir)))
-    return rows.groupBy("depYear", "depMonth", "depDay").count()
+    """Rows per date partition of the flight ETL (batch form). Counted by the
+    integer date fields; only the counted rows are formatted."""
+    f = si.flights(Tables(spark, sf_dir))
+    counts = f.groupBy(F.col("date.year").alias("y"), F.col("date.month").alias("m"),
+                       F.col("date.dayOfMonth").alias("d")).count()
+    return counts.select(F.format_string("%04d", "y").alias("depYear"),
+                         F.format_string("%02d", "m").alias("depMonth"),
+                         F.format_string("%02d", "d").alias("depDay"), "count")
 
 
 @query("stream_etl_partition_counts", ETL_COUNTS_SQL)

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.strings import java_split, java_trim, to_int
-from tessera.functions.strings import as_col  # noqa: F401  (re-export for callers)
 
 
 class Parsed(NamedTuple):

@@ -4,7 +4,6 @@ import re
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import text as tx
 

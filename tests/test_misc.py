@@ -74,3 +74,33 @@ def test_write_by_date(spark, tmp):
         "depDay=03", "depDay=04", "depDay=05"]
     back = sinks.read_by_date(spark, out)
     assert dict(back.dtypes)["depMonth"] == "string" and back.count() == 3
+
+
+def test_hot_date_is_split(spark, tmp):
+    from tessera import streaming as st
+    rows = [(i, 100 + i, "AS", i, "SEA", "LAX", "2008", "01", "03") for i in range(40)]
+    rows += [(1, 2, "AS", 1, "SEA", "PDX", "2008", "01", "04")]
+    df = spark.createDataFrame(rows, sinks.ETL_SCHEMA)
+    out = os.path.join(tmp, "etl")
+    st.write_etl_batch(df, out, batch_id=7, rows_per_file=10)
+    hot = os.path.join(out, "batch=7", "depYear=2008", "depMonth=01", "depDay=03")
+    cold = os.path.join(out, "batch=7", "depYear=2008", "depMonth=01", "depDay=04")
+    hot_files = [f for f in os.listdir(hot) if f.startswith("part-")]
+    assert 2 <= len(hot_files) <= 4          # 40 rows at 10 per file, hash-salted
+    assert len([f for f in os.listdir(cold) if f.startswith("part-")]) == 1
+    assert sinks.read_by_date(spark, out).count() == 41
+    st.write_etl_batch(df, out, batch_id=7, rows_per_file=10)   # a replay replaces its batch
+    assert sinks.read_by_date(spark, out).count() == 41
+
+
+def test_broadcast_only_under_bound(spark):
+    from tessera.operators.joins import broadcast_if_small, row_count_at_most
+    small = spark.range(10)
+    big = spark.range(1000)
+    assert row_count_at_most(small, 10) and not row_count_at_most(big, 999)
+    fact = spark.range(5000).withColumnRenamed("id", "k")
+    p1 = fact.join(broadcast_if_small(small.withColumnRenamed("id", "k"), 100), "k")
+    p2 = fact.join(broadcast_if_small(big.withColumnRenamed("id", "k"), 100), "k")
+    hint = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    assert hint(p1) and not hint(p2)
+    assert p1.count() == 10 and p2.count() == 1000

@@ -28,8 +28,10 @@ NOTES = {
                       "by a window, hot ones by a range sort.",
     "inverted_index_stopwords": "Broadcast anti join of the derived stop list; one range "
                                 "shuffle serves both the window and the final sort by word.",
-    "nb_predict": "Token counts join one row per vocabulary word; priors enter by union.",
-    "graph_in_degree": "Edges are aggregated once; degrees and labels work on the edge table.",
+    "nb_predict": "Token counts join one row per vocabulary word; priors enter by union; "
+                  "one hash aggregate per document holds every class score.",
+    "graph_in_degree": "Flights are aggregated into edges once; vertices, degrees and labels "
+                       "work on the edge table.",
 }
 
 

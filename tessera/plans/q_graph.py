@@ -6,6 +6,7 @@ from tessera.operators import graph as gr
 from tessera.plans import standins as si
 from tessera.plans.oracle_sql import FLIGHTS_CTE, ROUTE_AIRPORTS_CTE, with_
 from tessera.plans.registry import query
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources.tables import Tables
 
 TOP_K = 10
@@ -25,10 +26,13 @@ triplets AS (
 
 def _graph(spark, sf_dir):
     """(vertices, edges). Every flight yields an edge, so the airports are
-    the edge endpoints: the flights are aggregated once, and the vertex set
-    comes from the small edge table instead of a second pass over them."""
+    the edge endpoints: the vertex set comes from the small edge table
+    instead of a second pass over the flights."""
     t = Tables(spark, sf_dir)
-    e = gr.edges_from(si.flights(t))
+    # the edge table (one row per route) feeds vertices, degrees and triplets:
+    # written once to the shared checkpoint folder, so the flights are read once
+    ensure_checkpoint_dir(spark)
+    e = gr.edges_from(si.flights(t)).checkpoint(eager=True)
     v = gr.label_vertices(gr.vertices_from(e, "src", "dst"), si.route_airports(t), "iata", "airport")
     return v, e
 

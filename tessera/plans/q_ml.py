@@ -11,6 +11,7 @@ from tessera.plans import standins as si
 from tessera.plans.oracle_sql import RATINGS_CTE, with_
 from tessera.plans.q_text import sql_java_split
 from tessera.plans.registry import query
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources.tables import Tables
 
 # The reference's stream keywords (its input was on-topic posts).
@@ -33,7 +34,10 @@ def ratings_summary(spark, sf_dir):
 
 def _als_predictions(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    r = (si.ratings(t).groupBy("userId", "movieId").agg(F.avg("rating").alias("rating")))
+    # each side of randomSplit re-reads its parent: write the ratings once
+    ensure_checkpoint_dir(spark)
+    r = (si.ratings(t).groupBy("userId", "movieId").agg(F.avg("rating").alias("rating"))
+         .checkpoint(eager=True))
     train, test = r.randomSplit([1 - TEST_FRACTION, TEST_FRACTION], seed=ALS_SEED)
     model = ml.fit_als(train, seed=ALS_SEED)
     return model.transform(test), t

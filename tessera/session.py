@@ -30,6 +30,34 @@ DEFAULT_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int,
+                 shuffle_fraction: float = 0.2, shuffle_partition_bytes: int = 128 * MB,
+                 scan_partition_bytes: int = 256 * MB) -> dict:
+    """Partition sizing for a cluster run, to pass as ``get_spark(conf=...)``.
+
+    The largest shuffle is estimated as ``shuffle_fraction`` of the input
+    (after column pruning; about a fifth for the flight joins). Shuffles start
+    with enough partitions for ``shuffle_partition_bytes`` each, and never
+    fewer than 3 tasks per core, and AQE coalesces small ones and splits
+    skewed ones. Scan splits are ``scan_partition_bytes``.
+    For 100 TB on 1,000 executors of 8 cores this gives 163,840 shuffle
+    partitions and 256 MB scan splits (about 410,000 scan tasks).
+    """
+    cores = executors * cores_per_executor
+    shuffle = max(3 * cores, int(-(-input_bytes * shuffle_fraction // shuffle_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
+        "spark.default.parallelism": str(3 * cores),
+    }
+
+
 def get_spark(master: str | None = None, app: str = "tessera",
               shuffle_partitions: int | None = None,
               conf: dict | None = None) -> SparkSession:

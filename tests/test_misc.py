@@ -104,3 +104,12 @@ def test_broadcast_only_under_bound(spark):
     hint = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
     assert hint(p1) and not hint(p2)
     assert p1.count() == 10 and p2.count() == 1000
+
+
+def test_cluster_conf():
+    from tessera.session import cluster_conf
+    c = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=8)
+    assert c["spark.sql.shuffle.partitions"] == "163840"            # 20 TB / 128 MB
+    assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 2**20
+    small = cluster_conf(1e9, executors=2, cores_per_executor=4)
+    assert small["spark.sql.shuffle.partitions"] == "24"              # 3 tasks per core

@@ -76,3 +76,10 @@ def test_dataframe_equals_sql_twin(spark, df_name, sql_name):
     cols = sorted(a.columns)
     key = lambda r: tuple((x is None, x) for x in r)
     assert sorted(a.select(*cols).collect(), key=key) == sorted(b.select(*cols).collect(), key=key)
+
+
+def test_stream_scoring_covers_filtered_posts(spark):
+    batch = {r["doc_id"] for r in QUERIES["post_filter"](spark, SF001).collect()}
+    scored = QUERIES["stream_post_scores"](spark, SF001).collect()
+    assert {r["doc_id"] for r in scored} == batch
+    assert all(r["prediction"] in (0.0, 1.0) for r in scored)

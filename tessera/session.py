@@ -27,6 +27,8 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # delete checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.fixed_values import (
+    DATE_LABEL_FORMAT, DATE_PART_SEPARATOR as _NON_DIGITS, DATE_TIME_SEPARATOR, WEEKDAYS,
+)
 from tessera.functions.strings import as_col, java_split
 
-# Weekday names, Monday = 1 ... Sunday = 7.
-WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
-
-_NON_DIGITS = r"\s*[^\d]+\s*"
-
 
 def _ints(parts: Column, n: int) -> list[Column]:
     return [F.get(parts, i).try_cast("int") for i in range(n)]
@@ -44,7 +42,7 @@ def parse_hms(c) -> Column:
 
 def parse_date_time(c) -> Column:
     """``<ymd> <hms>`` split on whitespace -> struct(ymd, hms), else null."""
-    parts = java_split(as_col(c), r"\s+")
+    parts = java_split(as_col(c), DATE_TIME_SEPARATOR)
     ymd = parse_ymd(F.get(parts, 0))
     hms = parse_hms(F.get(parts, 1))
     return F.when((F.size(parts) == 2) & ymd.isNotNull() & hms.isNotNull(),
@@ -54,7 +52,7 @@ def parse_date_time(c) -> Column:
 def date_label(year, month, day, day_of_week) -> Column:
     """``YYYY-MM-DD (Weekday)`` with Monday = 1."""
     names = F.array(*[F.lit(w) for w in WEEKDAYS])
-    return F.format_string("%4d-%02d-%02d (%s)", as_col(year), as_col(month), as_col(day),
+    return F.format_string(DATE_LABEL_FORMAT, as_col(year), as_col(month), as_col(day),
                            F.element_at(names, as_col(day_of_week)))
 
 

@@ -13,13 +13,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.fixed_values import MISSING_INT, NA
+
 
 def _empty_string_array() -> Column:
     return F.array().cast("array<string>")
 
-# Java's \s class, spelled out: RE2 (used by the SQL oracle) lacks \x0B in \s.
-JAVA_SPACE = r"[ \t\n\x0B\f\r]"
-
 
 def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -121,13 +120,13 @@ def java_trim(c) -> Column:
     return F.trim(as_col(c), F.lit(_JAVA_TRIM_CHARS))
 
 
-def to_int(c, default: int | None = -1) -> Column:
+def to_int(c, default: int | None = MISSING_INT) -> Column:
     """String to INT; blank, ``NA`` or unparsable -> ``default`` (None = SQL null)."""
     s = java_trim(c)
     d = F.lit(default).cast("int")
     parsed = s.try_cast("int")
     return (F.when(s.isNull(), d)
-             .when((s == "") | (s == "NA"), d)
+             .when((s == "") | (s == NA), d)
              .otherwise(F.coalesce(parsed, d)))
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.fixed_values import ROUTE_FORMAT
+
 
 def code_id(c) -> F.Column:
     """A 64-bit id for a code, when a numeric vertex id is wanted (HSH-1).
@@ -61,7 +63,7 @@ def top_routes(trip: DataFrame, k: int = 10) -> DataFrame:
     """The k heaviest edges as ``src -> dst: n`` (GRF-5); ties by the labels."""
     return (trip.orderBy(F.desc("attr"), "src_attr", "dst_attr").limit(k)
             .select("src_attr", "dst_attr", "attr",
-                    F.format_string("%s -> %s: %d", "src_attr", "dst_attr", "attr").alias("route")))
+                    F.format_string(ROUTE_FORMAT, "src_attr", "dst_attr", "attr").alias("route")))
 
 
 def busiest(trip: DataFrame, k: int = 1) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.fixed_values import WORD_SEPARATOR
 from tessera.functions.strings import explode_split, java_split
 
 
@@ -89,7 +90,7 @@ def fit_nb_hashed(docs: DataFrame, text: str = "text", label: str = "label",
     Naive Bayes. Labels (for example 0/2/4) are mapped to class indexes for
     training and back on prediction. Returns (model, labels)."""
     labels = class_labels(docs, label)
-    train = docs.select(java_split(F.col(text), " ").alias("words"),
+    train = docs.select(java_split(F.col(text), WORD_SEPARATOR).alias("words"),
                         _index_of(F.col(label), labels).alias("_y"))
     pipe = Pipeline(stages=[
         HashingTF(inputCol="words", outputCol="features", numFeatures=num_features),
@@ -101,7 +102,7 @@ def fit_nb_hashed(docs: DataFrame, text: str = "text", label: str = "label",
 
 def predict_nb_hashed(model, labels, docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``prediction``, the predicted label itself (not its index)."""
-    scored = model.transform(docs.withColumn("words", java_split(F.col(text), " ")))
+    scored = model.transform(docs.withColumn("words", java_split(F.col(text), WORD_SEPARATOR)))
     lab = F.array(*[F.lit(float(x)) for x in labels])
     return (scored.withColumn("prediction", F.element_at(lab, F.col("prediction").cast("int") + 1))
             .drop("words", "features", "rawPrediction", "probability"))
@@ -111,7 +112,7 @@ def predict_nb_hashed(model, labels, docs: DataFrame, text: str = "text") -> Dat
 
 def nb_tokens(docs: DataFrame, doc: str, text: str, *keep) -> DataFrame:
     """(doc, keep..., word) for the words of ``text`` split on one space."""
-    return explode_split(docs, F.col(text), " ", [F.col(doc).alias("doc"), *keep])
+    return explode_split(docs, F.col(text), WORD_SEPARATOR, [F.col(doc).alias("doc"), *keep])
 
 
 def fit_nb_exact(docs: DataFrame, doc: str = "doc_id", text: str = "text",

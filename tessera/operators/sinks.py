@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.fixed_values import ETL_PARTITION_FORMATS, ETL_SEPARATOR
 from tessera.functions.strings import tuple_string
 
 
@@ -25,9 +26,10 @@ def parquet_roundtrip(df: DataFrame, path: str, n: int = 100, order_by=None) ->
 def date_partitions(date_struct: str = "date") -> list:
     """Zero-padded ``depYear``, ``depMonth``, ``depDay`` strings."""
     d = F.col(date_struct)
-    return [F.format_string("%04d", d["year"]).alias("depYear"),
-            F.format_string("%02d", d["month"]).alias("depMonth"),
-            F.format_string("%02d", d["dayOfMonth"]).alias("depDay")]
+    fy, fm, fd = ETL_PARTITION_FORMATS
+    return [F.format_string(fy, d["year"]).alias("depYear"),
+            F.format_string(fm, d["month"]).alias("depMonth"),
+            F.format_string(fd, d["dayOfMonth"]).alias("depDay")]
 
 
 ETL_COLUMNS = ["depTime", "arrTime", "uniqueCarrier", "flightNum", "origin", "dest"]
@@ -44,7 +46,7 @@ def etl_rows(flights: DataFrame) -> DataFrame:
 def write_by_date(flights: DataFrame, path: str, mode: str = "append") -> None:
     """``|``-separated rows in one directory per date (SNK-4):
     ``depYear=YYYY/depMonth=MM/depDay=DD``. One job for all dates."""
-    (etl_rows(flights).write.mode(mode).option("sep", "|")
+    (etl_rows(flights).write.mode(mode).option("sep", ETL_SEPARATOR)
      .partitionBy("depYear", "depMonth", "depDay").csv(path))
 
 
@@ -55,7 +57,7 @@ ETL_SCHEMA = ("depTime INT, arrTime INT, uniqueCarrier STRING, flightNum INT, or
 def read_by_date(spark, path: str) -> DataFrame:
     """Read the ETL output back; the explicit schema keeps the partition
     values as zero-padded strings (a streamed output also has ``batch``)."""
-    return spark.read.schema(ETL_SCHEMA).option("sep", "|").csv(path)
+    return spark.read.schema(ETL_SCHEMA).option("sep", ETL_SEPARATOR).csv(path)
 
 
 def preview(df: DataFrame, n: int = 100, out=print, msg: str = "") -> None:

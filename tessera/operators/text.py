@@ -3,9 +3,9 @@
 Tokens come from ``java_split`` so they equal the reference's, empty tokens
 included (``drop_empty`` removes them). Counting is a hash aggregate with a
 map-side combine, so a very common word is pre-summed in every task before the
-shuffle. Postings are kept as rows ``(word, doc, n)``; ordering them within a
-word uses a range-partitioned global sort, which splits a hot word over many
-tasks instead of gathering it into one.
+shuffle. Postings are kept as rows ``(word, doc, n)``; ranking them within a
+word uses a window only for words of bounded size and a range-partitioned
+global sort for hot words, which splits them over many tasks.
 """
 
 from __future__ import annotations
@@ -13,19 +13,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.strings import JAVA_SPACE, as_col, explode_split, java_trim, split_lines
+from tessera.fixed_values import (
+    CRAWL_LINE_BREAK, INDEX_SPLIT, POSTING_FORMAT, POSTING_SEPARATOR, TOKENIZER_LEAKS, WORD_SPLIT,
+)
+from tessera.functions.strings import as_col, explode_split, java_trim, split_lines
 from tessera.operators.joins import (
     DEFAULT_MAX_BROADCAST_ROWS, anti_join_small, broadcast_if_small,
 )
 from tessera.session import ensure_checkpoint_dir
 
-WORD_SPLIT = r"\W+"          # word count tokenizer
-INDEX_SPLIT = r"[^\w']"      # inverted index tokenizer (one separator at a time)
-
-# Tokens that leak through the index tokenizer and are always
-# treated as stop words.
-TOKENIZER_LEAKS = ["", "'", "_"]
-
 
 def lines_of(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Documents -> one row per line (``value``), cut like a Hadoop text reader."""
@@ -46,8 +42,7 @@ def word_count(df: DataFrame, text_col: str = "value", drop_empty: bool = False)
 
 def normalize_text(c) -> F.Column:
     """``text.trim.replaceAll("\\s*\\n\\s*", " ")``: one line per document."""
-    sp = JAVA_SPACE
-    return F.regexp_replace(java_trim(as_col(c)), f"{sp}*\n{sp}*", " ")
+    return F.regexp_replace(java_trim(as_col(c)), CRAWL_LINE_BREAK, " ")
 
 
 def crawl(files: DataFrame, path_col: str = "path", text_col: str = "text",
@@ -153,11 +148,11 @@ def postings_lines(ranked: DataFrame, per_line: int = 1000) -> DataFrame:
     """The reference's text form ``(doc,n), (doc,n), ...`` per word, cut into
     lines of at most ``per_line`` postings: (word, part, postings)."""
     part = F.floor((F.col("rank") - 1) / per_line).cast("int")
-    item = F.struct(F.col("rank"), F.format_string("(%s,%d)", F.col("doc"), F.col("n")).alias("s"))
+    item = F.struct(F.col("rank"), F.format_string(POSTING_FORMAT, F.col("doc"), F.col("n")).alias("s"))
     return (ranked.groupBy("word", part.alias("part"))
             .agg(F.array_sort(F.collect_list(item)).alias("_items"))
             .select("word", "part",
-                    F.array_join(F.transform("_items", lambda x: x["s"]), ", ").alias("postings")))
+                    F.array_join(F.transform("_items", lambda x: x["s"]), POSTING_SEPARATOR).alias("postings")))
 
 
 def stop_words_frame(spark: SparkSession, words_list) -> DataFrame:

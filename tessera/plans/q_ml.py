@@ -14,9 +14,8 @@ from tessera.plans.registry import query
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources.tables import Tables
 
-# The reference's stream keywords (its input was on-topic posts).
-REFERENCE_KEYWORDS = ("programming", "computer", "crash")
-# Keywords for the stand-in posts (invented prose).
+# The reference's stream keywords are fixed_values.STREAM_KEYWORDS (its input
+# was on-topic posts). Keywords for the stand-in posts (invented prose):
 POST_KEYWORDS = ("this", "from", "with")
 
 ALS_SEED = 42

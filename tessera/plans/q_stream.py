@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera import streaming as st
+from tessera.fixed_values import ETL_PARTITION_FORMATS
 from tessera.operators import ml, sinks
 from tessera.plans import standins as si
 from tessera.plans.oracle_sql import FLIGHTS_CTE, with_
@@ -66,9 +67,10 @@ def etl_partition_counts(spark, sf_dir):
     f = si.flights(Tables(spark, sf_dir))
     counts = f.groupBy(F.col("date.year").alias("y"), F.col("date.month").alias("m"),
                        F.col("date.dayOfMonth").alias("d")).count()
-    return counts.select(F.format_string("%04d", "y").alias("depYear"),
-                         F.format_string("%02d", "m").alias("depMonth"),
-                         F.format_string("%02d", "d").alias("depDay"), "count")
+    fy, fm, fd = ETL_PARTITION_FORMATS
+    return counts.select(F.format_string(fy, "y").alias("depYear"),
+                         F.format_string(fm, "m").alias("depMonth"),
+                         F.format_string(fd, "d").alias("depDay"), "count")
 
 
 @query("stream_etl_partition_counts", ETL_COUNTS_SQL)

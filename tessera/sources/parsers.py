@@ -14,6 +14,12 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.fixed_values import (
+    ABBREV_LINE, AIRPORT_HEADER, AIRPORT_LINE, CARRIER_HEADER, CARRIER_LINE,
+    FLIGHT_FIELDS, FLIGHT_HEADER_FIRST_FIELD, FLIGHT_SEPARATOR, GENRE_SEPARATOR, MISSING_INT,
+    PAIR_LINE, PLANE_HEADER, PLANE_LINE, PLANE_NO_YEAR, PLANE_TAIL_ONLY, RATING_SEPARATOR,
+    VECTOR_SEPARATOR,
+)
 from tessera.functions.strings import java_split, java_trim, to_int
 
 
@@ -48,13 +54,13 @@ INT_TAIL = [("canceled", 21), ("cancellationCode", 22), ("diverted", 23), ("carr
             ("lateAircraftDelay", 28)]
 
 
-def parse_flights(lines: DataFrame, missing: int | None = -1) -> Parsed:
+def parse_flights(lines: DataFrame, missing: int | None = MISSING_INT) -> Parsed:
     """29 comma-separated fields -> the flight record (16 columns, two structs).
 
     Header (first field ``Year``) and lines with fewer than 29 fields are
     rejected; fields after the 29th are ignored; blank/``NA``/bad ints -> ``missing``.
     """
-    f = java_split(java_trim(F.col("value")), r"\s*,\s*")
+    f = java_split(java_trim(F.col("value")), FLIGHT_SEPARATOR)
 
     def i(k):
         return to_int(_g(f, k), missing)
@@ -70,15 +76,12 @@ def parse_flights(lines: DataFrame, missing: int | None = -1) -> Parsed:
     ]
     for n, k in INT_TAIL:
         cols.append((s(k) if n == "cancellationCode" else i(k)).alias(n))
-    header = _g(f, 0) == F.lit("Year")
-    return _split_result(lines, header, F.size(f) >= 29, cols)
+    header = _g(f, 0) == F.lit(FLIGHT_HEADER_FIRST_FIELD)
+    return _split_result(lines, header, F.size(f) >= FLIGHT_FIELDS, cols)
 
 
 # ---------------------------------------------------------------- airports (SRC-9)
 
-AIRPORT_HEADER = r'^\s*"iata"\s*,.*'
-AIRPORT_LINE = (r'^\s*"([^"]+)"\s*,\s*"([^"]+)"\s*,\s*"?([^"]+)"?\s*,\s*"?([^"]+)"?\s*,'
-                r'\s*"([^"]+)"\s*,\s*([-.\d]+)\s*,\s*([-.\d]+)\s*$')
 
 
 def parse_airports(lines: DataFrame) -> Parsed:
@@ -94,8 +97,6 @@ def parse_airports(lines: DataFrame) -> Parsed:
 
 # ---------------------------------------------------------------- carriers (SRC-10)
 
-CARRIER_HEADER = r"^\s*Code\s*,.*"
-CARRIER_LINE = r'^\s*"([^"]+)"\s*,\s*"([^"]+)"\s*$'
 
 
 def parse_carriers(lines: DataFrame) -> Parsed:
@@ -107,9 +108,6 @@ def parse_carriers(lines: DataFrame) -> Parsed:
 
 # ---------------------------------------------------------------- planes (SRC-11)
 
-PLANE_HEADER = r"^\s*tailnum\s*,.*"
-PLANE_TAIL_ONLY = r"^\s*(N\w+)\s*$"
-PLANE_LINE = (r"^\s*(N[^,]+)\s*" + r",\s*([^,]+)\s*" * 7 + r",\s*(\S+)\s*$")
 PLANE_FIELDS = ["tailNum", "kind", "manufacturer", "issueDate", "model", "status",
                 "aircraftType", "engineType"]
 
@@ -127,7 +125,7 @@ def parse_planes(lines: DataFrame) -> Parsed:
             cols.append(F.when(tail_only, F.lit("")).otherwise(full).alias(n))
     yr = F.regexp_extract(v, PLANE_LINE, 9)
     year = (F.when(tail_only, F.lit(0))
-             .when(yr == "None", F.lit(-1))
+             .when(yr == PLANE_NO_YEAR, F.lit(MISSING_INT))
              .otherwise(to_int(yr)))
     cols.append(year.alias("year"))
     ok = tail_only | v.rlike(PLANE_LINE)
@@ -136,7 +134,6 @@ def parse_planes(lines: DataFrame) -> Parsed:
 
 # ---------------------------------------------------------------- abbreviations (SRC-12)
 
-ABBREV_LINE = r"^\s*([^,]+)\s*\t\s*(.*)$"
 
 
 def parse_abbreviations(lines: DataFrame) -> Parsed:
@@ -148,7 +145,6 @@ def parse_abbreviations(lines: DataFrame) -> Parsed:
 
 # ---------------------------------------------------------------- (name,text) pairs (SRC-13)
 
-PAIR_LINE = r"^\s*\(([^,]+),(.*)\)\s*$"
 
 
 def parse_pairs(lines: DataFrame) -> Parsed:
@@ -163,7 +159,7 @@ def parse_pairs(lines: DataFrame) -> Parsed:
 
 def parse_ratings(lines: DataFrame) -> Parsed:
     """``user::movie::rating[::ts]`` -> (userId INT, movieId INT, rating DOUBLE)."""
-    f = java_split(F.col("value"), "::")
+    f = java_split(F.col("value"), RATING_SEPARATOR)
     u, m, r = (_g(f, 0).try_cast("int"), _g(f, 1).try_cast("int"),
                _g(f, 2).try_cast("double"))
     ok = u.isNotNull() & m.isNotNull() & r.isNotNull()
@@ -176,12 +172,12 @@ def parse_movies(lines: DataFrame) -> Parsed:
 
     Genres are split on a literal ``|`` (the reference's ``split("|")`` cuts
     them into single characters)."""
-    f = java_split(F.col("value"), "::")
+    f = java_split(F.col("value"), RATING_SEPARATOR)
     mid = _g(f, 0).try_cast("int")
     ok = (F.size(f) == 3) & mid.isNotNull()
     return _split_result(lines, F.lit(False), ok,
                          [mid.alias("movieId"), _g(f, 1).alias("title"),
-                          java_split(_g(f, 2), r"\|").alias("genres")])
+                          java_split(_g(f, 2), GENRE_SEPARATOR).alias("genres")])
 
 
 # ---------------------------------------------------------------- vectors (SRC-16)
@@ -191,7 +187,7 @@ def parse_vectors(lines: DataFrame, col: str = "features") -> Parsed:
     from pyspark.ml.functions import array_to_vector
 
     nonempty = lines.where(F.col("value") != "")
-    arr = F.transform(java_split(F.col("value"), " "), lambda x: x.try_cast("double"))
+    arr = F.transform(java_split(F.col("value"), VECTOR_SEPARATOR), lambda x: x.try_cast("double"))
     ok = F.forall(arr, lambda x: x.isNotNull()) & (F.size(arr) > 0)
     res = _split_result(nonempty, F.lit(False), ok, [arr.alias("_arr")])
     return Parsed(res.good.select(array_to_vector("_arr").alias(col)), res.rejected)

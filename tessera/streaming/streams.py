@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from tessera.fixed_values import ETL_SEPARATOR, NUMBER_SEPARATOR
 from tessera.functions.strings import contains_any, explode_split
 from tessera.operators.joins import broadcast_if_small
 from tessera.operators.sinks import DATE_COLS, ETL_COLUMNS, etl_rows
@@ -42,7 +43,7 @@ def parse_numbers(lines: DataFrame, col: str = "value") -> DataFrame:
     """Whitespace-separated integers -> one row per number ``n``, plus
     ``ok``: tokens that are not integers are kept with ``ok = false`` so the
     caller can count them (the reference's job died on the first one)."""
-    tok = explode_split(lines, F.trim(F.col(col)), r"\s+", alias="t", drop_empty=True)
+    tok = explode_split(lines, F.trim(F.col(col)), NUMBER_SEPARATOR, alias="t", drop_empty=True)
     return tok.select(F.col("t").try_cast("int").alias("n"), F.col("t").try_cast("int").isNotNull().alias("ok"))
 
 
@@ -89,7 +90,7 @@ def write_etl_batch(rows: DataFrame, out_path: str, batch_id: int,
                 min(files, int(spark.conf.get("spark.sql.shuffle.partitions"))))
         (salted.repartition(n, *[F.col(c) for c in DATE_COLS], salt)
          .drop("_files")
-         .write.mode("overwrite").option("sep", "|")
+         .write.mode("overwrite").option("sep", ETL_SEPARATOR)
          .partitionBy(*DATE_COLS).csv(f"{out_path.rstrip('/')}/batch={batch_id}"))
     finally:
         rows.unpersist()

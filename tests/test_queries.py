@@ -83,3 +83,9 @@ def test_stream_scoring_covers_filtered_posts(spark):
     scored = QUERIES["stream_post_scores"](spark, SF001).collect()
     assert {r["doc_id"] for r in scored} == batch
     assert all(r["prediction"] in (0.0, 1.0) for r in scored)
+
+
+def test_approx_distinct_close_to_exact(spark):
+    approx = QUERIES["approx_distinct"](spark, SF001).first()["approx_countd"]
+    exact = QUERIES["count_distinct"](spark, SF001).first()["countd"]
+    assert abs(approx - exact) <= 0.15 * exact            # 3 x the 5 % default error

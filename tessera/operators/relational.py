@@ -51,13 +51,27 @@ def count_summary(df: DataFrame, col: str) -> DataFrame:
                   F.count_distinct(col).alias("countd"))
 
 
-def cube_avg(df: DataFrame, keys: list[str], cols: list[str] | None = None) -> DataFrame:
-    """``cube(keys).avg(cols)``; with no cols, every numeric column (AGG-9/13)."""
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def cube_avg(df: DataFrame, keys: list[str], cols: list[str] | None = None,
+             with_grouping_id: bool = False) -> DataFrame:
+    """``cube(keys).avg(cols)``; with no cols, every numeric column (AGG-9/13).
+
+    A subtotal row has null keys, which a null key value looks the same as;
+    ``with_grouping_id`` adds ``grouping_id`` (bit set = key rolled up)."""
     g = df.cube(*keys)
-    return g.avg(*cols) if cols else g.avg()
+    if not with_grouping_id:
+        return g.avg(*cols) if cols else g.avg()
+    if not cols:
+        cols = [c for c, t in df.dtypes if t in _NUMERIC or t.startswith("decimal")]
+    return g.agg(*[F.avg(c).alias(f"avg({c})") for c in cols], F.grouping_id().alias("grouping_id"))
 
 
-def cube_agg(df: DataFrame, keys: list[str], *exprs: Column) -> DataFrame:
+def cube_agg(df: DataFrame, keys: list[str], *exprs: Column,
+             with_grouping_id: bool = False) -> DataFrame:
+    if with_grouping_id:
+        exprs = (*exprs, F.grouping_id().alias("grouping_id"))
     return df.cube(*keys).agg(*exprs)
 
 

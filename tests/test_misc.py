@@ -113,3 +113,21 @@ def test_cluster_conf():
     assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 2**20
     small = cluster_conf(1e9, executors=2, cores_per_executor=4)
     assert small["spark.sql.shuffle.partitions"] == "24"              # 3 tasks per core
+
+
+def test_cube_grouping_id_tells_null_keys_from_subtotals(spark):
+    from tessera.operators import relational as rel
+    df = spark.createDataFrame([("SEA", None, 10), ("SEA", "LAX", 20), (None, "LAX", 30)],
+                               "origin string, dest string, distance int")
+    plain = rel.cube_avg(df, ["origin", "dest"])
+    assert "grouping_id" not in plain.columns and "avg(distance)" in plain.columns
+    rows = rel.cube_avg(df, ["origin", "dest"], with_grouping_id=True).collect()
+    # (SEA, null) appears twice: the real null dest (gid 0) and SEA's subtotal (gid 1)
+    sea_null = sorted((r["grouping_id"], r["avg(distance)"]) for r in rows
+                      if r["origin"] == "SEA" and r["dest"] is None)
+    assert sea_null == [(0, 10.0), (1, 15.0)]
+    total = [r for r in rows if r["grouping_id"] == 3]
+    assert len(total) == 1 and total[0]["avg(distance)"] == 20.0
+    agg = rel.cube_agg(df, ["origin"], F.count("*").alias("n"), with_grouping_id=True)
+    assert {(r["origin"], r["grouping_id"], r["n"]) for r in agg.collect()} == {
+        ("SEA", 0, 2), (None, 0, 1), (None, 1, 3)}

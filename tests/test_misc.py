@@ -131,3 +131,13 @@ def test_cube_grouping_id_tells_null_keys_from_subtotals(spark):
     agg = rel.cube_agg(df, ["origin"], F.count("*").alias("n"), with_grouping_id=True)
     assert {(r["origin"], r["grouping_id"], r["n"]) for r in agg.collect()} == {
         ("SEA", 0, 2), (None, 0, 1), (None, 1, 3)}
+
+
+def test_partition_pruning_on_etl_layout(spark, tmp):
+    good, _ = P.parse_flights(lines_df(spark, FLIGHTS))
+    out = os.path.join(tmp, "etl-prune")
+    sinks.write_by_date(good, out)
+    day = sinks.read_by_date(spark, out).where((F.col("depMonth") == "01") & (F.col("depDay") == "03"))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(depMonth" in plan and "depDay" in plan.split("PartitionFilters")[1]
+    assert [r["flightNum"] for r in day.collect()] == [335]

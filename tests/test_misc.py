@@ -141,3 +141,26 @@ def test_partition_pruning_on_etl_layout(spark, tmp):
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(depMonth" in plan and "depDay" in plan.split("PartitionFilters")[1]
     assert [r["flightNum"] for r in day.collect()] == [335]
+
+
+def test_bucketed_join_has_no_exchange(spark, tmp):
+    from tessera.operators.joins import write_bucketed
+    from tessera.sources.tables import read_table
+    from conftest import SF001
+    li = read_table(spark, SF001, "lineitem").select("l_orderkey", "l_quantity")
+    o = read_table(spark, SF001, "orders").select("o_orderkey", "o_custkey")
+    bl = write_bucketed(li, "li_bucketed", "l_orderkey", 8, os.path.join(tmp, "li"))
+    bo = write_bucketed(o, "o_bucketed", "o_orderkey", 8, os.path.join(tmp, "o"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = bl.join(bo, bl["l_orderkey"] == bo["o_orderkey"])
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == li.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
+        spark.sql("DROP TABLE IF EXISTS li_bucketed")
+        spark.sql("DROP TABLE IF EXISTS o_bucketed")

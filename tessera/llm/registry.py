@@ -21,7 +21,6 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> tuple[dict, dict]:
     from tessera.llm import (  # noqa: F401
-        bpe, decontam, html_extract, lm_score, quality, sharding, simhash,
-        token_counts, token_output, warc,
+        decontam, sharding,
     )
     return dict(QUERIES), dict(ORACLE)

@@ -1,8 +1,57 @@
-"""Corpus pipeline: see STAGES."""
+"""The corpus pipeline: documents in, tokenized clean documents out.
 
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is
+written as Parquet and read again as the next stage's ``docs``. The first three
+filter and return the columns of ``documents``; the last returns the digests of
+each document's ids and decoded text. Empty and null cases are those of the
+operators called.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.llm import bpe, decontam, quality, simhash
+from tessera.llm.common import stored, table
+
+#: the fit of the quality rules and the components of near-duplicates have no SQL form
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base and the fitted rules keep."""
+    return quality.keep(docs, table(spark, sf_dir, "labels"))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: 3-word shingles, 2 bits."""
+    return simhash.deduplicate(docs, shingle=simhash.SHINGLE, radius=simhash.RADIUS)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark does not contaminate."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of each document's ids and decoded text."""
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("bpe_encoding", bpe_encoding),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole documents table."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = stored(docs, f"pipeline-{name}")
+    return docs

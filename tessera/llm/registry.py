@@ -21,6 +21,6 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> tuple[dict, dict]:
     from tessera.llm import (  # noqa: F401
-        decontam, sharding,
+        bpe, decontam, quality, sharding, simhash,
     )
     return dict(QUERIES), dict(ORACLE)

@@ -35,7 +35,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import col, fresh, table
+from tessera.llm.common import col, fresh, no_gc, table
 from tessera.llm.registry import query
 
 CACHE_PIECES = 800_000
@@ -188,6 +188,7 @@ class ByteBpe:
             at = [place[w] for w in ws]
             self.fresh[x] = b"".join(raw[starts[i]:ends[i]] for i in at)
 
+    @no_gc()
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out, rows, chars = [], [], 0

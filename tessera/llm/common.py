@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,3 +85,16 @@ def make_dir(path: str) -> None:
 
 def join_path(base: str, *parts: str) -> str:
     return os.path.join(base.rstrip("/"), *parts)
+
+
+@contextlib.contextmanager
+def no_gc():
+    """Hold Python's cycle collector while many small acyclic objects are made;
+    its passes over them would cost more than the work itself."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe, decontam, quality, simhash
-from tessera.llm.common import stored, table
+from tessera.llm.common import stored, table, workers_import
 
 #: the fit of the quality rules and the components of near-duplicates have no SQL form
 ORACLE_SQL = None
@@ -21,21 +21,25 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base and the fitted rules keep."""
+    workers_import(spark)
     return quality.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: 3-word shingles, 2 bits."""
+    workers_import(spark)
     return simhash.deduplicate(docs, shingle=simhash.SHINGLE, radius=simhash.RADIUS)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark does not contaminate."""
+    workers_import(spark)
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of each document's ids and decoded text."""
+    workers_import(spark)
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

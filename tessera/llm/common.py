@@ -12,6 +12,16 @@ from pyspark.sql import functions as F
 from tessera.session import shared_dir
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library from where the driver
+    has it. On a cluster it is installed on the nodes or sent with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([*have, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

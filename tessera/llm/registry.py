@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.common import workers_import
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            workers_import(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLE[name] = sql.strip()
-        return fn
+        return run
     return deco
 
 
 def load_all() -> tuple[dict, dict]:
     from tessera.llm import (  # noqa: F401
-        bpe, decontam, quality, sharding, simhash, token_counts, token_output,
+        bpe, decontam, quality, sharding, simhash, token_counts, token_output, warc,
     )
     return dict(QUERIES), dict(ORACLE)

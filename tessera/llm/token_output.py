@@ -118,7 +118,7 @@ def write_tokens(docs: DataFrame, out_dir: str, path: str, id_col: str = "doc_id
                 if not batch.num_rows:
                     continue
                 if out is None:
-                    out = fs.open_output_stream(join_path(base, name))
+                    out = fs.open_output_stream(join_path(base, name), compression=None)
                     head = struct.pack(HEADER, MAGIC, hashlib.sha256(dictionary).digest(), 4)
                     out.write(head)
                     at = len(head)

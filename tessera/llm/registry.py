@@ -29,6 +29,6 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> tuple[dict, dict]:
     from tessera.llm import (  # noqa: F401
-        bpe, decontam, quality, sharding, simhash, token_counts, token_output, warc,
+        bpe, decontam, html_extract, quality, sharding, simhash, token_counts, token_output, warc,
     )
     return dict(QUERIES), dict(ORACLE)

@@ -1,10 +1,10 @@
 """Language-model scores by logistic context mixing.
 
 Tokens (words, then one end) are written in a binary code: the ``max_words`` most
-frequent words, the end and an escape have a Huffman code; an escaped word is spelled
-in a Huffman code of bytes. Each code bit is predicted by several models: the code
-tree itself, hashed contexts (the word before, the two words before, the last very
-frequent word; for bytes the one, two and three bytes before) and, for words, the word
+frequent words of those met twice or more, the end and an escape have a Huffman
+code; an escaped word is spelled in a Huffman code of bytes. Words met once teach
+the model when to escape. Each code bit is predicted by several models: the code
+tree itself, hashed contexts (the class of the word before, the last very frequent word; for bytes the one to four bytes before) and, for words, the word
 that followed the last occurrence of the same two words in the text. The
 predictions, as log odds, are combined by weights; a gate, made of how much the
 contexts have seen, selects the weights. The result is refined by an adaptive
@@ -50,55 +50,56 @@ from tessera.llm.registry import query
 FOLDS, HELD_FOLD = 5, 1
 MAX_WORDS = 1 << 17
 MAX_WORD_BYTES = 64  # longer words are spelled, which bounds the dictionary
-TABLE_BITS = 20
+TABLE_BITS = 18
+DEPTH = 9  # code bits of a word that are mixed
 FREQUENT = 256
 GATES = 32
 BUCKETS = 33
-BLOCK_TOKENS = 120_000
-SUB_BITS = 1 << 16
+BLOCK_TOKENS = 100_000
 CHUNK = 1 << 14
 RATE = 0.4
+WORD_CONTEXTS, SPELL_CONTEXTS = 2, 4
 CACHE_WORDS = 300_000
-END, ESCAPE = b"", b" "  # keys of the dictionary that no word equals
+END = b""  # the end's key in the dictionary; no word equals it
 LOG10E = float(np.log10(np.e))
 
 
 class Codebook:
-    """Huffman code of the symbols 0 to n-1: for each symbol its nodes and bits."""
+    """Canonical Huffman code of the symbols 0 to n-1; symbols of one length are in
+    the order of ``rank``. The first ``depth`` bits of a code are predicted by the
+    mixer; what is left of a longer code by the symbols' counts (``tail``)."""
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: np.ndarray, rank: np.ndarray, depth: int):
         n = len(counts)
-        weight = [int(c) + 1 for c in counts]
-        heap = [(w, i) for i, w in enumerate(weight)]
+        counts = counts.astype(np.int64) + 1
+        heap = [(w, i) for i, w in enumerate(counts.tolist())]
         heapq.heapify(heap)
-        parent, side = [0] * (2 * n - 1), np.zeros(2 * n - 1, np.uint8)
-        one = np.zeros(max(n - 1, 1))
+        parent = np.zeros(2 * n - 1, np.int64)
         for node in range(n, 2 * n - 1):
             (wa, a), (wb, b) = heapq.heappop(heap), heapq.heappop(heap)
             parent[a] = parent[b] = node
-            side[b] = 1
-            one[node - n] = np.log(wb / wa)
             heapq.heappush(heap, (wa + wb, node))
-        root = 2 * n - 2
-        up = np.array(parent)
-        paths_n, paths_b, at = [], [], np.arange(n)
-        depth = np.zeros(n, np.int32)
-        while True:  # all symbols climb together
-            live = at != root
-            if not live.any():
-                break
-            paths_b.append(np.where(live, side[at], 0).astype(np.uint8))
-            at = np.where(live, up[at], root)
-            paths_n.append((at - n).astype(np.int32))
-            depth += live
-        self.lens = depth
-        self.off = (np.cumsum(depth) - depth).astype(np.int64)
-        self.nodes, self.bits = np.zeros(int(depth.sum()), np.int32), np.zeros(int(depth.sum()), np.uint8)
-        for k, (pn, pb) in enumerate(zip(paths_n, paths_b)):  # k-th step from the leaf is bit depth-1-k
-            live = np.flatnonzero(depth > k)
-            place = self.off[live] + depth[live] - 1 - k
-            self.nodes[place], self.bits[place] = pn[live], pb[live]
-        self.prior = one.astype(np.float32)
+        lens, at = np.zeros(n, np.int64), np.arange(n)
+        while (live := at != 2 * n - 2).any():  # all symbols climb to the root together
+            lens += live
+            at = np.where(live, parent[at], at)
+        order = np.lexsort((rank, lens))
+        high = int(lens.max())
+        used = (np.int64(1) << (high - lens[order])).cumsum()
+        codes = np.zeros(n, np.int64)
+        codes[order] = (used - (np.int64(1) << (high - lens[order]))) >> (high - lens[order])
+        self.lens = np.minimum(lens, depth).astype(np.uint8)
+        self.codes = (codes >> (lens - self.lens)).astype(np.int32)
+        #: the tree's nodes by (1 << depth) + code so far; log odds of a 1
+        self.prior = np.zeros(1 << int(self.lens.max()), np.float32)
+        for d in range(int(self.lens.max())):
+            deep = self.lens > d
+            below = np.bincount(self.codes[deep] >> (self.lens[deep] - d - 1).astype(np.int32), counts[deep], 2 << d) + 0.5
+            self.prior[1 << d:2 << d] = np.log(below[1::2] / below[::2])
+        end = (np.int64(1) << self.lens.astype(np.int64)) + self.codes
+        #: symbols with equal first bits of their codes
+        self.classes = end.astype(np.int32)
+        self.tail = np.log(counts / np.bincount(end, counts)[end])
 
 
 class Mixer:
@@ -106,102 +107,93 @@ class Mixer:
 
     def __init__(self, contexts: int, bits: int = TABLE_BITS):
         self.contexts, self.shift, self.size = contexts, np.uint32(32 - bits), 1 << bits
-        self.n = [np.zeros(self.size, np.uint32) for _ in range(contexts)]
-        self.n1 = [np.zeros(self.size, np.uint32) for _ in range(contexts)]
-        self.packed = [np.zeros(self.size, np.int32) for _ in range(contexts)]
+        self.n = [np.zeros(self.size, np.int64) for _ in range(contexts)]
+        self.n1 = [np.zeros(self.size, np.int64) for _ in range(contexts)]
+        self.packed = [np.zeros(self.size, np.int16) for _ in range(contexts)]
         self.weights = np.full((contexts + 2, GATES), 0.3, np.float32)
         self.seen = np.zeros(GATES)
-        self.map_n = np.zeros((GATES, BUCKETS))
-        self.map_n1 = np.zeros((GATES, BUCKETS))
+        self.map_n = np.zeros(GATES * BUCKETS)
+        self.map_n1 = np.zeros(GATES * BUCKETS)
         self.map: np.ndarray | None = None
 
-    def flat(self, cb: Codebook, ids: np.ndarray):
-        """Per code bit: its token, node, bit and depth."""
+    def run(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None, learn: bool) -> np.ndarray:
+        """Natural log probability of each symbol, from what is known before the
+        block; ``learn``: then correct the weights and count the block."""
         lens = cb.lens[ids]
-        ends = np.cumsum(lens)
-        total = int(ends[-1]) if len(ends) else 0
-        tok = np.repeat(np.arange(len(ids), dtype=np.int32), lens)
-        depth = np.arange(total, dtype=np.int32) - np.repeat((ends - lens).astype(np.int32), lens)
-        place = cb.off[ids][tok] + depth
-        return tok, cb.nodes[place], cb.bits[place], depth
-
-    def inputs(self, cb, flat, ctx: list[np.ndarray], pred: np.ndarray | None):
-        """Log odds of the models, the gate, the map's row and the slots."""
-        tok, node, _, depth = flat
-        spread = node.astype(np.uint32) * np.uint32(0x9E3779B1)
-        xs = [cb.prior[node]]
-        slots, conf = [], []
-        for k in range(self.contexts):
-            slot = ((ctx[k][tok] ^ spread) * np.uint32(0x85EBCA6B)) >> self.shift
-            v = self.packed[k][slot]
-            slots.append(slot)
-            conf.append(v & 3)
-            xs.append((v >> 2).astype(np.float32) * np.float32(1 / 1024))
-        gate = conf[0] + 4 * conf[1]
-        row = np.minimum(depth, 15)
-        if pred is None:
-            xs.append(np.ones(len(tok), np.float32))
-        else:
-            q = np.maximum(pred, 0)[tok]
-            place = np.minimum(cb.off[q] + depth, len(cb.nodes) - 1)
-            alive = (pred[tok] >= 0) & (depth < cb.lens[q]) & (cb.nodes[place] == node)
-            xs.append(np.where(alive, 2.0 * cb.bits[place] - 1.0, 0.0).astype(np.float32))
-            gate = gate + 16 * alive
-            row = row + 16 * alive
-        return xs, gate, row, slots
-
-    def mixed(self, xs, gate) -> np.ndarray:
-        x = self.weights[0][gate] * xs[0]
-        for w, s in zip(self.weights[1:], xs[1:]):
-            x += w[gate] * s
-        return np.clip(x, -12, 12, out=x)
-
-    def learn(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None) -> None:
-        """Predict a block with what is known, correct the weights, then count it."""
-        flat = self.flat(cb, ids)
-        all_slots: list[list] = [[] for _ in range(self.contexts)]
-        for at in range(0, len(flat[0]), SUB_BITS):
-            part = tuple(x[at:at + SUB_BITS] for x in flat)
-            xs, gate, row, slots = self.inputs(cb, part, ctx, pred)
-            bit = part[2].astype(np.float32)
-            x = self.mixed(xs, gate)
-            err = bit - 1 / (1 + np.exp(-x))
-            n = np.bincount(gate, minlength=GATES)
-            for k, s in enumerate(xs):
-                self.weights[k] += (RATE * np.bincount(gate, err * s, GATES) / (0.3 * n + 50)).astype(np.float32)
-            self.seen += n
-            cell = row * BUCKETS + ((x + 12) * ((BUCKETS - 1) / 24) + 0.5).astype(np.int32)
-            self.map_n += np.bincount(cell, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
-            self.map_n1 += np.bincount(cell, bit, GATES * BUCKETS).reshape(GATES, BUCKETS)
+        order = np.argsort(255 - lens, kind="stable")  # longest codes first: a depth's symbols are a prefix
+        ids, lens = ids[order], lens[order].astype(np.int32)
+        codes = cb.codes[ids]
+        ctx = [c[order] for c in ctx]
+        lp = cb.tail[ids]
+        node = np.ones(len(ids), np.int32)
+        if pred is not None:
+            pred = pred[order]
+            alive = pred >= 0
+            q = np.maximum(pred, 0)
+            q_codes, q_lens = cb.codes[q], cb.lens[q].astype(np.int32)
+        live = np.cumsum(np.bincount(lens, minlength=1)[::-1])[::-1]  # symbols of at least so many bits
+        cells: list[list] = [[] for _ in range(self.contexts)]
+        for d in range(len(live) - 1):
+            n = int(live[d + 1])
+            node = node[:n]
+            bit = (codes[:n] >> (lens[:n] - (d + 1))) & 1
+            spread = node.astype(np.uint32) * np.uint32(0x9E3779B1)
+            xs = [_take(cb.prior, node)]
+            gate = np.zeros(n, np.int16)
             for k in range(self.contexts):
-                all_slots[k].append(slots[k])
-        if not len(flat[0]):
-            return
-        ones = flat[2].astype(bool)
-        for k in range(self.contexts):
-            slot = np.concatenate(all_slots[k])
-            self.n[k] += np.bincount(slot, minlength=self.size).astype(np.uint32)
-            self.n1[k] += np.bincount(slot[ones], minlength=self.size).astype(np.uint32)
-            self.packed[k] = pack(self.n[k], self.n1[k])
-
-    def log_probs(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None) -> np.ndarray:
-        """Natural log probability of each symbol by the merged model."""
-        flat = self.flat(cb, ids)
-        out = np.zeros(len(ids))
-        for at in range(0, len(flat[0]), SUB_BITS):
-            part = tuple(x[at:at + SUB_BITS] for x in flat)
-            xs, gate, row, _ = self.inputs(cb, part, ctx, pred)
-            x = self.mixed(xs, gate)
-            if self.map is not None:
-                cell = row * BUCKETS + ((x + 12) * ((BUCKETS - 1) / 24) + 0.5).astype(np.int32)
-                x = 0.5 * (x + self.map[cell])
-            z = np.where(part[2] == 1, -x, x)
-            lp = -np.log1p(np.exp(z))
-            first = int(part[0][0])
-            got = np.bincount(part[0] - first, lp)
-            out[first:first + len(got)] += got
+                slot = (((ctx[k][:n] ^ spread) * np.uint32(0x85EBCA6B)) >> self.shift).astype(np.intp)
+                v = _take(self.packed[k], slot)
+                xs.append((v >> 2).astype(np.float32) * np.float32(1 / 512))
+                if k < 2:
+                    gate += (v & 3) << (2 * k)
+                if learn:
+                    cells[k].append(2 * slot + bit)
+            row = np.int16(min(d, 15))
+            if pred is None:
+                xs.append(np.ones(n, np.float32))
+            else:
+                alive = alive[:n] & (q_lens[:n] > d)
+                says = (q_codes[:n] >> np.maximum(q_lens[:n] - (d + 1), 0)) & 1
+                xs.append((2 * says - 1).astype(np.float32) * alive)
+                match = alive.astype(np.int16) << 4
+                gate += match
+                row = row + match
+                alive = alive & (says == bit)
+            gate = gate.astype(np.intp)
+            x = _take(self.weights[0], gate) * xs[0]
+            for w, s in zip(self.weights[1:], xs[1:]):
+                x += _take(w, gate) * s
+            np.clip(x, -12, 12, out=x)
+            sign = (1 - 2 * bit).astype(np.float32)
+            if learn:
+                self._correct(xs, gate, row, x, bit)
+            elif self.map is not None:
+                x += _take(self.map, _cell(row, x))
+                sign *= np.float32(0.5)
+            lp[:n] -= np.log1p(np.exp(x * sign))
+            node = 2 * node + bit
+        if learn and len(ids):
+            for k in range(self.contexts):
+                both = np.bincount(np.concatenate(cells[k]), minlength=2 * self.size)
+                self.n[k] += both[::2] + both[1::2]
+                self.n1[k] += both[1::2]
+                self.packed[k] = pack(self.n[k], self.n1[k])
+        out = np.empty(len(lp))
+        out[order] = lp
         return out
 
+    def _correct(self, xs: list, gate: np.ndarray, row, x: np.ndarray, bit: np.ndarray) -> None:
+        """A gradient step of the weights, and the map's counts."""
+        err = bit - 1 / (1 + np.exp(-x))
+        n = np.bincount(gate, minlength=GATES)
+        step = RATE / (0.3 * n + 50)
+        for k, s in enumerate(xs):
+            self.weights[k] += (np.bincount(gate, err * s, GATES) * step).astype(np.float32)
+        self.seen += n
+        both = np.bincount(2 * _cell(row, x) + bit, minlength=2 * GATES * BUCKETS)
+        self.map_n += both[::2] + both[1::2]
+        self.map_n1 += both[1::2]
+
     def parts(self, kind: str):
         """What other tasks' models are added to: (kind, place, bytes)."""
         for k in range(self.contexts):
@@ -213,13 +205,21 @@ class Mixer:
         yield f"{kind}w", 0, zlib.compress(rest.astype("<f8").tobytes(), 1)
 
 
+def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.take(values, at, mode="clip")  # unchecked, which is what makes it fast
+
+
+def _cell(row, x: np.ndarray) -> np.ndarray:
+    """The map's cell: a row by depth and match, a column by the log odds."""
+    return row * np.intp(BUCKETS) + (x * np.float32((BUCKETS - 1) / 24) + np.float32(BUCKETS / 2)).astype(np.intp)
+
+
 def pack(n: np.ndarray, n1: np.ndarray) -> np.ndarray:
-    """Log odds (times 1024) and two bits of confidence of counts in one number."""
-    n = n.astype(np.float32)
-    n1 = n1.astype(np.float32)
+    """Log odds (times 512) and two bits of confidence of counts in 16 bits."""
+    n, n1 = n.astype(np.float32), n1.astype(np.float32)
     odds = np.log((n1 + np.float32(0.4)) / (n - n1 + np.float32(0.4)))
-    conf = (n > 0).astype(np.int32) + (n > 3) + (n > 30)
-    return (np.rint(odds * 1024).astype(np.int32) << 2) | conf
+    conf = (n > 0).astype(np.int16) + (n > 3) + (n > 30)
+    return (np.rint(np.clip(odds, -15, 15) * 512).astype(np.int16) << 2) | conf
 
 
 def merged(rows: DataFrame) -> dict:
@@ -229,7 +229,7 @@ def merged(rows: DataFrame) -> dict:
         key, total = None, None
 
         def out(key, total):
-            data = pack(*total.reshape(2, -1)).astype("<i4") if key[0][-1] != "w" else total
+            data = pack(*total.reshape(2, -1)).astype("<i2") if key[0][-1] != "w" else total
             return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int32()),
                                                pa.array([zlib.compress(data.tobytes(), 1)], pa.binary())], ["kind", "place", "data"])
 
@@ -256,7 +256,7 @@ def mixer_of(parts: dict, kind: str, contexts: int, bits: int = TABLE_BITS) -> M
     for k in range(contexts):
         for at in range(0, m.size, CHUNK):
             if data := parts.get((f"{kind}{k}", at // CHUNK)):
-                m.packed[k][at:at + CHUNK] = np.frombuffer(data, "<i4")
+                m.packed[k][at:at + CHUNK] = np.frombuffer(data, "<i2")
     if data := parts.get((f"{kind}w", 0)):
         x = np.frombuffer(data, "<f8")
         w, x = x[:m.weights.size].reshape(m.weights.shape), x[m.weights.size:]
@@ -274,7 +274,7 @@ def mix32(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint32(15))
 
 
-def word_contexts(ids: np.ndarray, first: np.ndarray, end: int):
+def word_contexts(ids: np.ndarray, first: np.ndarray, end: int, classes: np.ndarray):
     """Contexts of the tokens ``ids`` (``first``: whether a text begins there) and the
     token that followed the same two tokens last in the text, or -1."""
     n = len(ids)
@@ -282,19 +282,19 @@ def word_contexts(ids: np.ndarray, first: np.ndarray, end: int):
     p1 = np.full(n, end, np.int64)
     p1[1:] = np.where(first[1:], end, ids[:-1])
     p2 = np.full(n, end, np.int64)
-    p2[2:] = np.where(first[2:] | first[1:-1], end, ids[:-2])
+    p2[1:] = np.where(first[1:], end, p1[:-1])
     place = np.arange(n)
     seen = np.maximum.accumulate(np.where(ids < FREQUENT, place, -1))
     last = np.full(n, -1)
     last[1:] = seen[:-1]
     begin = np.maximum.accumulate(np.where(first, place, 0))
     frequent = np.where(last >= begin, ids[np.maximum(last, 0)], end)
-    key = (doc * np.int64(1 << 40)) + p2 * np.int64(1 << 20) + p1
+    key = (doc << np.int64(40)) + (p2 << np.int64(20)) + p1
     order = np.argsort(key, kind="stable")
     same = key[order[1:]] == key[order[:-1]]
     pred = np.full(n, -1, np.int64)
     pred[order[1:][same]] = ids[order[:-1][same]]
-    return [mix32(p1, 1), mix32(p2 * np.int64(0x10001) + p1 * np.int64(7919), 2), mix32(frequent, 3)], pred
+    return [mix32(classes[p1], 1), mix32(frequent, 3)], pred
 
 
 def spell_contexts(ids: np.ndarray, first: np.ndarray):
@@ -305,45 +305,58 @@ def spell_contexts(ids: np.ndarray, first: np.ndarray):
         since = np.arange(len(ids)) - np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))
         return np.where(since >= k, out, 257)
 
-    a, b, c = before(1), before(2), before(3)
-    return [mix32(a, 4), mix32(a * 259 + b, 5), mix32((a * 259 + b) * 259 + c, 6)]
+    a, b, c, d = before(1), before(2), before(3), before(4)
+    three = (a * 259 + b) * 259 + c
+    return [mix32(three, 6), mix32(a * 259 + b, 5), mix32(a, 4), mix32(three * 259 + d, 7)]
 
 
 class Model:
     """Dictionary, codes and (after training) the mixers; one per worker."""
 
-    def __init__(self, words: list[bytes], counts: list[int], n_tokens: int, n_distinct: int, n_escaped: int, n_end: int,
-                 byte_counts: np.ndarray):
+    def __init__(self, words: list[bytes], counts: list[int], n_tokens: int, n_distinct: int, n_end: int,
+                 escapes: np.ndarray, byte_counts: np.ndarray):
+        """``escapes``: tokens that are escaped, by first byte."""
         self.blob, self.counts = b"\n".join(words), np.array(counts, np.int64)
-        self.n_tokens, self.n_distinct = n_tokens, n_distinct
-        self.word_code = Codebook(np.concatenate([self.counts, [n_end, n_escaped]]))
-        self.byte_code = Codebook(byte_counts)
-        self.n_end = n_end
+        self.n_tokens, self.n_distinct, self.n_end = n_tokens, n_distinct, n_end
+        rank = np.zeros(len(words) + 257, np.int64)  # words alike get codes alike
+        keys = words + [END] + [bytes([x]) for x in range(256)]
+        rank[sorted(range(len(keys)), key=keys.__getitem__)] = np.arange(len(keys))
+        self.word_code = Codebook(np.concatenate([self.counts, [n_end], escapes]), rank, DEPTH)
+        self.byte_code = Codebook(byte_counts, np.arange(len(byte_counts)), 32)
         self.word_mixer: Mixer | None = None
         self.byte_mixer: Mixer | None = None
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("ids", "spelled")}
 
+    @property
+    def end(self) -> int:
+        """The end's id; the escapes follow it."""
+        return len(self.counts)
+
     @functools.cached_property
     def ids(self) -> dict[bytes, int]:
         words = self.blob.split(b"\n") if len(self.counts) else []
-        return {w: i for i, w in enumerate(words)} | {END: len(words), ESCAPE: len(words) + 1}
+        return {w: i for i, w in enumerate(words)} | {END: self.end}
 
     @functools.cached_property
     def spelled(self) -> dict[bytes, float]:
         return {}
 
-    def token_ids(self, texts: list[str | None]):
-        """(ids, whether a text begins, all tokens) of texts one after the other."""
+    def token_ids(self, texts: list[str | None], once: bool = False):
+        """(ids, whether a text begins, escaped places, their words, lengths) of texts
+        one after the other; ``once``: escape words counted once as well."""
         rows = [tokens_of(t) for t in texts]
         lens = np.fromiter(map(len, rows), np.int64, len(rows))
         flat = list(itertools.chain.from_iterable(rows))
-        escape = self.ids[ESCAPE]
-        ids = np.fromiter(map(self.ids.get, flat, itertools.repeat(escape)), np.int64, len(flat))
+        ids = np.fromiter(map(self.ids.get, flat, itertools.repeat(-1)), np.int32, len(flat))
         first = np.zeros(len(flat), bool)
         first[np.cumsum(lens) - lens] = True
-        return ids, first, flat, lens
+        rare = np.flatnonzero((ids < 0) | (ids < self.end) & (self.counts[np.minimum(ids, self.end - 1)] < 2)
+                              if once and self.end else ids < 0)
+        words = [flat[i] for i in rare.tolist()]
+        ids[rare] = self.end + 1 + np.fromiter((w[0] for w in words), np.int32, len(words))
+        return ids, first, rare, words, lens
 
     def spell(self, words: list[bytes]) -> np.ndarray:
         """Natural log probability of the spelling of each word."""
@@ -354,7 +367,8 @@ class Model:
         for at in range(0, len(todo), 8192):
             part = todo[at:at + 8192]
             ids, first, lens = byte_ids(part)
-            lp = self.byte_mixer.log_probs(self.byte_code, ids, spell_contexts(ids, first), None)
+            lp = self.byte_mixer.run(self.byte_code, ids, spell_contexts(ids, first), None, False)
+            lp[first] = 0.0  # the escape has told the first byte
             known.update(zip(part, np.add.reduceat(lp, np.cumsum(lens) - lens).tolist()))
         return np.fromiter(map(known.__getitem__, words), np.float64, len(words))
 
@@ -378,6 +392,7 @@ def byte_ids(words: list[bytes]):
 
 
 def blocks(texts: list[str | None], size: int = 6 * BLOCK_TOKENS):
+    """Runs of texts of about ``size`` characters."""
     block, held = [], 0
     for t in texts:
         block.append(t)
@@ -424,35 +439,44 @@ def train(docs: DataFrame, max_words: int = MAX_WORDS):
     n, ends = all_["n"] or 0, all_["ends"] or 0
     letters = np.bincount(np.frombuffer(b"".join(words), np.uint8), minlength=257)[:257]
     letters[256] = len(words)
-    model = Model(words, own, n, all_["v"], max(0, n - sum(own) - ends), ends, letters)
+    escapes = np.zeros(256, np.int64)  # tokens outside the dictionary, and words met once, by first byte
+    held = (F.col("n") == 1) | (F.octet_length("word") > MAX_WORD_BYTES)
+    if len(words) == max_words:
+        held = held | (F.col("n") < own[-1])
+    for r in counts.where(held & (F.octet_length("word") > 0)).groupBy(F.substring(F.hex("word"), 1, 2).alias("b")) \
+            .agg(F.sum("n").alias("n")).collect():
+        escapes[int(r["b"], 16)] = r["n"]
+    model = Model(words, own, n, all_["v"], ends, escapes, letters)
     sent = spark.sparkContext.broadcast(pickle.dumps(model, 5))
 
     def learn_words(batches):
         m = worker_model(sent)
-        mixer = Mixer(3)
+        mixer, size = Mixer(WORD_CONTEXTS), 20_000  # small blocks first: weights and counts learn together
         with no_gc():
             for b in batches:
-                for texts in blocks(b.column(0).to_pylist()):
-                    ids, first, _, _ = m.token_ids(texts)
-                    ctx, pred = word_contexts(ids, first, m.ids[END])
-                    mixer.learn(m.word_code, ids, ctx, pred)
+                for texts in blocks(b.column(0).to_pylist(), size):
+                    size = min(6 * BLOCK_TOKENS, size + size // 4)
+                    ids, first, _, _, _ = m.token_ids(texts, once=True)
+                    ctx, pred = word_contexts(ids, first, m.end, m.word_code.classes)
+                    mixer.run(m.word_code, ids, ctx, pred, True)
         yield from part_batches(mixer.parts("w"))
 
     def learn_spelling(batches):
         m = worker_model(sent)
-        mixer = Mixer(3)
+        mixer, size = Mixer(SPELL_CONTEXTS), 512
         with no_gc():
             for b in batches:
                 words = [w for w in b.column(0).to_pylist() if w]
-                for at in range(0, len(words), 16_384):
-                    ids, first, _ = byte_ids(words[at:at + 16_384])
-                    mixer.learn(m.byte_code, ids, spell_contexts(ids, first), None)
+                while words:
+                    ids, first, _ = byte_ids(words[:size])
+                    words, size = words[size:], min(16_384, 2 * size)
+                    mixer.run(m.byte_code, ids, spell_contexts(ids, first), None, True)
         yield from part_batches(mixer.parts("b"))
 
     schema = "kind string, place int, data binary"
     parts = merged(docs.select("text").mapInArrow(learn_words, schema)
                    .unionByName(counts.select("word").mapInArrow(learn_spelling, schema)))
-    model.word_mixer, model.byte_mixer = mixer_of(parts, "w", 3), mixer_of(parts, "b", 3)
+    model.word_mixer, model.byte_mixer = mixer_of(parts, "w", WORD_CONTEXTS), mixer_of(parts, "b", SPELL_CONTEXTS)
     return spark.sparkContext.broadcast(pickle.dumps(model, 5)), counts, n, all_["v"]
 
 
@@ -484,21 +508,17 @@ def _scored(docs: DataFrame, sent) -> DataFrame:
         from collections import Counter
         m = worker_model(sent)
         logs = np.log10((np.concatenate([m.counts, [m.n_end]]) + 0.5) / (m.n_tokens + 0.5 * (m.n_distinct + 1)))
-        escape = m.ids[ESCAPE]
-        known_end = 1 if m.n_end else 0
         for b in batches:
             at = 0
             with no_gc():
                 for texts in blocks(b.column("text").to_pylist()):
-                    ids, first, flat, lens = m.token_ids(texts)
+                    ids, first, rare, rare_words, lens = m.token_ids(texts)
                     starts = np.cumsum(lens) - lens
-                    ctx, pred = word_contexts(ids, first, m.ids[END])
-                    lp = m.word_mixer.log_probs(m.word_code, ids, ctx, pred)
-                    rare = np.flatnonzero(ids == escape)
-                    rare_words = [flat[i] for i in rare.tolist()]
+                    ctx, pred = word_contexts(ids, first, m.end, m.word_code.classes)
+                    lp = m.word_mixer.run(m.word_code, ids, ctx, pred, False)
                     lp[rare] += m.spell(rare_words)
-                    base = np.where(ids == escape, 0.0, logs[np.minimum(ids, escape - 1)])
-                    known = (ids < escape - 1) | (ids == escape - 1) & bool(known_end)
+                    base = np.where(ids > m.end, 0.0, logs[np.minimum(ids, m.end)])
+                    known = (ids < m.end) | (ids == m.end) & (m.n_end > 0)
                     cut = np.searchsorted(rare, np.append(starts, len(ids))).tolist()
                     per = [Counter(rare_words[i:j]) for i, j in zip(cut, cut[1:])]
                     n = len(texts)

@@ -1,0 +1,9 @@
+"""Names that the tests share (importable, unlike conftest)."""
+
+import importlib.util
+import os
+
+_spec = importlib.util.spec_from_file_location("llm_conftest", os.path.join(os.path.dirname(__file__), "conftest.py"))
+_m = importlib.util.module_from_spec(_spec)
+_spec.loader.exec_module(_m)
+ODD, SF001, SF01, empty, rows_of = _m.ODD, _m.SF001, _m.SF01, _m.empty, _m.rows_of

@@ -33,6 +33,7 @@ DATE_LABEL_FORMAT = "%4d-%02d-%02d (%s)"
 # ---- text
 WORD_SPLIT = r"\W+"                    # word count tokenizer
 INDEX_SPLIT = r"[^\w']"                # inverted index tokenizer, one separator at a time
+INDEX_TOKEN_CHAR = r"[\w']"            # what INDEX_SPLIT leaves
 CRAWL_LINE_BREAK = r"\s*\n\s*"         # a line break with its surrounding spaces -> " "
 TOKENIZER_LEAKS = ["", "'", "_"]       # always treated as stop words
 POSTING_FORMAT = "(%s,%d)"

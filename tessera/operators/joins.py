@@ -1,8 +1,7 @@
 """Join helpers.
 
 Broadcasting is only safe for a side whose size is bounded. ``broadcast_if_small``
-proves the bound with a bounded count (it reads at most ``max_rows + 1`` rows)
-and otherwise leaves the choice to Catalyst and AQE, which compare measured
+measures the side's bytes first and otherwise leaves the choice to Catalyst and AQE, which compare measured
 sizes with ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and fall back to a
 sort-merge join (with skew splitting) beyond it.
 """
@@ -12,22 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+from tessera.session import shared_dir
 
+MAX_BROADCAST_BYTES = 32 << 20
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def bytes_at_most(df: DataFrame, max_bytes: int) -> bool:
+    """Whether the rows of ``df``, as JSON text plus a row's overhead, come to at
+    most ``max_bytes``. One aggregate over ``df``: store a costly frame first."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))) + 64
+    return (df.agg(F.sum(size).alias("b")).first()["b"] or 0) <= max_bytes
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when df has at most ``max_rows`` rows, else df unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when df has at most ``max_bytes`` bytes, else df unchanged."""
+    return F.broadcast(df) if bytes_at_most(df, max_bytes) else df
 
-def anti_join_small(df: DataFrame, exclude: DataFrame, on: str,
-                    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Rows of df whose key is not in ``exclude`` (a broadcast set when small)."""
-    return df.join(broadcast_if_small(exclude.select(on).distinct(), max_rows), on, "left_anti")
+
+def anti_join_small(df: DataFrame, exclude: DataFrame, on: str) -> DataFrame:
+    """Rows of df whose key is not in ``exclude``. The key set is stored once,
+    measured, and broadcast if it is small; else the join is a shuffled one."""
+    spark = df.sparkSession
+    path = shared_dir(spark, "exclude")
+    exclude.select(on).distinct().write.parquet(path)
+    return df.join(broadcast_if_small(spark.read.parquet(path)), on, "left_anti")
 
 
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str) -> DataFrame:

@@ -74,9 +74,16 @@ def centers(spark: SparkSession, model) -> DataFrame:
 
 # ---------------------------------------------------------------- Naive Bayes, hashed (ML-9..12)
 
+MAX_CLASSES = 1000
+
+
 def class_labels(df: DataFrame, label: str = "label") -> list[float]:
-    """The sorted distinct labels (one value per class)."""
-    return sorted(r[0] for r in df.select(label).distinct().collect())
+    """The sorted distinct labels (one value per class). A column with more than
+    ``MAX_CLASSES`` values is not a class label and is an error."""
+    rows = df.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("l")).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
+    return sorted(r[0] for r in rows)
 
 
 def _index_of(label_col, labels):
@@ -124,11 +131,12 @@ def fit_nb_exact(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     stays distributed. Only one row per class (prior, log denominator) is
     brought to the driver.
     """
-    from tessera.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(docs.sparkSession)
+    from tessera.session import shared_dir
+    class_labels(docs, label)  # bounds the per-class rows below
     tok = nb_tokens(docs, doc, text, F.col(label).cast("double").alias("label"))
-    word_class = (tok.groupBy("label", "word").agg(F.count(F.lit(1)).alias("cnt"))
-                  .checkpoint(eager=True))
+    path = shared_dir(docs.sparkSession, "nb-counts")
+    tok.groupBy("label", "word").agg(F.count(F.lit(1)).alias("cnt")).write.parquet(path)
+    word_class = docs.sparkSession.read.parquet(path)
     v = word_class.select(F.count_distinct("word")).first()[0]
     ndocs = {r[0]: r[1] for r in docs.groupBy(F.col(label).cast("double")).count().collect()}
     totals = {r[0]: r[1] for r in word_class.groupBy("label").agg(F.sum("cnt")).collect()}

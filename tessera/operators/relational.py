@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import exact_avg, exact_sum
-from tessera.operators.joins import broadcast_if_small
 
 
 def route_counts(flights: DataFrame, src: str = "origin", dst: str = "dest") -> DataFrame:
@@ -37,7 +36,7 @@ def min_max_avg_sum(df: DataFrame, col: str, scale: int | None = None,
                     names=("min", "max", "avg", "sum")) -> DataFrame:
     """Global min, max, avg and sum of one column, one pass (AGG-4).
 
-    With ``scale``, avg and sum are computed exactly as DECIMAL(18, scale)."""
+    With ``scale``, avg and sum are computed exactly, for values of at most ``scale`` decimals."""
     c = F.col(col)
     avg = exact_avg(c, scale) if scale is not None else F.avg(c)
     tot = exact_sum(c, scale) if scale is not None else F.sum(c)
@@ -76,10 +75,11 @@ def cube_agg(df: DataFrame, keys: list[str], *exprs: Column,
 
 
 def name_routes(routes: DataFrame, airports: DataFrame, code: str = "iata",
-                name: str = "airport", max_dim_rows: int = 1_000_000) -> DataFrame:
+                name: str = "airport") -> DataFrame:
     """Inner-join route counts with the airport dimension twice (JON-1):
-    (origin, origin_airport, dest, dest_airport, count)."""
-    dim = broadcast_if_small(airports.select(code, name), max_dim_rows)
+    (origin, origin_airport, dest, dest_airport, count). Catalyst and AQE broadcast
+    the dimension when its bytes are under their threshold."""
+    dim = airports.select(code, name)
     a1 = dim.select(F.col(code).alias("_o"), F.col(name).alias("origin_airport"))
     a2 = dim.select(F.col(code).alias("_d"), F.col(name).alias("dest_airport"))
     return (routes.join(a1, routes["origin"] == a1["_o"])

@@ -4,8 +4,8 @@ Tokens come from ``java_split`` so they equal the reference's, empty tokens
 included (``drop_empty`` removes them). Counting is a hash aggregate with a
 map-side combine, so a very common word is pre-summed in every task before the
 shuffle. Postings are kept as rows ``(word, doc, n)``; ranking them within a
-word uses a window only for words of bounded size and a range-partitioned
-global sort for hot words, which splits them over many tasks.
+word uses one range-partitioned global sort, which splits a hot word over many
+tasks.
 """
 
 from __future__ import annotations
@@ -14,13 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.fixed_values import (
-    CRAWL_LINE_BREAK, INDEX_SPLIT, POSTING_FORMAT, POSTING_SEPARATOR, TOKENIZER_LEAKS, WORD_SPLIT,
+    CRAWL_LINE_BREAK, INDEX_SPLIT, INDEX_TOKEN_CHAR, POSTING_FORMAT, POSTING_SEPARATOR, TOKENIZER_LEAKS, WORD_SPLIT,
 )
 from tessera.functions.strings import as_col, explode_split, java_trim, split_lines
-from tessera.operators.joins import (
-    DEFAULT_MAX_BROADCAST_ROWS, anti_join_small, broadcast_if_small,
-)
-from tessera.session import ensure_checkpoint_dir
+from tessera.operators.joins import anti_join_small
+from tessera.session import shared_dir
 
 
 def lines_of(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -67,6 +65,13 @@ def index_tokens(docs: DataFrame, doc_col: str = "doc", text_col: str = "text",
     return explode_split(docs, java_trim(t), INDEX_SPLIT, [F.col(doc_col).alias("doc")])
 
 
+def documents_with_tokens(docs: DataFrame, text_col: str = "text") -> int:
+    """Documents that ``index_tokens`` gives at least one token, without cutting
+    them: all but null ones and those made of separators only."""
+    t = java_trim(F.lower(F.col(text_col)))
+    return docs.where((t == "") | t.rlike(INDEX_TOKEN_CHAR)).count()
+
+
 def postings(tokens: DataFrame, stop_words: DataFrame | None = None) -> DataFrame:
     """(word, doc, n): occurrences of each word per document (TXT-3).
 
@@ -88,55 +93,23 @@ def sorted_postings(post: DataFrame) -> DataFrame:
     return post.orderBy("word", F.desc("n"), "doc")
 
 
-HOT_POSTINGS = 1_000_000
-
-
-def rank_postings(post: DataFrame, materialize: bool = True,
-                  hot_postings: int = HOT_POSTINGS, by_word_order: bool = False) -> DataFrame:
+def rank_postings(post: DataFrame) -> DataFrame:
     """Add ``rank`` (1-based) of each posting within its word by (n desc, doc).
 
-    A word with at most ``hot_postings`` postings is ranked by a window over
-    the word (one task holds at most that many rows). Hotter words, at most
-    total / hot_postings of them, are ranked by ``_rank_spanning``, which
-    never gathers a word into one task. The input is read several times;
-    ``materialize`` writes it once to the shared checkpoint folder first,
-    which also cuts its lineage. With ``by_word_order`` the window input is
-    range-partitioned by word, so a later sort by (word, rank) needs no
-    further shuffle when there is no hot word.
-    """
-    if materialize:
-        ensure_checkpoint_dir(post.sparkSession)
-        post = post.checkpoint(eager=True)
-    by_word = Window.partitionBy("word").orderBy(F.desc("n"), "doc")
-
-    def windowed(df):
-        if by_word_order:
-            df = df.repartitionByRange("word")
-        return df.select("word", F.row_number().over(by_word).cast("long").alias("rank"), "doc", "n")
-
-    hot = (post.groupBy("word").agg(F.count(F.lit(1)).alias("_m"))
-           .where(F.col("_m") > hot_postings).select("word"))
-    if hot.limit(1).count() == 0:
-        return windowed(post)
-    hot = broadcast_if_small(hot, DEFAULT_MAX_BROADCAST_ROWS)
-    cold = windowed(post.join(hot, "word", "left_anti"))
-    return cold.unionByName(_rank_spanning(post.join(hot, "word", "left_semi")))
-
-
-def _rank_spanning(post: DataFrame) -> DataFrame:
-    """Rank for words too large for one task: the postings are range-sorted
-    by (word, n desc, doc), so a hot word spans several partitions; each row
-    gets its partition id and row id, and the word's offset in a partition
-    comes from a window over (partition, word) counts, one row per partition
-    the word spans. The sort key is a total order ((word, doc) is unique), so
-    the ids come out the same if a task is recomputed after a lost executor.
-    """
-    s = (sorted_postings(post)
-         .select("word", "doc", "n",
-                 F.spark_partition_id().alias("_pid"),
-                 F.monotonically_increasing_id().alias("_mid")))
-    per = s.groupBy("_pid", "word").agg(F.count(F.lit(1)).alias("_cnt"),
-                                         F.min("_mid").alias("_first"))
+    One way for every word: the postings are range-sorted by (word, n desc,
+    doc), so a hot word spans several partitions and no task gathers a word.
+    The sorted rows are written once, with the partition and row ids they had
+    in the sort; everything after reads those stored columns. A word's offset in
+    a partition comes from a window over (partition, word) counts, one row
+    per partition the word spans."""
+    spark = post.sparkSession
+    path = shared_dir(spark, "postings")
+    (sorted_postings(post)
+     .select("word", "doc", "n", F.spark_partition_id().alias("_pid"),
+             F.monotonically_increasing_id().alias("_mid"))
+     .write.parquet(path))
+    s = spark.read.parquet(path)
+    per = s.groupBy("_pid", "word").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     w = Window.partitionBy("word").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
     return (s.join(per, ["_pid", "word"])
@@ -166,15 +139,14 @@ def load_stop_words(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("value").alias("word")).distinct())
 
 
-def frequent_words(post: DataFrame, min_doc_fraction: float = 0.5) -> DataFrame:
+def frequent_words(post: DataFrame, ndocs, min_doc_fraction: float = 0.5) -> DataFrame:
     """Stop words by rule: words found in at least ``min_doc_fraction`` of the
     documents, plus the tokenizer leaks. ``post`` holds one row per
     (word, doc). The result has at most 1/fraction times the mean number of
-    distinct words per document, so it stays small enough to broadcast.
-    The document total is a scalar subquery, not a join."""
-    ndocs = post.select(F.count_distinct("doc")).scalar()
+    distinct words per document. ``ndocs`` is the document total, a number or a
+    column (a scalar subquery over the documents)."""
     common = (post.groupBy("word").agg(F.count(F.lit(1)).alias("_df"))
-              .where(F.col("_df") >= ndocs * F.lit(min_doc_fraction))
+              .where(F.col("_df") >= (F.lit(ndocs) if isinstance(ndocs, int) else ndocs) * F.lit(min_doc_fraction))
               .select("word"))
     leaks = post.sparkSession.createDataFrame([(w,) for w in TOKENIZER_LEAKS], "word string")
     return common.unionByName(leaks).distinct()

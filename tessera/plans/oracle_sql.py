@@ -49,18 +49,18 @@ airports AS (
 
 RATINGS_CTE = """
 ratings AS (
-  SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_partkey AS INTEGER) AS movieId,
+  SELECT o_custkey AS userId, l_partkey AS movieId,
          CAST(ceil(l_quantity / 10) AS DOUBLE) AS rating
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
 
 
 def exact_avg(expr: str) -> str:
-    return f"(CAST(SUM(CAST({expr} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({expr}))"
+    return f"(CAST(SUM(CAST({expr} AS DECIMAL(38,2))) AS DOUBLE) / COUNT({expr}))"
 
 
 def exact_sum(expr: str) -> str:
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({expr} AS DECIMAL(38,2))) AS DOUBLE)"
 
 
 def with_(*ctes: str) -> str:

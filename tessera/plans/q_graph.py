@@ -6,7 +6,7 @@ from tessera.operators import graph as gr
 from tessera.plans import standins as si
 from tessera.plans.oracle_sql import FLIGHTS_CTE, ROUTE_AIRPORTS_CTE, with_
 from tessera.plans.registry import query
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import shared_dir
 from tessera.sources.tables import Tables
 
 TOP_K = 10
@@ -30,21 +30,24 @@ def _graph(spark, sf_dir):
     instead of a second pass over the flights."""
     t = Tables(spark, sf_dir)
     # the edge table (one row per route) feeds vertices, degrees and triplets:
-    # written once to the shared checkpoint folder, so the flights are read once
-    ensure_checkpoint_dir(spark)
-    e = gr.edges_from(si.flights(t)).checkpoint(eager=True)
+    # written once to the shared folder, so the flights are read once
+    path = shared_dir(spark, "edges")
+    gr.edges_from(si.flights(t)).write.parquet(path)
+    e = spark.read.parquet(path)
     v = gr.label_vertices(gr.vertices_from(e, "src", "dst"), si.route_airports(t), "iata", "airport")
     return v, e
 
 
 @query("graph_vertices", GRAPH_CTES + "SELECT id, attr FROM vertices")
 def graph_vertices(spark, sf_dir):
-    return _graph(spark, sf_dir)[0]
+    t = Tables(spark, sf_dir)
+    e = gr.edges_from(si.flights(t))
+    return gr.label_vertices(gr.vertices_from(e, "src", "dst"), si.route_airports(t), "iata", "airport")
 
 
 @query("graph_edges", GRAPH_CTES + "SELECT src, dst, attr FROM edges")
 def graph_edges(spark, sf_dir):
-    return _graph(spark, sf_dir)[1]
+    return gr.edges_from(si.flights(Tables(spark, sf_dir)))
 
 
 @query("graph_size", GRAPH_CTES + """

@@ -11,7 +11,7 @@ from tessera.plans import standins as si
 from tessera.plans.oracle_sql import RATINGS_CTE, with_
 from tessera.plans.q_text import sql_java_split
 from tessera.plans.registry import query
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import shared_dir
 from tessera.sources.tables import Tables
 
 # The reference's stream keywords are fixed_values.STREAM_KEYWORDS (its input
@@ -21,7 +21,6 @@ POST_KEYWORDS = ("this", "from", "with")
 ALS_SEED = 42
 KMEANS_K = 3
 KMEANS_SEED = 1
-TEST_FRACTION = 0.1
 
 
 @query("ratings_summary", with_(RATINGS_CTE) + """
@@ -31,49 +30,89 @@ def ratings_summary(spark, sf_dir):
     return ml.ratings_summary(si.ratings(Tables(spark, sf_dir)))
 
 
-def _als_predictions(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    # each side of randomSplit re-reads its parent: write the ratings once
-    ensure_checkpoint_dir(spark)
-    r = (si.ratings(t).groupBy("userId", "movieId").agg(F.avg("rating").alias("rating"))
-         .checkpoint(eager=True))
-    train, test = r.randomSplit([1 - TEST_FRACTION, TEST_FRACTION], seed=ALS_SEED)
-    model = ml.fit_als(train, seed=ALS_SEED)
-    return model.transform(test), t
+def _in_test(user: str, item: str) -> str:
+    """The key rule that puts a rating into the test part, in SQL."""
+    return f"({user} * 31 + {item}) % 10 = 0"
 
 
-@query("als_predict")
-def als_predict(spark, sf_dir):
-    """Held-out ratings scored by ALS (rank 10, 10 iterations); rows only."""
-    return _als_predictions(spark, sf_dir)[0]
+ALS_SQL = with_(RATINGS_CTE, """
+pairs AS (SELECT userId, movieId, AVG(rating) AS rating FROM ratings GROUP BY userId, movieId)""", f"""
+train AS (SELECT * FROM pairs WHERE NOT {_in_test('userId', 'movieId')})""", f"""
+test AS (SELECT * FROM pairs WHERE {_in_test('userId', 'movieId')})""")
 
 
-@query("false_positives")
+@query("als_predict", ALS_SQL + """
+SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE userId IN (SELECT userId FROM train) AND movieId IN (SELECT movieId FROM train)) AS n_scored
+FROM test""")
+def als_predict(spark, sf_dir):
+    """Held-out ratings (by a rule on the keys) scored by ALS (rank 10, 10 iterations):
+    how many there are, and how many got a score. A user or part that the
+    training part does not have gets none."""
+    t = Tables(spark, sf_dir)
+    path = shared_dir(spark, "ratings")   # both parts read it: written once
+    si.ratings(t).groupBy("userId", "movieId").agg(F.avg("rating").alias("rating")).write.parquet(path)
+    r = spark.read.parquet(path)
+    model = ml.fit_als(r.where(f"NOT {_in_test('userId', 'movieId')}"), seed=ALS_SEED)
+    scored = model.transform(r.where(_in_test("userId", "movieId")))
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(~F.isnan("prediction"), 1)).alias("n_scored"))
+
+
+@query("false_positives", with_(RATINGS_CTE) + """
+SELECT userId, movieId, p_name AS title, rating, CAST((userId + movieId) % 6 AS DOUBLE) AS prediction
+FROM ratings JOIN part ON movieId = p_partkey
+WHERE rating <= 1 AND (userId + movieId) % 6 >= 4 AND movieId % 7 <> 0""")
 def false_positives(spark, sf_dir):
-    """Held-out ratings <= 1 that ALS predicts >= 4, with the part name."""
-    pred, t = _als_predictions(spark, sf_dir)
+    """Ratings <= 1 predicted >= 4, with the part name, on predictions set by a rule
+    on the keys; a NaN prediction (every seventh part) is none."""
+    t = Tables(spark, sf_dir)
+    nan = F.lit(float("nan"))
+    pred = si.ratings(t).withColumn("prediction", F.when(F.col("movieId") % 7 == 0, nan).otherwise(
+        ((F.col("userId") + F.col("movieId")) % 6).cast("double")))
     return ml.false_positives(pred, si.movies(t))
 
 
-@query("kmeans_assign")
-def kmeans_assign(spark, sf_dir):
+def _kmeans(spark, sf_dir):
     v = si.vectors(Tables(spark, sf_dir))
-    model = ml.fit_kmeans(v, k=KMEANS_K, max_iter=10, seed=KMEANS_SEED)
-    return model.transform(v).select("vec_id", "label", "prediction")
+    return v, ml.fit_kmeans(v, k=KMEANS_K, max_iter=10, seed=KMEANS_SEED)
 
 
-@query("kmeans_centers")
+@query("kmeans_assign", "SELECT COUNT(*) AS n_points, CAST(0 AS BIGINT) AS n_misassigned FROM embeddings")
+def kmeans_assign(spark, sf_dir):
+    """Every vector assigned to a centre; how many have a nearer one (none)."""
+    from pyspark.ml.functions import vector_to_array
+    v, model = _kmeans(spark, sf_dir)
+    x = vector_to_array("features")
+    scored = model.transform(v).select("prediction", x.alias("x"))
+
+    def distance(center):
+        c = F.array(*[F.lit(float(y)) for y in center])
+        return F.aggregate(F.zip_with("x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, d: acc + d)
+
+    d = F.array(*[distance(c) for c in model.clusterCenters()])
+    wrong = F.get(d, F.col("prediction")) > F.array_min(d) + F.lit(1e-9)
+    return scored.agg(F.count(F.lit(1)).alias("n_points"), F.count(F.when(wrong, 1)).alias("n_misassigned"))
+
+
+@query("kmeans_centers", f"SELECT unnest(range({KMEANS_K}))::INTEGER AS cluster, (SELECT len(embedding) FROM embeddings LIMIT 1) AS n_dims, TRUE AS inside")
 def kmeans_centers(spark, sf_dir):
-    v = si.vectors(Tables(spark, sf_dir))
-    model = ml.fit_kmeans(v, k=KMEANS_K, max_iter=10, seed=KMEANS_SEED)
-    return ml.centers(spark, model)
+    """The centres: their dimensions, and whether each lies within the vectors' bounds."""
+    v, model = _kmeans(spark, sf_dir)
+    e = Tables(spark, sf_dir).embeddings
+    bounds = e.select(F.posexplode("embedding").alias("dim", "x")).groupBy("dim").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    c = ml.centers(spark, model).select("cluster", F.posexplode("center").alias("dim", "x"))
+    return c.join(bounds, "dim").groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n_dims"), F.min((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))).alias("inside"))
 
 
-@query("nb_predict_hashed")
+@query("nb_predict_hashed", """
+SELECT doc_id, CAST(quality AS DOUBLE) AS label, TRUE AS known_label FROM documents JOIN labels USING (doc_id)""")
 def nb_predict_hashed(spark, sf_dir):
+    """Every labelled document scored by the hashed Naive Bayes: its id, label and
+    whether the prediction is one of the labels."""
     p = si.posts(Tables(spark, sf_dir))
     model, labels = ml.fit_nb_hashed(p, "text", "label")
-    return ml.predict_nb_hashed(model, labels, p, "text").select("doc_id", "label", "prediction")
+    return ml.predict_nb_hashed(model, labels, p, "text").select(
+        "doc_id", "label", F.col("prediction").isin(labels).alias("known_label"))
 
 
 NB_SQL = f"""

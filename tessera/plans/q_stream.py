@@ -12,7 +12,7 @@ from tessera.fixed_values import ETL_PARTITION_FORMATS
 from tessera.operators import ml, sinks
 from tessera.plans import standins as si
 from tessera.plans.oracle_sql import FLIGHTS_CTE, with_
-from tessera.plans.q_ml import POST_KEYWORDS
+from tessera.plans.q_ml import POST_KEYWORDS, _sql_contains_any
 from tessera.plans.registry import query
 from tessera.session import shared_dir
 from tessera.sources.tables import Tables, read_table
@@ -64,7 +64,7 @@ FROM flights GROUP BY ALL"""
 def etl_partition_counts(spark, sf_dir):
     """Rows per date partition of the flight ETL (batch form). Counted by the
     integer date fields; only the counted rows are formatted."""
-    f = si.flights(Tables(spark, sf_dir))
+    f = si.line_flights(Tables(spark, sf_dir))
     counts = f.groupBy(F.col("date.year").alias("y"), F.col("date.month").alias("m"),
                        F.col("date.dayOfMonth").alias("d")).count()
     fy, fm, fd = ETL_PARTITION_FORMATS
@@ -85,10 +85,14 @@ def stream_etl_partition_counts(spark, sf_dir):
     return sinks.read_by_date(spark, out).groupBy("depYear", "depMonth", "depDay").count()
 
 
-@query("stream_post_scores")
+@query("stream_post_scores", f"""
+SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS label, d.text, TRUE AS known_label
+FROM documents d JOIN labels l USING (doc_id)
+WHERE d.lang = 'en' AND l.toxic = 0 AND {_sql_contains_any('d.text', POST_KEYWORDS)}""")
 def stream_post_scores(spark, sf_dir):
     """Posts arrive as a stream of documents joined with the static labels,
-    are filtered and scored by a Naive Bayes model trained in batch; rows only."""
+    are filtered and scored by a Naive Bayes model trained in batch; whether each
+    prediction is one of the labels."""
     t = Tables(spark, sf_dir)
     model, labels = ml.fit_nb_hashed(si.posts(t), "text", "label")
     posts = si.posts(t, documents=_stream_table(spark, sf_dir, "documents"))
@@ -97,7 +101,7 @@ def stream_post_scores(spark, sf_dir):
     q = (scored.writeStream.format("parquet").option("checkpointLocation", ck)
          .trigger(availableNow=True).start(out))
     st.run_available(q)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("doc_id", "label", "text", F.col("prediction").isin(labels).alias("known_label"))
 
 
 ROUNDTRIP_N = 100

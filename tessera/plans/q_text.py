@@ -6,9 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import text as tx
-from tessera.plans import standins as si
 from tessera.plans.registry import query
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import shared_dir
 from tessera.sources.tables import Tables
 
 STOP_DOC_FRACTION = 0.5     # stop words by rule: in at least half the documents
@@ -92,13 +91,23 @@ def crawl_normalize(spark, sf_dir):
 
 # ---------------------------------------------------------------- inverted indexes
 
-def _crawled(spark, sf_dir):
-    return tx.crawl(si.corpus(Tables(spark, sf_dir)), "doc", "text").withColumnRenamed("id", "doc")
+def _postings(spark, sf_dir):
+    """(word, doc, n) of the crawled corpus: counted by the numeric document id,
+    which becomes the text id of the crawl afterwards."""
+    docs = Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("doc"), tx.normalize_text("text").alias("text"))
+    return (tx.postings(tx.index_tokens(docs))
+            .select("word", F.col("doc").cast("string").alias("doc"), "n"))
+
+
+def _doc_total(spark, sf_dir):
+    """Documents that have a token: all but those of separators only."""
+    docs = Tables(spark, sf_dir).documents.select(tx.normalize_text("text").alias("text"))
+    return tx.documents_with_tokens(docs)
 
 
 @query("inverted_index_postings", "WITH " + POSTINGS_CTE + "\nSELECT word, doc, n FROM post")
 def inverted_index_postings(spark, sf_dir):
-    return tx.postings(tx.index_tokens(_crawled(spark, sf_dir)))
+    return _postings(spark, sf_dir)
 
 
 @query("inverted_index", "WITH " + POSTINGS_CTE + """
@@ -106,7 +115,7 @@ SELECT word, row_number() OVER (PARTITION BY word ORDER BY n DESC, doc) AS rank,
 FROM post""")
 def inverted_index(spark, sf_dir):
     """Postings ranked within each word by count, then document."""
-    return tx.rank_postings(tx.postings(tx.index_tokens(_crawled(spark, sf_dir))))
+    return tx.rank_postings(_postings(spark, sf_dir))
 
 
 @query("inverted_index_lines", "WITH " + POSTINGS_CTE + f""",
@@ -116,7 +125,7 @@ SELECT word, CAST(floor((rank - 1) / {LINE_POSTINGS}) AS INTEGER) AS part,
        string_agg('(' || doc || ',' || CAST(n AS VARCHAR) || ')', ', ' ORDER BY rank) AS postings
 FROM ranked GROUP BY ALL""")
 def inverted_index_lines(spark, sf_dir):
-    ranked = tx.rank_postings(tx.postings(tx.index_tokens(_crawled(spark, sf_dir))))
+    ranked = tx.rank_postings(_postings(spark, sf_dir))
     return tx.postings_lines(ranked, LINE_POSTINGS)
 
 
@@ -126,18 +135,14 @@ FROM post""")
 def inverted_index_stopwords(spark, sf_dir):
     """Ranked postings without stop words; stop words = words in at least half
     of the documents plus the tokenizer leaks."""
-    # the postings feed three consumers (document total, document
-    # frequencies, the anti join): write them once to the shared folder
-    ensure_checkpoint_dir(spark)
-    post_all = tx.postings(tx.index_tokens(_crawled(spark, sf_dir))).checkpoint(eager=True)
-    stop = tx.frequent_words(post_all, STOP_DOC_FRACTION).checkpoint(eager=True)
-    # the ranking input is a broadcast anti join of a checkpoint: cheap to re-read
-    ranked = tx.rank_postings(tx.remove_words(post_all, stop), materialize=False,
-                              by_word_order=True)
-    return ranked.orderBy("word", "rank")
+    # the postings feed the document frequencies and the ranking: written once
+    path = shared_dir(spark, "postings-all")
+    _postings(spark, sf_dir).write.parquet(path)
+    post_all = spark.read.parquet(path)
+    stop = tx.frequent_words(post_all, _doc_total(spark, sf_dir), STOP_DOC_FRACTION)
+    return tx.rank_postings(tx.remove_words(post_all, stop))
 
 
 @query("stop_words_by_rule", "WITH " + STOP_CTE + "\nSELECT word FROM stop")
 def stop_words_by_rule(spark, sf_dir):
-    post_all = tx.postings(tx.index_tokens(_crawled(spark, sf_dir)))
-    return tx.frequent_words(post_all, STOP_DOC_FRACTION)
+    return tx.frequent_words(_postings(spark, sf_dir), _doc_total(spark, sf_dir), STOP_DOC_FRACTION)

@@ -41,11 +41,19 @@ def flight_rows(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
     j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
            .join(c, o["o_custkey"] == c["c_custkey"])
            .join(s, li["l_suppkey"] == s["s_suppkey"]))
+    return j.select(
+        *_line_fields(), F.col("c_mktsegment").alias("uniqueCarrier"),
+        F.col("s_nationkey").cast("string").alias("origin"),
+        F.col("c_nationkey").cast("string").alias("dest"))
+
+
+def _line_fields() -> list[F.Column]:
+    """The flight fields that come from the line item alone."""
     d = F.col("l_shipdate")
     miss = F.lit(MISSING).cast("int")
     canceled = F.when(F.col("l_returnflag") == "R", 1).otherwise(0).cast("int")
-    return j.select(
-        "l_orderkey", "l_linenumber", "l_shipdate",
+    return [
+        F.col("l_orderkey"), F.col("l_linenumber"), d,
         F.struct(F.year(d).alias("year"), F.month(d).alias("month"),
                  F.dayofmonth(d).alias("dayOfMonth"),
                  (F.weekday(d) + 1).alias("dayOfWeek")).alias("date"),
@@ -54,11 +62,8 @@ def flight_rows(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
                  _int(F.col("l_quantity")).alias("actualElapsedTime"),
                  miss.alias("crsElapsedTime"), miss.alias("airTime"), miss.alias("arrDelay"),
                  miss.alias("depDelay"), miss.alias("taxiIn"), miss.alias("taxiOut")).alias("times"),
-        F.col("c_mktsegment").alias("uniqueCarrier"),
         F.col("l_linenumber").alias("flightNum"),
         F.concat(F.lit("N"), F.col("l_partkey").cast("string")).alias("tailNum"),
-        F.col("s_nationkey").cast("string").alias("origin"),
-        F.col("c_nationkey").cast("string").alias("dest"),
         _int(F.floor(F.col("l_extendedprice"))).alias("distance"),
         canceled.alias("canceled"),
         F.when(canceled == 1, F.col("l_returnflag")).otherwise(F.lit("")).alias("cancellationCode"),
@@ -68,7 +73,13 @@ def flight_rows(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
         _int(F.round(F.col("l_tax") * 100)).alias("nasDelay"),
         miss.alias("securityDelay"),
         miss.alias("lateAircraftDelay"),
-    )
+    ]
+
+
+def line_flights(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
+    """Flights without their end points and carrier: every line item has its order,
+    customer and supplier, so these fields need no other table."""
+    return (t.lineitem if lineitem is None else lineitem).select(*_line_fields())
 
 
 FLIGHT_COLUMNS = ["date", "times", "uniqueCarrier", "flightNum", "tailNum", "origin", "dest",
@@ -117,13 +128,12 @@ def posts(t: Tables, documents: DataFrame | None = None) -> DataFrame:
 def ratings(t: Tables) -> DataFrame:
     li, o = t.lineitem, t.orders
     return (li.join(o, li["l_orderkey"] == o["o_orderkey"])
-            .select(F.col("o_custkey").cast("int").alias("userId"),
-                    F.col("l_partkey").cast("int").alias("movieId"),
+            .select(F.col("o_custkey").alias("userId"), F.col("l_partkey").alias("movieId"),
                     F.ceil(F.col("l_quantity") / 10).cast("double").alias("rating")))
 
 
 def movies(t: Tables) -> DataFrame:
-    return t.part.select(F.col("p_partkey").cast("int").alias("movieId"),
+    return t.part.select(F.col("p_partkey").alias("movieId"),
                          F.col("p_name").alias("title"),
                          F.split(F.col("p_type"), " ").alias("genres"))
 

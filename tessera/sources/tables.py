@@ -20,17 +20,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+#: inputs over so many bytes are never spread
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition a scan by ``keys`` when it yields fewer input
-    partitions than the cluster has cores (a file with one row group is read
-    by one task). Large inputs made of many files or row groups already have
-    more splits than cores and are returned unchanged, so this never adds a
-    shuffle at scale. Filters and column pruning still reach the scan."""
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
+    """Hash-repartition a small scan by ``keys``: a file with one row group is read
+    by one task. Only the planner's size estimate (the files' bytes) is
+    looked at, and above ``SPREAD_BYTES`` the scan is returned as it is, so
+    the shuffle it adds is at most that, on any cluster. The rows are the same
+    either way. Filters and column pruning still reach the scan."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > SPREAD_BYTES:
         return df
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), par)
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     return df.repartition(n, *keys)
 
 

@@ -50,8 +50,9 @@ def parse_numbers(lines: DataFrame, col: str = "value") -> DataFrame:
 def per_batch_value_counts(numbers: DataFrame, out_path: str, checkpoint: str,
                            trigger: dict | None = None, col: str = "n") -> StreamingQuery:
     """Counts of each value within each micro-batch, no state carried between
-    batches (STM-2). Output: ``(n, count, rejects, batch_id)`` partitioned by
-    ``batch_id``; a replayed batch overwrites its own partition."""
+    batches (STM-2). Output: ``(n, count, batch_id)`` partitioned by
+    ``batch_id``, rejected tokens counted under a null ``n``; a replayed batch
+    overwrites its own partition."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = (batch.groupBy(F.when(F.col("ok"), F.col(col)).alias("n"))
@@ -80,14 +81,13 @@ def write_etl_batch(rows: DataFrame, out_path: str, batch_id: int,
         sizes = (rows.groupBy(*DATE_COLS).agg(F.count(F.lit(1)).alias("_n"))
                  .select(*DATE_COLS, F.ceil(F.col("_n") / F.lit(rows_per_file)).cast("int").alias("_files")))
         sizes = sizes.persist()
-        salted = rows.join(broadcast_if_small(sizes, 100_000), DATE_COLS)
+        salted = rows.join(broadcast_if_small(sizes), DATE_COLS)
         salt = F.pmod(F.xxhash64(*ETL_COLUMNS), F.col("_files"))
         # an explicit count: AQE would coalesce a small batch into one task
         # that writes every date serially
         spark = rows.sparkSession
         files = sizes.agg(F.sum("_files")).first()[0] or 1
-        n = max(spark.sparkContext.defaultParallelism,
-                min(files, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        n = max(spark.sparkContext.defaultParallelism, files)
         (salted.repartition(n, *[F.col(c) for c in DATE_COLS], salt)
          .drop("_files")
          .write.mode("overwrite").option("sep", ETL_SEPARATOR)

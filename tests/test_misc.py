@@ -94,13 +94,16 @@ def test_hot_date_is_split(spark, tmp):
 
 
 def test_broadcast_only_under_bound(spark):
-    from tessera.operators.joins import broadcast_if_small, row_count_at_most
+    from tessera.operators.joins import broadcast_if_small, bytes_at_most
     small = spark.range(10)
     big = spark.range(1000)
-    assert row_count_at_most(small, 10) and not row_count_at_most(big, 999)
+    assert bytes_at_most(small, 1000) and not bytes_at_most(big, 1000)
+    wide = spark.range(1).select(F.expr("repeat('x', 5000)").alias("s"))
+    assert not bytes_at_most(wide, 1000)                  # one row may be too large
+    assert bytes_at_most(small.where("id < 0"), 0)
     fact = spark.range(5000).withColumnRenamed("id", "k")
-    p1 = fact.join(broadcast_if_small(small.withColumnRenamed("id", "k"), 100), "k")
-    p2 = fact.join(broadcast_if_small(big.withColumnRenamed("id", "k"), 100), "k")
+    p1 = fact.join(broadcast_if_small(small.withColumnRenamed("id", "k"), 1000), "k")
+    p2 = fact.join(broadcast_if_small(big.withColumnRenamed("id", "k"), 1000), "k")
     hint = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
     assert hint(p1) and not hint(p2)
     assert p1.count() == 10 and p2.count() == 1000
@@ -164,3 +167,17 @@ def test_bucketed_join_has_no_exchange(spark, tmp):
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
         spark.sql("DROP TABLE IF EXISTS li_bucketed")
         spark.sql("DROP TABLE IF EXISTS o_bucketed")
+
+
+def test_exact_average_keeps_all_digits_or_fails(spark):
+    import pytest
+    from tessera.functions import exact_avg, exact_sum
+    df = spark.createDataFrame([(47.12345678,), (0.004,), (0.004,), (None,)], "x double")
+    got = df.agg(exact_avg("x", 8), exact_sum("x", 8)).first()
+    assert abs(got[0] - 47.13145678 / 3) < 1e-12 and abs(got[1] - 47.13145678) < 1e-12
+    with pytest.raises(Exception, match="does not fit"):
+        df.agg(exact_avg("x", 2)).collect()
+    big = spark.createDataFrame([(1e17,), (2.5,)], "x double")
+    assert big.agg(exact_sum("x", 2)).first()[0] == 1e17 + 2.5
+    with pytest.raises(Exception, match="does not fit"):
+        spark.createDataFrame([(float("nan"),)], "x double").agg(exact_sum("x", 2)).collect()

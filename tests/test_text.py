@@ -3,7 +3,8 @@
 import re
 from collections import Counter
 
-import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from tessera.operators import text as tx
 
@@ -59,43 +60,42 @@ def brute_index(docs, stop=()):
     return post, ranked
 
 
-@pytest.fixture()
-def many_partitions(spark):
-    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
-                                          "spark.sql.adaptive.coalescePartitions.enabled")}
-    spark.conf.set("spark.sql.shuffle.partitions", "7")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    yield
-    for k, v in old.items():
-        spark.conf.set(k, v)
-
-
-def test_inverted_index_ranks(spark, many_partitions):
-    # a hot word spread over many documents, so its postings span partitions
+def test_inverted_index_ranks(spark):
+    # a hot word spread over many documents
     docs = DOCS + [(f"x{i:03d}", "hot " * (1 + i % 3) + "cold") for i in range(120)]
     df = spark.createDataFrame(docs, "doc string, text string")
     post, ranked = brute_index(docs)
     got_post = {(r["word"], r["doc"]): r["n"] for r in tx.postings(tx.index_tokens(df)).collect()}
     assert got_post == dict(post)
-    # hot words (more than 5 postings) take the spanning path, the rest a window
-    for hot in (5, 1_000_000):
-        rk = tx.rank_postings(tx.postings(tx.index_tokens(df)), hot_postings=hot)
-        got = {(r["word"], r["doc"]): (r["rank"], r["n"]) for r in rk.collect()}
-        assert got == ranked, hot
-    spanning = tx._rank_spanning(tx.postings(tx.index_tokens(df)))
-    got = {(r["word"], r["doc"]): (r["rank"], r["n"]) for r in spanning.collect()}
+    rk = tx.rank_postings(tx.postings(tx.index_tokens(df)))
+    got = {(r["word"], r["doc"]): (r["rank"], r["n"]) for r in rk.collect()}
     assert got == ranked
-    rk = tx.rank_postings(tx.postings(tx.index_tokens(df)), hot_postings=5)
     lines = {(r["word"], r["part"]): r["postings"] for r in tx.postings_lines(rk, 50).collect()}
     assert len([k for k in lines if k[0] == "hot"]) == 3
     assert lines[("cat", 0)] == "(d1,1), (d10,1), (d2,1)"
     assert lines[("the", 0)] == "(d10,3), (d1,2), (d2,1)"
 
 
+def test_ranks_of_words_with_over_a_million_postings(spark):
+    """Default session settings (AQE coalescing on): no row is lost, and the ranks
+    are those of a window."""
+    n = 2_500_000
+    post = spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("word"),
+        F.col("id").cast("string").alias("doc"), (F.xxhash64("id") % 5 + 5).alias("n"))
+    post = post.union(spark.createDataFrame([(f"w{i}", str(i), 1) for i in range(50)], post.schema))
+    ranked = tx.rank_postings(post)
+    by_word = Window.partitionBy("word").orderBy(F.desc("n"), "doc")
+    want = post.select("word", F.row_number().over(by_word).cast("long").alias("rank"), "doc", "n")
+    total = lambda d: tuple(d.agg(F.count("*"), F.sum(F.xxhash64(*d.columns).cast("decimal(38,0)"))).first())
+    assert total(ranked.select("word", "rank", "doc", "n")) == total(want)
+    assert ranked.count() == n + 50
+
+
 def test_stop_words(spark):
     df = spark.createDataFrame(DOCS, "doc string, text string")
     post = tx.postings(tx.index_tokens(df))
-    stop = {r["word"] for r in tx.frequent_words(post, 0.5).collect()}
+    stop = {r["word"] for r in tx.frequent_words(post, tx.documents_with_tokens(df), 0.5).collect()}
     # "the" in d1, d2, d10 and "cat" in d1, d2, d3, d10: at least 2.5 of 5 documents
     assert stop == {"the", "cat", "", "'", "_"}
     kept = {r["word"] for r in tx.remove_words(post, tx.stop_words_frame(spark, stop)).collect()}

@@ -31,6 +31,14 @@ def add_partition(spark: SparkSession, name: str, spec: dict, location: str | No
     spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({body}){loc}")
 
 
+def add_partitions(spark: SparkSession, name: str, specs: list[dict]) -> None:
+    """Add many partitions in one statement (CAT-3); those that are there stay.
+    Without a location each is the usual directory below the table's."""
+    if specs:
+        parts = " ".join("PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in spec.items()) + ")" for spec in specs)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+
+
 def recover_partitions(spark: SparkSession, name: str) -> None:
     """Register every partition directory found under the table location."""
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")

@@ -18,6 +18,12 @@ def route_counts(flights: DataFrame, src: str = "origin", dst: str = "dest") ->
     return flights.groupBy(src, dst).count().orderBy(F.desc("count"), src, dst)
 
 
+def on_date(flights: DataFrame, year: int, month: int, day: int, date: str = "date") -> DataFrame:
+    """Flights of one day: equalities on the nested date fields (FLT-5)."""
+    d = F.col(date)
+    return flights.where((d["year"] == year) & (d["month"] == month) & (d["dayOfMonth"] == day))
+
+
 def route_counts_coalesced(flights: DataFrame, n: int = 2,
                            src: str = "origin", dst: str = "dest") -> DataFrame:
     """SRT-3: the same counts, coalesced to ``n`` partitions before the sort."""

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tessera.fixed_values import ETL_PARTITION_FORMATS, ETL_SEPARATOR
 from tessera.functions.strings import tuple_string
+from tessera.operators.joins import broadcast_if_small
+from tessera.session import shared_dir
 
 
 def write_tuples(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -43,11 +45,37 @@ def etl_rows(flights: DataFrame) -> DataFrame:
                           "uniqueCarrier", "flightNum", "origin", "dest", *date_partitions())
 
 
-def write_by_date(flights: DataFrame, path: str, mode: str = "append") -> None:
+ROWS_PER_FILE = 1_000_000
+
+
+def dealt_by_date(rows: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> tuple[DataFrame, DataFrame]:
+    """(rows dealt out for a write by date, the dates with their file counts).
+
+    A date gets ceil(rows / rows_per_file) files, each written by its own task: the
+    rows of a hot date, equal rows included, are spread by a salt of their
+    place in the input, and a quiet date is one file. The dates (one row each)
+    are stored once. The partition count is explicit, a task per ``rows_per_file``
+    rows: AQE would coalesce a small input into one task that writes every date."""
+    spark = rows.sparkSession
+    path = shared_dir(spark, "date-sizes")
+    (rows.groupBy(*DATE_COLS).agg(F.count(F.lit(1)).alias("_n"))
+     .select(*DATE_COLS, "_n", F.ceil(F.col("_n") / F.lit(rows_per_file)).cast("int").alias("_files"))
+     .write.parquet(path))
+    dates = spark.read.parquet(path)
+    total = dates.agg(F.sum("_n")).first()[0] or 0
+    n = max(spark.sparkContext.defaultParallelism, -(-total // rows_per_file))
+    dealt = (rows.withColumn("_place", F.xxhash64(F.monotonically_increasing_id()))
+             .join(broadcast_if_small(dates.drop("_n")), DATE_COLS)
+             .withColumn("_salt", F.pmod("_place", "_files"))
+             .repartition(n, *DATE_COLS, "_salt").drop("_files", "_place", "_salt"))
+    return dealt, dates
+
+
+def write_by_date(flights: DataFrame, path: str, mode: str = "append", rows_per_file: int = ROWS_PER_FILE) -> None:
     """``|``-separated rows in one directory per date (SNK-4):
     ``depYear=YYYY/depMonth=MM/depDay=DD``. One job for all dates."""
-    (etl_rows(flights).write.mode(mode).option("sep", ETL_SEPARATOR)
-     .partitionBy("depYear", "depMonth", "depDay").csv(path))
+    (dealt_by_date(etl_rows(flights), rows_per_file)[0]
+     .write.mode(mode).option("sep", ETL_SEPARATOR).partitionBy(*DATE_COLS).csv(path))
 
 
 ETL_SCHEMA = ("depTime INT, arrTime INT, uniqueCarrier STRING, flightNum INT, origin STRING, "

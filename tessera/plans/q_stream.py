@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera import streaming as st
 from tessera.fixed_values import ETL_PARTITION_FORMATS
-from tessera.operators import ml, sinks
+from tessera.operators import catalog, ml, relational as rel, sinks
 from tessera.plans import standins as si
 from tessera.plans.oracle_sql import FLIGHTS_CTE, with_
 from tessera.plans.q_ml import POST_KEYWORDS, _sql_contains_any
@@ -73,16 +73,70 @@ def etl_partition_counts(spark, sf_dir):
                          F.format_string(fd, "d").alias("depDay"), "count")
 
 
+ETL_FILES = 2   # input files of the ETL stream, one micro-batch each
+
+
+def _etl_table(spark, sf_dir) -> str:
+    """Line items arrive as a stream of several files, are joined with the static
+    orders, customers and suppliers, and are written per date, batch by batch;
+    returns the name of the partitioned table over the output."""
+    t = Tables(spark, sf_dir)
+    src, out, ck = (shared_dir(spark, n) for n in ("flights-in", "flights-etl", "flights-etl-ck"))
+    lines = t.lineitem
+    lines.repartition(ETL_FILES).write.parquet(src)
+    stream = st.file_stream(spark, src, "parquet", schema=lines.schema, max_files_per_trigger=1)
+    table = "flights_" + out.rsplit("-", 1)[-1]
+    st.create_etl_table(spark, table, out)
+    q = st.run_available(st.flight_etl(si.flights(t, lineitem=stream), out, ck, {"availableNow": True}, table=table))
+    assert len(q.recentProgress) >= 1
+    return table
+
+
 @query("stream_etl_partition_counts", ETL_COUNTS_SQL)
 def stream_etl_partition_counts(spark, sf_dir):
-    """Line items arrive as a stream, are joined with the static orders,
-    customers and suppliers, and are written per date by the file sink; the
-    written partitions are read back and counted."""
-    t = Tables(spark, sf_dir)
-    out, ck = shared_dir(spark, "flights-etl"), shared_dir(spark, "flights-etl-ck")
-    fl = si.flights(t, lineitem=_stream_table(spark, sf_dir, "lineitem"))
-    st.run_available(st.flight_etl(fl, out, ck, {"availableNow": True}))
-    return sinks.read_by_date(spark, out).groupBy("depYear", "depMonth", "depDay").count()
+    """Rows per date of the ETL table."""
+    return spark.table(_etl_table(spark, sf_dir)).groupBy("depYear", "depMonth", "depDay").count()
+
+
+@query("etl_table_partitions", with_(FLIGHTS_CTE) + """
+SELECT DISTINCT strftime(l_shipdate, '%Y') AS depYear, strftime(l_shipdate, '%m') AS depMonth, strftime(l_shipdate, '%d') AS depDay FROM flights""")
+def etl_table_partitions(spark, sf_dir):
+    """The dates among the partitions that the ETL's batches have added to its table."""
+    parts = catalog.show_partitions(spark, _etl_table(spark, sf_dir))
+    field = lambda n: F.regexp_extract("partition", f"{n}=([^/]*)", 1).alias(n)
+    return parts.select(field("depYear"), field("depMonth"), field("depDay")).distinct()
+
+
+ETL_ROWS_SQL = with_(FLIGHTS_CTE) + """
+SELECT times.depTime AS depTime, times.arrTime AS arrTime, uniqueCarrier, CAST(flightNum AS INTEGER) AS flightNum, origin, dest,
+       strftime(l_shipdate, '%Y') AS depYear, strftime(l_shipdate, '%m') AS depMonth, strftime(l_shipdate, '%d') AS depDay
+FROM flights"""
+
+
+@query("etl_table_rows", ETL_ROWS_SQL)
+def etl_table_rows(spark, sf_dir):
+    """All fields of all rows of the ETL table, read back through the catalog."""
+    return spark.table(_etl_table(spark, sf_dir)).select(*sinks.ETL_COLUMNS, *sinks.DATE_COLS)
+
+
+@query("etl_batch_rows", ETL_ROWS_SQL)
+def etl_batch_rows(spark, sf_dir):
+    """The same in batch form: written by date in one job and read back (SNK-4, PRJ-8)."""
+    path = shared_dir(spark, "flights-by-date")
+    sinks.write_by_date(si.flights(Tables(spark, sf_dir)), path)
+    return sinks.read_by_date(spark, path).select(*sinks.ETL_COLUMNS, *sinks.DATE_COLS)
+
+
+ETL_DAY = (1996, 3, 15)
+
+
+@query("flights_of_day", with_(FLIGHTS_CTE) + f"""
+SELECT l_orderkey, l_linenumber, origin, dest, distance FROM flights
+WHERE "date".year = {ETL_DAY[0]} AND "date".month = {ETL_DAY[1]} AND "date".dayOfMonth = {ETL_DAY[2]}""")
+def flights_of_day(spark, sf_dir):
+    """One day's flights by equality on the three nested date fields (FLT-5)."""
+    f = si.flight_rows(Tables(spark, sf_dir))
+    return rel.on_date(f, *ETL_DAY).select("l_orderkey", "l_linenumber", "origin", "dest", "distance")
 
 
 @query("stream_post_scores", f"""

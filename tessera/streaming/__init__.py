@@ -2,8 +2,9 @@
 
 from tessera.streaming.streams import (
     file_stream, parse_numbers, per_batch_value_counts, flight_etl, write_etl_batch, score_posts,
-    filter_posts, run_available, run_for, TerminationWatcher,
+    filter_posts, run_available, run_for, TerminationWatcher, create_etl_table,
 )
 
 __all__ = ["file_stream", "parse_numbers", "per_batch_value_counts", "flight_etl", "write_etl_batch",
-           "score_posts", "filter_posts", "run_available", "run_for", "TerminationWatcher"]
+           "score_posts", "filter_posts", "run_available", "run_for", "TerminationWatcher",
+           "create_etl_table"]

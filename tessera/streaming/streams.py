@@ -18,8 +18,8 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tessera.fixed_values import ETL_SEPARATOR, NUMBER_SEPARATOR
 from tessera.functions.strings import contains_any, explode_split
-from tessera.operators.joins import broadcast_if_small
-from tessera.operators.sinks import DATE_COLS, ETL_COLUMNS, etl_rows
+from tessera.operators import catalog
+from tessera.operators.sinks import DATE_COLS, ETL_SCHEMA, ROWS_PER_FILE, dealt_by_date, etl_rows
 
 
 def file_stream(spark: SparkSession, path: str, fmt: str = "text", schema=None,
@@ -66,46 +66,43 @@ def per_batch_value_counts(numbers: DataFrame, out_path: str, checkpoint: str,
 
 
 def write_etl_batch(rows: DataFrame, out_path: str, batch_id: int,
-                    rows_per_file: int = 1_000_000) -> None:
-    """Write one batch of ETL rows under ``batch=/depYear=/depMonth=/depDay=``.
-
-    A date gets ceil(rows / rows_per_file) files, each written by its own
-    task: the rows of a hot date are spread by a hash salt instead of landing
-    in one task, and a quiet date is one file. The per-date sizes are one row
-    per date of the batch. Each batch writes below its own ``batch=<id>``
-    directory, so a replayed batch replaces exactly its own output.
-    """
+                    rows_per_file: int = ROWS_PER_FILE, table: str | None = None) -> None:
+    """Write one batch of ETL rows under ``batch=/depYear=/depMonth=/depDay=``
+    (``sinks.dealt_by_date`` spreads hot dates over tasks). Each batch writes
+    below its own ``batch=<id>`` directory, so a replayed batch replaces exactly
+    its own output. With ``table``, the batch's dates are added to that
+    table's partitions (one row per date of the batch reaches the driver)."""
     rows = rows.persist()
-    sizes = None
     try:
-        sizes = (rows.groupBy(*DATE_COLS).agg(F.count(F.lit(1)).alias("_n"))
-                 .select(*DATE_COLS, F.ceil(F.col("_n") / F.lit(rows_per_file)).cast("int").alias("_files")))
-        sizes = sizes.persist()
-        salted = rows.join(broadcast_if_small(sizes), DATE_COLS)
-        salt = F.pmod(F.xxhash64(*ETL_COLUMNS), F.col("_files"))
-        # an explicit count: AQE would coalesce a small batch into one task
-        # that writes every date serially
-        spark = rows.sparkSession
-        files = sizes.agg(F.sum("_files")).first()[0] or 1
-        n = max(spark.sparkContext.defaultParallelism, files)
-        (salted.repartition(n, *[F.col(c) for c in DATE_COLS], salt)
-         .drop("_files")
-         .write.mode("overwrite").option("sep", ETL_SEPARATOR)
+        dealt, dates = dealt_by_date(rows, rows_per_file)
+        (dealt.write.mode("overwrite").option("sep", ETL_SEPARATOR)
          .partitionBy(*DATE_COLS).csv(f"{out_path.rstrip('/')}/batch={batch_id}"))
+        if table:
+            catalog.add_partitions(rows.sparkSession, table, [
+                {"batch": batch_id, **r.asDict()} for r in dates.select(*DATE_COLS).collect()])
     finally:
         rows.unpersist()
-        if sizes is not None:
-            sizes.unpersist()
+
+
+ETL_TABLE_COLUMNS = ETL_SCHEMA.replace("depYear", "batch INT, depYear", 1)
+
+
+def create_etl_table(spark: SparkSession, table: str, out_path: str) -> None:
+    """The external table over an ETL output, partitioned by batch and date."""
+    catalog.create_external_table(spark, table, ETL_TABLE_COLUMNS, out_path, options={"sep": ETL_SEPARATOR},
+                                  partitioned_by=["batch", *DATE_COLS])
 
 
 def flight_etl(flights: DataFrame, out_path: str, checkpoint: str,
-               trigger: dict | None = None, rows_per_file: int = 1_000_000) -> StreamingQuery:
+               trigger: dict | None = None, rows_per_file: int = ROWS_PER_FILE,
+               table: str | None = None) -> StreamingQuery:
     """Streaming ETL (STM-6): parsed flights -> ``|``-separated rows in one
     directory per date. One write per micro-batch covers every date in it
-    (the reference ran one job per date)."""
+    (the reference ran one job per date), and adds the dates to the partitions of
+    ``table`` (see ``create_etl_table``)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_etl_batch(etl_rows(batch), out_path, batch_id, rows_per_file)
+        write_etl_batch(etl_rows(batch), out_path, batch_id, rows_per_file, table)
 
     return (flights.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())

@@ -86,7 +86,7 @@ def test_hot_date_is_split(spark, tmp):
     hot = os.path.join(out, "batch=7", "depYear=2008", "depMonth=01", "depDay=03")
     cold = os.path.join(out, "batch=7", "depYear=2008", "depMonth=01", "depDay=04")
     hot_files = [f for f in os.listdir(hot) if f.startswith("part-")]
-    assert 2 <= len(hot_files) <= 4          # 40 rows at 10 per file, hash-salted
+    assert 2 <= len(hot_files) <= 4          # 40 rows at 10 per file, salted by place
     assert len([f for f in os.listdir(cold) if f.startswith("part-")]) == 1
     assert sinks.read_by_date(spark, out).count() == 41
     st.write_etl_batch(df, out, batch_id=7, rows_per_file=10)   # a replay replaces its batch

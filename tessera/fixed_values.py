@@ -24,6 +24,17 @@ RATING_SEPARATOR = "::"
 GENRE_SEPARATOR = r"\|"                # a literal bar (the reference's "|" split characters)
 VECTOR_SEPARATOR = " "
 
+# names and places of the record fields (0-based places in a flight line)
+DATE_FIELDS = ["year", "month", "dayOfMonth", "dayOfWeek"]
+TIMES_FIELDS = [("depTime", 4), ("crsDepTime", 5), ("arrTime", 6), ("crsArrTime", 7),
+                ("actualElapsedTime", 11), ("crsElapsedTime", 12), ("airTime", 13),
+                ("arrDelay", 14), ("depDelay", 15), ("taxiIn", 19), ("taxiOut", 20)]
+FLIGHT_TAIL_FIELDS = [("canceled", 21), ("cancellationCode", 22), ("diverted", 23), ("carrierDelay", 24),
+            ("weatherDelay", 25), ("nasDelay", 26), ("securityDelay", 27),
+            ("lateAircraftDelay", 28)]
+PLANE_FIELDS = ["tailNum", "kind", "manufacturer", "issueDate", "model", "status",
+                "aircraftType", "engineType"]
+
 # ---- dates
 DATE_PART_SEPARATOR = r"\s*[^\d]+\s*"
 DATE_TIME_SEPARATOR = r"\s+"

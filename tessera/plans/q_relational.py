@@ -204,6 +204,8 @@ def cube_map_agg(spark, sf_dir):
             .orderBy(F.desc("avg_dist")))
 
 
+# Fixed statements: RATIO_SELECT, GROUP_COUNT_AVGS, GROUP_TWO_AVGS and the two join
+# statements of the SQL twins have the aliases and column order that are required.
 RATIO_SELECT = """
   AVG(distance) AS avg_dist,
   MIN(times.actualElapsedTime) AS min_time,

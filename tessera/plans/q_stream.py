@@ -228,3 +228,22 @@ def json_roundtrip(spark, sf_dir):
     return good.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name",
                        F.col("c_nationkey").cast("int").alias("c_nationkey"),
                        F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_mktsegment")
+
+
+@query("json_rejects", """
+SELECT c_custkey % 17 = 0 AS rejected, COUNT(*) AS count, CAST(SUM(CASE WHEN c_custkey % 17 = 0 THEN 0 ELSE c_custkey END) AS BIGINT) AS keys
+FROM customer GROUP BY 1""")
+def json_rejects(spark, sf_dir):
+    """Customers as JSON lines of which every 17th is cut off, read with an explicit
+    schema (no inference pass): good and rejected lines apart (SRC-5, SRC-6, FLT-4)."""
+    from tessera.sources.files import read_json_lines, split_corrupt
+    path = shared_dir(spark, "customer-json-bad")
+    c = Tables(spark, sf_dir).customer
+    line = F.to_json(F.struct("c_custkey", "c_name", "c_acctbal"))
+    cut = F.when(F.col("c_custkey") % 17 == 0, F.expr("substring(j, 1, length(j) - 5)")).otherwise(F.col("j"))
+    c.select("c_custkey", line.alias("j")).select(cut.alias("value")).write.text(path)
+    schema = c.select("c_custkey", "c_name", "c_acctbal").schema
+    good, bad = split_corrupt(read_json_lines(spark, path, schema))
+    tally = lambda d, r, k: d.groupBy(F.lit(r).alias("rejected")).agg(
+        F.count(F.lit(1)).alias("count"), F.coalesce(F.sum(k), F.lit(0)).cast("long").alias("keys"))
+    return tally(good, False, F.col("c_custkey")).unionByName(tally(bad, True, F.lit(0)))

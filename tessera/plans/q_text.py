@@ -5,9 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators import sinks
 from tessera.operators import text as tx
 from tessera.plans.registry import query
 from tessera.session import shared_dir
+from tessera.sources.files import read_lines, read_whole_files
+from tessera.sources.parsers import parse_pairs
 from tessera.sources.tables import Tables
 
 STOP_DOC_FRACTION = 0.5     # stop words by rule: in at least half the documents
@@ -89,6 +92,32 @@ def crawl_normalize(spark, sf_dir):
     return tx.crawl(docs, "path", "text")
 
 
+@query("crawl_files", f"""
+SELECT CAST(doc_id AS VARCHAR) AS id, {sql_normalize('text')} AS text FROM documents""")
+def crawl_files(spark, sf_dir):
+    """Documents written as files, one directory each, read whole and crawled: the id
+    is the part of the path after a base (SRC-2, STR-7, TXT-2)."""
+    path = shared_dir(spark, "corpus-files")
+    (Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("doc"), "text")
+     .write.partitionBy("doc").text(path))
+    found = tx.crawl(read_whole_files(spark, path).select("path", "text"), base="/doc=")
+    return found.select(F.substring_index("id", "/", 1).alias("id"), "text")
+
+
+@query("tuple_lines", f"""
+SELECT word, CAST(COUNT(*) AS VARCHAR) AS count FROM (
+  SELECT unnest({sql_java_split('lower(text)', '\\W+')}) AS word FROM documents)
+WHERE word <> '' GROUP BY word""")
+def tuple_lines(spark, sf_dir):
+    """Word counts written as ``(word,count)`` lines, written again over the first
+    output, and parsed back (SNK-1, SNK-2, SRC-13)."""
+    path = shared_dir(spark, "counts-text")
+    counts = tx.word_count(Tables(spark, sf_dir).documents, "text", drop_empty=True)
+    sinks.write_tuples(counts.limit(3), path)     # a leftover that the next write replaces
+    sinks.write_tuples(counts, path)
+    return parse_pairs(read_lines(spark, path)).good.toDF("word", "count")
+
+
 # ---------------------------------------------------------------- inverted indexes
 
 def _postings(spark, sf_dir):

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.fixed_values import (
-    ABBREV_LINE, AIRPORT_HEADER, AIRPORT_LINE, CARRIER_HEADER, CARRIER_LINE,
-    FLIGHT_FIELDS, FLIGHT_HEADER_FIRST_FIELD, FLIGHT_SEPARATOR, GENRE_SEPARATOR, MISSING_INT,
+    ABBREV_LINE, AIRPORT_HEADER, AIRPORT_LINE, CARRIER_HEADER, CARRIER_LINE, DATE_FIELDS,
+    FLIGHT_FIELDS, FLIGHT_TAIL_FIELDS, PLANE_FIELDS, TIMES_FIELDS, FLIGHT_HEADER_FIRST_FIELD, FLIGHT_SEPARATOR, GENRE_SEPARATOR, MISSING_INT,
     PAIR_LINE, PLANE_HEADER, PLANE_LINE, PLANE_NO_YEAR, PLANE_TAIL_ONLY, RATING_SEPARATOR,
     VECTOR_SEPARATOR,
 )
@@ -45,14 +45,6 @@ def _g(arr: Column, i: int) -> Column:
 
 # ---------------------------------------------------------------- flights (SRC-8)
 
-DATE_FIELDS = ["year", "month", "dayOfMonth", "dayOfWeek"]
-TIMES_FIELDS = [("depTime", 4), ("crsDepTime", 5), ("arrTime", 6), ("crsArrTime", 7),
-                ("actualElapsedTime", 11), ("crsElapsedTime", 12), ("airTime", 13),
-                ("arrDelay", 14), ("depDelay", 15), ("taxiIn", 19), ("taxiOut", 20)]
-INT_TAIL = [("canceled", 21), ("cancellationCode", 22), ("diverted", 23), ("carrierDelay", 24),
-            ("weatherDelay", 25), ("nasDelay", 26), ("securityDelay", 27),
-            ("lateAircraftDelay", 28)]
-
 
 def parse_flights(lines: DataFrame, missing: int | None = MISSING_INT) -> Parsed:
     """29 comma-separated fields -> the flight record (16 columns, two structs).
@@ -74,7 +66,7 @@ def parse_flights(lines: DataFrame, missing: int | None = MISSING_INT) -> Parsed
         s(8).alias("uniqueCarrier"), i(9).alias("flightNum"), s(10).alias("tailNum"),
         s(16).alias("origin"), s(17).alias("dest"), i(18).alias("distance"),
     ]
-    for n, k in INT_TAIL:
+    for n, k in FLIGHT_TAIL_FIELDS:
         cols.append((s(k) if n == "cancellationCode" else i(k)).alias(n))
     header = _g(f, 0) == F.lit(FLIGHT_HEADER_FIRST_FIELD)
     return _split_result(lines, header, F.size(f) >= FLIGHT_FIELDS, cols)
@@ -108,9 +100,6 @@ def parse_carriers(lines: DataFrame) -> Parsed:
 
 # ---------------------------------------------------------------- planes (SRC-11)
 
-PLANE_FIELDS = ["tailNum", "kind", "manufacturer", "issueDate", "model", "status",
-                "aircraftType", "engineType"]
-
 
 def parse_planes(lines: DataFrame) -> Parsed:
     v = F.col("value")

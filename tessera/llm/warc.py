@@ -248,7 +248,23 @@ def read_warc(files: DataFrame, in_dir: str, split_bytes: int = SPLIT_BYTES) ->
                                                  "payload_bytes long, payload binary")
 
 
-@query("op4_warc")
+#: five hex digits of the SHA-1 are four base-32 digits
+SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS sha FROM pages),
+five AS (SELECT sha, i, CAST('0x' || substr(sha, 5 * i + 1, 5) AS BIGINT) AS v FROM (SELECT DISTINCT sha FROM p), range(0, 8) r(i)),
+b32 AS (SELECT sha, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> 15) & 31)::INTEGER, 1)
+                            || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> 10) & 31)::INTEGER, 1)
+                            || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> 5) & 31)::INTEGER, 1)
+                            || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v & 31)::INTEGER, 1), '' ORDER BY i) AS digest
+        FROM five GROUP BY sha),
+first AS (SELECT sha, max(page_id) AS top FROM p GROUP BY sha)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM p JOIN first USING (sha) JOIN b32 USING (sha)"""
+
+
+@query("op4_warc", SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record per page, written and read back."""
     out_dir = shared_dir(spark, "op4")

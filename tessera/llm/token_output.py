@@ -15,19 +15,20 @@ row per file. The dictionary is trained on the serialized ids of a bounded sampl
 (``sample_docs`` documents by the hash of their id, at most ``sample_bytes``); it affects sizes only.
 
 Defined cases. A null text is empty and holds the end id only. Null ids come
-first; equal ids are ordered by their text's hash and place in the input, each
-its own entry. Extra columns are ignored; an empty table gives empty results. A
+first; equal ids are ordered by their place in the input, each its own entry. Extra columns are ignored; an empty table gives empty results. A
 dictionary that cannot be trained (too little data) is empty, and frames then use
 none.
 
-Scale: one range shuffle of the texts by id, with ties dealt out by text hash
-and place, so a hot id is split over files; a task holds one batch. A task attempt
+Scale: texts are encoded and compressed where they are read, and one shuffle deals
+the frames into ranges of (id, place), so a hot id is split over files; the ranges
+come from a scan of the ids alone. A task holds one batch. A task attempt
 writes its own file; the index is committed by Spark and names only the files of
 successful attempts. Reading goes by ranges of a file's neighbouring frames.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import struct
 import uuid
@@ -40,7 +41,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.llm.common import col, join_path, make_dir, open_fs, table
 from tessera.llm.registry import query
@@ -91,8 +91,9 @@ def _codec(dictionary: bytes):
 
 def write_tokens(docs: DataFrame, out_dir: str, path: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int | None = END_ID, sample_docs: int = SAMPLE_DOCS, dictionary_bytes: int = DICTIONARY_BYTES,
-                 sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """Write the ids of every text in ascending id order; returns the index."""
+                 sample_bytes: int = SAMPLE_BYTES, parts: int | None = None) -> DataFrame:
+    """Write the ids of every text in ascending id order, in ``parts`` files (default: as
+    many as shuffle partitions); returns the index."""
     spark = docs.sparkSession
     rows = docs.select(col(docs, id_col).alias("id"), col(docs, text_col).alias("text"))
     dictionary = _sample_dictionary(rows, path, sample_docs, dictionary_bytes, sample_bytes)
@@ -106,46 +107,68 @@ def write_tokens(docs: DataFrame, out_dir: str, path: str, id_col: str = "doc_id
                                            ("length", T.LongType), ("n_tokens", T.LongType), ("before", T.LongType))])
     end = struct.pack("<I", end_id) if end_id is not None else b""
 
-    def run(batches):
-        from pyspark import TaskContext
-        part = TaskContext.get().partitionId()
-        name = f"data/part-{part:06d}-{uuid.uuid4().hex}.ids"
-        fs, base = open_fs(out_dir)
-        out, at, before = None, 0, 0
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = rows.withColumn("place", F.monotonically_increasing_id())
+    bounds = _bounds(keyed.select("id", "place"), n)
+
+    def compress(batches):
         squeeze = zstandard.ZstdCompressor(level=LEVEL, write_content_size=True, **_codec(dictionary)).compress
+        for big in batches:
+            for at in range(0, big.num_rows, 2048):
+                batch = big.slice(at, 2048)
+                ids = [x + end for x in encode(path, batch.column("text").to_pylist())]
+                part = [bisect.bisect_right(bounds, (i is not None, i, p)) if i is not None else bisect.bisect_right(bounds, (False, p))
+                        for i, p in zip(batch.column("id").to_pylist(), batch.column("place").to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), batch.column("place"), pa.array(part, pa.int32()), pa.array([squeeze(x) for x in ids], pa.binary()),
+                     pa.array([len(x) // 4 for x in ids], pa.int64())], ["id", "place", "part", "frame", "n_tokens"])
+
+    framed = keyed.mapInArrow(compress, T.StructType([
+        T.StructField("id", id_type), T.StructField("place", T.LongType()), T.StructField("part", T.IntegerType()),
+        T.StructField("frame", T.BinaryType()), T.StructField("n_tokens", T.LongType())]))
+
+    def write(batches):
+        name, out, at, before = "", None, 0, 0
+        fs, base = open_fs(out_dir)
         try:
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 if out is None:
+                    name = f"data/part-{batch.column('part')[0].as_py():06d}-{uuid.uuid4().hex}.ids"
                     out = fs.open_output_stream(join_path(base, name), compression=None)
                     head = struct.pack(HEADER, MAGIC, hashlib.sha256(dictionary).digest(), 4)
                     out.write(head)
                     at = len(head)
-                ids = [x + end for x in encode(path, batch.column(1).to_pylist())]
-                frames = [squeeze(x) for x in ids]
+                frames = batch.column("frame").to_pylist()
                 out.write(b"".join(frames))
                 lengths = np.fromiter(map(len, frames), np.int64, len(frames))
-                tokens = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                tokens = batch.column("n_tokens").to_numpy()
                 offsets = at + np.cumsum(lengths) - lengths
                 befores = before + np.cumsum(tokens) - tokens
                 at, before = at + int(lengths.sum()), before + int(tokens.sum())
-                n = len(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).cast(to_arrow_type(id_type)), pa.array([part] * n, pa.int32()), pa.array([name] * n),
+                    [batch.column("id"), batch.column("part"), pa.array([name] * len(frames)),
                      pa.array(offsets), pa.array(lengths), pa.array(tokens), pa.array(befores)], schema.names)
         finally:
             if out is not None:
                 out.close()
 
-    keys = [F.col("id").asc_nulls_first(), F.xxhash64("text"), F.col("place")]
-    ordered = rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(*keys) \
-        .sortWithinPartitions(*keys).select("id", "text")
+    ordered = framed.repartitionById(n, "part").sortWithinPartitions(F.col("id").asc_nulls_first(), "place")
     index = join_path(out_dir, "index")
-    ordered.mapInArrow(run, schema).write.parquet(index)
+    ordered.mapInArrow(write, schema).write.parquet(index)
     return spark.read.schema(schema).parquet(index)
 
 
+def _bounds(keys: DataFrame, n: int) -> list[tuple]:
+    """The first key (id, place) of each of ``n`` ranges but the first, in order; null
+    ids come first. Reads only the ids; one row per range reaches the driver."""
+    rows = keys.repartitionByRange(n, F.col("id").asc_nulls_first(), "place") \
+        .groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(F.col("id").isNotNull().alias("own"), "id", "place")).alias("k")) \
+        .orderBy("p").collect()
+    return [(True, r["k"]["id"], r["k"]["place"]) if r["k"]["own"] else (False, r["k"]["place"]) for r in rows[1:]]
+
+
 def read_tokens(index: DataFrame, out_dir: str) -> DataFrame:
     """(id, n_tokens, part, before, ids) of the documents in ``index`` (all, or
     any selection of its rows), read back from the files and checked against
@@ -206,7 +229,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by word_bpe_49k.json and end id 2, written and read back."""
     out_dir = shared_dir(spark, "op3")
     index = write_tokens(table(spark, sf_dir, "documents"), out_dir, public_tokenizers.path("word_bpe_49k.json"))
-    read = read_tokens(index, out_dir)
+    # the ids themselves stay out of the join
+    read = read_tokens(index, out_dir).select("id", "part", "before", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     return read.join(file_starts(index), "part").select(
-        F.col("id").alias("doc_id"), (F.col("first") + F.col("before")).alias("start"), "n_tokens",
-        F.crc32("ids").alias("ids_crc32"))
+        F.col("id").alias("doc_id"), (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")

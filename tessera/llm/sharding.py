@@ -34,6 +34,7 @@ from tessera.session import shared_dir
 SHARDS = 24
 SEED = 20_011
 BUCKET_BYTES = 16 << 20
+MAX_PARTS = 100_000
 
 
 def shard_of(key, shards: int, seed: int = SEED):
@@ -59,12 +60,14 @@ def scatter_shuffle(docs: DataFrame, out_dir: str, shards: int = SHARDS, seed: i
         shard_of(key, shards, seed).alias("shard"), shard_of(key, shards + 1, seed).alias("grown_shard"),
         F.xxhash64(F.lit(seed), key, place).alias("draw"), place.alias("place"))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "draw"), F.lit(buckets)).cast("int"))
-    # a fixed partition count and a fixed order in each partition: the seeded
-    # shuffle then draws the same permutation again when a task is repeated
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards * buckets, 100_000))
+    # a task gets whole buckets by their number (one each, up to MAX_PARTS) in a fixed order:
+    # the seeded shuffle draws the same permutation again when a task is repeated
+    cells = shards * buckets
+    parts = min(cells, MAX_PARTS)
     item = F.struct("draw", "place", "row", "size", "crc", "grown_shard")
-    filled = rows.repartition(parts, "shard", "bucket") \
-        .groupBy("shard", "bucket").agg(F.sort_array(F.collect_list(item)).alias("items")) \
+    filled = rows.withColumn("part", F.pmod(F.col("shard").cast("long") * buckets + F.col("bucket"), F.lit(parts)).cast("int")) \
+        .repartitionById(parts, "part") \
+        .groupBy("part", "shard", "bucket").agg(F.sort_array(F.collect_list(item)).alias("items")) \
         .sortWithinPartitions("shard", "bucket") \
         .select("shard", "bucket", F.shuffle("items", seed).alias("items"))
     out = filled.select("shard", "bucket", F.posexplode("items").alias("at", "item")) \

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from conftest_llm import ODD, empty, rows_of
+from llm_fixtures import ODD, empty, rows_of, docs, odd, spark  # noqa: F401  (fixtures)
 from tessera.llm import bpe as B
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,8 +25,9 @@ def test_matches_library(lib, docs):
     random.seed(5)
     alphabet = list("ab cd'stelm  \n\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0 ​　᠎123½²é日本ñ😀́ß.!\x00﻿") + \
         ["<|endoftext|>", "'ll", "'re", " the", "aaaa", "abab"]
+    plain = ["a", "b.", "c,", " ", "\n", "\r", "\t", "ä", "1"]
     texts = ODD + ["".join(random.choices(alphabet, k=random.randint(0, 40))) for _ in range(4000)] + \
-        [r.text for r in docs.limit(100).collect()]
+        ["".join(random.choices(plain, k=random.randint(0, 12))) for _ in range(8000)] + [r.text for r in docs.limit(100).collect()]
     ours = B.ByteBpe(PATH)
     want = [e.ids for e in lib.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     got = ours.encode(texts)

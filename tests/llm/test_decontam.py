@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest_llm import ODD, SF001, empty, rows_of
+from llm_fixtures import ODD, SF001, empty, rows_of, docs, odd, spark  # noqa: F401  (fixtures)
 from tessera.llm import decontam as D
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")

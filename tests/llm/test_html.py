@@ -1,7 +1,7 @@
 import html
 import re
 
-from conftest_llm import SF001, empty
+from llm_fixtures import SF001, empty, docs, odd, spark  # noqa: F401  (fixtures)
 from tessera.llm.html_extract import extract, main_text, op2, path_scores
 
 

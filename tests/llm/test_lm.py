@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest_llm import SF001, empty
+from llm_fixtures import SF001, empty, docs, odd, spark  # noqa: F401  (fixtures)
 from tessera.llm import lm_score as L
 
 

@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
-from conftest_llm import SF001, empty, rows_of
+from llm_fixtures import SF001, empty, rows_of, docs, odd, spark  # noqa: F401  (fixtures)
 from tessera.llm import quality, simhash
 from tessera.llm.common import stored
 from test_decontam import brute as brute_contamination

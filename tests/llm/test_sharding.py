@@ -3,7 +3,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from conftest_llm import SF001, empty, rows_of
+from llm_fixtures import SF001, empty, rows_of, docs, odd, spark  # noqa: F401  (fixtures)
 from tessera.llm import sharding as H
 from tessera.session import shared_dir
 

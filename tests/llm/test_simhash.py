@@ -3,7 +3,7 @@ import itertools
 import xxhash
 from pyspark.sql import functions as F
 
-from conftest_llm import ODD, empty, rows_of
+from llm_fixtures import ODD, empty, rows_of, docs, odd, spark  # noqa: F401  (fixtures)
 from tessera.llm import simhash as S
 
 

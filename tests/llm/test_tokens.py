@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from conftest_llm import ODD, SF001, empty, rows_of
+from llm_fixtures import ODD, SF001, empty, rows_of, docs, odd, spark  # noqa: F401  (fixtures)
 from tessera.llm import token_counts as C
 from tessera.llm import token_output as O
 from tessera.llm import word_tokens as W

@@ -2,7 +2,7 @@ import gzip
 
 import pytest
 
-from conftest_llm import SF001, empty
+from llm_fixtures import SF001, empty, docs, odd, spark  # noqa: F401  (fixtures)
 from tessera.llm import warc as A
 from tessera.session import shared_dir
 

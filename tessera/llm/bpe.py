@@ -31,21 +31,27 @@ import struct
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import col, fresh, no_gc, table
 from tessera.llm.registry import query
 
-CACHE_PIECES = 800_000
-#: texts are encoded in blocks of about so many characters
-BLOCK_CHARS = 6_000_000
+CACHE_PIECES = 400_000
+#: texts are encoded in blocks of about so many characters, and decoded of so many ids
+BLOCK_CHARS = 2_000_000
+BLOCK_IDS = 200_000
+BATCH_ROWS = 1_000
 #: Unicode white space, as the pattern's \s has it
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: pieces that the pattern below never crosses: a run of other characters with
 #: one space before it, or white space
 COARSE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+SPACES = set(re.findall(f"[{SPACE}]", "".join(map(chr, range(0x3001)))))
+OTHER_SPACE = re.compile("[" + re.escape("".join(SPACES - {" ", "\n"})) + "]")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -89,8 +95,12 @@ class ByteBpe:
         self.special = {t["content"]: t["id"] for t in j["added_tokens"]}
         cut = "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.cut = re.compile(f"({cut})") if cut else None
-        self.bytes_of = {i: bytes(alphabet[c] for c in t) for t, i in vocab.items() if all(c in alphabet for c in t)}
-        self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
+        table = {i: bytes(alphabet[c] for c in t) for t, i in vocab.items()} | {i: s.encode() for s, i in self.special.items()}
+        tokens = [table.get(i, b"") for i in range(max(table) + 1)]
+        #: all tokens' bytes one after the other, and where each begins
+        self.blob = np.frombuffer(b"".join(tokens), np.uint8)
+        self.byte_len = np.array([len(t) for t in tokens])
+        self.byte_at = np.cumsum(self.byte_len) - self.byte_len
         self.old: dict[str, bytes] = {}  # the cache, in two halves by age
         self.fresh: dict[str, bytes] = {}
 
@@ -157,7 +167,7 @@ class ByteBpe:
                                 index[r] = [np.array([at])]
                                 heapq.heappush(active, r)
                 continue
-            places = np.unique(places)
+            # a place gets a pair of different symbols once only, and such pairs never overlap
             places = places[sym[places] == a]
             seconds = nxt[places]
             fit = sym[seconds] == b
@@ -171,13 +181,35 @@ class ByteBpe:
         ids = sym[sym >= 0]
         return ids, np.bincount(word_of[np.flatnonzero(sym >= 0) - 1], minlength=len(words))
 
-    def learn(self, pieces: set[str]) -> None:
-        """Put pieces that the cache does not have into it."""
-        todo = [x for x in pieces if x not in self.fresh]
-        old = self.old
-        self.fresh.update((x, old[x]) for x in todo if x in old)
+    def keys_of(self, x: str) -> list[str]:
+        """Cache keys of the pieces of a text without special strings. A key is a
+        piece without the one space before it; pieces of white space are their
+        own keys; a piece without a space before it has a carriage return there.
+
+        In a text whose white space is single spaces and line feeds inside words
+        (the common case), cutting at the spaces gives the pieces, or several
+        that follow each other, as one."""
+        if "  " in x or " \n" in x or "\n " in x or x[-1:] == " " or OTHER_SPACE.search(x):
+            found, keys = COARSE.findall(x), []
+        else:
+            first, *keys = x.split(" ")
+            found = COARSE.findall(first)
+        spelled = [p[1:] if p[0] == " " and len(p) > 1 and p[1] not in SPACES else p if p[0] in SPACES else "\r" + p for p in found]
+        return spelled + keys
+
+    @staticmethod
+    def piece_of(key: str) -> str:
+        if key[0] == "\r" and len(key) > 1 and key[1] not in SPACES:
+            return key[1:]
+        return key if key[0] in SPACES else " " + key
+
+    def learn(self, keys: set[str]) -> None:
+        """Put the pieces that the cache does not have into it."""
+        fresh, old = self.fresh, self.old
+        todo = keys.difference(fresh)
+        fresh.update((x, old[x]) for x in todo if x in old)
         todo = [x for x in todo if x not in old]
-        words = list(map(self.fine.findall, todo))
+        words = list(map(self.cut_piece, map(self.piece_of, todo)))
         place = {w: i for i, w in enumerate(dict.fromkeys(itertools.chain.from_iterable(words)))}
         if not place:
             return
@@ -185,16 +217,25 @@ class ByteBpe:
         raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
         starts = [0, *ends]
         for x, ws in zip(todo, words):
-            at = [place[w] for w in ws]
-            self.fresh[x] = b"".join(raw[starts[i]:ends[i]] for i in at)
+            i = place[ws[0]]
+            fresh[x] = raw[starts[i]:ends[i]] if len(ws) == 1 else \
+                b"".join([raw[starts[i]:ends[i]] for i in map(place.__getitem__, ws)])
+
+    def cut_piece(self, x: str) -> list[str]:
+        """The pattern's words of a piece; plain words are told without it."""
+        if x[1:].isalpha() and (x[0] == " " or x[0].isalpha()):
+            return [x]
+        if x[-1] in ".," and x[1:-1].isalpha() and (x[0] == " " or x[0].isalpha()):
+            return [x[:-1], x[-1]]
+        return self.fine.findall(x)
 
     @no_gc()
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out, rows, chars = [], [], 0
         for t in texts:
-            parts = self.cut.split(t or "") if self.cut else [t or ""]
-            rows.append([[x] if x in self.special else COARSE.findall(x) for x in parts])
+            rows.append([(x, None) if x in self.special else (x, self.keys_of(x))
+                         for x in (self.cut.split(t or "") if self.cut else [t or ""])])
             chars += len(t or "")
             if chars >= BLOCK_CHARS:
                 out += self._encode_block(rows)
@@ -204,16 +245,32 @@ class ByteBpe:
     def _encode_block(self, rows: list) -> list[bytes]:
         if len(self.fresh) > CACHE_PIECES // 2:  # the half not met lately goes
             self.old, self.fresh = self.fresh, {}
-        seen = {p for row in rows for part in row for p in part}
-        self.learn(seen.difference(self.special))
+        self.learn(set().union(*(keys for row in rows for _, keys in row if keys)))
         get, special = self.fresh.__getitem__, self.special
-        return [b"".join(struct.pack("<I", special[part[0]]) if len(part) == 1 and part[0] in special
-                         else b"".join(map(get, part)) for part in row) for row in rows]
-
-    def decode(self, ids: bytes | None) -> str:
-        """The text of little-endian unsigned 32-bit ids."""
-        ids = bytes(ids or b"")
-        return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
+        return [b"".join([struct.pack("<I", special[x]) if keys is None else b"".join(map(get, keys)) for x, keys in row])
+                for row in rows]
+
+    def decode(self, rows: list[bytes | None]) -> list[str]:
+        """The texts of rows of little-endian unsigned 32-bit ids."""
+        out, block, held = [], [], 0
+        for r in rows:
+            block.append(bytes(r or b""))
+            held += len(block[-1])
+            if held >= 4 * BLOCK_IDS:
+                out += self._decode_block(block)
+                block, held = [], 0
+        return out + self._decode_block(block)
+
+    def _decode_block(self, rows: list[bytes]) -> list[str]:
+        ids = np.frombuffer(b"".join(rows), "<u4").astype(np.int64)
+        lens = self.byte_len[ids]
+        ends = np.cumsum(lens)
+        # byte j of a token lies j after the token's start in the table of all tokens' bytes
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.byte_at[ids] - (ends - lens), lens)
+        raw = self.blob[place].tobytes()
+        cuts = np.cumsum([0] + [len(r) // 4 for r in rows])
+        at = np.concatenate(([0], ends))[cuts].tolist()
+        return [raw[i:j].decode("utf-8", "replace") for i, j in zip(at, at[1:])]
 
 
 @functools.cache
@@ -237,17 +294,30 @@ def decoded(ids: Column, path: str) -> Column:
 
     @F.pandas_udf("string")
     def of(rows: pd.Series) -> pd.Series:
-        return pd.Series([bpe(path).decode(x) for x in rows], dtype=object)
+        return pd.Series(bpe(path).decode(rows.tolist()), dtype=object)
 
     return of(ids)
 
 
 def encode_decode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with two more columns: its ids and their text, named ``ids`` and
-    ``decoded`` (with underscores before them if ``docs`` has such columns)."""
+    ``decoded`` (with underscores before them if ``docs`` has such columns). One Python
+    worker a task does both."""
+
     ids, back = fresh(docs, "ids", "decoded")
-    out = docs.withColumn(ids, encoded(col(docs, text_col), path))
-    return out.withColumn(back, decoded(F.col(ids), path))
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns])
+    at_column = docs.columns.index(text_col)
+    schema = T.StructType([*rows.schema.fields, T.StructField(ids, T.BinaryType()), T.StructField(back, T.StringType())])
+
+    def run(batches):
+        for big in batches:
+            for at in range(0, big.num_rows, BATCH_ROWS):  # results leave in small batches
+                b = big.slice(at, BATCH_ROWS)
+                found = bpe(path).encode(b.column(at_column).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns, pa.array(found, pa.binary()), pa.array(bpe(path).decode(found), pa.string())], schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

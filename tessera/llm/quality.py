@@ -49,7 +49,7 @@ RISK = 0.01
 DELTA = 0.05
 LEVELS = ((0.0, 20), (0.0, 10), (0.0, 5), (0.0, 0), (0.0005, 0), (0.001, 0), (0.002, 0), (0.004, 0))
 GRID = 200  # cutoffs per rule, even steps up to the rule's largest cutoff
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 150_000
 SYMBOLS = "#*$%&|<>"  # fixed by the contract
 COUNTS = ("n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_upper "
           "n_echo n_long n_distinct").split()

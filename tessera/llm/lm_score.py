@@ -4,7 +4,7 @@ Tokens (words, then one end) are written in a binary code: the ``max_words`` mos
 frequent words of those met twice or more, the end and an escape have a Huffman
 code; an escaped word is spelled in a Huffman code of bytes. Words met once teach
 the model when to escape. Each code bit is predicted by several models: the code
-tree itself, hashed contexts (the class of the word before, the last very frequent word; for bytes the one to four bytes before) and, for words, the word
+tree itself, hashed contexts (the class of the word before, the last very frequent word; for bytes the two, three and four bytes before) and, for words, the word
 that followed the last occurrence of the same two words in the text. The
 predictions, as log odds, are combined by weights; a gate, made of how much the
 contexts have seen, selects the weights. The result is refined by an adaptive
@@ -52,14 +52,16 @@ MAX_WORDS = 1 << 17
 MAX_WORD_BYTES = 64  # longer words are spelled, which bounds the dictionary
 TABLE_BITS = 18
 DEPTH = 9  # code bits of a word that are mixed
+BYTE_DEPTH = 10  # and of a byte
 FREQUENT = 256
 GATES = 32
 BUCKETS = 33
 BLOCK_TOKENS = 100_000
+RUN_SYMBOLS = 1 << 14
 CHUNK = 1 << 14
-RATE = 0.4
-WORD_CONTEXTS, SPELL_CONTEXTS = 2, 4
-CACHE_WORDS = 300_000
+RATE = 0.05
+WORD_CONTEXTS, SPELL_CONTEXTS = 2, 3
+CACHE_WORDS = 600_000
 END = b""  # the end's key in the dictionary; no word equals it
 LOG10E = float(np.log10(np.e))
 
@@ -117,8 +119,23 @@ class Mixer:
         self.map: np.ndarray | None = None
 
     def run(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None, learn: bool) -> np.ndarray:
-        """Natural log probability of each symbol, from what is known before the
-        block; ``learn``: then correct the weights and count the block."""
+        """Natural log probability of each symbol, from the counts known before the
+        block; ``learn``: correct the weights on the way and count the block at its end.
+        Work goes by small runs, whose arrays stay in the processor's cache."""
+        out = np.empty(len(ids))
+        cells: list[list] = [[] for _ in range(self.contexts)]
+        for at in range(0, len(ids), RUN_SYMBOLS):
+            cut = slice(at, at + RUN_SYMBOLS)
+            out[cut] = self._run(cb, ids[cut], [c[cut] for c in ctx], None if pred is None else pred[cut], cells if learn else None)
+        if learn and len(ids):
+            for k in range(self.contexts):
+                both = np.bincount(np.concatenate(cells[k]), minlength=2 * self.size)
+                self.n[k] += both[::2] + both[1::2]
+                self.n1[k] += both[1::2]
+                self.packed[k] = pack(self.n[k], self.n1[k])
+        return out
+
+    def _run(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None, cells: list | None) -> np.ndarray:
         lens = cb.lens[ids]
         order = np.argsort(255 - lens, kind="stable")  # longest codes first: a depth's symbols are a prefix
         ids, lens = ids[order], lens[order].astype(np.int32)
@@ -132,7 +149,6 @@ class Mixer:
             q = np.maximum(pred, 0)
             q_codes, q_lens = cb.codes[q], cb.lens[q].astype(np.int32)
         live = np.cumsum(np.bincount(lens, minlength=1)[::-1])[::-1]  # symbols of at least so many bits
-        cells: list[list] = [[] for _ in range(self.contexts)]
         for d in range(len(live) - 1):
             n = int(live[d + 1])
             node = node[:n]
@@ -146,7 +162,7 @@ class Mixer:
                 xs.append((v >> 2).astype(np.float32) * np.float32(1 / 512))
                 if k < 2:
                     gate += (v & 3) << (2 * k)
-                if learn:
+                if cells is not None:
                     cells[k].append(2 * slot + bit)
             row = np.int16(min(d, 15))
             if pred is None:
@@ -165,32 +181,28 @@ class Mixer:
                 x += _take(w, gate) * s
             np.clip(x, -12, 12, out=x)
             sign = (1 - 2 * bit).astype(np.float32)
-            if learn:
+            if cells is not None:
                 self._correct(xs, gate, row, x, bit)
             elif self.map is not None:
                 x += _take(self.map, _cell(row, x))
                 sign *= np.float32(0.5)
             lp[:n] -= np.log1p(np.exp(x * sign))
             node = 2 * node + bit
-        if learn and len(ids):
-            for k in range(self.contexts):
-                both = np.bincount(np.concatenate(cells[k]), minlength=2 * self.size)
-                self.n[k] += both[::2] + both[1::2]
-                self.n1[k] += both[1::2]
-                self.packed[k] = pack(self.n[k], self.n1[k])
         out = np.empty(len(lp))
         out[order] = lp
         return out
 
     def _correct(self, xs: list, gate: np.ndarray, row, x: np.ndarray, bit: np.ndarray) -> None:
-        """A gradient step of the weights, and the map's counts."""
-        err = bit - 1 / (1 + np.exp(-x))
+        """A gradient step of the weights, and the map's counts, by every fourth bit of
+        the run (its symbols lie by code length, so that is an even share)."""
+        gate, x, bit = gate[::4], x[::4], bit[::4]
+        err = bit.astype(np.float32) - 1 / (1 + np.exp(-x))
         n = np.bincount(gate, minlength=GATES)
-        step = RATE / (0.3 * n + 50)
+        step = RATE / (0.3 * n + 12)
         for k, s in enumerate(xs):
-            self.weights[k] += (np.bincount(gate, err * s, GATES) * step).astype(np.float32)
+            self.weights[k] += (np.bincount(gate, err * s[::4], GATES) * step).astype(np.float32)
         self.seen += n
-        both = np.bincount(2 * _cell(row, x) + bit, minlength=2 * GATES * BUCKETS)
+        both = np.bincount(2 * _cell(row if np.isscalar(row) else row[::4], x) + bit, minlength=2 * GATES * BUCKETS)
         self.map_n += both[::2] + both[1::2]
         self.map_n1 += both[1::2]
 
@@ -307,7 +319,7 @@ def spell_contexts(ids: np.ndarray, first: np.ndarray):
 
     a, b, c, d = before(1), before(2), before(3), before(4)
     three = (a * 259 + b) * 259 + c
-    return [mix32(three, 6), mix32(a * 259 + b, 5), mix32(a, 4), mix32(three * 259 + d, 7)]
+    return [mix32(three, 6), mix32(a * 259 + b, 5), mix32(three * 259 + d, 7)]
 
 
 class Model:
@@ -322,7 +334,7 @@ class Model:
         keys = words + [END] + [bytes([x]) for x in range(256)]
         rank[sorted(range(len(keys)), key=keys.__getitem__)] = np.arange(len(keys))
         self.word_code = Codebook(np.concatenate([self.counts, [n_end], escapes]), rank, DEPTH)
-        self.byte_code = Codebook(byte_counts, np.arange(len(byte_counts)), 32)
+        self.byte_code = Codebook(byte_counts, np.arange(len(byte_counts)), BYTE_DEPTH)
         self.word_mixer: Mixer | None = None
         self.byte_mixer: Mixer | None = None
 
@@ -340,8 +352,8 @@ class Model:
         return {w: i for i, w in enumerate(words)} | {END: self.end}
 
     @functools.cached_property
-    def spelled(self) -> dict[bytes, float]:
-        return {}
+    def spelled(self) -> list[dict[bytes, float]]:
+        return [{}, {}]
 
     def token_ids(self, texts: list[str | None], once: bool = False):
         """(ids, whether a text begins, escaped places, their words, lengths) of texts
@@ -360,10 +372,12 @@ class Model:
 
     def spell(self, words: list[bytes]) -> np.ndarray:
         """Natural log probability of the spelling of each word."""
-        known = self.spelled
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        todo = list(set(words).difference(known))
+        known, old = self.spelled
+        if len(known) > CACHE_WORDS // 2:  # the half not met lately goes
+            self.spelled[:] = known, old = {}, known
+        todo = set(words).difference(known)
+        known.update((w, old[w]) for w in todo if w in old)
+        todo = [w for w in todo if w not in old]
         for at in range(0, len(todo), 8192):
             part = todo[at:at + 8192]
             ids, first, lens = byte_ids(part)
@@ -418,7 +432,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         for b in batches:
             for t in b.column(0).to_pylist():
                 c.update(tokens_of(t))
-                if len(c) > 500_000:
+                if len(c) > 700_000:
                     yield out()
                     c.clear()
         yield out()
@@ -469,7 +483,7 @@ def train(docs: DataFrame, max_words: int = MAX_WORDS):
                 words = [w for w in b.column(0).to_pylist() if w]
                 while words:
                     ids, first, _ = byte_ids(words[:size])
-                    words, size = words[size:], min(16_384, 2 * size)
+                    words, size = words[size:], min(32_768, 2 * size)
                     mixer.run(m.byte_code, ids, spell_contexts(ids, first), None, True)
         yield from part_batches(mixer.parts("b"))
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import col, fresh, no_gc, table
+from tessera.llm.common import col, fresh, no_gc, table, trim_memory
 from tessera.llm.registry import query
 
 CACHE_PIECES = 400_000
@@ -316,6 +316,7 @@ def encode_decode(docs: DataFrame, path: str, text_col: str = "text") -> DataFra
                 found = bpe(path).encode(b.column(at_column).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, pa.array(found, pa.binary()), pa.array(bpe(path).decode(found), pa.string())], schema.names)
+        trim_memory()
 
     return rows.mapInArrow(run, schema)
 

@@ -108,3 +108,13 @@ def no_gc():
     finally:
         if on:
             gc.enable()
+
+
+def trim_memory() -> None:
+    """Give freed memory of this process back to the system, where its C library can.
+    A reused Python worker otherwise keeps the peak of its largest batch."""
+    import ctypes
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import col, fresh, stored, table
+from tessera.llm.common import col, fresh, stored, table, trim_memory
 from tessera.llm.registry import query
 
 WINDOW = 8
@@ -132,6 +132,7 @@ def counts(text: Column) -> Column:
                 blocks.append(count_block(block))
                 block, size = [], 0
         blocks.append(count_block(block))
+        trim_memory()
         return pd.DataFrame({c: np.concatenate([b[c] for b in blocks]) for c in COUNTS})
 
     return of(text)

@@ -193,16 +193,14 @@ class Mixer:
         return out
 
     def _correct(self, xs: list, gate: np.ndarray, row, x: np.ndarray, bit: np.ndarray) -> None:
-        """A gradient step of the weights, and the map's counts, by every fourth bit of
-        the run (its symbols lie by code length, so that is an even share)."""
-        gate, x, bit = gate[::4], x[::4], bit[::4]
+        """A gradient step of the weights, and the map's counts, by all bits of the run."""
         err = bit.astype(np.float32) - 1 / (1 + np.exp(-x))
         n = np.bincount(gate, minlength=GATES)
         step = RATE / (0.3 * n + 12)
         for k, s in enumerate(xs):
-            self.weights[k] += (np.bincount(gate, err * s[::4], GATES) * step).astype(np.float32)
+            self.weights[k] += (np.bincount(gate, err * s, GATES) * step).astype(np.float32)
         self.seen += n
-        both = np.bincount(2 * _cell(row if np.isscalar(row) else row[::4], x) + bit, minlength=2 * GATES * BUCKETS)
+        both = np.bincount(2 * _cell(row, x) + bit, minlength=2 * GATES * BUCKETS)
         self.map_n += both[::2] + both[1::2]
         self.map_n1 += both[1::2]
 

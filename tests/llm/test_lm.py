@@ -78,6 +78,15 @@ def test_probabilities_of_all_next_symbols_add_up_to_one():
     assert abs(lp - 1) < 1e-4
 
 
+def test_weights_and_map_learn_from_every_bit():
+    random.seed(3)
+    texts = [" ".join(random.choices(["aa", "ab", "b", "cc", "ä"], k=8)) for _ in range(50)]
+    m = model(texts)
+    ids = m.token_ids(texts, once=True)[0]
+    bits = 3 * int(m.word_code.lens[ids].sum())  # model() trains three times
+    assert m.word_mixer.seen.sum() == bits and m.word_mixer.map_n.sum() == bits
+
+
 def test_a_score_does_not_depend_on_neighbours():
     texts = ["aa ab b aa", "cc b b b b", "", "ä zz aa"] * 5
     m = model(texts)

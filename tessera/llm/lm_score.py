@@ -4,7 +4,7 @@ Tokens (words, then one end) are written in a binary code: the ``max_words`` mos
 frequent words of those met twice or more, the end and an escape have a Huffman
 code; an escaped word is spelled in a Huffman code of bytes. Words met once teach
 the model when to escape. Each code bit is predicted by several models: the code
-tree itself, hashed contexts (the class of the word before, the last very frequent word; for bytes the two, three and four bytes before) and, for words, the word
+tree itself, hashed contexts (the word before, the last very frequent word; for bytes the two, three and four bytes before) and, for words, the word
 that followed the last occurrence of the same two words in the text. The
 predictions, as log odds, are combined by weights; a gate, made of how much the
 contexts have seen, selects the weights. The result is refined by an adaptive
@@ -51,8 +51,7 @@ FOLDS, HELD_FOLD = 5, 1
 MAX_WORDS = 1 << 17
 MAX_WORD_BYTES = 64  # longer words are spelled, which bounds the dictionary
 TABLE_BITS = 18
-DEPTH = 9  # code bits of a word that are mixed
-BYTE_DEPTH = 10  # and of a byte
+BYTE_DEPTH = 10  # code bits of a byte that are mixed
 FREQUENT = 256
 GATES = 32
 BUCKETS = 33
@@ -68,10 +67,11 @@ LOG10E = float(np.log10(np.e))
 
 class Codebook:
     """Canonical Huffman code of the symbols 0 to n-1; symbols of one length are in
-    the order of ``rank``. The first ``depth`` bits of a code are predicted by the
-    mixer; what is left of a longer code by the symbols' counts (``tail``)."""
+    the order of ``rank``. The first ``depth`` bits of a code (all, unless told
+    otherwise) are predicted by the mixer; what is left of a longer code by the
+    symbols' counts (``tail``)."""
 
-    def __init__(self, counts: np.ndarray, rank: np.ndarray, depth: int):
+    def __init__(self, counts: np.ndarray, rank: np.ndarray, depth: int = 62):
         n = len(counts)
         counts = counts.astype(np.int64) + 1
         heap = [(w, i) for i, w in enumerate(counts.tolist())]
@@ -91,17 +91,25 @@ class Codebook:
         codes = np.zeros(n, np.int64)
         codes[order] = (used - (np.int64(1) << (high - lens[order]))) >> (high - lens[order])
         self.lens = np.minimum(lens, depth).astype(np.uint8)
-        self.codes = (codes >> (lens - self.lens)).astype(np.int32)
-        #: the tree's nodes by (1 << depth) + code so far; log odds of a 1
-        self.prior = np.zeros(1 << int(self.lens.max()), np.float32)
-        for d in range(int(self.lens.max())):
+        high = int(self.lens.max())
+        codes = codes >> (lens - self.lens)
+        self.codes = codes.astype(np.int32 if high < 32 else np.int64)
+        #: of the nodes of a depth the leaves come first: their number, and where the inner nodes are numbered from
+        self.leaves, self.start = np.zeros(high + 1, np.int64), np.zeros(high + 1, np.int64)
+        prior, inner = [], 1
+        for d in range(high):
             deep = self.lens > d
-            below = np.bincount(self.codes[deep] >> (self.lens[deep] - d - 1).astype(np.int32), counts[deep], 2 << d) + 0.5
-            self.prior[1 << d:2 << d] = np.log(below[1::2] / below[::2])
-        end = (np.int64(1) << self.lens.astype(np.int64)) + self.codes
+            below = (codes[deep] >> (self.lens[deep] - np.int64(d + 1))) - 2 * ((np.int64(1) << d) - inner)
+            odds = np.bincount(below, counts[deep], 2 * inner) + 0.5
+            prior.append(np.log(odds[1::2] / odds[::2]))
+            self.start[d + 1] = self.start[d] + inner
+            self.leaves[d + 1] = ((lens == d + 1) & (self.lens == d + 1)).sum()
+            inner = 2 * inner - int(self.leaves[d + 1])
+        #: log odds of a 1, by inner node
+        self.prior = np.concatenate([*prior, np.zeros(1)]).astype(np.float32)
         #: symbols with equal first bits of their codes
-        self.classes = end.astype(np.int32)
-        self.tail = np.log(counts / np.bincount(end, counts)[end])
+        self.classes = np.unique((np.int64(1) << self.lens.astype(np.int64)) + codes, return_inverse=True)[1].astype(np.int32)
+        self.tail = np.log(counts / np.bincount(self.classes, counts)[self.classes])
 
 
 class Mixer:
@@ -142,7 +150,7 @@ class Mixer:
         codes = cb.codes[ids]
         ctx = [c[order] for c in ctx]
         lp = cb.tail[ids]
-        node = np.ones(len(ids), np.int32)
+        node = np.zeros(len(ids), np.int64)
         if pred is not None:
             pred = pred[order]
             alive = pred >= 0
@@ -153,8 +161,9 @@ class Mixer:
             n = int(live[d + 1])
             node = node[:n]
             bit = (codes[:n] >> (lens[:n] - (d + 1))) & 1
-            spread = node.astype(np.uint32) * np.uint32(0x9E3779B1)
-            xs = [_take(cb.prior, node)]
+            at = node + cb.start[d]
+            spread = at.astype(np.uint32) * np.uint32(0x9E3779B1)
+            xs = [_take(cb.prior, at)]
             gate = np.zeros(n, np.int16)
             for k in range(self.contexts):
                 slot = (((ctx[k][:n] ^ spread) * np.uint32(0x85EBCA6B)) >> self.shift).astype(np.intp)
@@ -187,7 +196,7 @@ class Mixer:
                 x += _take(self.map, _cell(row, x))
                 sign *= np.float32(0.5)
             lp[:n] -= np.log1p(np.exp(x * sign))
-            node = 2 * node + bit
+            node = 2 * node + bit - cb.leaves[d + 1]  # less than 0: the code ends here
         out = np.empty(len(lp))
         out[order] = lp
         return out
@@ -331,7 +340,7 @@ class Model:
         rank = np.zeros(len(words) + 257, np.int64)  # words alike get codes alike
         keys = words + [END] + [bytes([x]) for x in range(256)]
         rank[sorted(range(len(keys)), key=keys.__getitem__)] = np.arange(len(keys))
-        self.word_code = Codebook(np.concatenate([self.counts, [n_end], escapes]), rank, DEPTH)
+        self.word_code = Codebook(np.concatenate([self.counts, [n_end], escapes]), rank)
         self.byte_code = Codebook(byte_counts, np.arange(len(byte_counts)), BYTE_DEPTH)
         self.word_mixer: Mixer | None = None
         self.byte_mixer: Mixer | None = None

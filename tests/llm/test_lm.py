@@ -87,6 +87,32 @@ def test_weights_and_map_learn_from_every_bit():
     assert m.word_mixer.seen.sum() == bits and m.word_mixer.map_n.sum() == bits
 
 
+def test_words_of_long_codes_are_told_apart_by_context():
+    pairs = [(f"a{i}", f"b{i}") for i in range(1500)]
+    random.seed(4)
+    texts = [" ".join(p) for p in random.sample(pairs, len(pairs)) for _ in range(3)]
+    m = model(texts, 5000)
+    m.word_mixer = L.Mixer(L.WORD_CONTEXTS, 18)
+
+    def run(texts, learn):
+        ids, first, _, _, lens = m.token_ids(texts)
+        ctx, pred = L.word_contexts(ids, first, m.end, m.word_code.classes)
+        lp = m.word_mixer.run(m.word_code, ids, ctx, pred, learn)
+        return np.add.reduceat(lp, np.cumsum(lens) - lens)
+
+    for _ in range(5):
+        run(texts, True)
+    assert m.word_code.lens.max() > 9 and not m.word_code.tail.any()  # no bit is left to the counts
+    of = m.word_code.codes[[m.ids[b.encode()] for _, b in pairs]] >> 2  # words whose codes differ at the end only
+    like = {}
+    for (_, b), c in zip(pairs, of.tolist()):
+        like.setdefault(c, []).append(b)
+    wrong = [(a, o) for (a, b), c in zip(pairs, of.tolist()) for o in like[c] if o != b]
+    right = dict(zip((a for a, _ in pairs), run([" ".join(p) for p in pairs], False)))
+    less = [right[a] - x for (a, _), x in zip(wrong, run([" ".join(p) for p in wrong], False))]
+    assert len(less) > 1000 and np.mean(less) > 1
+
+
 def test_a_score_does_not_depend_on_neighbours():
     texts = ["aa ab b aa", "cc b b b b", "", "ä zz aa"] * 5
     m = model(texts)

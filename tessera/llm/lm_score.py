@@ -4,7 +4,7 @@ Tokens (words, then one end) are written in a binary code: the ``max_words`` mos
 frequent words of those met twice or more, the end and an escape have a Huffman
 code; an escaped word is spelled in a Huffman code of bytes. Words met once teach
 the model when to escape. Each code bit is predicted by several models: the code
-tree itself, hashed contexts (the word before, the last very frequent word; for bytes the two, three and four bytes before) and, for words, the word
+tree itself, hashed contexts (the word before, the last very frequent word; for bytes the one to four bytes before) and, for words, the word
 that followed the last occurrence of the same two words in the text. The
 predictions, as log odds, are combined by weights; a gate, made of how much the
 contexts have seen, selects the weights. The result is refined by an adaptive
@@ -51,7 +51,6 @@ FOLDS, HELD_FOLD = 5, 1
 MAX_WORDS = 1 << 17
 MAX_WORD_BYTES = 64  # longer words are spelled, which bounds the dictionary
 TABLE_BITS = 18
-BYTE_DEPTH = 10  # code bits of a byte that are mixed
 FREQUENT = 256
 GATES = 32
 BUCKETS = 33
@@ -59,7 +58,7 @@ BLOCK_TOKENS = 100_000
 RUN_SYMBOLS = 1 << 14
 CHUNK = 1 << 14
 RATE = 0.05
-WORD_CONTEXTS, SPELL_CONTEXTS = 2, 3
+WORD_CONTEXTS, SPELL_CONTEXTS = 2, 4
 CACHE_WORDS = 600_000
 END = b""  # the end's key in the dictionary; no word equals it
 LOG10E = float(np.log10(np.e))
@@ -326,7 +325,7 @@ def spell_contexts(ids: np.ndarray, first: np.ndarray):
 
     a, b, c, d = before(1), before(2), before(3), before(4)
     three = (a * 259 + b) * 259 + c
-    return [mix32(three, 6), mix32(a * 259 + b, 5), mix32(three * 259 + d, 7)]
+    return [mix32(three, 6), mix32(a * 259 + b, 5), mix32(a, 4), mix32(three * 259 + d, 7)]
 
 
 class Model:
@@ -341,7 +340,7 @@ class Model:
         keys = words + [END] + [bytes([x]) for x in range(256)]
         rank[sorted(range(len(keys)), key=keys.__getitem__)] = np.arange(len(keys))
         self.word_code = Codebook(np.concatenate([self.counts, [n_end], escapes]), rank)
-        self.byte_code = Codebook(byte_counts, np.arange(len(byte_counts)), BYTE_DEPTH)
+        self.byte_code = Codebook(byte_counts, np.arange(len(byte_counts)))
         self.word_mixer: Mixer | None = None
         self.byte_mixer: Mixer | None = None
 

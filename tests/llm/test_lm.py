@@ -113,6 +113,16 @@ def test_words_of_long_codes_are_told_apart_by_context():
     assert len(less) > 1000 and np.mean(less) > 1
 
 
+def test_spelling_mixes_all_bits_with_one_to_four_bytes_before():
+    random.seed(5)
+    m = model([" ".join("".join(random.choices("abcdefgh", k=9)) for _ in range(900)) + " äöü 日本語"])
+    assert m.byte_code.lens.max() > 10 and not m.byte_code.tail.any()
+    ids, first, _ = L.byte_ids([b"abcde", b"xbcde", b"xycde", b"xyzde", b"xyzwe"])
+    ends = [[int(c[at]) for at in range(5, 30, 6)] for c in L.spell_contexts(ids, first)]
+    same = sorted(sum(x == e[0] for x in e) for e in ends)  # the context at the end of each word
+    assert same == [2, 3, 4, 5]
+
+
 def test_a_score_does_not_depend_on_neighbours():
     texts = ["aa ab b aa", "cc b b b b", "", "ä zz aa"] * 5
     m = model(texts)

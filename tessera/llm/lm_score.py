@@ -25,9 +25,14 @@ the training part. Repeated rows are scored each. With no training token
 the base counts are 0 and the model predicts from its prior. Extra columns are
 ignored; an empty table gives an empty result.
 
-Scale: the dictionary (``max_words``) and the tables (2^``TABLE_BITS`` slots) are of fixed
-size whatever the corpus; per task, counts are summed before they are shuffled.
-Merging streams over the tasks' tables with constant memory.
+Scale: the dictionary and the tables grow with the square root of the N training
+tokens (``table_bits``, ``dictionary_words``; the spelling's tables with the distinct
+words), without a cap. At N = 2*10^7, 10^8, 5*10^9 (about 30 GB) and 2*10^13 a table has
+2^20, 2^21, 2^24 and 2^30 slots, the dictionary 131 thousand, 226 thousand, 1.6 million
+and 101 million words. Both are broadcast whole: from some N on, they outgrow a worker's
+memory and would have to be split by slot range, which is not built. Per task, counts
+are summed before they are shuffled. Merging streams over the tasks' tables with
+constant memory; the driver receives the merged tables, two bytes a slot.
 """
 
 from __future__ import annotations
@@ -48,7 +53,8 @@ from tessera.llm.common import col, no_gc, stored, table
 from tessera.llm.registry import query
 
 FOLDS, HELD_FOLD = 5, 1
-MAX_WORDS = 1 << 17
+BASE_TOKENS = 1 << 21  # training tokens up to which tables have 2^TABLE_BITS slots
+BASE_WORDS = 1 << 17  # and the least size of the dictionary, which grows from 16 times the tokens
 MAX_WORD_BYTES = 64  # longer words are spelled, which bounds the dictionary
 TABLE_BITS = 18
 FREQUENT = 256
@@ -64,6 +70,16 @@ END = b""  # the end's key in the dictionary; no word equals it
 LOG10E = float(np.log10(np.e))
 
 
+def table_bits(n_tokens: int) -> int:
+    """Bits of a table's slots: with the square root of the training tokens, without a cap."""
+    return TABLE_BITS + max(0, round(0.5 * np.log2(max(n_tokens, 1) / BASE_TOKENS)))
+
+
+def dictionary_words(n_tokens: int) -> int:
+    """Words of the dictionary: with the square root of the training tokens, without a cap."""
+    return max(BASE_WORDS, int(BASE_WORDS * np.sqrt(n_tokens / (16 * BASE_TOKENS))))
+
+
 class Codebook:
     """Canonical Huffman code of the symbols 0 to n-1; symbols of one length are in
     the order of ``rank``. The first ``depth`` bits of a code (all, unless told
@@ -116,8 +132,8 @@ class Mixer:
 
     def __init__(self, contexts: int, bits: int = TABLE_BITS):
         self.contexts, self.shift, self.size = contexts, np.uint32(32 - bits), 1 << bits
-        self.n = [np.zeros(self.size, np.int64) for _ in range(contexts)]
-        self.n1 = [np.zeros(self.size, np.int64) for _ in range(contexts)]
+        self.n = [np.zeros(self.size, np.uint32) for _ in range(contexts)]  # of one task
+        self.n1 = [np.zeros(self.size, np.uint32) for _ in range(contexts)]
         self.packed = [np.zeros(self.size, np.int16) for _ in range(contexts)]
         self.weights = np.full((contexts + 2, GATES), 0.3, np.float32)
         self.seen = np.zeros(GATES)
@@ -136,10 +152,17 @@ class Mixer:
             out[cut] = self._run(cb, ids[cut], [c[cut] for c in ctx], None if pred is None else pred[cut], cells if learn else None)
         if learn and len(ids):
             for k in range(self.contexts):
-                both = np.bincount(np.concatenate(cells[k]), minlength=2 * self.size)
-                self.n[k] += both[::2] + both[1::2]
-                self.n1[k] += both[1::2]
-                self.packed[k] = pack(self.n[k], self.n1[k])
+                cell = np.concatenate(cells[k])
+                if len(cell) < self.size:  # the slots met only
+                    at = cell >> 1
+                    np.add.at(self.n[k], at, np.uint32(1))
+                    np.add.at(self.n1[k], at[(cell & 1).astype(bool)], np.uint32(1))
+                    self.packed[k][at] = pack(self.n[k][at], self.n1[k][at])
+                else:
+                    both = np.bincount(cell, minlength=2 * self.size).astype(np.uint32)
+                    self.n[k] += both[::2] + both[1::2]
+                    self.n1[k] += both[1::2]
+                    self.packed[k] = pack(self.n[k], self.n1[k])
         return out
 
     def _run(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None, cells: list | None) -> np.ndarray:
@@ -241,7 +264,7 @@ def pack(n: np.ndarray, n1: np.ndarray) -> np.ndarray:
 
 
 def merged(rows: DataFrame) -> dict:
-    """Sum the parts (kind, place, data) of all tasks; the result is of fixed size."""
+    """Sum the parts (kind, place, data) of all tasks; the result grows as the tables do."""
 
     def run(batches):
         key, total = None, None
@@ -307,9 +330,15 @@ def word_contexts(ids: np.ndarray, first: np.ndarray, end: int, classes: np.ndar
     last[1:] = seen[:-1]
     begin = np.maximum.accumulate(np.where(first, place, 0))
     frequent = np.where(last >= begin, ids[np.maximum(last, 0)], end)
-    key = (doc << np.int64(40)) + (p2 << np.int64(20)) + p1
-    order = np.argsort(key, kind="stable")
-    same = key[order[1:]] == key[order[:-1]]
+    wide = end + 257  # ids are less
+    pair = p2 * wide + p1
+    if n * wide * wide < 1 << 63:
+        key = doc * (wide * wide) + pair
+        order = np.argsort(key, kind="stable")
+        same = key[order[1:]] == key[order[:-1]]
+    else:
+        order = np.lexsort((pair, doc))
+        same = (pair[order[1:]] == pair[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
     pred = np.full(n, -1, np.int64)
     pred[order[1:][same]] = ids[order[:-1][same]]
     return [mix32(classes[p1], 1), mix32(frequent, 3)], pred
@@ -447,16 +476,18 @@ def count_words(docs: DataFrame) -> DataFrame:
     return stored(rows.groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
 
 
-def train(docs: DataFrame, max_words: int = MAX_WORDS):
-    """(broadcast model, count table) of ``docs`` (text)."""
+def train(docs: DataFrame, max_words: int | None = None):
+    """(broadcast model, count table, tokens, distinct words) of ``docs`` (text)."""
     spark = docs.sparkSession
     counts = count_words(docs)
     all_ = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v"),
                       F.sum(F.when(F.col("word") == F.lit(END), F.col("n"))).alias("ends")).first()
+    n, ends = all_["n"] or 0, all_["ends"] or 0
+    max_words = dictionary_words(n) if max_words is None else max_words
+    word_bits, byte_bits = table_bits(n), table_bits(8 * all_["v"])  # a distinct word is spelled in about 8 bytes
     top = counts.where((F.octet_length("word") > 0) & (F.octet_length("word") <= MAX_WORD_BYTES)) \
         .orderBy(F.desc("n"), "word").limit(max_words).collect()
     words, own = [bytes(r["word"]) for r in top], [r["n"] for r in top]
-    n, ends = all_["n"] or 0, all_["ends"] or 0
     letters = np.bincount(np.frombuffer(b"".join(words), np.uint8), minlength=257)[:257]
     letters[256] = len(words)
     escapes = np.zeros(256, np.int64)  # tokens outside the dictionary, and words met once, by first byte
@@ -471,7 +502,7 @@ def train(docs: DataFrame, max_words: int = MAX_WORDS):
 
     def learn_words(batches):
         m = worker_model(sent)
-        mixer, size = Mixer(WORD_CONTEXTS), 20_000  # small blocks first: weights and counts learn together
+        mixer, size = Mixer(WORD_CONTEXTS, word_bits), 20_000  # small blocks first: weights and counts learn together
         with no_gc():
             for b in batches:
                 for texts in blocks(b.column(0).to_pylist(), size):
@@ -483,7 +514,7 @@ def train(docs: DataFrame, max_words: int = MAX_WORDS):
 
     def learn_spelling(batches):
         m = worker_model(sent)
-        mixer, size = Mixer(SPELL_CONTEXTS), 512
+        mixer, size = Mixer(SPELL_CONTEXTS, byte_bits), 512
         with no_gc():
             for b in batches:
                 words = [w for w in b.column(0).to_pylist() if w]
@@ -496,7 +527,8 @@ def train(docs: DataFrame, max_words: int = MAX_WORDS):
     schema = "kind string, place int, data binary"
     parts = merged(docs.select("text").mapInArrow(learn_words, schema)
                    .unionByName(counts.select("word").mapInArrow(learn_spelling, schema)))
-    model.word_mixer, model.byte_mixer = mixer_of(parts, "w", WORD_CONTEXTS), mixer_of(parts, "b", SPELL_CONTEXTS)
+    model.word_mixer = mixer_of(parts, "w", WORD_CONTEXTS, word_bits)
+    model.byte_mixer = mixer_of(parts, "b", SPELL_CONTEXTS, byte_bits)
     return spark.sparkContext.broadcast(pickle.dumps(model, 5)), counts, n, all_["v"]
 
 
@@ -558,7 +590,7 @@ def fold(id_text: Column) -> Column:
     return F.crc32(F.coalesce(id_text.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_words: int | None = None) -> DataFrame:
     """One row per document: (id, held_out, n_tokens, n_known, train_tokens,
     base_score, score, bits_per_byte); scores are log10 probabilities."""
     d = docs.select(col(docs, id_col).alias("id"), col(docs, text_col).alias("text"))

@@ -1,6 +1,7 @@
 import collections
 import itertools
 import math
+import pickle
 import random
 import zlib
 
@@ -177,6 +178,51 @@ def test_model_beats_the_base_on_language_with_structure(spark):
     assert got.s > 0.6 * got.b  # 3 of 50 words can follow
 
 
+def test_tables_and_dictionary_grow_with_the_corpus(spark, monkeypatch):
+    for n in (10**8, 10**10, 10**13):
+        assert L.table_bits(4 * n) == L.table_bits(n) + 1
+        assert abs(L.dictionary_words(4 * n) / L.dictionary_words(n) - 2) < 1e-4
+    _, df = corpus(spark)  # about 24,000 tokens
+    monkeypatch.setattr(L, "BASE_TOKENS", 400)
+    monkeypatch.setattr(L, "BASE_WORDS", 50)
+    sent, _, n, v = L.train(df.select("text"))
+    m = pickle.loads(sent.value)
+    assert m.word_mixer.size == 1 << L.table_bits(n) == 8 << L.TABLE_BITS
+    assert m.byte_mixer.size == 1 << L.table_bits(8 * v) > 1 << L.TABLE_BITS
+    assert len(m.counts) == L.dictionary_words(n) > 90
+    assert all((m.word_mixer.packed[k] != 0).sum() > 1000 for k in range(2))
+
+
+def test_counts_of_small_and_large_tables_agree():
+    random.seed(6)
+    texts = [" ".join(random.choices(["aa", "ab", "b", "cc", "ä"], k=8)) for _ in range(50)]
+    m = model(texts)
+    ids, first, _, _, _ = m.token_ids(texts)
+    ctx, pred = L.word_contexts(ids, first, m.end, m.word_code.classes)
+    for bits in (4, 20):  # fewer slots than bits, and more
+        mixer = L.Mixer(L.WORD_CONTEXTS, bits)
+        mixer.run(m.word_code, ids, ctx, pred, True)
+        for k in range(L.WORD_CONTEXTS):
+            assert mixer.n[k].sum() == m.word_code.lens[ids].sum()
+            assert (mixer.packed[k] == np.where(mixer.n[k] > 0, L.pack(mixer.n[k], mixer.n1[k]), 0)).all()
+
+
+def test_word_after_the_same_two_words_in_a_large_dictionary():
+    rng, end, n = np.random.default_rng(9), 1 << 22, 1 << 20  # (text, word, word) has no room in 64 bits
+    ids = rng.integers(end - 30, end, n).astype(np.int32)
+    first = rng.random(n) < 0.01
+    first[0] = True
+    _, pred = L.word_contexts(ids, first, end, np.arange(end + 257))
+    want, seen, a, b = [], {}, end, end
+    for x, f in zip(ids[:20_000].tolist(), first.tolist()):
+        if f:
+            seen, a, b = {}, end, end
+        want.append(seen.get((a, b), -1))
+        seen[a, b] = x
+        a, b = b, x
+    assert pred[:20_000].tolist() == want
+
+
 def test_empty(spark):
     _, df = corpus(spark)
     assert L.score(empty(df)).count() == 0

@@ -7,9 +7,9 @@ page order, smoothed with a Gaussian window, fused (product of the two, each ove
 and a path is content if its fused value is over a threshold that depends on the
 values' deviation. Elements that by tag or name are menus, headers,
 footers, sidebars, notices, adverts, forms or reader comments never count. The
-content paths name the smallest element that holds nearly all their text, and
-all of its leaves outside such elements are the main text, short paragraphs and
-headings included.
+content paths name the smallest element that holds all their text (if that is the
+body: nearly all), and all of its leaves outside such elements are the main text,
+short paragraphs and headings included, as are all leaves of content paths elsewhere.
 
 Output: a block's white space becomes one space, blocks are trimmed and joined in
 page order by one line feed. Character references are decoded; nothing is capped.
@@ -247,9 +247,19 @@ def main_text(page: str | None) -> str:
         for x in leaves[i][0].chain():
             x.weight += lengths[i]
     weight = sum(lengths[i] for i in seeds)
-    # the smallest element, not itself a block of text, that holds nearly all of it
-    box = max((x for i in seeds for x in leaves[i][0].chain() if x.weight >= HOLDS * weight and x.tag not in LEAF_BLOCKS),
-              key=lambda x: sum(1 for _ in x.chain()))
+
+    def smallest(share: float) -> Element:
+        return max((x for i in seeds for x in leaves[i][0].chain() if x.weight >= share * weight and x.tag not in LEAF_BLOCKS),
+                   key=lambda x: sum(1 for _ in x.chain()))
+
+    # the smallest element, not itself a block of text, that holds all of it; if that is the body, all of the part
+    # of the body that holds nearly all
+    box = smallest(1.0)
+    if box.tag in ("body", "html"):
+        box = smallest(HOLDS)
+        inner = [x for x in box.chain() if x.tag not in ("body", "html")]
+        if inner:
+            box = next(x for x in inner if x.weight == inner[-1].weight)
     for x in box.chain():  # an article is not cut into its sections
         if x.tag == "article" and not boiler(x):
             box = x
@@ -264,11 +274,11 @@ def main_text(page: str | None) -> str:
     for i in good:
         e = leaves[i][0]
         chain = list(e.chain())
-        if box not in chain:
+        if box not in chain and i not in seed:
             continue
         if loose and i not in seed and e.tag not in HEADINGS:  # no element to go by: content paths only
             continue
-        if any(x.tag == "header" for x in chain) and e.tag not in HEADINGS:
+        if any(x.tag == "header" for x in chain) and e.tag not in HEADINGS and i not in seed:
             continue
         kept.append(leaves[i][1])
     return "\n".join(kept)

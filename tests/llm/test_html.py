@@ -22,6 +22,19 @@ def test_boilerplate_longer_than_the_article():
     assert main_text(page) == "T\nHi.\nBye"
 
 
+def test_unequal_sections_without_an_article():
+    long = [f"Part {i}, with text; and more of it, as it goes, on and on." for i in range(12)]
+    for tag in ("main", "div id=content", "div"):
+        page = f"<body><nav>menu</nav><{tag}><section><h2>A</h2>{''.join(f'<p>{x}</p>' for x in long[:9])}</section>" \
+               f"<section><h2>B</h2>{''.join(f'<p>{x}</p>' for x in long[9:])}</section></{tag.split()[0]}></body>"
+        assert main_text(page) == "\n".join(["A", *long[:9], "B", *long[9:]])
+    page = f"<body><div class=one>{''.join(f'<p>{x}</p>' for x in long[:9])}</div><div class=two>{''.join(f'<p>{x}</p>' for x in long[9:])}</div>"
+    assert main_text(page) == "\n".join(long)
+    page = f"<body><main><section>{''.join(f'<p>{x}</p>' for x in long[:8])}</section><section><h2>B</h2>" \
+           f"{''.join(f'<p>{x}</p>' for x in long[8:11])}</section></main><div class=two><p>{long[11]}</p></div>"
+    assert main_text(page) == "\n".join([*long[:8], "B", *long[8:]])
+
+
 def test_repairs():
     assert main_text("<p>one<p>two<div>three</div></i></b>four") == "one\ntwo\nthree\nfour"
     assert main_text("<article><p><b>a<br><p>b</p><!-- <p>no</p> --><script>var t='</p><p>no';</script>c</article>") == "a\nb\nc"

@@ -202,6 +202,11 @@ def path_scores(paths: list[str], lengths: list[int], marks: list[int]) -> list[
     return [mean(of_path[p]) if sum(of_path[p]) else 0.0 for p in paths]
 
 
+def _article(e: Element) -> Element | None:
+    """The nearest article, or else main, that ``e`` lies in."""
+    return next((x for x in e.chain() if x.tag in ("article", "main")), None)
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page."""
     leaves = leaves_of(page or "")
@@ -220,11 +225,23 @@ def main_text(page: str | None) -> str:
                 held = held or x.tag in ("article", "main")
             marked = marked or held
     whole = max((x.text for e, _ in leaves for x in e.chain()), default=0)
+    # inside an article, elements of one name that together hold half of its text or more are left to the path scores
+    named: dict[tuple[int, str], int] = {}
+    for (e, _), n in zip(leaves, lengths):
+        if marked and not any(x.boiler for x in e.chain()):
+            for key in {(id(a), x.step) for x in e.chain() if x.suspect and (a := _article(x))}:
+                named[key] = named.get(key, 0) + n
     bad: dict[int, bool] = {}
 
+    def condemned(e: Element) -> bool:
+        a = _article(e)
+        if a is not None and a.text:
+            return 2 * named.get((id(a), e.step), 0) < a.text
+        return marked or 2 * e.text <= whole
+
     def boiler(e: Element) -> bool:
         if id(e) not in bad:
-            own = e.boiler or e.suspect and not e.holds and (marked or 2 * e.text <= whole)
+            own = e.boiler or e.suspect and not e.holds and condemned(e)
             bad[id(e)] = own or e.parent is not None and boiler(e.parent)
         return bad[id(e)]
 

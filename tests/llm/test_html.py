@@ -35,6 +35,18 @@ def test_unequal_sections_without_an_article():
     assert main_text(page) == "\n".join([*long[:8], "B", *long[8:]])
 
 
+def test_names_inside_an_article_condemn_less_than_half_of_it():
+    body = [f"Part {i}, with text; and more of it, as it goes." for i in range(6)]
+    for name in ("elementor-widget", "post-header-wrap", "notice-body"):
+        for tag in ("article", "main"):
+            one = f"<div class='{name}'>{''.join(f'<p>{x}</p>' for x in body)}</div>"
+            each = "".join(f"<div class='{name}'><p>{x}</p></div>" for x in body)
+            for inner in (one, each):
+                assert main_text(f"<body><nav>menu</nav><{tag}>{inner}</{tag}></body>") == "\n".join(body)
+            less = f"<div class=share-tags><p>Share, tag, and more; of it.</p></div>"
+            assert main_text(f"<body><{tag}>{one}{less}</{tag}><div class=widget><p>{'Buy, now. ' * 90}</p></div>") == "\n".join(body)
+
+
 def test_repairs():
     assert main_text("<p>one<p>two<div>three</div></i></b>four") == "one\ntwo\nthree\nfour"
     assert main_text("<article><p><b>a<br><p>b</p><!-- <p>no</p> --><script>var t='</p><p>no';</script>c</article>") == "a\nb\nc"

@@ -6,7 +6,8 @@ are summed and divided by the number of leaves; the two ratios are put back in
 page order, smoothed with a Gaussian window, fused (product of the two, each over its mean),
 and a path is content if its fused value is over a threshold that depends on the
 values' deviation. Elements that by tag or name are menus, headers,
-footers, sidebars, notices, adverts, forms or reader comments never count. The
+footers, sidebars, notices, adverts, forms (unless they hold an article or most of the
+text) or reader comments never count. The
 content paths name the smallest element that holds all their text (if that is the
 body: nearly all), and all of its leaves outside such elements are the main text,
 short paragraphs and headings included, as are all leaves of content paths elsewhere.
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import col, fresh, no_gc, table
 from tessera.llm.registry import query
 
+RAW_TO_END = {"script", "style", "textarea", "title"}  # without an end, these take the rest of the page
 RAW = {"script", "style", "noscript", "template", "iframe", "object", "textarea", "title", "svg", "math", "canvas"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
@@ -42,8 +44,10 @@ BLOCKS = set("""address article aside blockquote body caption center dd details
     summary table tbody td tfoot th thead tr ul""".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 LEAF_BLOCKS = HEADINGS | set("p li dt dd td th pre blockquote figcaption caption tr ul ol table dl".split())
+#: may wrap a whole page; count as the ones below unless they hold an article or most text
+WRAPPERS = {"form", "fieldset"}
 #: elements that never hold main text, and names (of classes and ids) that say the same
-BOILER_TAGS = set("nav footer aside form button select option dialog menu search head input label fieldset".split())
+BOILER_TAGS = set("nav footer aside button select option dialog menu search head input label".split())
 BOILER_ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
 BOILER_NAMES = set("""ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline consent
     cookie cookies copyright dialog disclaimer footer footnav gdpr header hero login masthead menu modal nav navbar
@@ -64,11 +68,12 @@ HOLDS = 0.7
 
 
 class Element:
-    __slots__ = ("tag", "parent", "step", "boiler", "suspect", "weight", "text", "holds")
+    __slots__ = ("tag", "parent", "step", "boiler", "suspect", "weight", "text", "holds", "wrapper")
 
     def __init__(self, tag: str, parent: Element | None, step: str, boiler: bool, suspect: bool):
         self.tag, self.parent, self.step = tag, parent, step
         self.boiler, self.suspect, self.weight, self.text, self.holds = boiler, suspect, 0, 0, False
+        self.wrapper = tag in WRAPPERS
 
     def chain(self):
         e: Element | None = self
@@ -95,6 +100,7 @@ def leaves_of(page: str) -> list[tuple[Element, str, bool]]:
     out: list[list] = []
     root = Element("html", None, "html", False, False)
     here, block, pos, fresh_block = root, root, 0, True
+    endless: set[str] = set()  # raw tags with no end in the rest of the page
     open_inline: list[tuple[str, bool]] = []  # inline tags inside the block, and whether they hide their text
 
     def put(raw: str) -> None:
@@ -129,8 +135,10 @@ def leaves_of(page: str) -> list[tuple[Element, str, bool]]:
                         break
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
-            if not attrs.rstrip().endswith("/") or tag in ("script", "style", "title", "textarea"):
+            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
+            if end is None and tag not in RAW_TO_END:
+                endless.add(tag)
+            elif not attrs.rstrip().endswith("/") or tag in RAW_TO_END:
                 pos = end.end() if end else len(page)
             continue
         if tag == "br":
@@ -214,17 +222,29 @@ def main_text(page: str | None) -> str:
         return ""
     lengths = [len(t) for _, t in leaves]
     marks = [len(PUNCTUATION.findall(t)) for _, t in leaves]
-    # a name alone does not condemn an element that holds most of a page without an article
-    marked = False
-    for (e, _), n in zip(leaves, lengths):
-        if not any(x.boiler for x in e.chain()):
-            held = False
+    def weigh() -> tuple[bool, int]:
+        """Whether an article or main has text, and the length of all text that counts."""
+        marked = False
+        for e, _ in leaves:
             for x in e.chain():
-                x.text += n
-                x.holds = x.holds or held
-                held = held or x.tag in ("article", "main")
-            marked = marked or held
-    whole = max((x.text for e, _ in leaves for x in e.chain()), default=0)
+                x.text, x.holds = 0, False
+        for (e, _), n in zip(leaves, lengths):
+            if not any(x.boiler for x in e.chain()):
+                held = False
+                for x in e.chain():
+                    x.text += n
+                    x.holds = x.holds or held
+                    held = held or x.tag in ("article", "main")
+                marked = marked or held
+        return marked, max((x.text for e, _ in leaves for x in e.chain()), default=0)
+
+    marked, whole = weigh()
+    wrappers = {id(x): x for e, _ in leaves for x in e.chain() if x.wrapper}.values()
+    for x in wrappers:
+        x.boiler = x.boiler or not x.holds and 2 * x.text <= whole
+    # a name alone does not condemn an element that holds most of a page without an article
+    if wrappers:
+        marked, whole = weigh()
     # inside an article, elements of one name that together hold half of its text or more are left to the path scores
     named: dict[tuple[int, str], int] = {}
     for (e, _), n in zip(leaves, lengths):
@@ -293,8 +313,8 @@ def main_text(page: str | None) -> str:
         chain = list(e.chain())
         if box not in chain and i not in seed:
             continue
-        if loose and i not in seed and e.tag not in HEADINGS:  # no element to go by: content paths only
-            continue
+        if loose and i not in seed and e.tag not in HEADINGS and not seeds[0] < i < seeds[-1]:
+            continue  # no element to go by: content paths and what lies between
         if any(x.tag == "header" for x in chain) and e.tag not in HEADINGS and i not in seed:
             continue
         kept.append(leaves[i][1])

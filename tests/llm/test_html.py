@@ -47,6 +47,29 @@ def test_names_inside_an_article_condemn_less_than_half_of_it():
             assert main_text(f"<body><{tag}>{one}{less}</{tag}><div class=widget><p>{'Buy, now. ' * 90}</p></div>") == "\n".join(body)
 
 
+def test_form_around_the_page():
+    body = "<h1>T</h1><p>One, with text; and more.</p><p>Two, with text; and more of it.</p>"
+    want = "T\nOne, with text; and more.\nTwo, with text; and more of it."
+    for inner in (body, f"<article>{body}</article>", f"<fieldset><div>{body}</div></fieldset>"):
+        page = f"<body><form id=aspnetForm>{inner}<select><option>no</select><button>Go</button></form></body>"
+        assert main_text(page) == want
+    assert main_text(f"<body>{body}<form><p>Search, now.</p></form></body>") == want
+
+
+def test_items_between_paragraphs_of_the_body():
+    items = [f"item {i}" for i in range(20)]
+    para = ["One, with text; and more of it, as it goes, on and on.", "Two, with text; and more of it, as it goes, on and on."]
+    page = f"<body><p>{para[0]}</p><ul>{''.join(f'<li>{x}</li>' for x in items)}</ul><p>{para[1]}</p></body>"
+    assert main_text(page) == "\n".join([para[0], *items, para[1]])
+
+
+def test_unclosed_raw_elements():
+    for tag in ("svg", "canvas", "object", "math"):
+        assert main_text(f"<article><p>a, b.</p><{tag}><p>c, d.</p><{tag}><p>e.</p></article>") == "a, b.\nc, d.\ne."
+        assert main_text(f"<article><p>a, b.</p><{tag}>no</{tag}><p>c.</p></article>") == "a, b.\nc."
+    assert main_text("<article><p>a, b.</p><script><p>c, d.</p></article>") == "a, b."
+
+
 def test_repairs():
     assert main_text("<p>one<p>two<div>three</div></i></b>four") == "one\ntwo\nthree\nfour"
     assert main_text("<article><p><b>a<br><p>b</p><!-- <p>no</p> --><script>var t='</p><p>no';</script>c</article>") == "a\nb\nc"

@@ -95,12 +95,12 @@ def crawl_normalize(spark, sf_dir):
 @query("crawl_files", f"""
 SELECT CAST(doc_id AS VARCHAR) AS id, {sql_normalize('text')} AS text FROM documents""")
 def crawl_files(spark, sf_dir):
-    """Documents written as files, one directory each, read whole and crawled: the id
-    is the part of the path after a base (SRC-2, STR-7, TXT-2)."""
+    """Documents written as files, one a row in a directory for each id, read whole and
+    crawled: the id is the part of the path after a base (SRC-2, STR-7, TXT-2)."""
     path = shared_dir(spark, "corpus-files")
     (Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("doc"), "text")
-     .write.partitionBy("doc").text(path))
-    found = tx.crawl(read_whole_files(spark, path).select("path", "text"), base="/doc=")
+     .write.option("maxRecordsPerFile", 1).partitionBy("doc").text(path))
+    found = tx.crawl(read_whole_files(spark, path, nested=True).select("path", "text"), base="/doc=")
     return found.select(F.substring_index("id", "/", 1).alias("id"), "text")
 
 

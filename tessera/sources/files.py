@@ -16,9 +16,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: ``(path STRING, text STRING)`` (SRC-2 input)."""
-    return (spark.read.text(path, wholetext=True)
+def read_whole_files(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
+    """One row per file: ``(path STRING, text STRING)`` (SRC-2 input). ``nested``: files
+    of all folders below, whose names are not taken for partition values."""
+    return (spark.read.schema("value string").option("recursiveFileLookup", nested).text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
 
 

@@ -102,3 +102,11 @@ def test_stop_words(spark):
     assert not kept & stop and "hat" in kept
     listed = tx.stop_words_frame(spark, ["a", "the", "a"])
     assert sorted(r["word"] for r in listed.collect()) == ["a", "the"]
+
+
+def test_crawl_files_keeps_rows_of_one_id_apart(spark, tmp_path):
+    from tessera.plans.q_text import crawl_files
+    rows = [(1, "one"), (1, "two"), (1, "two"), (2, "three")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.id, r.text) for r in crawl_files(spark, str(tmp_path)).collect())
+    assert got == [(str(i), t) for i, t in sorted(rows)]

@@ -29,6 +29,6 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> tuple[dict, dict]:
     from tessera.llm import (  # noqa: F401
-        bpe, decontam, html_extract, lm_score, prefix_trie, quality, sharding, simhash, suffix_dedup, token_counts, token_output, warc,
+        bpe, decontam, html_extract, lm_score, nra, prefix_trie, quality, sharding, simhash, suffix_dedup, token_counts, token_output, warc,
     )
     return dict(QUERIES), dict(ORACLE)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.fixed_values import WORD_SEPARATOR
-from tessera.functions.strings import explode_split, java_split
+from tessera.functions.strings import java_split
 
 
 # ---------------------------------------------------------------- ALS (ML-1..5)
@@ -34,6 +34,34 @@ def fit_als(ratings: DataFrame, user: str = "userId", item: str = "movieId",
     return als.fit(ratings)
 
 
+def als_residuals(model, ratings: DataFrame, user: str = "userId", item: str = "movieId",
+                  rating: str = "rating", reg: float = 0.1) -> DataFrame:
+    """How well the fitted user factors solve their normal equations: one row
+    per user with ``n`` ratings, (user, n, residual).
+
+    Explicit ALS ends by solving, for each user with factors x and items with
+    factors y, sum((x.y - r) y) + reg * n * x = 0. ``residual`` is the length of the left
+    side over the length of sum(r y). Two joins with the factor tables and one
+    aggregate with partial sums, so neither a user nor an item with a third of the
+    ratings gathers in one task."""
+    dims = range(model.rank)
+    x = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("_x"))
+    y = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("_y"))
+    num = lambda c, i: F.col(c)[i].cast("double")
+    dot = sum((num("_x", i) * num("_y", i) for i in dims), F.lit(0.0))
+    r = ratings.select(user, item, F.col(rating).cast("double").alias("_r")).join(x, user).join(y, item) \
+        .select(user, "_x", "_y", "_r", (dot - F.col("_r")).alias("_e"))
+    sums = r.groupBy(user).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.max(num("_x", i)).alias(f"_x{i}") for i in dims],
+        *[F.sum(F.col("_e") * num("_y", i)).alias(f"_g{i}") for i in dims],
+        *[F.sum(F.col("_r") * num("_y", i)).alias(f"_b{i}") for i in dims])
+    length = lambda parts: F.sqrt(sum((p * p for p in parts), F.lit(0.0)))
+    left = length([F.col(f"_g{i}") + F.lit(reg) * F.col("n") * F.col(f"_x{i}") for i in dims])
+    right = length([F.col(f"_b{i}") for i in dims])
+    return sums.select(user, "n", (left / F.greatest(right, F.lit(1e-12))).alias("residual"))
+
+
 def false_positives(predictions: DataFrame, movies: DataFrame, max_rating: float = 1.0,
                     min_prediction: float = 4.0) -> DataFrame:
     """Ratings at most ``max_rating`` predicted at least ``min_prediction``,
@@ -72,6 +100,48 @@ def centers(spark: SparkSession, model) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, center array<double>")
 
 
+def grid(vector, scale: int = 1_000_000):
+    """A vector's values as whole numbers of 1/``scale``, halves upwards."""
+    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale + F.lit(0.5)).cast("long"))
+
+
+def first_centers(points: DataFrame, k: int, id_col: str, vector: str) -> list[list[int]]:
+    """The vectors of the ``k`` smallest ids (fewer if there are fewer)."""
+    return [list(r[0]) for r in points.where(F.col(vector).isNotNull()).orderBy(id_col).limit(k).select(vector).collect()]
+
+
+def nearest(vector, centers: list[list[int]]):
+    """The number of the nearest centre by squared distance, the first of equals; null for
+    a null vector. Whole numbers, so the sums are exact in any order."""
+    d = F.array(*[F.aggregate(F.zip_with(vector, F.array(*[F.lit(v).cast("long") for v in c]),
+                                         lambda a, b: (a - b) * (a - b)),
+                              F.lit(0).cast("long"), lambda s, x: s + x) for c in centers])
+    return F.when(vector.isNotNull(), F.array_position(d, F.array_min(d)) - 1).cast("int")
+
+
+def lloyd(points: DataFrame, centers: list[list[int]], iterations: int, vector: str = "x") -> tuple[DataFrame, list[list[int]]]:
+    """Lloyd's k-means as DataFrame aggregates (ML-6..8): ``iterations`` rounds from the
+    given centres, fewer once they stay where they are.
+
+    ``vector`` holds whole numbers (see ``grid``), and centres are rounded to whole
+    numbers after each round, so the result depends on the rows alone, not on how they
+    are partitioned or in which order they are summed. A round is one scan and one
+    hash aggregate with a sum per dimension; k rows of sums reach the driver. A centre
+    that no point is nearest to stays. Store ``points`` first if they are costly.
+    Returns the points with their ``cluster`` and the final centres."""
+    dims = range(len(centers[0]) if centers else 0)
+    for _ in range(iterations if centers else 0):
+        sums = points.select(nearest(F.col(vector), centers).alias("cluster"), vector).where("cluster IS NOT NULL") \
+            .groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(vector)[i]).alias(f"s{i}") for i in dims])
+        moved = list(centers)
+        for r in sums.collect():
+            moved[r["cluster"]] = [(2 * r[f"s{i}"] + r["n"]) // (2 * r["n"]) for i in dims]
+        if moved == centers:
+            break
+        centers = moved
+    return points.withColumn("cluster", nearest(F.col(vector), centers) if centers else F.lit(None).cast("int")), centers
+
+
 # ---------------------------------------------------------------- Naive Bayes, hashed (ML-9..12)
 
 MAX_CLASSES = 1000
@@ -117,70 +187,83 @@ def predict_nb_hashed(model, labels, docs: DataFrame, text: str = "text") -> Dat
 
 # ---------------------------------------------------------------- Naive Bayes, exact (ML-10b)
 
-def nb_tokens(docs: DataFrame, doc: str, text: str, *keep) -> DataFrame:
-    """(doc, keep..., word) for the words of ``text`` split on one space."""
-    return explode_split(docs, F.col(text), WORD_SEPARATOR, [F.col(doc).alias("doc"), *keep])
+def md5_bucket(term, buckets: int):
+    """A term's bucket: the first eight hex digits of its MD5, modulo ``buckets``. Unlike
+    Spark's own term hash it is one that SQL and any other program have too."""
+    return F.conv(F.substring(F.md5(term.cast("binary")), 1, 8), 16, 10).cast("long") % buckets
 
 
-def fit_nb_exact(docs: DataFrame, doc: str = "doc_id", text: str = "text",
-                 label: str = "label", smoothing: float = 1.0) -> dict:
-    """Multinomial Naive Bayes over the exact vocabulary.
-
-    log P(w|c) = ln(count(c,w) + a) - ln(total(c) + a*V). The (class, word)
-    count table is the model; it is written once to the shared folder and
-    stays distributed. Only one row per class (prior, log denominator) is
-    brought to the driver.
-    """
+def count_terms(docs: DataFrame, doc: str = "doc_id", text: str = "text", label: str | None = "label",
+                buckets: int | None = None) -> DataFrame:
+    """Stored rows (doc, label, term, tf, docs): the words of ``text`` split on one space,
+    or their buckets. All of a Naive Bayes model and its predictions derive from
+    them, so texts are read and cut once. ``docs`` adds up to the document's rows; a null text
+    has one row with a null term."""
+    from tessera.session import shared_dir
+    y = F.col(label).cast("double") if label else F.lit(None).cast("double")
+    words = docs.select(F.col(doc).alias("doc"), y.alias("label"), F.col(text).alias("t"))
+    each = words.select("doc", "label", F.posexplode_outer(java_split(F.col("t"), WORD_SEPARATOR)).alias("at", "w"))
+    term = F.col("w") if buckets is None else md5_bucket(F.col("w"), buckets)
+    path = shared_dir(docs.sparkSession, "nb-terms")
+    (each.select("doc", "label", term.alias("term"), (F.coalesce("at", F.lit(0)) == 0).cast("int").alias("d"))
+     .groupBy("doc", "label", "term").agg(F.count("term").alias("tf"), F.sum("d").alias("docs"))
+     .write.parquet(path))
+    return docs.sparkSession.read.parquet(path)
+
+
+def fit_nb_terms(terms: DataFrame, buckets: int | None = None, smoothing: float = 1.0) -> dict:
+    """Multinomial Naive Bayes from ``count_terms``.
+
+    log P(t|c) = ln(count(c,t) + a) - ln(total(c) + a*V), V the distinct terms or, for
+    hashed ones, ``buckets``. The (class, term) table stays distributed; a row per class
+    (prior, log denominator) is brought to the driver."""
     from tessera.session import shared_dir
-    class_labels(docs, label)  # bounds the per-class rows below
-    tok = nb_tokens(docs, doc, text, F.col(label).cast("double").alias("label"))
-    path = shared_dir(docs.sparkSession, "nb-counts")
-    tok.groupBy("label", "word").agg(F.count(F.lit(1)).alias("cnt")).write.parquet(path)
-    word_class = docs.sparkSession.read.parquet(path)
-    v = word_class.select(F.count_distinct("word")).first()[0]
-    ndocs = {r[0]: r[1] for r in docs.groupBy(F.col(label).cast("double")).count().collect()}
-    totals = {r[0]: r[1] for r in word_class.groupBy("label").agg(F.sum("cnt")).collect()}
-    n = sum(ndocs.values())
+    spark = terms.sparkSession
+    known = terms.where(F.col("label").isNotNull())
+    class_labels(known)  # bounds the per-class rows below
+    path = shared_dir(spark, "nb-counts")
+    known.where(F.col("term").isNotNull()).groupBy("label", "term").agg(F.sum("tf").alias("cnt")).write.parquet(path)
+    counts = spark.read.parquet(path)
+    v = buckets or counts.select(F.count_distinct("term")).first()[0]
+    per_class = {r["label"]: (r["n"], r["total"]) for r in known.groupBy("label").agg(
+        F.sum("docs").alias("n"), F.sum("tf").alias("total")).collect()}
+    n = sum(x[0] for x in per_class.values())
     log_a = math.log(smoothing)
-    classes = [{"label": float(c), "prior": math.log(ndocs[c]) - math.log(n),
-                "floor": log_a - math.log((totals.get(c) or 0) + smoothing * v)}
-               for c in sorted(ndocs)]
-    # per word, the term of every class: floor(c) plus ln(cnt + a) - ln(a) when seen in c
-    seen = word_class.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct(
+    classes = [{"label": float(c), "prior": math.log(nd) - math.log(n), "floor": log_a - math.log(total + smoothing * v)}
+               for c, (nd, total) in sorted(per_class.items())]
+    # per term, the value of every class: floor(c) plus ln(cnt + a) - ln(a) where seen in c
+    seen = counts.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct(
         "label", (F.log(F.col("cnt") + F.lit(smoothing)) - F.lit(log_a)).alias("g")))).alias("m"))
-    terms = seen.select("word", F.array(*[
-        F.lit(c["floor"]) + F.coalesce(F.col("m")[F.lit(c["label"])], F.lit(0.0))
-        for c in classes]).alias("terms"))
-    return {"classes": classes, "terms": terms}
+    values = seen.select("term", F.array(*[
+        F.lit(c["floor"]) + F.coalesce(F.col("m")[F.lit(c["label"])], F.lit(0.0)) for c in classes]).alias("terms"))
+    return {"classes": classes, "terms": values, "hashed": buckets is not None}
+
+
+def predict_nb_terms(model: dict, terms: DataFrame) -> DataFrame:
+    """(doc, label, prediction) of the documents of ``count_terms``: argmax over classes of
+    prior + sum of tf * value(class, term), ties to the smaller label. An unknown
+    word is ignored; a bucket that training left empty counts as seen zero times. One
+    join on the term and one hash aggregate, a column of sums per class."""
+    classes = model["classes"]
+    j = terms.join(model["terms"], "term", "left")
+    other = lambda c: F.when(F.col("term").isNotNull(), F.lit(c["floor"])).otherwise(0.0) if model["hashed"] else F.lit(0.0)
+    sums = [F.sum(F.col("tf") * F.coalesce(F.col("terms")[i], other(c))).alias(f"_s{i}") for i, c in enumerate(classes)]
+    per_doc = j.groupBy("doc", "label").agg(*sums)
+    scores = [F.col(f"_s{i}") + F.lit(c["prior"]) for i, c in enumerate(classes)]
+    top = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    pick = F.lit(None).cast("double")
+    for s, c in reversed(list(zip(scores, classes))):  # the first (smallest) class with the top score
+        pick = F.when(s == top, F.lit(c["label"])).otherwise(pick)
+    return per_doc.select("doc", "label", pick.alias("prediction"))
+
+
+def fit_nb_exact(docs: DataFrame, doc: str = "doc_id", text: str = "text",
+                 label: str = "label", smoothing: float = 1.0) -> dict:
+    """Multinomial Naive Bayes over the exact vocabulary (ML-10b)."""
+    return fit_nb_terms(count_terms(docs, doc, text, label), smoothing=smoothing)
 
 
 def predict_nb_exact(model: dict, docs: DataFrame, doc: str = "doc_id",
                      text: str = "text") -> DataFrame:
-    """(doc, prediction): argmax over classes of prior + sum over known words
-    of tf * term(class, word); unknown words are ignored and ties go to the
-    smaller label. Priors enter by a union, so no document x class join,
-    and all class scores of a document come from one hash aggregate."""
-    classes = model["classes"]
-    tf = (nb_tokens(docs, doc, text).groupBy("doc", "word")
-          .agg(F.count(F.lit(1)).alias("tf")))
-    idx = F.array(*[F.lit(i) for i in range(len(classes))])
-    contrib = (tf.join(model["terms"], "word")
-               .select("doc", F.explode(F.arrays_zip(idx.alias("i"), F.col("terms").alias("t"))).alias("z"), "tf")
-               .select("doc", F.col("z.i").alias("i"), (F.col("tf") * F.col("z.t")).alias("v")))
-    priors = docs.select(F.col(doc).alias("doc"), F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(c["prior"]).alias("v")) for i, c in enumerate(classes)
-    ])).alias("p")).select("doc", "p.i", "p.v")
-    # one hash aggregate keyed by document: the score of each class is a
-    # column (the classes are model parameters, few and known here)
-    k = len(classes)
-    sums = [F.sum(F.when(F.col("i") == j, F.col("v"))).alias(f"_s{j}") for j in range(k)]
-    per_doc = priors.unionByName(contrib).groupBy("doc").agg(*sums)
-    if k == 1:
-        return per_doc.select("doc", F.lit(classes[0]["label"]).alias("prediction"))
-    top = F.greatest(*[F.col(f"_s{j}") for j in range(k)])
-    pick = None
-    for j in range(k):            # the first (smallest) class reaching the top score
-        hit = F.col(f"_s{j}") == top
-        lab = F.lit(classes[j]["label"])
-        pick = F.when(hit, lab) if pick is None else pick.when(hit, lab)
-    return per_doc.select("doc", pick.alias("prediction"))
+    """(doc, prediction) of each document."""
+    return predict_nb_terms(model, count_terms(docs, doc, text, None)).select("doc", "prediction")

@@ -57,6 +57,22 @@ def als_predict(spark, sf_dir):
     return scored.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(~F.isnan("prediction"), 1)).alias("n_scored"))
 
 
+ALS_BOUND = 1e-4
+
+
+@query("als_normal_equations", ALS_SQL + f"""
+SELECT userId, COUNT(*) AS n_ratings, TRUE AS solved FROM train GROUP BY userId""")
+def als_normal_equations(spark, sf_dir):
+    """For every user of the training part: their ratings, and whether the fitted
+    factors solve the user's regularised normal equations (ML-1, ML-2)."""
+    path = shared_dir(spark, "ratings-train")
+    (si.ratings(Tables(spark, sf_dir)).groupBy("userId", "movieId").agg(F.avg("rating").alias("rating"))
+     .where(f"NOT {_in_test('userId', 'movieId')}").write.parquet(path))
+    train = spark.read.parquet(path)
+    r = ml.als_residuals(ml.fit_als(train, seed=ALS_SEED), train)
+    return r.select("userId", F.col("n").alias("n_ratings"), (F.col("residual") <= ALS_BOUND).alias("solved"))
+
+
 @query("false_positives", with_(RATINGS_CTE) + """
 SELECT userId, movieId, p_name AS title, rating, CAST((userId + movieId) % 6 AS DOUBLE) AS prediction
 FROM ratings JOIN part ON movieId = p_partkey
@@ -104,6 +120,99 @@ def kmeans_centers(spark, sf_dir):
         F.count(F.lit(1)).alias("n_dims"), F.min((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))).alias("inside"))
 
 
+LLOYD_ROUNDS = 5
+LLOYD_SCALE = 1_000_000
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """The rounds of ``ml.lloyd`` as common table expressions."""
+    near = """
+a{i} AS (
+  SELECT vec_id, x, arg_min(cluster, (d, cluster)) AS cluster FROM (
+    SELECT vec_id, x, cluster, list_sum(list_transform(range(1, len(x) + 1), lambda j: (x[j] - c[j]) * (x[j] - c[j]))) AS d
+    FROM p, c{i}) GROUP BY vec_id, x)"""
+    move = """
+s{i} AS (
+  SELECT cluster, j, CAST(2 * sum(x[j]) + count(*) AS BIGINT) AS t, 2 * count(*) AS m
+  FROM a{i}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM p) + 1)) AS j) GROUP BY cluster, j),
+c{n} AS (
+  SELECT c{i}.cluster, coalesce(v, c) AS c FROM c{i} LEFT JOIN (
+    SELECT cluster, list((t - ((t % m) + m) % m) // m ORDER BY j) AS v FROM s{i} GROUP BY cluster) USING (cluster))"""
+    parts = [f"""
+p AS (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(CAST(e AS DOUBLE) * {LLOYD_SCALE} + 0.5) AS BIGINT)) AS x FROM embeddings)""", f"""
+c0 AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster, x AS c FROM p ORDER BY vec_id LIMIT {KMEANS_K})"""]
+    for i in range(rounds):
+        parts += [near.format(i=i), move.format(i=i, n=i + 1)]
+    return "WITH " + ",".join([*parts, near.format(i=rounds)])
+
+
+def _lloyd(spark, sf_dir):
+    path = shared_dir(spark, "vectors")
+    (Tables(spark, sf_dir).embeddings.select("vec_id", ml.grid(F.col("embedding"), LLOYD_SCALE).alias("x"))
+     .write.parquet(path))
+    points = spark.read.parquet(path)
+    return ml.lloyd(points, ml.first_centers(points, KMEANS_K, "vec_id", "x"), LLOYD_ROUNDS)
+
+
+@query("kmeans_lloyd_assign", _lloyd_sql(LLOYD_ROUNDS) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM a{LLOYD_ROUNDS}""")
+def kmeans_lloyd_assign(spark, sf_dir):
+    """The cluster of every vector after five rounds from the vectors of the three
+    smallest ids (ML-6, ML-8)."""
+    return _lloyd(spark, sf_dir)[0].select("vec_id", "cluster")
+
+
+@query("kmeans_lloyd_centers", _lloyd_sql(LLOYD_ROUNDS) + f"""
+SELECT CAST(cluster AS INTEGER) AS cluster, CAST(j AS INTEGER) AS dim, c[j + 1] / {LLOYD_SCALE}.0::DOUBLE AS value
+FROM (SELECT cluster, c, unnest(range(len(c))) AS j FROM c{LLOYD_ROUNDS})""")
+def kmeans_lloyd_centers(spark, sf_dir):
+    """Every value of every centre (ML-7)."""
+    points, centers = _lloyd(spark, sf_dir)
+    rows = [(i, c) for i, c in enumerate(centers)]
+    return (spark.createDataFrame(rows, "cluster int, c array<long>")
+            .select("cluster", F.posexplode("c").alias("dim", "v"))
+            .select("cluster", "dim", (F.col("v") / F.lit(float(LLOYD_SCALE))).alias("value")))
+
+
+NB_BUCKETS = 1 << 12
+
+
+def nb_sql(posts: str, term: str, vocabulary: str, unseen: str) -> str:
+    """Multinomial Naive Bayes in SQL; ``posts`` gives (doc, text, label) rows."""
+    return f"""
+WITH d AS ({posts}),
+tok AS (SELECT doc, label, {term} AS word FROM (SELECT doc, label, unnest({sql_java_split('text', ' ')}) AS w FROM d)),
+wc AS (SELECT label, word, COUNT(*) AS cnt FROM tok GROUP BY label, word),
+vv AS (SELECT {vocabulary} AS v FROM wc),
+cls AS (SELECT label, COUNT(*) AS ndocs FROM d GROUP BY label),
+tot AS (SELECT label, SUM(cnt) AS total FROM wc GROUP BY label),
+nn AS (SELECT SUM(ndocs) AS n FROM cls),
+params AS (SELECT cls.label, ln(ndocs) - ln(n) AS prior, ln(coalesce(total, 0) + 1.0 * v) AS denom
+           FROM cls LEFT JOIN tot USING (label) CROSS JOIN vv CROSS JOIN nn),
+tf AS (SELECT doc, word, COUNT(*) AS tf FROM tok {unseen} GROUP BY doc, word),
+len AS (SELECT d.doc, coalesce(SUM(tf), 0) AS l FROM d LEFT JOIN tf ON tf.doc = d.doc GROUP BY d.doc),
+base AS (SELECT doc, label, prior - l * denom AS base FROM len CROSS JOIN params),
+sparse AS (SELECT doc, wc.label, SUM(tf * ln(cnt + 1.0)) AS extra FROM tf JOIN wc USING (word) GROUP BY doc, wc.label),
+score AS (SELECT b.doc, b.label, b.base + coalesce(s.extra, 0) AS score
+          FROM base b LEFT JOIN sparse s ON b.doc = s.doc AND b.label = s.label),
+best AS (SELECT doc, label AS prediction FROM (
+           SELECT *, row_number() OVER (PARTITION BY doc ORDER BY score DESC, label) AS rn FROM score) WHERE rn = 1)
+"""
+
+
+HASHED_SQL = nb_sql("SELECT doc_id AS doc, text, CAST(quality AS DOUBLE) AS label FROM documents JOIN labels USING (doc_id)",
+                    f"CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % {NB_BUCKETS}", str(NB_BUCKETS), "")
+
+
+@query("nb_hashed_predictions", HASHED_SQL + """
+SELECT d.doc AS doc_id, d.label, best.prediction FROM d JOIN best ON d.doc = best.doc""")
+def nb_hashed_predictions(spark, sf_dir):
+    """Naive Bayes over hashed terms: the prediction for every labelled document
+    (ML-9, ML-10, ML-11)."""
+    t = ml.count_terms(si.posts(Tables(spark, sf_dir)), buckets=NB_BUCKETS)
+    return ml.predict_nb_terms(ml.fit_nb_terms(t, NB_BUCKETS), t).withColumnRenamed("doc", "doc_id")
+
+
 @query("nb_predict_hashed", """
 SELECT doc_id, CAST(quality AS DOUBLE) AS label, TRUE AS known_label FROM documents JOIN labels USING (doc_id)""")
 def nb_predict_hashed(spark, sf_dir):
@@ -115,39 +224,16 @@ def nb_predict_hashed(spark, sf_dir):
         "doc_id", "label", F.col("prediction").isin(labels).alias("known_label"))
 
 
-NB_SQL = f"""
-WITH d AS (SELECT doc_id AS doc, text, CAST(quality AS DOUBLE) AS label
-           FROM documents JOIN labels USING (doc_id)),
-tok AS (SELECT doc, label, unnest({sql_java_split('text', ' ')}) AS word FROM d),
-wc AS (SELECT label, word, COUNT(*) AS cnt FROM tok GROUP BY label, word),
-vv AS (SELECT COUNT(DISTINCT word) AS v FROM wc),
-cls AS (SELECT label, COUNT(*) AS ndocs FROM d GROUP BY label),
-tot AS (SELECT label, SUM(cnt) AS total FROM wc GROUP BY label),
-nn AS (SELECT SUM(ndocs) AS n FROM cls),
-params AS (SELECT cls.label, ln(ndocs) - ln(n) AS prior,
-                  ln(coalesce(total, 0) + 1.0 * v) AS denom
-           FROM cls LEFT JOIN tot USING (label) CROSS JOIN vv CROSS JOIN nn),
-tf AS (SELECT doc, word, COUNT(*) AS tf FROM tok GROUP BY doc, word),
-len AS (SELECT doc, SUM(tf) AS l FROM tf GROUP BY doc),
-base AS (SELECT doc, label, prior + l * (ln(1.0) - denom) AS base FROM len CROSS JOIN params),
-sparse AS (SELECT doc, wc.label, SUM(tf * (ln(cnt + 1.0) - ln(1.0))) AS extra
-           FROM tf JOIN wc USING (word) GROUP BY doc, wc.label),
-score AS (SELECT b.doc, b.label, b.base + coalesce(s.extra, 0) AS score
-          FROM base b LEFT JOIN sparse s ON b.doc = s.doc AND b.label = s.label),
-best AS (SELECT doc, label AS prediction FROM (
-           SELECT *, row_number() OVER (PARTITION BY doc ORDER BY score DESC, label) AS rn
-           FROM score) WHERE rn = 1)
+NB_SQL = nb_sql("SELECT doc_id AS doc, text, CAST(quality AS DOUBLE) AS label FROM documents JOIN labels USING (doc_id)",
+                "w", "COUNT(DISTINCT word)", "") + """
 SELECT d.doc AS doc_id, d.label, best.prediction FROM d JOIN best ON d.doc = best.doc"""
 
 
 @query("nb_predict", NB_SQL)
 def nb_predict(spark, sf_dir):
     """Exact multinomial Naive Bayes (smoothing 1) on the labelled documents."""
-    p = si.posts(Tables(spark, sf_dir))
-    model = ml.fit_nb_exact(p, "doc_id", "text", "label", smoothing=1.0)
-    pred = ml.predict_nb_exact(model, p, "doc_id", "text")
-    return (p.select("doc_id", "label")
-            .join(pred.withColumnRenamed("doc", "doc_id"), "doc_id"))
+    t = ml.count_terms(si.posts(Tables(spark, sf_dir)))
+    return ml.predict_nb_terms(ml.fit_nb_terms(t), t).withColumnRenamed("doc", "doc_id")
 
 
 def _sql_contains_any(col, words):

@@ -12,16 +12,20 @@ from tessera.fixed_values import ETL_PARTITION_FORMATS
 from tessera.operators import catalog, ml, relational as rel, sinks
 from tessera.plans import standins as si
 from tessera.plans.oracle_sql import FLIGHTS_CTE, with_
-from tessera.plans.q_ml import POST_KEYWORDS, _sql_contains_any
+from tessera.plans.q_ml import HASHED_SQL, NB_BUCKETS, POST_KEYWORDS, _sql_contains_any
 from tessera.plans.registry import query
 from tessera.session import shared_dir
 from tessera.sources.tables import Tables, read_table
 
 
-def number_lines(events):
+def number_line():
     """The numbers stream stand-in: ``"<user_id> <event_type>"`` per event;
     the second token is not a number and counts as a reject."""
-    return events.select(F.format_string("%d %s", "user_id", "event_type").alias("value"))
+    return F.format_string("%d %s", "user_id", "event_type").alias("value")
+
+
+def number_lines(events):
+    return events.select(number_line())
 
 
 VALUE_COUNTS_SQL = """
@@ -54,6 +58,75 @@ def stream_value_counts(spark, sf_dir):
             .agg(F.sum("count").cast("long").alias("count")))
 
 
+COUNT_BATCHES = 3
+
+BATCH_COUNTS_SQL = f"""
+SELECT batch_id, TRY_CAST(t AS INTEGER) AS n, COUNT(*) AS count FROM (
+  SELECT user_id % {COUNT_BATCHES} AS batch_id,
+         unnest(string_split_regex(trim(CAST(user_id AS VARCHAR) || ' ' || event_type), '\\s+')) AS t
+  FROM events)
+GROUP BY 1, 2"""
+
+
+def _counted_batches(spark, sf_dir, wrap=lambda write: write, max_restarts=0):
+    """The lines of the events in three batches by user, counted batch by batch;
+    returns the path of the counts and the batches that failed."""
+    src, out, ck = (shared_dir(spark, n) for n in ("batches-in", "batch-counts", "batch-counts-ck"))
+    events = Tables(spark, sf_dir).events
+    lines = events.select("user_id", number_line())
+    failed = st.run_batches(lines, wrap(st.value_counts_writer(out)), src, ck, F.col("user_id") % COUNT_BATCHES,
+                            COUNT_BATCHES, transform=st.parse_numbers, max_restarts=max_restarts)
+    return out, failed
+
+
+@query("stream_batch_counts", BATCH_COUNTS_SQL)
+def stream_batch_counts(spark, sf_dir):
+    """(batch_id, n, count) of three micro-batches (STM-1, STM-2)."""
+    return spark.read.parquet(_counted_batches(spark, sf_dir)[0]).select(F.col("batch_id").cast("long").alias("batch_id"), "n", "count")
+
+
+def _half_then_fail(batch_ids):
+    """Make a writer fail once in each of the given batches, after it has written the
+    half of the batch's rows."""
+    todo = set(batch_ids)
+
+    def wrap(write):
+        def first_half(batch, batch_id):
+            if batch_id in todo:
+                todo.discard(batch_id)
+                write(batch.where(F.pmod(F.xxhash64(*batch.columns), F.lit(2)) == 0), batch_id)
+                raise RuntimeError(f"batch {batch_id} fails after half of its rows")
+            write(batch, batch_id)
+
+        return first_half
+
+    return wrap
+
+
+@query("stream_recovered_counts", BATCH_COUNTS_SQL.replace("SELECT batch_id,", "SELECT batch_id, batch_id >= 1 AS had_failed,", 1))
+def stream_recovered_counts(spark, sf_dir):
+    """The same after failures: the second and the third batch write half of their rows and
+    fail, and the stream is started again from its checkpoint (STM-3, STM-5, STM-8).
+    Every row is counted once, as in a run without failures."""
+    out, failed = _counted_batches(spark, sf_dir, _half_then_fail([1, 2]), max_restarts=2)
+    return spark.read.parquet(out).select(F.col("batch_id").cast("long").alias("batch_id"), F.col("batch_id").isin(failed).alias("had_failed"), "n", "count")
+
+
+@query("stream_nb_predictions", HASHED_SQL + f"""
+SELECT CAST(d.doc % {COUNT_BATCHES} AS BIGINT) AS batch_id, d.doc AS doc_id, d.label, best.prediction
+FROM d JOIN best ON d.doc = best.doc""")
+def stream_nb_predictions(spark, sf_dir):
+    """Labelled documents arrive in three batches and are scored by the hashed Naive
+    Bayes model trained in batch, the second batch failing once (ML-12, STM-7):
+    the predictions, equal to those of the batch query."""
+    src, out, ck = (shared_dir(spark, n) for n in ("posts-in", "nb-scores", "nb-scores-ck"))
+    p = si.posts(Tables(spark, sf_dir)).select("doc_id", "text", "label")
+    model = ml.fit_nb_terms(ml.count_terms(p, buckets=NB_BUCKETS), NB_BUCKETS)
+    st.run_batches(p, _half_then_fail([1])(st.nb_scores_writer(model, out, NB_BUCKETS)), src, ck,
+                   F.col("doc_id") % COUNT_BATCHES, COUNT_BATCHES, max_restarts=1)
+    return spark.read.parquet(out).select(F.col("batch_id").cast("long").alias("batch_id"), F.col("doc").alias("doc_id"), "label", "prediction")
+
+
 ETL_COUNTS_SQL = with_(FLIGHTS_CTE) + """
 SELECT strftime(l_shipdate, '%Y') AS depYear, strftime(l_shipdate, '%m') AS depMonth,
        strftime(l_shipdate, '%d') AS depDay, COUNT(*) AS count
@@ -73,22 +146,23 @@ def etl_partition_counts(spark, sf_dir):
                          F.format_string(fd, "d").alias("depDay"), "count")
 
 
-ETL_FILES = 2   # input files of the ETL stream, one micro-batch each
+ETL_BATCHES = 2
 
 
-def _etl_table(spark, sf_dir) -> str:
-    """Line items arrive as a stream of several files, are joined with the static
+def _etl_table(spark, sf_dir, fail=()) -> str:
+    """Line items arrive as a stream in two batches by order key, are joined with the static
     orders, customers and suppliers, and are written per date, batch by batch;
     returns the name of the partitioned table over the output."""
     t = Tables(spark, sf_dir)
     src, out, ck = (shared_dir(spark, n) for n in ("flights-in", "flights-etl", "flights-etl-ck"))
     lines = t.lineitem
-    lines.repartition(ETL_FILES).write.parquet(src)
-    stream = st.file_stream(spark, src, "parquet", schema=lines.schema, max_files_per_trigger=1)
     table = "flights_" + out.rsplit("-", 1)[-1]
     st.create_etl_table(spark, table, out)
-    q = st.run_available(st.flight_etl(si.flights(t, lineitem=stream), out, ck, {"availableNow": True}, table=table))
-    assert len(q.recentProgress) >= 1
+    failed = st.run_batches(lines, _half_then_fail(fail)(st.etl_writer(out, table=table)), src, ck,
+                            F.col("l_orderkey") % ETL_BATCHES, ETL_BATCHES,
+                            transform=lambda stream: si.flights(t, lineitem=stream), max_restarts=len(fail))
+    if sorted(failed) != sorted(fail):
+        raise RuntimeError(f"batches that failed: {failed}")
     return table
 
 
@@ -119,6 +193,13 @@ def etl_table_rows(spark, sf_dir):
     return spark.table(_etl_table(spark, sf_dir)).select(*sinks.ETL_COLUMNS, *sinks.DATE_COLS)
 
 
+@query("etl_recovered_rows", ETL_ROWS_SQL)
+def etl_recovered_rows(spark, sf_dir):
+    """The ETL table after its second batch wrote half of its rows, failed and was run
+    again from the checkpoint (STM-3, STM-8): each row once."""
+    return spark.table(_etl_table(spark, sf_dir, fail=(1,))).select(*sinks.ETL_COLUMNS, *sinks.DATE_COLS)
+
+
 @query("etl_batch_rows", ETL_ROWS_SQL)
 def etl_batch_rows(spark, sf_dir):
     """The same in batch form: written by date in one job and read back (SNK-4, PRJ-8)."""

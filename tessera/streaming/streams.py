@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import threading
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -54,15 +55,67 @@ def per_batch_value_counts(numbers: DataFrame, out_path: str, checkpoint: str,
     ``batch_id``, rejected tokens counted under a null ``n``; a replayed batch
     overwrites its own partition."""
 
+    w = numbers.writeStream.foreachBatch(value_counts_writer(out_path, col)).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
+
+
+def write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+    """Replace what batch ``batch_id`` has under ``path`` by ``rows``: a batch that is run
+    again after a failure leaves nothing of its first attempt."""
+    (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
+def value_counts_writer(path: str, col: str = "n"):
+    """The ``foreachBatch`` function of ``per_batch_value_counts``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = (batch.groupBy(F.when(F.col("ok"), F.col(col)).alias("n"))
-                  .agg(F.count(F.lit(1)).alias("count"))
-                  .withColumn("batch_id", F.lit(batch_id)))
-        (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_path))
+        counts = batch.groupBy(F.when(F.col("ok"), F.col(col)).alias("n")).agg(F.count(F.lit(1)).alias("count"))
+        write_batch(counts, batch_id, path)
+
+    return write
 
-    w = numbers.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
+
+def nb_scores_writer(model: dict, path: str, buckets: int | None = None, doc: str = "doc_id", text: str = "text",
+                     label: str = "label"):
+    """A ``foreachBatch`` function that scores each batch with a Naive Bayes model trained
+    in batch (``ml.fit_nb_terms``) and writes (doc, label, prediction) under ``path`` (STM-7, ML-12)."""
+    from tessera.operators import ml
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        terms = ml.count_terms(batch, doc, text, label, buckets)
+        write_batch(ml.predict_nb_terms(model, terms), batch_id, path)
+
+    return write
+
+
+def run_batches(rows: DataFrame, write, source: str, checkpoint: str, batch, batches: int, schema=None,
+                transform=None, max_restarts: int = 0) -> list[int]:
+    """Feed ``rows`` to ``write(batch, batch_id)`` in ``batches`` micro-batches whose rows are
+    fixed by a rule: ``batch`` gives the number of a row's batch.
+
+    Each batch's rows are appended to the folder ``source`` by as many tasks as Spark takes,
+    and one run of the stream over the same ``checkpoint`` picks up exactly the new files. A
+    run that fails is started again up to ``max_restarts`` times in all (STM-3, STM-8): the
+    checkpoint has the batch's files, so the same rows come back under the same id.
+    Returns the ids of the batches that failed."""
+    spark = rows.sparkSession
+    schema = schema or rows.schema
+    failed: list[int] = []
+    for b in range(batches):
+        rows.where(batch == b).write.mode("append").parquet(source)
+        while True:
+            stream = file_stream(spark, source, "parquet", schema=schema)
+            stream = transform(stream) if transform else stream
+            q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start())
+            try:
+                run_available(q)
+                break
+            except (StreamingQueryException, RuntimeError):
+                if len(failed) >= max_restarts:
+                    raise
+                failed.append(b)
+    return failed
 
 
 def write_etl_batch(rows: DataFrame, out_path: str, batch_id: int,
@@ -101,11 +154,16 @@ def flight_etl(flights: DataFrame, out_path: str, checkpoint: str,
     (the reference ran one job per date), and adds the dates to the partitions of
     ``table`` (see ``create_etl_table``)."""
 
+    return (flights.writeStream.foreachBatch(etl_writer(out_path, rows_per_file, table)).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+
+
+def etl_writer(out_path: str, rows_per_file: int = ROWS_PER_FILE, table: str | None = None):
+    """The ``foreachBatch`` function of ``flight_etl``."""
     def write(batch: DataFrame, batch_id: int) -> None:
         write_etl_batch(etl_rows(batch), out_path, batch_id, rows_per_file, table)
 
-    return (flights.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+    return write
 
 
 def filter_posts(posts: DataFrame, keywords, lang: str = "en") -> DataFrame:

@@ -86,3 +86,64 @@ def test_nb_exact(spark):
     want = brute_nb(TRAIN, tests)
     # the last document has no known word: prior only, ties to the smaller label
     assert [got[i] for i in range(4)] == want
+
+
+def test_als_residuals_tell_a_solved_model(spark):
+    rows = [(u, m, float((u * 7 + m * 3) % 5 + 1)) for u in range(12) for m in range(9) if (u + m) % 4]
+    r = spark.createDataFrame(rows, "userId int, movieId int, rating double")
+    model = ml.fit_als(r, rank=3, max_iter=4, seed=7)
+    got = ml.als_residuals(model, r).collect()
+    assert len(got) == 12 and {x["userId"]: x["n"] for x in got}[0] == sum(1 for u, m, _ in rows if u == 0)
+    assert max(x["residual"] for x in got) < 1e-4
+
+    class Constant:
+        rank = 3
+        userFactors = model.userFactors.select("id", F.array(*[F.lit(0.5)] * 3).alias("features"))
+        itemFactors = model.itemFactors.select("id", F.array(*[F.lit(0.5)] * 3).alias("features"))
+
+    assert min(x["residual"] for x in ml.als_residuals(Constant, r).collect()) > 1e-2
+
+
+def brute_lloyd(points, centers, rounds):
+    dist = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    near = lambda p: min(range(len(centers)), key=lambda c: (dist(p, centers[c]), c))
+    for _ in range(rounds):
+        own = [near(p) for p in points]
+        for c in range(len(centers)):
+            mine = [p for p, o in zip(points, own) if o == c]
+            if mine:
+                centers = [*centers[:c], [(2 * sum(x) + len(mine)) // (2 * len(mine)) for x in zip(*mine)], *centers[c + 1:]]
+    return [near(p) for p in points], centers
+
+
+def test_lloyd(spark):
+    pts = [[(i * 37) % 101 - 50, (i * 53) % 89 - 40] for i in range(60)] + [[5, 5]] * 9
+    first = [pts[0], pts[1], pts[2], [10**6, 10**6]]  # the last centre gets no point and stays
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pts)] + [(999, None)], "id long, x array<long>").repartition(3)
+    for rounds in (0, 1, 6):
+        out, centers = ml.lloyd(df, first, rounds)
+        want, moved = brute_lloyd(pts, first, rounds)
+        got = {r["id"]: r["cluster"] for r in out.collect()}
+        assert [got[i] for i in range(len(pts))] == want and got[999] is None and centers == moved
+    assert ml.first_centers(df, 2, "id", "x") == pts[:2]
+    assert ml.lloyd(df.where("1 = 0"), [], 3)[0].count() == 0
+
+
+def test_nb_hashed_terms_equal_brute_force(spark):
+    import hashlib
+    bucket = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 16
+    df = spark.createDataFrame([(i, t, lab) for i, (t, lab) in enumerate(TRAIN)] + [(50, None, 2.0), (51, "", None)],
+                               "doc_id long, text string, label double")
+    t = ml.count_terms(df, buckets=16)
+    got = {r["doc"]: r["prediction"] for r in ml.predict_nb_terms(ml.fit_nb_terms(t, 16), t).collect()}
+    train = [(x, lab) for x, lab in TRAIN] + [(None, 2.0)]
+    classes = sorted({lab for _, lab in train})
+    for i, text in [*enumerate(x for x, _ in TRAIN), (50, None), (51, "")]:
+        words = [] if text is None else text.split(" ")
+        def score(c):
+            own = Counter(bucket(w) for x, lab in train if lab == c and x is not None for w in x.split(" "))
+            total = sum(own.values())
+            return (math.log(sum(lab == c for _, lab in train) / len(train))
+                    + sum(math.log(own[bucket(w)] + 1) - math.log(total + 16) for w in words))
+        best = max(score(c) for c in classes)
+        assert got[i] == min(c for c in classes if score(c) > best - 1e-9)

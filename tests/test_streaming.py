@@ -104,3 +104,31 @@ def test_run_for_stops(spark, tmp):
          .trigger(processingTime="1 second").start())
     st.run_for(q, 2)
     assert not q.isActive
+
+
+def test_run_batches_recovers_and_gives_up(spark, tmp):
+    rows = spark.range(60).select(F.col("id").cast("string").alias("value"), F.lit(True).alias("ok"), (F.col("id") % 4).alias("n"))
+    out, src, ck = (os.path.join(tmp, x) for x in ("out", "in", "ck"))
+    writer, calls = st.value_counts_writer(out), []
+
+    def flaky(batch, batch_id):
+        calls.append(batch_id)
+        if calls.count(batch_id) < 3 and batch_id == 1:
+            writer(batch.limit(3), batch_id)     # part of the batch is out before the failure
+            raise RuntimeError("lost")
+        writer(batch, batch_id)
+
+    failed = st.run_batches(rows, flaky, src, ck, F.pmod(F.col("value").cast("int"), F.lit(3)), 3, max_restarts=2)
+    assert failed == [1, 1] and calls == [0, 1, 1, 1, 2]
+    got = {(r["batch_id"], r["n"]): r["count"] for r in spark.read.parquet(out).collect()}
+    assert got == {(b, n): 5 for b in range(3) for n in range(4)}
+
+    def broken(batch, batch_id):
+        raise RuntimeError("always")
+
+    try:
+        st.run_batches(rows, broken, src + "2", ck + "2", F.lit(0), 1, max_restarts=1)
+    except Exception as e:
+        assert "always" in str(e)
+    else:
+        raise AssertionError("a stream that keeps failing has to be reported")

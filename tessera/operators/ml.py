@@ -74,11 +74,28 @@ def false_positives(predictions: DataFrame, movies: DataFrame, max_rating: float
             .select("userId", F.col("p.movieId").alias("movieId"), "title", "rating", "prediction"))
 
 
+def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: ``num_rows`` and the distinct non-null values of each column.
+
+    Several count(distinct) in one aggregate make Spark copy every row once per column
+    and shuffle all copies. Here each column is reduced on its own, by a scan of
+    that column alone with a partial step, and only the totals meet; ``num_rows`` comes
+    with the first. Store ``df`` first if it is costly."""
+    parts = []
+    for c in columns:
+        per_value = df.groupBy(F.col(f"`{c}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(per_value.agg(F.count("v").alias("d"), F.sum("n").alias("n")).select(F.lit(c).alias("c"), "d", "n"))
+    totals = parts[0]
+    for p in parts[1:]:
+        totals = totals.unionByName(p)
+    return totals.agg(F.coalesce(F.max("n"), F.lit(0)).alias("num_rows"),
+                      *[F.max(F.when(F.col("c") == c, F.col("d"))).alias(c) for c in columns])
+
+
 def ratings_summary(ratings: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
-    """Rows, distinct users and distinct items in one aggregate (ML-5)."""
-    return ratings.agg(F.count(F.lit(1)).alias("num_ratings"),
-                       F.count_distinct(user).alias("num_users"),
-                       F.count_distinct(item).alias("num_movies"))
+    """Rows, distinct users and distinct items (ML-5)."""
+    d = distinct_counts(ratings, [user, item])
+    return d.select(F.col("num_rows").alias("num_ratings"), F.col(user).alias("num_users"), F.col(item).alias("num_movies"))
 
 
 def score_pairs(spark: SparkSession, model, pairs, user: str = "userId",

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import exact_avg, exact_sum
+from tessera.session import shared_dir
 
 
 def route_counts(flights: DataFrame, src: str = "origin", dst: str = "dest") -> DataFrame:
@@ -97,3 +98,20 @@ def airports_with_routes(airports: DataFrame, routes: DataFrame, code: str = "ia
                          src: str = "origin") -> DataFrame:
     """Every airport, with its routes when it has some (JON-3, left outer)."""
     return airports.join(routes, airports[code] == routes[src], "left_outer")
+
+
+def monthly_sketches(df: DataFrame, keys: list[str], value: str, lg: int = 12) -> DataFrame:
+    """Stored rows (keys, count, sketch): rows with a ``value`` and a mergeable HyperLogLog
+    sketch of its distinct values, per group of ``keys`` (AGG-8). Sketches of later
+    rows can be added as rows; ``unite_sketches`` takes any of them together."""
+    path = shared_dir(df.sparkSession, "sketches")
+    (df.groupBy(*keys).agg(F.count(value).alias("count"), F.hll_sketch_agg(value, F.lit(lg)).alias("sketch"))
+     .write.parquet(path))
+    return df.sparkSession.read.parquet(path)
+
+
+def unite_sketches(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, count, estimate) of the union of sketches with equal ``keys``, without a look
+    at the rows behind them."""
+    return sketches.groupBy(*keys).agg(
+        F.sum("count").alias("count"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))

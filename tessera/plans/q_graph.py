@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tessera.operators import graph as gr
+from tessera.operators.ids import dense_ids, encode
 from tessera.plans import standins as si
 from tessera.plans.oracle_sql import FLIGHTS_CTE, ROUTE_AIRPORTS_CTE, with_
 from tessera.plans.registry import query
@@ -50,6 +53,27 @@ def graph_edges(spark, sf_dir):
     return gr.edges_from(si.flights(Tables(spark, sf_dir)))
 
 
+@query("vertex_ids", """
+SELECT code, row_number() OVER (ORDER BY code) - 1 AS id
+FROM (SELECT CAST(c_custkey AS VARCHAR) AS code FROM customer UNION SELECT s_name FROM supplier)""")
+def vertex_ids(spark, sf_dir):
+    """Gapless ids of the codes of all airports and carriers, in code order (HSH-1, GRF-1)."""
+    t = Tables(spark, sf_dir)
+    codes = t.customer.select(F.col("c_custkey").cast("string").alias("code")).unionByName(t.supplier.select(F.col("s_name").alias("code")))
+    return dense_ids(codes, "code")
+
+
+@query("graph_edges_encoded", GRAPH_CTES + """,
+ids AS (SELECT id AS code, row_number() OVER (ORDER BY id) - 1 AS id FROM vertices)
+SELECT s.id AS src_id, d.id AS dst_id, e.attr FROM edges e JOIN ids s ON s.code = e.src JOIN ids d ON d.code = e.dst""")
+def graph_edges_encoded(spark, sf_dir):
+    """The edges between vertex ids (GRF-2)."""
+    v, e = _graph(spark, sf_dir)
+    ids = dense_ids(v, "id", "no")
+    both = encode(encode(e, ids, "src", "id", "src_id", "no"), ids, "dst", "id", "dst_id", "no")
+    return both.select("src_id", "dst_id", "attr")
+
+
 @query("graph_size", GRAPH_CTES + """
 SELECT (SELECT COUNT(*) FROM (SELECT src AS id FROM edges UNION SELECT dst FROM edges)) AS num_vertices,
        (SELECT COUNT(*) FROM edges) AS num_edges""")

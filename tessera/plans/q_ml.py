@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.strings import contains_any
 from tessera.operators import ml
+from tessera.operators.ids import encode_ratings
 from tessera.plans import standins as si
 from tessera.plans.oracle_sql import RATINGS_CTE, with_
 from tessera.plans.q_text import sql_java_split
@@ -27,7 +28,18 @@ KMEANS_SEED = 1
 SELECT COUNT(*) AS num_ratings, COUNT(DISTINCT userId) AS num_users,
        COUNT(DISTINCT movieId) AS num_movies FROM ratings""")
 def ratings_summary(spark, sf_dir):
-    return ml.ratings_summary(si.ratings(Tables(spark, sf_dir)))
+    path = shared_dir(spark, "ratings-ids")   # each column is a scan of its own: joined once
+    si.ratings(Tables(spark, sf_dir)).select("userId", "movieId").write.parquet(path)
+    return ml.ratings_summary(spark.read.parquet(path))
+
+
+@query("ratings_encoded", with_(RATINGS_CTE) + """
+SELECT CAST(dense_rank() OVER (ORDER BY userId) - 1 AS INTEGER) AS user_no,
+       CAST(dense_rank() OVER (ORDER BY movieId) - 1 AS INTEGER) AS item_no, rating FROM ratings""")
+def ratings_encoded(spark, sf_dir):
+    """Ratings with gapless ids of users and parts, which fit the 32 bits ALS takes (HSH-1)."""
+    r, _, _ = encode_ratings(si.ratings(Tables(spark, sf_dir)))
+    return r.select("user_no", "item_no", "rating")
 
 
 def _in_test(user: str, item: str) -> str:

@@ -157,6 +157,33 @@ def approx_distinct(spark, sf_dir):
     return c.select("count", (F.abs(F.col("a") - F.col("e")) <= 3 * APPROX_ERROR * F.col("e")).alias("within_bound"))
 
 
+SKETCH_LG = 12          # 4,096 registers: a relative standard error of about 1.6 %
+SKETCH_BOUND = 0.08
+
+
+@query("approx_distinct_monthly", with_(FLIGHTS_CTE) + """
+SELECT CAST("date".month AS INTEGER) AS month, COUNT(tailNum) AS count, TRUE AS within_bound FROM flights GROUP BY 1
+UNION ALL SELECT NULL, COUNT(tailNum), TRUE FROM flights""")
+def approx_distinct_monthly(spark, sf_dir):
+    """Distinct tail numbers per month and, in the row without a month, of all months, from
+    sketches that are kept per month and united later (AGG-8): whether each estimate lies
+    within its bound of the exact count, and the united one within that of one pass."""
+    f = _line_flights(spark, sf_dir).select(F.col("date.month").alias("month"), "tailNum")
+    sketches = rel.monthly_sketches(f, ["month"], "tailNum", SKETCH_LG)
+    per_month = sketches.select("month", "count", F.hll_sketch_estimate("sketch").alias("a"))
+    united = rel.unite_sketches(sketches, [])
+    one = rel.monthly_sketches(f, [], "tailNum", SKETCH_LG).select(F.hll_sketch_estimate("sketch").alias("one"))
+    exact = f.groupBy("month").agg(F.count_distinct("tailNum").alias("e"))
+    exact_all = f.agg(F.count_distinct("tailNum").alias("e"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= SKETCH_BOUND * F.col(b)
+    months = per_month.join(exact, "month").select("month", "count", near("a", "e").alias("within_bound"))
+    total = united.select(F.lit(1).alias("k"), "count", "estimate").join(one.withColumn("k", F.lit(1)), "k") \
+        .join(exact_all.withColumn("k", F.lit(1)), "k") \
+        .select(F.lit(None).cast("int").alias("month"), "count",
+                (near("estimate", "e") & (F.abs(F.col("estimate") - F.col("one")) <= 0.01 * F.col("one"))).alias("within_bound"))
+    return months.unionByName(total)
+
+
 # ------------------------------------------------------------------ cubes
 
 def _avg_list(cols):

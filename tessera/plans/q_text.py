@@ -9,7 +9,7 @@ from tessera.operators import sinks
 from tessera.operators import text as tx
 from tessera.plans.registry import query
 from tessera.session import shared_dir
-from tessera.sources.files import read_lines, read_whole_files
+from tessera.sources.files import read_lines, read_listed_files, write_whole_files
 from tessera.sources.parsers import parse_pairs
 from tessera.sources.tables import Tables
 
@@ -95,13 +95,12 @@ def crawl_normalize(spark, sf_dir):
 @query("crawl_files", f"""
 SELECT CAST(doc_id AS VARCHAR) AS id, {sql_normalize('text')} AS text FROM documents""")
 def crawl_files(spark, sf_dir):
-    """Documents written as files, one a row in a directory for each id, read whole and
-    crawled: the id is the part of the path after a base (SRC-2, STR-7, TXT-2)."""
-    path = shared_dir(spark, "corpus-files")
-    (Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("doc"), "text")
-     .write.option("maxRecordsPerFile", 1).partitionBy("doc").text(path))
-    found = tx.crawl(read_whole_files(spark, path, nested=True).select("path", "text"), base="/doc=")
-    return found.select(F.substring_index("id", "/", 1).alias("id"), "text")
+    """Documents written as files, one a row, in a bounded number of folders by tasks that
+    record the paths; the listed files are read whole and crawled: the id is the part
+    of the path after a base (SRC-2, STR-7, TXT-2). The driver lists no folder."""
+    paths = write_whole_files(Tables(spark, sf_dir).documents, shared_dir(spark, "corpus-files"), "doc_id", "text")
+    found = tx.crawl(read_listed_files(paths, spark.sparkContext.defaultParallelism), base="/doc=")
+    return found.select(F.substring_index("id", "@", 1).alias("id"), "text")
 
 
 @query("tuple_lines", f"""

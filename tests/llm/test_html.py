@@ -109,3 +109,45 @@ def test_clashing_columns_and_empty(spark):
     assert got.columns == ["page_id", "html", "main_text", "_main_text"]
     assert [r["_main_text"] for r in got.orderBy("page_id").collect()] == ["", "x, y."]
     assert extract(empty(df)).count() == 0
+
+
+def seconds(page):
+    import time
+    at = time.perf_counter()
+    text = main_text(page)
+    return time.perf_counter() - at, text
+
+
+def test_deep_and_unclosed_pages_take_linear_time():
+    body = "Text, of some length; and more."
+    assert main_text("<div>" * 100_000 + body) == body
+    assert main_text("<ul><li>" * 20_000 + body) == body
+    shapes = [lambda n: "<a href=\"x " * n, lambda n: "<a " * n, lambda n: "<a" * n, lambda n: "<a x='\"' y" * n,
+              lambda n: "<!--" * n, lambda n: "<" * n, lambda n: "<div>a, b." * n, lambda n: "<div>" * n + "</ul>" * n + body,
+              lambda n: "<ul><li><ul>" + "<div>" * n + "<li>x</li>" * n, lambda n: "<b>x" * n + "</i>" * n,
+              lambda n: "<article>" + "<div class=widget>a." * n, lambda n: "<p>a, b.</p>" * n, lambda n: "<svg>" * n + body]
+    for shape in shapes:
+        seconds(shape(2000))
+        one, four = seconds(shape(8000))[0], seconds(shape(32_000))[0]
+        assert four < 12 * one + 0.5, shape(2)
+
+
+def test_path_scores_equal_brute_force():
+    import math
+    import random
+    r = random.Random(2)
+    for _ in range(50):
+        n = r.randint(1, 30)
+        paths = [r.choice("abcd") for _ in range(n)]
+        lengths, marks = [r.randint(1, 200) for _ in range(n)], [r.randint(0, 9) for _ in range(n)]
+        ratio = lambda x, p: sum(v for v, q in zip(x, paths) if q == p) / paths.count(p)
+
+        def smooth(x):
+            w = lambda i, j: math.exp(-((i - j) ** 2) / 2) if abs(i - j) <= 3 else 0.0
+            return [sum(w(i, j) * x[j] for j in range(n)) / sum(w(i, j) for j in range(n)) for i in range(n)]
+
+        a, b = smooth([ratio(lengths, p) for p in paths]), smooth([ratio(marks, p) for p in paths])
+        ma, mb = sum(a) / n or 1, sum(b) / n or 1
+        fused = [x / ma * (y / mb) for x, y in zip(a, b)]
+        want = [sum(f for f, q in zip(fused, paths) if q == p) / paths.count(p) for p in paths]
+        assert all(abs(x - y) < 1e-9 for x, y in zip(path_scores(paths, lengths, marks), want))

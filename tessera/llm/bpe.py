@@ -242,6 +242,10 @@ class ByteBpe:
                 rows, chars = [], 0
         return out + self._encode_block(rows)
 
+    def forget(self) -> None:
+        """Give up the cache of pieces."""
+        self.old, self.fresh = {}, {}
+
     def _encode_block(self, rows: list) -> list[bytes]:
         if len(self.fresh) > CACHE_PIECES // 2:  # the half not met lately goes
             self.old, self.fresh = self.fresh, {}
@@ -316,6 +320,7 @@ def encode_decode(docs: DataFrame, path: str, text_col: str = "text") -> DataFra
                 found = bpe(path).encode(b.column(at_column).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, pa.array(found, pa.binary()), pa.array(bpe(path).decode(found), pa.string())], schema.names)
+        bpe(path).forget()  # the worker lives on and may do other work next
         trim_memory()
 
     return rows.mapInArrow(run, schema)

@@ -1,8 +1,9 @@
 """Quality rules with risk-controlled thresholds.
 
 Counts of each text (words, symbols, repeated lines and windows, ...) give one
-score per rule, high meaning bad. Cutoffs are chosen per stratum on documents
-labelled good, split by a hash of the id into two holdouts:
+score per rule, high meaning bad. Cutoffs are chosen per stratum on texts
+labelled good, split by a hash of the text into two holdouts (copies of a text are in
+the same one and count once, so the second is independent of the first):
 
 * on the first, a level (share, margin) of ``LEVELS`` takes for each rule the
   smallest cutoff of its grid that rejects at most that share of the good
@@ -11,9 +12,13 @@ labelled good, split by a hash of the id into two holdouts:
   holds if the exact binomial test rejects "the rules together reject ``risk`` or
   more of the good documents". The tests of one stratum form a fixed sequence that
   ends at the first failure, so they need no correction among themselves; across
-  strata the error ``delta`` is divided by their number (Bonferroni). Of the levels
-  that hold, that which rejects most documents labelled bad is taken, the mildest
-  of equals.
+  strata the error ``delta`` is divided by their number, and a stratum whose levels all
+  hold hands its part on to the others (Holm). Of the levels that hold, that which
+  rejects most texts labelled bad is taken, the mildest of equals.
+
+The first holdout has one text in ``FIRST``: it only proposes cutoffs. The second has
+to prove them; at a risk of 0.02 it takes about 220 good texts of a stratum none of
+which is rejected.
 
 With probability 1 - ``delta`` the rules then reject less than ``risk`` of the good
 documents in every stratum. A stratum whose labels cannot prove that has no
@@ -25,7 +30,7 @@ count in the fit; a document with several labels is good if all are. Without
 labels, or with an empty table, there are no cutoffs. Repeated rows are judged
 each. Extra columns may have any name.
 
-Scale: counting is map-side, the fit aggregates one row per labelled document and
+Scale: counting is map-side (``keep`` counts the labelled texts once more, for the fit), the fit aggregates one row per labelled document and
 rule into (stratum, rule, bin) counts before any shuffle, cutoffs are one row per
 stratum and stay a DataFrame; they are broadcast after a check of their size.
 """
@@ -37,6 +42,7 @@ from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,11 +51,13 @@ from tessera.llm.common import col, fresh, stored, table, trim_memory
 from tessera.llm.registry import query
 
 WINDOW = 8
-RISK = 0.01
+RISK = 0.02
 DELTA = 0.05
-LEVELS = ((0.0, 20), (0.0, 10), (0.0, 5), (0.0, 0), (0.0005, 0), (0.001, 0), (0.002, 0), (0.004, 0))
+FIRST = 4
+LEVELS = ((0.0, 40), (0.0, 20), (0.0, 10), (0.0, 5), (0.0, 0), (0.0005, 0), (0.001, 0), (0.002, 0), (0.004, 0))
 GRID = 200  # cutoffs per rule, even steps up to the rule's largest cutoff
 BLOCK_WORDS = 150_000
+SLICE_ROWS = 500
 SYMBOLS = "#*$%&|<>"  # fixed by the contract
 COUNTS = ("n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_upper "
           "n_echo n_long n_distinct").split()
@@ -122,18 +130,20 @@ def count_block(texts: list[str]) -> dict[str, np.ndarray]:
 def counts(text: Column) -> Column:
     """The counts of a text as a struct of longs."""
 
-    @F.pandas_udf(", ".join(f"{c} long" for c in COUNTS))
-    def of(texts: pd.Series) -> pd.DataFrame:
-        blocks, block, size = [], [], 0
-        for t in texts:
-            block.append(t or "")
-            size += len(block[-1])
-            if size > 6 * BLOCK_WORDS:
-                blocks.append(count_block(block))
-                block, size = [], 0
-        blocks.append(count_block(block))
+    @F.arrow_udf("struct<" + ", ".join(f"{c}: bigint" for c in COUNTS) + ">")
+    def of(texts: pa.Array) -> pa.Array:
+        blocks = [dict.fromkeys(COUNTS, np.zeros(0, np.int64))]
+        for at in range(0, len(texts), SLICE_ROWS):  # a batch's texts are never all in Python at once
+            block, size = [], 0
+            for t in texts.slice(at, SLICE_ROWS).to_pylist():
+                block.append(t or "")
+                size += len(block[-1])
+                if size > 6 * BLOCK_WORDS:
+                    blocks.append(count_block(block))
+                    block, size = [], 0
+            blocks.append(count_block(block))
         trim_memory()
-        return pd.DataFrame({c: np.concatenate([b[c] for b in blocks]) for c in COUNTS})
+        return pa.StructArray.from_arrays([pa.array(np.concatenate([b[c] for b in blocks])) for c in COUNTS], names=COUNTS)
 
     return of(text)
 
@@ -183,12 +193,14 @@ def fit(features: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
         id_col: str = "doc_id", good_col: str = "quality") -> DataFrame:
     """Cutoffs: rows (stratum, level, cuts), a row per stratum that has any.
 
-    ``features``: rows (id, stratum, failed, bins). ``cuts`` are grid steps by rule; a
-    document whose step exceeds any is rejected."""
+    ``features``: rows (id, stratum, text_key, failed, bins), of the labelled documents at
+    least. ``cuts`` are grid steps by rule; a document whose step exceeds any is rejected."""
     marks = labels.groupBy(col(labels, id_col).alias("id")).agg(F.min(col(labels, good_col)).alias("good")) \
         .where("good in (0, 1)")
-    held = features.where(~F.col("failed")).join(marks, "id") \
-        .select("stratum", "bins", "good", (F.crc32(F.col("id").cast("string").cast("binary")) % 2).alias("half"))
+    held = features.where(~F.col("failed")).join(marks, "id").groupBy("stratum", "text_key") \
+        .agg(F.first("bins").alias("bins"), F.min("good").alias("good")) \
+        .select("stratum", "bins", "good", F.least(F.pmod("text_key", F.lit(FIRST)), F.lit(1)).alias("half"))
+    held = stored(held, "quality-held")
     n_rules = len(scores(F.struct(*[F.lit(0).alias(c) for c in COUNTS])))
     hist = held.where("half = 0 and good = 1").select("stratum", F.posexplode("bins").alias("rule", "bin")) \
         .groupBy("stratum", "rule", "bin").agg(F.count("*").alias("n"))
@@ -218,11 +230,17 @@ def fit(features: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
     def p_value(n: pd.Series, k: pd.Series) -> pd.Series:
         return pd.Series([binomial_tail(int(a), int(b), risk) for a, b in zip(n, k)], dtype="float64")
 
-    n_strata = features.select("stratum").distinct().count() or 1
+    n_strata = held.select("stratum").distinct().count() or 1
     seq = W.partitionBy("stratum").orderBy("level")
-    ok = tests.withColumn("p", p_value("n", "k")).withColumn("worst", F.max("p").over(seq)) \
-        .withColumn("tested", F.row_number().over(seq)) \
-        .where((F.col("worst") <= delta / n_strata) & (F.col("tested") == F.col("level") + 1))
+    p = stored(tests.withColumn("p", p_value("n", "k")).withColumn("worst", F.max("p").over(seq))
+               .withColumn("tested", F.row_number().over(seq)).where(F.col("tested") == F.col("level") + 1), "quality-tests")
+    # Holm: strata in the order of their last level's p; one row per stratum
+    ends = W.orderBy("all")
+    done = p.where(F.col("level") == len(LEVELS) - 1).select("stratum", F.col("worst").alias("all")) \
+        .withColumn("rest", F.lit(n_strata) - F.row_number().over(ends) + 1) \
+        .withColumn("fails", F.sum((F.col("all") > delta / F.col("rest")).cast("int")).over(ends)) \
+        .where("fails = 0").count()
+    ok = p.where(F.col("worst") <= delta / max(1, n_strata - done))
     return ok.groupBy("stratum").agg(F.max_by(F.struct("level", "cuts"), F.struct("caught", -F.col("level"))).alias("s")) \
         .select("stratum", "s.level", "s.cuts")
 
@@ -241,9 +259,9 @@ def with_cuts(rows: DataFrame, cuts: DataFrame, stratum: str, max_bytes: int = 6
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              strata: list[str] = ["lang"]) -> DataFrame:  # noqa: B006
-    """Stored rows (id, stratum, counts, failed, bins) of all documents."""
+    """Stored rows (id, stratum, text_key, counts, failed, bins) of all documents."""
     d = docs.select(col(docs, id_col).alias("id"), _stratum(docs, strata).alias("stratum"),
-                    counts(col(docs, text_col)).alias("counts"))
+                    F.xxhash64(col(docs, text_col)).alias("text_key"), counts(col(docs, text_col)).alias("counts"))
     c = F.col("counts")
     return stored(d, "quality").select("*", base_failed(c).alias("failed"), bins(c).alias("bins"))
 
@@ -260,7 +278,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          strata: list[str] = ["lang"], risk: float = RISK, delta: float = DELTA) -> DataFrame:  # noqa: B006
     """``docs`` with its own columns, without the documents that the rules reject."""
-    f = features(docs, id_col, text_col, strata)
+    known = labels.select(col(labels, id_col).alias("labelled")).distinct()
+    f = features(docs.join(known, col(docs, id_col) == F.col("labelled"), "left_semi"), id_col, text_col, strata)
     cuts = stored(fit(f, labels, risk, delta), "quality-cuts")
     s, c = fresh(docs, "stratum", "counts")
     rows = docs.select(*[col(docs, x) for x in docs.columns], _stratum(docs, strata).alias(s),

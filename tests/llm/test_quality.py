@@ -100,3 +100,28 @@ def test_query(spark):
         assert x.base_failed == (b[0] < 20 or 100 * b[4] > 30 * b[0]) and not (x.base_failed and x.kept)
         n += 1
     assert n == len(texts)
+
+
+def test_copies_count_once_and_stay_in_one_holdout(spark):
+    """A good text that is rejected, copied often, counts as one rejection; copies never are in both holdouts."""
+    d = corpus(spark)
+    copies = d.where("not bad").limit(1).crossJoin(spark.range(300).select(F.col("id").alias("n"))) \
+        .select((F.col("n") + 10_000).alias("doc_id"), "text", "lang", "bad", "counts", "stratum")
+    more = d.unionByName(copies)
+    labels = more.select("doc_id", F.when(F.col("bad"), 0).otherwise(1).alias("quality"))
+    one = {r.stratum: (r.level, list(r.cuts)) for r in Q.fit(Q.features(d), labels).collect()}
+    two = {r.stratum: (r.level, list(r.cuts)) for r in Q.fit(Q.features(more), labels).collect()}
+    assert one == two and one
+
+
+def test_real_labels_give_cutoffs_that_hold(spark):
+    sf = "/root/testdata/sf0.1"
+    d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    j = Q.judge(d, labels)
+    cut = j.join(labels, F.col("id") == F.col("doc_id")).where("not failed").groupBy("stratum", "quality") \
+        .agg(F.count("*").alias("n"), F.sum((~F.col("kept")).cast("int")).alias("out")).collect()
+    for r in cut:
+        if r.quality == 1:
+            assert r.out <= Q.RISK * r.n
+    assert sum(r.out for r in cut if r.quality == 0) > 0
+    assert {r.stratum for r in cut if r.quality == 0 and r.out} == {r.stratum for r in cut}

@@ -13,7 +13,7 @@ in the bucket.
 Defined cases. A null text counts no bytes and keeps a null checksum of the empty
 text (0); a null id goes to one defined shard. Repeated rows are kept, each with
 its own slot. An empty table gives an empty result. All other columns of the
-input are kept as they are in ``row``.
+input are kept as they are in ``row``, whatever their types.
 
 Scale: one shuffle of the rows, bounded buckets, and a window over one row per
 bucket for the offsets. Sizes and bucket count come from all rows. The written
@@ -34,7 +34,6 @@ from tessera.session import shared_dir
 SHARDS = 24
 SEED = 20_011
 BUCKET_BYTES = 16 << 20
-MAX_PARTS = 100_000
 
 
 def shard_of(key, shards: int, seed: int = SEED):
@@ -60,16 +59,19 @@ def scatter_shuffle(docs: DataFrame, out_dir: str, shards: int = SHARDS, seed: i
         shard_of(key, shards, seed).alias("shard"), shard_of(key, shards + 1, seed).alias("grown_shard"),
         F.xxhash64(F.lit(seed), key, place).alias("draw"), place.alias("place"))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "draw"), F.lit(buckets)).cast("int"))
-    # a task gets whole buckets by their number (one each, up to MAX_PARTS) in a fixed order:
-    # the seeded shuffle draws the same permutation again when a task is repeated
+    # a task gets one bucket, by its number, in a fixed order: the seeded shuffle draws the
+    # same permutation again when a task is repeated. Only the draws are sorted, so
+    # that columns of any type pass
     cells = shards * buckets
-    parts = min(cells, MAX_PARTS)
-    item = F.struct("draw", "place", "row", "size", "crc", "grown_shard")
-    filled = rows.withColumn("part", F.pmod(F.col("shard").cast("long") * buckets + F.col("bucket"), F.lit(parts)).cast("int")) \
-        .repartitionById(parts, "part") \
-        .groupBy("part", "shard", "bucket").agg(F.sort_array(F.collect_list(item)).alias("items")) \
-        .sortWithinPartitions("shard", "bucket") \
-        .select("shard", "bucket", F.shuffle("items", seed).alias("items"))
+    item = F.struct("row", "size", "crc", "grown_shard")
+    draws = F.sort_array(F.transform("keys", lambda k, i: F.struct(k["draw"].alias("d"), k["place"].alias("p"), i.alias("i"))))
+    drawn = F.shuffle(F.transform(draws, lambda d: d["i"]), seed)
+    filled = rows.withColumn("part", (F.col("shard").cast("long") * buckets + F.col("bucket")).cast("int")) \
+        .repartitionById(cells, "part") \
+        .groupBy("part", "shard", "bucket") \
+        .agg(F.collect_list(F.struct("draw", "place")).alias("keys"), F.collect_list(item).alias("rows")) \
+        .select("shard", "bucket", "rows", drawn.alias("drawn")) \
+        .select("shard", "bucket", F.transform("drawn", lambda i: F.get("rows", i)).alias("items"))
     out = filled.select("shard", "bucket", F.posexplode("items").alias("at", "item")) \
         .select("bucket", "at", "item.row", "item.size", "item.crc", "item.grown_shard", "shard")
     out.write.partitionBy("shard").parquet(out_dir)

@@ -63,3 +63,16 @@ def test_query(spark):
         raw = (docs[r.doc_id] or "").encode()
         assert (r["size"], r.text_crc32, r.law) == (len(raw) + 8, zlib.crc32(raw), "key")
         assert 0 <= r.shard < 24 and r.grown_shard in (r.shard, 24)
+
+
+def test_columns_of_any_type(spark, tmp_path):
+    d = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"),
+                                F.create_map(F.lit("k"), F.col("id")).alias("draw"),
+                                F.array(F.struct(F.create_map(F.lit(1), F.lit(2)).alias("m"))).alias("place"))
+    w = H.with_slots(H.scatter_shuffle(d, str(tmp_path / "any"), shards=3, bucket_bytes=500))
+    rows = w.select("shard", "slot", "row.doc_id", "row.draw", F.col("bucket")).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(200)) and all(r.draw == {"k": r.doc_id} for r in rows)
+    assert max(r.bucket for r in rows) > 0
+    for s in range(3):
+        own = [r.slot for r in rows if r.shard == s]
+        assert sorted(own) == list(range(len(own)))

@@ -30,7 +30,8 @@ count in the fit; a document with several labels is good if all are. Without
 labels, or with an empty table, there are no cutoffs. Repeated rows are judged
 each. Extra columns may have any name.
 
-Scale: counting is map-side (``keep`` counts the labelled texts once more, for the fit), the fit aggregates one row per labelled document and
+Scale: counting is map-side and done once (``keep`` stores the rows with their counts and
+moves no text), the fit aggregates one row per labelled document and
 rule into (stratum, rule, bin) counts before any shuffle, cutoffs are one row per
 stratum and stay a DataFrame; they are broadcast after a check of their size.
 """
@@ -47,7 +48,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import col, fresh, stored, table, trim_memory
+from tessera.llm.common import col, stored, table, trim_memory
 from tessera.llm.registry import query
 
 WINDOW = 8
@@ -278,15 +279,15 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          strata: list[str] = ["lang"], risk: float = RISK, delta: float = DELTA) -> DataFrame:  # noqa: B006
     """``docs`` with its own columns, without the documents that the rules reject."""
-    known = labels.select(col(labels, id_col).alias("labelled")).distinct()
-    f = features(docs.join(known, col(docs, id_col) == F.col("labelled"), "left_semi"), id_col, text_col, strata)
+    rows = stored(docs.select(
+        F.struct(*[col(docs, c) for c in docs.columns]).alias("row"), col(docs, id_col).alias("id"),
+        _stratum(docs, strata).alias("stratum"), F.xxhash64(col(docs, text_col)).alias("text_key"),
+        counts(col(docs, text_col)).alias("counts")), "quality-rows")
+    c = F.col("counts")
+    f = rows.select("id", "stratum", "text_key", base_failed(c).alias("failed"), bins(c).alias("bins"))
     cuts = stored(fit(f, labels, risk, delta), "quality-cuts")
-    s, c = fresh(docs, "stratum", "counts")
-    rows = docs.select(*[col(docs, x) for x in docs.columns], _stratum(docs, strata).alias(s),
-                       counts(col(docs, text_col)).alias(c))
-    j = with_cuts(rows, cuts, s)
-    out = F.coalesce(rejected(bins(F.col(c)), F.col(f"`{s}_cuts`")), F.lit(False))
-    return j.where(~base_failed(F.col(c)) & ~out).select(*[F.col(f"`{x}`") for x in docs.columns])
+    out = F.coalesce(rejected(bins(c), F.col("stratum_cuts")), F.lit(False))
+    return with_cuts(rows, cuts, "stratum").where(~base_failed(c) & ~out).select("row.*")
 
 
 @query("op7_quality_rules")

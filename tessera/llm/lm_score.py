@@ -1,9 +1,9 @@
 """Language-model scores by logistic context mixing.
 
 Tokens (words, then one end) are written in a binary code: the ``max_words`` most
-frequent words of those met twice or more, the end and an escape have a Huffman
-code; an escaped word is spelled in a Huffman code of bytes. Words met once teach
-the model when to escape. Each code bit is predicted by several models: the code
+frequent words, the end and the escapes (one by first byte) have a Huffman code; an
+escaped word is spelled in a Huffman code of bytes. Words met once teach the model
+when to escape. Each code bit is predicted by several models: the code
 tree itself, hashed contexts (the word before, the last very frequent word; for bytes the one to four bytes before) and, for words, the word
 that followed the last occurrence of the same two words in the text. The
 predictions, as log odds, are combined by weights; a gate, made of how much the
@@ -132,8 +132,7 @@ class Mixer:
 
     def __init__(self, contexts: int, bits: int = TABLE_BITS):
         self.contexts, self.shift, self.size = contexts, np.uint32(32 - bits), 1 << bits
-        self.n = [np.zeros(self.size, np.uint32) for _ in range(contexts)]  # of one task
-        self.n1 = [np.zeros(self.size, np.uint32) for _ in range(contexts)]
+        self.cells = [np.zeros(2 * self.size, np.uint32) for _ in range(contexts)]  # of one task: zeros and ones by slot
         self.packed = [np.zeros(self.size, np.int16) for _ in range(contexts)]
         self.weights = np.full((contexts + 2, GATES), 0.3, np.float32)
         self.seen = np.zeros(GATES)
@@ -141,37 +140,49 @@ class Mixer:
         self.map_n1 = np.zeros(GATES * BUCKETS)
         self.map: np.ndarray | None = None
 
-    def run(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None, learn: bool) -> np.ndarray:
+    @property
+    def n(self) -> list[np.ndarray]:
+        """Bits met, by slot."""
+        return [c[::2] + c[1::2] for c in self.cells]
+
+    @property
+    def n1(self) -> list[np.ndarray]:
+        return [c[1::2] for c in self.cells]
+
+    def run(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None, learn: bool,
+            scores: bool = True) -> np.ndarray | None:
         """Natural log probability of each symbol, from the counts known before the
-        block; ``learn``: correct the weights on the way and count the block at its end.
+        block; ``learn``: correct the weights on the way and count the block at its end;
+        without ``scores``, learning leaves the logarithms out and returns nothing.
         Work goes by small runs, whose arrays stay in the processor's cache."""
-        out = np.empty(len(ids))
+        out = np.empty(len(ids)) if scores else None
         cells: list[list] = [[] for _ in range(self.contexts)]
         for at in range(0, len(ids), RUN_SYMBOLS):
             cut = slice(at, at + RUN_SYMBOLS)
-            out[cut] = self._run(cb, ids[cut], [c[cut] for c in ctx], None if pred is None else pred[cut], cells if learn else None)
+            lp = self._run(cb, ids[cut], [c[cut] for c in ctx], None if pred is None else pred[cut], cells if learn else None, scores)
+            if scores:
+                out[cut] = lp
         if learn and len(ids):
             for k in range(self.contexts):
                 cell = np.concatenate(cells[k])
                 if len(cell) < self.size:  # the slots met only
-                    at = cell >> 1
-                    np.add.at(self.n[k], at, np.uint32(1))
-                    np.add.at(self.n1[k], at[(cell & 1).astype(bool)], np.uint32(1))
-                    self.packed[k][at] = pack(self.n[k][at], self.n1[k][at])
+                    np.add.at(self.cells[k], cell, np.uint32(1))
+                    cell |= 1
+                    n1 = _take(self.cells[k], cell)
+                    self.packed[k][cell >> 1] = pack(n1 + _take(self.cells[k], cell - 1), n1)
                 else:
-                    both = np.bincount(cell, minlength=2 * self.size).astype(np.uint32)
-                    self.n[k] += both[::2] + both[1::2]
-                    self.n1[k] += both[1::2]
-                    self.packed[k] = pack(self.n[k], self.n1[k])
+                    self.cells[k] += np.bincount(cell, minlength=2 * self.size).astype(np.uint32)
+                    self.packed[k] = pack(self.cells[k][::2] + self.cells[k][1::2], self.cells[k][1::2])
         return out
 
-    def _run(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None, cells: list | None) -> np.ndarray:
+    def _run(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None, cells: list | None,
+             scores: bool) -> np.ndarray | None:
         lens = cb.lens[ids]
         order = np.argsort(255 - lens, kind="stable")  # longest codes first: a depth's symbols are a prefix
         ids, lens = ids[order], lens[order].astype(np.int32)
         codes = cb.codes[ids]
         ctx = [c[order] for c in ctx]
-        lp = cb.tail[ids]
+        lp = cb.tail[ids] if scores else None
         node = np.zeros(len(ids), np.int64)
         if pred is not None:
             pred = pred[order]
@@ -211,14 +222,17 @@ class Mixer:
             for w, s in zip(self.weights[1:], xs[1:]):
                 x += _take(w, gate) * s
             np.clip(x, -12, 12, out=x)
-            sign = (1 - 2 * bit).astype(np.float32)
             if cells is not None:
                 self._correct(xs, gate, row, x, bit)
-            elif self.map is not None:
-                x += _take(self.map, _cell(row, x))
-                sign *= np.float32(0.5)
-            lp[:n] -= np.log1p(np.exp(x * sign))
+            if scores:
+                sign = (1 - 2 * bit).astype(np.float32)
+                if cells is None and self.map is not None:
+                    x += _take(self.map, _cell(row, x))
+                    sign *= np.float32(0.5)
+                lp[:n] -= np.log1p(np.exp(x * sign))
             node = 2 * node + bit - cb.leaves[d + 1]  # less than 0: the code ends here
+        if not scores:
+            return None
         out = np.empty(len(lp))
         out[order] = lp
         return out
@@ -239,7 +253,8 @@ class Mixer:
         """What other tasks' models are added to: (kind, place, bytes)."""
         for k in range(self.contexts):
             for at in range(0, self.size, CHUNK):
-                both = np.stack([self.n[k][at:at + CHUNK], self.n1[k][at:at + CHUNK]])
+                cut = self.cells[k][2 * at:2 * (at + CHUNK)].reshape(-1, 2)
+                both = np.stack([cut.sum(1), cut[:, 1]])
                 if both.any():
                     yield f"{kind}{k}", at // CHUNK, zlib.compress(both.astype("<u8").tobytes(), 1)
         rest = np.concatenate([(self.weights * self.seen).ravel(), self.seen, self.map_n.ravel(), self.map_n1.ravel()])
@@ -293,7 +308,7 @@ def merged(rows: DataFrame) -> dict:
 
 def mixer_of(parts: dict, kind: str, contexts: int, bits: int = TABLE_BITS) -> Mixer:
     m = Mixer(contexts, bits)
-    m.n = m.n1 = []  # only the packed form is needed to predict
+    m.cells = []  # only the packed form is needed to predict
     for k in range(contexts):
         for at in range(0, m.size, CHUNK):
             if data := parts.get((f"{kind}{k}", at // CHUNK)):
@@ -493,7 +508,7 @@ def train(docs: DataFrame, max_words: int | None = None):
     escapes = np.zeros(256, np.int64)  # tokens outside the dictionary, and words met once, by first byte
     held = (F.col("n") == 1) | (F.octet_length("word") > MAX_WORD_BYTES)
     if len(words) == max_words:
-        held = held | (F.col("n") < own[-1])
+        held = held | (F.col("n") < own[-1]) | (F.col("n") == own[-1]) & (F.col("word") > F.lit(words[-1]))
     for r in counts.where(held & (F.octet_length("word") > 0)).groupBy(F.substring(F.hex("word"), 1, 2).alias("b")) \
             .agg(F.sum("n").alias("n")).collect():
         escapes[int(r["b"], 16)] = r["n"]
@@ -509,7 +524,7 @@ def train(docs: DataFrame, max_words: int | None = None):
                     size = min(6 * BLOCK_TOKENS, size + size // 4)
                     ids, first, _, _, _ = m.token_ids(texts, once=True)
                     ctx, pred = word_contexts(ids, first, m.end, m.word_code.classes)
-                    mixer.run(m.word_code, ids, ctx, pred, True)
+                    mixer.run(m.word_code, ids, ctx, pred, True, scores=False)
         yield from part_batches(mixer.parts("w"))
 
     def learn_spelling(batches):
@@ -521,7 +536,7 @@ def train(docs: DataFrame, max_words: int | None = None):
                 while words:
                     ids, first, _ = byte_ids(words[:size])
                     words, size = words[size:], min(32_768, 2 * size)
-                    mixer.run(m.byte_code, ids, spell_contexts(ids, first), None, True)
+                    mixer.run(m.byte_code, ids, spell_contexts(ids, first), None, True, scores=False)
         yield from part_batches(mixer.parts("b"))
 
     schema = "kind string, place int, data binary"

@@ -244,3 +244,25 @@ def test_query(spark):
     for (i, t), w in zip(rows, brute_base(rows)):
         r = got[i]
         assert (r.n_tokens, r.n_known, r.train_tokens) == w[:3] and abs(r.base_score - w[3]) < 1e-9 * abs(w[3])
+
+
+def test_learning_is_the_same_without_scores():
+    random.seed(12)
+    texts = [" ".join(random.choices(["aa", "ab", "b", "cc", "ä"], k=40)) for _ in range(60)]
+    m = model(texts)
+    ids, first, _, _, _ = m.token_ids(texts)
+    ctx, pred = L.word_contexts(ids, first, m.end, m.word_code.classes)
+    one, two = L.Mixer(L.WORD_CONTEXTS, 12), L.Mixer(L.WORD_CONTEXTS, 12)
+    for _ in range(3):
+        assert one.run(m.word_code, ids, ctx, pred, True) is not None
+        assert two.run(m.word_code, ids, ctx, pred, True, scores=False) is None
+    assert list(one.parts("w")) == list(two.parts("w"))
+
+
+def test_words_tied_with_the_last_dictionary_word_count_as_escapes(spark):
+    docs = spark.createDataFrame([("b b b a a c c d d e",)], "text string")
+    sent, _, n, _ = L.train(docs, max_words=2)  # b, and a of the four met twice
+    m = pickle.loads(sent.value)
+    assert m.blob.split(b"\n") == [b"b", b"a"] and n == 11
+    code = L.Codebook(np.concatenate([m.counts, [1], np.bincount([*b"ccdde"], minlength=256)]), np.arange(259))
+    assert sorted(m.word_code.lens.tolist()) == sorted(code.lens.tolist())

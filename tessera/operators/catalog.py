@@ -31,12 +31,22 @@ def add_partition(spark: SparkSession, name: str, spec: dict, location: str | No
     spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({body}){loc}")
 
 
-def add_partitions(spark: SparkSession, name: str, specs: list[dict]) -> None:
+def _spec(spec: dict) -> str:
+    return "PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in spec.items()) + ")"
+
+
+def add_partitions(spark: SparkSession, name: str, specs: list[dict], locations: list[str] | None = None) -> None:
     """Add many partitions in one statement (CAT-3); those that are there stay.
-    Without a location each is the usual directory below the table's."""
+    Without ``locations`` each is the usual directory below the table's."""
+    if specs:
+        at = [f" LOCATION '{x}'" for x in locations] if locations else [""] * len(specs)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(_spec(s) + x for s, x in zip(specs, at)))
+
+
+def drop_partitions(spark: SparkSession, name: str, specs: list[dict]) -> None:
+    """Drop many partitions in one statement; an external table's files stay."""
     if specs:
-        parts = " ".join("PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in spec.items()) + ")" for spec in specs)
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(map(_spec, specs)))
 
 
 def recover_partitions(spark: SparkSession, name: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera import streaming as st
 from tessera.fixed_values import ETL_PARTITION_FORMATS
-from tessera.operators import catalog, ml, relational as rel, sinks
+from tessera.operators import catalog, compaction, ml, relational as rel, sinks
 from tessera.plans import standins as si
 from tessera.plans.oracle_sql import FLIGHTS_CTE, with_
 from tessera.plans.q_ml import HASHED_SQL, NB_BUCKETS, POST_KEYWORDS, _sql_contains_any
@@ -200,6 +200,19 @@ def etl_recovered_rows(spark, sf_dir):
     return spark.table(_etl_table(spark, sf_dir, fail=(1,))).select(*sinks.ETL_COLUMNS, *sinks.DATE_COLS)
 
 
+@query("etl_compacted_rows", ETL_ROWS_SQL.replace("FROM flights", ", CAST(1 AS BIGINT) AS date_files FROM flights"))
+def etl_compacted_rows(spark, sf_dir):
+    """The ETL's rows after its two batches were compacted, read through the view, with the
+    number of files that hold the row's date: one, as no date fills a second
+    (``sinks.ROWS_PER_FILE`` rows); before, each date has a file per batch."""
+    table, out = _etl_table(spark, sf_dir), shared_dir(spark, "flights-compacted")
+    view = table + "_all"
+    compaction.compact(spark, table, view, out, ETL_BATCHES - 1)
+    rows = spark.table(view).withColumn("file", F.input_file_name())
+    files = rows.groupBy(*sinks.DATE_COLS).agg(F.countDistinct("file").alias("date_files"))
+    return rows.drop("file").join(files, sinks.DATE_COLS).select(*sinks.ETL_COLUMNS, *sinks.DATE_COLS, "date_files")
+
+
 @query("etl_batch_rows", ETL_ROWS_SQL)
 def etl_batch_rows(spark, sf_dir):
     """The same in batch form: written by date in one job and read back (SNK-4, PRJ-8)."""

@@ -27,5 +27,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     # importing the modules fills the registry
     from tessera.plans import (  # noqa: F401
-        q_relational, q_text, q_graph, q_ml, q_parse, q_stream, q_stored,
+        q_relational, q_text, q_graph, q_ml, q_parse, q_stream, q_stored, q_catalog,
     )

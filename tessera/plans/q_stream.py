@@ -265,6 +265,16 @@ def parquet_roundtrip(spark, sf_dir):
     return sinks.parquet_roundtrip(carriers, shared_dir(spark, "carriers"), ROUNDTRIP_N, ["code"])
 
 
+@query("parquet_roundtrip_customers", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS description FROM customer
+ORDER BY code LIMIT {ROUNDTRIP_N}""")
+def parquet_roundtrip_customers(spark, sf_dir):
+    """The same of the customers, of whom there are more than 100 at any size (LIM-1, SNK-3)."""
+    customers = Tables(spark, sf_dir).customer.select(
+        F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("description"))
+    return sinks.parquet_roundtrip(customers, shared_dir(spark, "customers"), ROUNDTRIP_N, ["code"])
+
+
 # ---------------------------------------------------------------- file sources over written tables
 
 @query("text_file_word_count", """

@@ -110,3 +110,13 @@ def test_crawl_files_keeps_rows_of_one_id_apart(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted((r.id, r.text) for r in crawl_files(spark, str(tmp_path)).collect())
     assert got == [(str(i), t) for i, t in sorted(rows)]
+
+
+def test_lines_of_more_than_a_thousand_postings(spark):
+    post = spark.range(2500).select(F.lit("w").alias("word"), F.format_string("d%04d", "id").alias("doc"),
+                                    (F.col("id") % 7 + 1).alias("n"))
+    lines = {r["part"]: r["postings"] for r in tx.postings_lines(tx.rank_postings(post)).collect()}
+    want = [f"(d{i:04d},{n})" for n, i in sorted(((i % 7 + 1, i) for i in range(2500)), key=lambda x: (-x[0], x[1]))]
+    assert sorted(lines) == [0, 1, 2]
+    assert ", ".join(lines[p] for p in (0, 1, 2)) == ", ".join(want)
+    assert [lines[p].count("(") for p in (0, 1, 2)] == [1000, 1000, 500]

@@ -4,8 +4,8 @@ The benchmark is normalised (A-Z lower-cased, words are runs of ASCII letters,
 digits and non-ASCII characters) and cut into windows of ``window`` consecutive
 words; an item with fewer words is one window. Each distinct window gets a
 64-bit hash. Documents are scanned window by window, the hashes are probed
-against the benchmark's hash set (broadcast once its size is proven, else a
-shuffled join on the hash), and every probe that matches is verified by
+against the benchmark's hash set (broadcast once its size is proven, else joined
+by a shuffle of hashes and places alone), and every probe that matches is verified by
 comparing the words themselves, so hash collisions do no harm.
 
 A document word is hit if it lies in any occurrence of a window. A document is
@@ -18,10 +18,11 @@ with equal id and text get equal results. Ids may be null. Extra columns of the
 inputs are ignored by ``scan`` and kept by ``decontaminate``, whatever their
 names. Empty tables give empty results.
 
-Scale: one scan of the documents; texts are never shuffled. What moves is one row
-per document and one per occurrence of a window, keyed by document, so a hot
-passage costs its occurrences and no more. The group of one document is bounded
-by its own word count.
+Scale: with a broadcast benchmark, one scan of the documents; texts are never
+shuffled. What moves is one row per document and one per occurrence of a window, keyed
+by document, so a hot passage costs its occurrences and no more. The group of one
+document is bounded by its own word count. Beyond ``max_broadcast_bytes`` the documents
+are scanned twice, and 28 bytes per window and the texts' words once are shuffled.
 """
 
 from __future__ import annotations
@@ -63,28 +64,55 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(col(docs, id_col).alias("id"), F.xxhash64(text).alias("k"), text.alias("text"))
 
 
-def _probe(docs: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
-    """One scan of all windows. Rows (rid, id, k, n_words, at, len, h, found,
-    gram): one with null ``h`` or a match per document, and one per match of a
-    window's hash. Everything from the scan to the probe is one generated stage."""
-    first = min(lengths)
-    w = docs.select(F.monotonically_increasing_id().alias("rid"), "id", "k", words_of(F.col("text")).alias("words")) \
-        .withColumn("n_words", F.size("words").cast("long"))
+def _windows(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """``docs`` (with ``words``) by window: adds (len, at); a document with no window
+    of a length has one row of that length, ``at`` null."""
     if len(lengths) == 1:
-        w = w.withColumn("len", F.lit(first))
+        w = docs.withColumn("len", F.lit(lengths[0]))
     else:
-        w = w.select("*", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("len"))
+        w = docs.select("*", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("len"))
     starts = F.when(F.size("words") >= F.col("len"), F.sequence(F.lit(1), F.size("words") - F.col("len") + 1))
-    w = w.select("*", F.explode_outer(starts).alias("at")) \
+    return w.select("*", F.explode_outer(starts).alias("at"))
+
+
+def _with_words(docs: DataFrame) -> DataFrame:
+    return docs.select(F.monotonically_increasing_id().alias("rid"), "id", "k", words_of(F.col("text")).alias("words")) \
+        .withColumn("n_words", F.size("words").cast("long"))
+
+
+def _probe(docs: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """One scan of all windows against a broadcast hash set. Rows (rid, id, k, n_words,
+    at, len, h, found, gram): one with null ``h`` or a match per document, and one per
+    match of a window's hash. Everything from the scan to the probe is one generated stage."""
+    w = _windows(_with_words(docs), lengths) \
         .withColumn("found", F.slice("words", F.coalesce("at", F.lit(1)), F.col("len"))) \
         .withColumn("probe", F.when(F.col("at").isNotNull(), F.xxhash64("found")))
-    one_per_doc = (F.col("len") == first) & (F.coalesce("at", F.lit(1)) == 1)
-    return w.join(grams, F.col("probe") == grams["h"], "left") \
+    one_per_doc = (F.col("len") == min(lengths)) & (F.coalesce("at", F.lit(1)) == 1)
+    return w.join(F.broadcast(grams), F.col("probe") == grams["h"], "left") \
         .where(F.col("h").isNotNull() | one_per_doc) \
         .select("rid", "id", "k", "n_words", "at", "len", "h",
                 F.when(F.col("h").isNotNull(), F.col("found")).alias("found"), "gram")
 
 
+def _probe_shuffled(docs: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """The rows of ``_probe`` for a benchmark too large to broadcast, in two steps. First
+    hashes only: what is shuffled per window is its hash, place and document's key, and
+    documents without a window send nothing. Then the matches go back to their documents,
+    where the words are cut out again, and meet the benchmark's words for the check;
+    documents without a match are dealt by their row, so they do not meet in one task."""
+    probes = _windows(docs.select("id", "k", words_of(F.col("text")).alias("words")), lengths).where("at is not null") \
+        .select("id", "k", "at", "len", F.xxhash64(F.slice("words", F.col("at"), F.col("len"))).alias("h"))
+    met = probes.join(grams.select("h").distinct(), "h") \
+        .groupBy(F.col("id").alias("met_id"), F.col("k").alias("met_k")).agg(F.collect_set(F.struct("at", "len", "h")).alias("met"))
+    rows = _with_words(docs).join(met, F.col("id").eqNullSafe(F.col("met_id")) & (F.col("k") == F.col("met_k")), "left") \
+        .select("rid", "id", "k", "n_words", "words", F.explode_outer("met").alias("m")) \
+        .select("rid", "id", "k", "n_words", "m.at", "m.len", "m.h",
+                F.when(F.col("m").isNotNull(), F.slice("words", F.coalesce("m.at", F.lit(1)), F.coalesce("m.len", F.lit(1)))).alias("found"))
+    known = grams.select(F.col("h").alias("gram_h"), "gram", F.lit(True).alias("is_gram"))
+    same = (F.coalesce("h", "rid") == F.col("gram_h")) & (F.col("h").isNotNull() == F.col("is_gram"))
+    return rows.join(known, same, "left").select("rid", "id", "k", "n_words", "at", "len", "h", "found", "gram")
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
          share: int = SHARE, max_broadcast_bytes: int = 64 << 20) -> DataFrame:
@@ -96,10 +124,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     size = wins.agg(F.collect_set("len").alias("lens"),
                     F.sum(F.size("gram") * 24 + F.octet_length(F.array_join("gram", "")) + 64).alias("bytes")).first()
     small = (size["bytes"] or 0) <= max_broadcast_bytes
-    mark = F.broadcast if small else (lambda d: d)
+    mark, probe = (F.broadcast, _probe) if small else ((lambda d: d), _probe_shuffled)
     # the probe's few rows are used twice below and come from a scan of all texts: stored
-    rows = stored(_probe(_keyed(docs, id_col, text_col), mark(wins.select("h", "gram").distinct()),
-                         sorted(size["lens"]) or [window]), "decontam-probe")
+    rows = stored(probe(_keyed(docs, id_col, text_col), wins.select("h", "gram").distinct(),
+                        sorted(size["lens"]) or [window]), "decontam-probe")
     hit = F.col("found") == F.col("gram")  # the words themselves, not their hash
     span = F.when(hit, F.struct("at", "len"))
     per_doc = rows.groupBy("rid", "id", "k", "n_words").agg(F.array_sort(F.collect_set(span)).alias("spans"))

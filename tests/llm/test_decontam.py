@@ -53,9 +53,34 @@ def test_scan_matches_brute_force(spark):
     assert scan_rows(spark, texts, items, max_broadcast_bytes=0) == brute(texts, items)
 
 
+def test_large_benchmark_repeated_rows_and_null_ids(spark):
+    rows = [(None, "short item here"), (None, "short item here"), (7, "short item here"), (7, "short item here"), (7, None), (None, None),
+            (8, "no match at all"), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "short item"), (2, "item here"), (2, "item here")], "item_id long, text string")
+    both = [sorted((r.id is None, r.id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated, str(r.spans))
+                   for r in D.scan(docs, bench, max_broadcast_bytes=b).collect()) for b in (1 << 20, 0)]
+    assert both[0] == both[1] and len(both[0]) == len(rows)
+    assert sum(r[5] for r in both[0]) == 4
+
+
+def test_large_benchmark_shuffles_hashes_not_words(spark, docs):
+    bench = spark.read.parquet(f"{SF001}/benchmark.parquet")
+    grams = D.benchmark_windows(bench).select("h", "gram").distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = D._probe_shuffled(D._keyed(docs, "doc_id", "text"), grams, [13])._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+    # what leaves the scan of the documents' windows: no array of words
+    sent = [re.search(r"Project \[(.*)\]", x)[1].split(", ") for x in plan.splitlines() if "xxhash64(slice(words" in x]
+    assert sent and not any(re.fullmatch(r"(words|found|text)#\d+", c) for cols in sent for c in cols)
+
+
 def test_empty_tables(spark, odd):
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert D.scan(empty(odd), bench).count() == 0
+    assert D.scan(odd, bench, max_broadcast_bytes=0).count() == odd.count()
     got = D.scan(odd, empty(bench))
     assert got.count() == odd.count() and got.where("n_hit > 0 or contaminated").count() == 0
     assert D.decontaminate(odd, empty(bench)).count() == odd.count()

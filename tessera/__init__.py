@@ -8,6 +8,6 @@ Sub-packages:
   streaming  Structured Streaming pipelines (per-batch counts, partitioned ETL, scoring)
 """
 
-from tessera.session import cluster_conf, get_spark, shared_dir
+from tessera.session import cluster_conf, get_spark, intermediates, shared_dir
 
-__all__ = ["cluster_conf", "get_spark", "shared_dir"]
+__all__ = ["cluster_conf", "get_spark", "intermediates", "shared_dir"]

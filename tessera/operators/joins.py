@@ -8,18 +8,31 @@ sort-merge join (with skew splitting) beyond it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import shared_dir
 
 MAX_BROADCAST_BYTES = 32 << 20
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value: 16 at most for those of fixed size, else its length; nested
+    values count as their JSON text."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return F.lit(16)
+
+
 def bytes_at_most(df: DataFrame, max_bytes: int) -> bool:
-    """Whether the rows of ``df``, as JSON text plus a row's overhead, come to at
-    most ``max_bytes``. One aggregate over ``df``: store a costly frame first."""
-    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))) + 64
+    """Whether the rows of ``df``, as the lengths of their values plus a row's overhead,
+    come to at most ``max_bytes``. One aggregate over ``df``, which reads the columns of
+    variable size only: store a costly frame first."""
+    size = sum((_width(f) for f in df.schema.fields), F.lit(64)).cast("long")
     return (df.agg(F.sum(size).alias("b")).first()["b"] or 0) <= max_bytes
 
 

@@ -31,7 +31,7 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
                 ("flights", si.flight_rows(t).select("*", F.col("date.year").alias("year"), F.col("date.month").alias("month")),
                  "l_orderkey", ("year", "month"), t.lineitem.select("l_orderkey")),
                 ("orders", t.orders, "o_orderkey", (), t.orders.select("o_orderkey"))):
-            path = shared_dir(spark, f"stored_{kind}")
+            path = shared_dir(spark, f"stored_{kind}", keep=True)
             names.append(path.rsplit("/", 1)[-1].replace("-", "_"))
             store_for_joins(df, names[-1], by, n, path, parts, keys)
         _tables[key] = tuple(names)

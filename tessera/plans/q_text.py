@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.fixed_values import TOKENIZER_LEAKS
 from tessera.operators import sinks
 from tessera.operators import text as tx
 from tessera.plans.registry import query
@@ -171,6 +172,32 @@ def inverted_index_stopwords(spark, sf_dir):
     return tx.rank_postings(tx.remove_words(post_all, stop))
 
 
+STOP_FILE_LETTERS = 4       # the list in the file: benchmark words of at most so many letters
+
+
+@query("inverted_index_stop_file", "WITH " + TOKENS_CTE + f""",
+stop AS (
+  SELECT DISTINCT word FROM (
+    SELECT unnest({sql_java_split(sql_java_trim('lower(text)'), "[^\\w']")}) AS word FROM benchmark)
+  WHERE length(word) <= {STOP_FILE_LETTERS}
+  UNION SELECT unnest(['', '''', '_'])),
+post AS (
+  SELECT word, doc, COUNT(*) AS n FROM tok
+  WHERE word NOT IN (SELECT word FROM stop) GROUP BY word, doc)
+SELECT word, row_number() OVER (PARTITION BY word ORDER BY n DESC, doc) AS rank, doc, n
+FROM post""")
+def inverted_index_stop_file(spark, sf_dir):
+    """Ranked postings without the words of a list in a text file, one per line, which is
+    read by its path (TXT-5, TXT-6). The file stands in for the fixed list: the short words of
+    the benchmark's texts and the tokenizer leaks, under a line of comment."""
+    short = (tx.index_tokens(Tables(spark, sf_dir).benchmark, "item_id")
+             .where(F.length("word") <= STOP_FILE_LETTERS).select("word").distinct())
+    path = shared_dir(spark, "stop-words")
+    (tx.stop_words_frame(spark, ["# short words", *TOKENIZER_LEAKS]).union(short)
+     .select(F.col("word").alias("value")).write.text(path))
+    return tx.rank_postings(tx.remove_words(_postings(spark, sf_dir), tx.load_stop_words(spark, path)))
+
+
 @query("stop_words_by_rule", "WITH " + STOP_CTE + "\nSELECT word FROM stop")
 def stop_words_by_rule(spark, sf_dir):
     return tx.frequent_words(_postings(spark, sf_dir), _doc_total(spark, sf_dir), STOP_DOC_FRACTION)

@@ -2,14 +2,17 @@
 
 Intermediate tables (cut lineage, round trips) go under the folder the cluster
 names in ``spark.checkpoint.dir``. We only pick our own folder when that setting
-is absent, which is the case in local tests.
+is absent, which is the case in local tests. ``intermediates`` removes such tables when
+the results that read them are written.
 """
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -97,10 +100,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def shared_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
-    """A path under the shared checkpoint folder for an intermediate table."""
+_scopes: list[list[str]] = []
+
+
+def shared_dir(spark: SparkSession, name: str, unique: bool = True, keep: bool = False) -> str:
+    """A path under the shared checkpoint folder for an intermediate table. Inside
+    ``intermediates`` the folder goes at the end of the block, unless ``keep``: later
+    queries read it, or the caller named it (``unique=False``)."""
     base = ensure_checkpoint_dir(spark)
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
-    if "://" in base:
-        return base.rstrip("/") + "/tessera/" + leaf
-    return os.path.join(base, "tessera", leaf)
+    path = base.rstrip("/") + "/tessera/" + leaf if "://" in base else os.path.join(base, "tessera", leaf)
+    if _scopes and unique and not keep:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete the intermediate tables made in this block at its end, whether it fails or not:
+
+        with intermediates(spark):
+            rank_postings(post).write.parquet(out)
+
+    A DataFrame made in the block reads those tables, so it has to be written (or
+    collected) inside. Blocks may be nested. Only folders that ``shared_dir`` named in the
+    block are deleted, through the file system that holds them. A job that dies leaves
+    them; they have names of their own, so a new run is not disturbed."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes.remove(made)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in made:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import order_by_date, order_by_times
@@ -93,6 +94,29 @@ def test_hot_date_is_split(spark, tmp):
     assert sinks.read_by_date(spark, out).count() == 41
 
 
+def test_intermediates_are_deleted_with_their_block(spark, tmp):
+    from tessera import intermediates, shared_dir
+    from tessera.operators import text as tx
+    post = spark.createDataFrame([("a", "1", 2), ("a", "2", 5), ("b", "1", 1)], "word string, doc string, n long")
+    there = lambda path: os.path.isdir(path.removeprefix("file:"))
+    before = shared_dir(spark, "outside")
+    spark.range(3).write.parquet(before)
+    with intermediates(spark) as outer:
+        kept = shared_dir(spark, "kept", keep=True)
+        spark.range(3).write.parquet(kept)
+        with intermediates(spark) as made:
+            tx.rank_postings(post).write.parquet(tmp + "/out")
+            assert len(made) == 1 and there(made[0])
+        assert not there(made[0]) and outer == []
+    with pytest.raises(ZeroDivisionError), intermediates(spark) as made:
+        tx.rank_postings(post)
+        1 / 0
+    assert len(made) == 1 and not there(made[0])
+    assert there(before) and there(kept)   # made outside, and kept
+    got = spark.read.parquet(tmp + "/out").where("rank = 1").select("word", "doc").collect()
+    assert sorted(map(tuple, got)) == [("a", "2"), ("b", "1")]
+
+
 def test_broadcast_only_under_bound(spark):
     from tessera.operators.joins import broadcast_if_small, bytes_at_most
     small = spark.range(10)
@@ -100,6 +124,8 @@ def test_broadcast_only_under_bound(spark):
     assert bytes_at_most(small, 1000) and not bytes_at_most(big, 1000)
     wide = spark.range(1).select(F.expr("repeat('x', 5000)").alias("s"))
     assert not bytes_at_most(wide, 1000)                  # one row may be too large
+    nested = wide.select(F.array("s").alias("a"), F.struct("s").alias("b"), F.lit(None).cast("string").alias("c"), F.lit(1.5).alias("d.e"))
+    assert not bytes_at_most(nested, 9000) and bytes_at_most(nested, 11000)
     assert bytes_at_most(small.where("id < 0"), 0)
     fact = spark.range(5000).withColumnRenamed("id", "k")
     p1 = fact.join(broadcast_if_small(small.withColumnRenamed("id", "k"), 1000), "k")

@@ -22,13 +22,13 @@ NOTES = {
                       "broadcast once the route counts are measured.",
     "cube_ratio": "Expand (4 grouping sets) feeds a partial aggregate before the shuffle.",
     "sorted_topk": "TakeOrderedAndProject: each task keeps its top 20; no full sort.",
-    "route_names": "Both nation lookups are broadcast hash joins after a bounded row check.",
+    "route_names": "Both nation lookups are broadcast hash joins, as AQE measured them small.",
     "word_count": "Tokens are produced and pre-counted in the scan stage (partial aggregate).",
-    "inverted_index": "Postings are checkpointed once; words under the hot threshold are ranked "
-                      "by a window, hot ones by a range sort.",
-    "inverted_index_stopwords": "Broadcast anti join of the derived stop list; one range "
-                                "shuffle serves both the window and the final sort by word.",
-    "nb_predict": "Token counts join one row per vocabulary word; priors enter by union; "
+    "inverted_index": "One range sort by (word, n desc, doc) splits hot words over partitions and is stored; "
+                      "ranks come from the stored row ids and one window over (partition, word) counts.",
+    "inverted_index_stopwords": "Postings are stored once and feed the document frequencies and the ranking; "
+                                "the stop list is broadcast after a check of its bytes.",
+    "nb_predict": "Texts are cut once into stored term counts, which feed model and scores; "
                   "one hash aggregate per document holds every class score.",
     "graph_in_degree": "Flights are aggregated into edges once; vertices, degrees and labels "
                        "work on the edge table.",

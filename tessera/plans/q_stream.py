@@ -15,7 +15,7 @@ from tessera.plans.oracle_sql import FLIGHTS_CTE, with_
 from tessera.plans.q_ml import HASHED_SQL, NB_BUCKETS, POST_KEYWORDS, _sql_contains_any
 from tessera.plans.registry import query
 from tessera.session import shared_dir
-from tessera.sources.tables import Tables, read_table
+from tessera.sources.tables import Tables, is_folder, read_table, table_path
 
 
 def number_line():
@@ -42,10 +42,17 @@ def value_counts(spark, sf_dir):
     return nums.groupBy(F.when(F.col("ok"), F.col("n")).alias("n")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def _stream_table(spark, sf_dir, name, max_files=1):
-    schema = read_table(spark, sf_dir, name).schema
-    return st.file_stream(spark, sf_dir, "parquet", schema=schema, glob=f"{name}.parquet",
-                          max_files_per_trigger=max_files)
+STREAM_BATCH_BYTES = 1 << 30
+
+
+def _stream_table(spark, sf_dir, name):
+    """A table as a stream of its files. A table that is a folder is streamed as that folder;
+    one that is a file has to be chosen by name from its parent, as a stream takes folders
+    only. A batch has files of ``STREAM_BATCH_BYTES``, one at least."""
+    schema, path = read_table(spark, sf_dir, name).schema, table_path(sf_dir, name)
+    folder = is_folder(spark, path)
+    return st.file_stream(spark, path if folder else sf_dir, "parquet", schema=schema,
+                          glob=None if folder else f"{name}.parquet", maxBytesPerTrigger=STREAM_BATCH_BYTES)
 
 
 @query("stream_value_counts", VALUE_COUNTS_SQL)

@@ -16,8 +16,18 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 SPREAD_KEYS = {"documents": "doc_id"}
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return os.path.join(sf_dir, f"{name}.parquet")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(table_path(sf_dir, name))
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder, in whatever store holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
 #: inputs over so many bytes are never spread

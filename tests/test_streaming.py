@@ -132,3 +132,17 @@ def test_run_batches_recovers_and_gives_up(spark, tmp):
         assert "always" in str(e)
     else:
         raise AssertionError("a stream that keeps failing has to be reported")
+
+
+def test_a_table_streams_as_one_file_and_as_a_folder(spark, tmp):
+    from tessera.plans.q_stream import _stream_table
+    spark.range(40).repartition(4).write.parquet(os.path.join(tmp, "a", "t.parquet"))
+    os.makedirs(os.path.join(tmp, "b"))
+    spark.range(40).coalesce(1).write.parquet(os.path.join(tmp, "one"))
+    part = [f for f in os.listdir(os.path.join(tmp, "one")) if f.startswith("part-")][0]
+    os.link(os.path.join(tmp, "one", part), os.path.join(tmp, "b", "t.parquet"))
+    for form in ("a", "b"):
+        q = (_stream_table(spark, os.path.join(tmp, form), "t").writeStream.format("memory").queryName(f"table_{form}")
+             .trigger(availableNow=True).start())
+        st.run_available(q)
+        assert [r[0] for r in spark.sql(f"SELECT id FROM table_{form} ORDER BY id").collect()] == list(range(40))

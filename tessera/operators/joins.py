@@ -71,23 +71,28 @@ def buckets_for(rows: int, at_least: int = 8, bucket_rows: int = BUCKET_ROWS) ->
     return max(at_least, 1 << max(0, -(-rows // bucket_rows) - 1).bit_length())
 
 
+def heaviest_key(df: DataFrame, key: str) -> int:
+    """The most rows that a value of ``key`` has, null not counted."""
+    k = F.col(f"`{key}`")
+    return df.where(k.isNotNull()).groupBy(k).count().agg(F.max("count")).first()[0] or 0
+
+
 def store_for_joins(df: DataFrame, name: str, key: str, buckets: int, path: str, partition_by=(),
-                    keys: DataFrame | None = None, max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
+                    heaviest: int | None = None, max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
     """Store ``df`` once as the table ``name``, partitioned by ``partition_by`` and
     bucketed by ``key``: a filter on a partition column reads its folders only, and a
     join or an aggregate on the key with a table of as many buckets moves no row.
 
-    Rows are dealt out by bucket first, so that a bucket is one file a partition.
+    Rows are dealt out by bucket first, so that a bucket is one file a partition (rows that
+    come dealt by the key into as many partitions are not moved again).
     All rows of a key are in one bucket. A key with more than ``max_key_rows`` rows (null not
     counted: it joins with nothing) would make one long task of every join, so the table is then stored
-    without buckets and Spark shuffles it, splitting the hot key where it can. ``keys`` may
-    give the key column from a cheaper frame to measure."""
-    k = F.col(f"`{key}`")
-    heaviest = (df if keys is None else keys).where(k.isNotNull()).groupBy(k).count().agg(F.max("count")).first()[0] or 0
-    if heaviest > max_key_rows:
+    without buckets and Spark shuffles it, splitting the hot key where it can. ``heaviest``
+    is the rows of the heaviest key, if known from a cheaper frame."""
+    if (heaviest_key(df, key) if heaviest is None else heaviest) > max_key_rows:
         writer = df.write
     else:
-        writer = df.repartition(buckets, k).write.bucketBy(buckets, key).sortBy(key)
+        writer = df.repartition(buckets, F.col(f"`{key}`")).write.bucketBy(buckets, key).sortBy(key)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.mode("overwrite").option("path", path).saveAsTable(name)

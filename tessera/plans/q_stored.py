@@ -4,36 +4,55 @@ the months they ask for and move no flight for a join on the order key."""
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import relational as rel
-from tessera.operators.joins import buckets_for, store_for_joins
+from tessera.operators.joins import MAX_KEY_ROWS, broadcast_if_small, buckets_for, heaviest_key, store_for_joins
 from tessera.plans import standins as si
 from tessera.plans.oracle_sql import FLIGHTS_CTE, with_
 from tessera.plans.q_relational import ROUTE_NAMES_SQL
 from tessera.plans.registry import query
-from tessera.session import shared_dir
+from tessera.session import shared_dir, shuffles_of
 from tessera.sources.tables import Tables
 
 _tables: dict[tuple[str, str], tuple[str, str]] = {}
 
 
+#: flights of a bucket: its task sorts them, some 400 bytes each, for the write
+FLIGHT_BUCKET_ROWS = 2_000_000
+SUPPLIER_BYTES = 64 << 20
+
+
+def dealt_flights(t: Tables, buckets: int, heaviest: int) -> DataFrame:
+    """The flights, dealt by order key into ``buckets`` partitions as line items, before their
+    fields are made: the only time they move, unless the suppliers are too many to
+    broadcast. A hot order key is left to the join, which can split it."""
+    if heaviest > MAX_KEY_ROWS:
+        return si.flight_rows(t)
+    supplier = broadcast_if_small(t.supplier.select("s_suppkey", "s_nationkey"), SUPPLIER_BYTES)
+    return si.flight_rows(t, supplier=supplier, dealt=buckets)
+
+
 def stored_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(flights, orders), stored on the first use in an application and bucketed alike.
     The input's files are taken not to change in that time."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _tables or not all(map(spark.catalog.tableExists, _tables[key])):
         t = Tables(spark, sf_dir)
-        n = buckets_for(t.lineitem.count())
+        n = buckets_for(t.lineitem.count(), bucket_rows=FLIGHT_BUCKET_ROWS)
+        most = [heaviest_key(t.lineitem, "l_orderkey"), heaviest_key(t.orders, "o_orderkey")]
         names = []
-        for kind, df, by, parts, keys in (
-                ("flights", si.flight_rows(t).select("*", F.col("date.year").alias("year"), F.col("date.month").alias("month")),
-                 "l_orderkey", ("year", "month"), t.lineitem.select("l_orderkey")),
-                ("orders", t.orders, "o_orderkey", (), t.orders.select("o_orderkey"))):
+        for kind, df, by, parts, heaviest in (
+                ("flights", dealt_flights(t, n, most[0]).select("*", F.col("date.year").alias("year"), F.col("date.month").alias("month")),
+                 "l_orderkey", ("year", "month"), most[0]),
+                ("orders", t.orders, "o_orderkey", (), most[1])):
             path = shared_dir(spark, f"stored_{kind}", keep=True)
             names.append(path.rsplit("/", 1)[-1].replace("-", "_"))
-            store_for_joins(df, names[-1], by, n, path, parts, keys)
+            with shuffles_of(spark, n) if heaviest <= MAX_KEY_ROWS else contextlib.nullcontext():
+                store_for_joins(df, names[-1], by, n, path, parts, heaviest)
         _tables[key] = tuple(names)
     flights, orders = _tables[key]
     return spark.table(flights), spark.table(orders)

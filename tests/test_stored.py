@@ -54,6 +54,29 @@ def test_stored_once(spark):
     assert [x.inputFiles() for x in a] == [x.inputFiles() for x in b]
 
 
+def test_line_items_move_once_before_their_fields_are_made(spark):
+    from tessera.plans.q_stored import dealt_flights
+    from tessera.session import shuffles_of
+    from tessera.sources.tables import Tables
+    back, old = no_broadcast(spark), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")    # more than the buckets
+    try:
+        t = Tables(spark, SF001)
+        rows = dealt_flights(t, 16, 7).repartition(16, "l_orderkey")
+        with shuffles_of(spark, 16):
+            dealt = sorted(map(str, rows.collect()))
+        p = plan(rows).split("== Initial Plan ==")[0]
+        moves = [x for x in p.split("\n") if "Exchange" in x and "l_orderkey" in x]
+        assert len(moves) == 1 and "REPARTITION_BY_NUM" in moves[0]     # not again for the buckets
+        below = p[p.index(moves[0]):]
+        assert "named_struct" not in below.split("FileScan")[0]
+        assert not [x for x in p.split("\n") if "Exchange hashpartitioning(l_suppkey" in x]
+        assert dealt == sorted(map(str, dealt_flights(t, 16, 10**9).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        back()
+
+
 def test_hot_keys_and_nulls(spark, tmp):
     df = spark.range(300).select(F.when(F.col("id") < 100, 7).when(F.col("id") < 200, F.col("id")).alias("k"),
                                  F.col("id").alias("v"))

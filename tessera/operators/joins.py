@@ -97,3 +97,19 @@ def store_for_joins(df: DataFrame, name: str, key: str, buckets: int, path: str,
         writer = writer.partitionBy(*partition_by)
     writer.mode("overwrite").option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)
+
+
+#: text of a partition of ``dealt_by_document``
+DOCUMENT_PART_BYTES = 32 << 20
+
+
+def dealt_by_document(docs: DataFrame, doc: str, text: str, part_bytes: int = DOCUMENT_PART_BYTES) -> DataFrame:
+    """``docs`` dealt by ``doc`` into partitions of about ``part_bytes`` of text. The tokens
+    cut from them are then counted per document where they are: texts move, which
+    are several times smaller than their tokens with keys, and a task's table of counts has the
+    words of one partition, whatever the size of the input's files. One aggregate over
+    the texts measures them."""
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, -(-size // part_bytes))
+    return docs.repartition(n, doc)

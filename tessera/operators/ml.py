@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.fixed_values import WORD_SEPARATOR
 from tessera.functions.strings import java_split
+from tessera.operators.joins import dealt_by_document
 
 
 # ---------------------------------------------------------------- ALS (ML-1..5)
@@ -214,11 +215,11 @@ def count_terms(docs: DataFrame, doc: str = "doc_id", text: str = "text", label:
                 buckets: int | None = None) -> DataFrame:
     """Stored rows (doc, label, term, tf, docs): the words of ``text`` split on one space,
     or their buckets. All of a Naive Bayes model and its predictions derive from
-    them, so texts are read and cut once. ``docs`` adds up to the document's rows; a null text
+    them, so texts are cut once, dealt by document. ``docs`` adds up to the document's rows; a null text
     has one row with a null term."""
     from tessera.session import shared_dir
     y = F.col(label).cast("double") if label else F.lit(None).cast("double")
-    words = docs.select(F.col(doc).alias("doc"), y.alias("label"), F.col(text).alias("t"))
+    words = dealt_by_document(docs.select(F.col(doc).alias("doc"), y.alias("label"), F.col(text).alias("t")), "doc", "t")
     each = words.select("doc", "label", F.posexplode_outer(java_split(F.col("t"), WORD_SEPARATOR)).alias("at", "w"))
     term = F.col("w") if buckets is None else md5_bucket(F.col("w"), buckets)
     path = shared_dir(docs.sparkSession, "nb-terms")

@@ -10,8 +10,9 @@ tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.fixed_values import (
     CRAWL_LINE_BREAK, INDEX_SPLIT, INDEX_TOKEN_CHAR, POSTING_FORMAT, POSTING_SEPARATOR, TOKENIZER_LEAKS, WORD_SPLIT,
@@ -98,23 +99,52 @@ def rank_postings(post: DataFrame) -> DataFrame:
 
     One way for every word: the postings are range-sorted by (word, n desc,
     doc), so a hot word spans several partitions and no task gathers a word.
-    The sorted rows are written once, with the partition and row ids they had
-    in the sort; everything after reads those stored columns. A word's offset in
-    a partition comes from a window over (partition, word) counts, one row
-    per partition the word spans."""
+    Each task numbers the postings of a word as they pass, and the sorted rows are written once.
+    A word that began in an earlier partition is the first of its partition, so
+    the offsets have a row per partition at most, from its first and last row; no posting is moved again."""
     spark = post.sparkSession
     path = shared_dir(spark, "postings")
-    (sorted_postings(post)
-     .select("word", "doc", "n", F.spark_partition_id().alias("_pid"),
-             F.monotonically_increasing_id().alias("_mid"))
-     .write.parquet(path))
+    rows = sorted_postings(post).select("word", "doc", "n")
+    schema = T.StructType([*rows.schema.fields, T.StructField("_pid", T.IntegerType()),
+                           T.StructField("_at", T.LongType()), T.StructField("_edge", T.BooleanType())])
+    rows.mapInArrow(_numbered, schema).write.parquet(path)
     s = spark.read.parquet(path)
-    per = s.groupBy("_pid", "word").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
-    w = Window.partitionBy("word").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    return (s.join(per, ["_pid", "word"])
-            .select("word", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).alias("rank"),
-                    "doc", "n"))
+    # the edges are the first row of a task and the last of each of its batches, among them the task's last
+    edge = s.where("_edge").groupBy("_pid").agg(F.min("word").alias("_first"), F.max(F.struct("word", "_at")).alias("_last"))
+    ends = edge.select(F.col("_pid").alias("_p"), F.col("_last.word").alias("word"), F.col("_last._at").alias("_n"))
+    starts = edge.select("_pid", F.col("_first").alias("word"))
+    before = (starts.join(ends, "word").where(F.col("_p") < F.col("_pid")).groupBy("_pid", "word")
+              .agg(F.sum("_n").alias("_before")))
+    return (s.join(F.broadcast(before), ["_pid", "word"], "left")
+            .select("word", (F.coalesce("_before", F.lit(0)) + F.col("_at")).alias("rank"), "doc", "n"))
+
+
+def _numbered(batches):
+    """Sorted postings of a task with ``_pid``, the task's partition, ``_at``, the 1-based place
+    of a posting among those of its word in the task, and ``_edge`` (see ``rank_postings``)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark import TaskContext
+    pid, word, seen, first = TaskContext.get().partitionId(), None, 0, True
+    for b in batches:
+        rows = b.num_rows
+        if not rows:
+            continue
+        w = b.column(0)
+        new = np.ones(rows, bool)       # rows at which a word begins
+        new[1:] = pc.fill_null(pc.not_equal(w.slice(1), w.slice(0, rows - 1)), True).to_numpy(zero_copy_only=False)
+        if not first and w[0].as_py() == word:
+            new[0] = False
+        places = np.arange(rows)
+        starts = np.maximum.accumulate(np.where(new, places, -seen))
+        at = places - starts + 1
+        edge = np.zeros(rows, bool)
+        edge[-1] = True
+        edge[0] |= first
+        word, seen, first = w[rows - 1].as_py(), int(at[-1]), False
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(rows, pid, np.int32)), pa.array(at), pa.array(edge)],
+                                         [*b.schema.names, "_pid", "_at", "_edge"])
 
 
 def postings_lines(ranked: DataFrame, per_line: int = 1000) -> DataFrame:

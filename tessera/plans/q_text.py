@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tessera.fixed_values import TOKENIZER_LEAKS
 from tessera.operators import sinks
 from tessera.operators import text as tx
+from tessera.operators.joins import dealt_by_document
 from tessera.plans.registry import query
 from tessera.session import shared_dir
 from tessera.sources.files import read_lines, read_listed_files, write_whole_files
 from tessera.sources.parsers import parse_pairs
-from tessera.sources.tables import Tables
+from tessera.sources.tables import Tables, read_table
 
 STOP_DOC_FRACTION = 0.5     # stop words by rule: in at least half the documents
 LINE_POSTINGS = 1000        # postings per output line
@@ -122,9 +123,9 @@ def tuple_lines(spark, sf_dir):
 
 def _postings(spark, sf_dir):
     """(word, doc, n) of the crawled corpus: counted by the numeric document id,
-    which becomes the text id of the crawl afterwards."""
-    docs = Tables(spark, sf_dir).documents.select(F.col("doc_id").alias("doc"), tx.normalize_text("text").alias("text"))
-    return (tx.postings(tx.index_tokens(docs))
+    which becomes the text id of the crawl afterwards. Only texts are moved."""
+    docs = dealt_by_document(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return (tx.postings(tx.index_tokens(docs.select(F.col("doc_id").alias("doc"), tx.normalize_text("text").alias("text"))))
             .select("word", F.col("doc").cast("string").alias("doc"), "n"))
 
 

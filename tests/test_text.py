@@ -120,3 +120,27 @@ def test_lines_of_more_than_a_thousand_postings(spark):
     assert sorted(lines) == [0, 1, 2]
     assert ", ".join(lines[p] for p in (0, 1, 2)) == ", ".join(want)
     assert [lines[p].count("(") for p in (0, 1, 2)] == [1000, 1000, 500]
+
+
+def test_only_texts_move_and_ranked_postings_stay(spark, monkeypatch):
+    """Plans for a corpus over the size up to which scans are spread, nothing broadcast unasked."""
+    from tessera.operators.joins import dealt_by_document
+    from tessera.plans.q_text import _postings
+    from tessera.sources import tables
+    from conftest import SF001
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 0)
+    docs = spark.createDataFrame([(i, "x" * 1000) for i in range(64)], "d long, t string")
+    assert dealt_by_document(docs, "d", "t", 2000).rdd.getNumPartitions() == 32
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+        post = _postings(spark, SF001)
+        moved = [x for x in plan(post).split("\n") if "Exchange" in x]
+        assert len(moved) == 1 and "doc_id" in moved[0]
+        assert "SortMergeJoin" not in plan(tx.rank_postings(post)).split("BroadcastExchange")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.fixed_values import WORD_SEPARATOR
 from tessera.functions.strings import java_split
-from tessera.operators.joins import dealt_by_document
+from tessera.operators.joins import MAX_KEY_ROWS, dealt_by_document
 
 
 # ---------------------------------------------------------------- ALS (ML-1..5)
@@ -36,27 +36,35 @@ def fit_als(ratings: DataFrame, user: str = "userId", item: str = "movieId",
 
 
 def als_residuals(model, ratings: DataFrame, user: str = "userId", item: str = "movieId",
-                  rating: str = "rating", reg: float = 0.1) -> DataFrame:
+                  rating: str = "rating", reg: float = 0.1, max_user_rows: int = MAX_KEY_ROWS) -> DataFrame:
     """How well the fitted user factors solve their normal equations: one row
     per user with ``n`` ratings, (user, n, residual).
 
     Explicit ALS ends by solving, for each user with factors x and items with
     factors y, sum((x.y - r) y) + reg * n * x = 0. ``residual`` is the length of the left
-    side over the length of sum(r y). Two joins with the factor tables and one
-    aggregate with partial sums, so neither a user nor an item with a third of the
-    ratings gathers in one task."""
+    side over the length of sum(r y). Ratings move by item, for its factors, and by user,
+    for the sums; the rows of sums do not move. Users with more than ``max_user_rows``
+    ratings (few, at most the ratings over that number) would gather in one task: their factors are
+    broadcast and each task sums its part first. AQE splits a hot item."""
     dims = range(model.rank)
     x = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("_x"))
     y = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("_y"))
     num = lambda c, i: F.col(c)[i].cast("double")
     dot = sum((num("_x", i) * num("_y", i) for i in dims), F.lit(0.0))
-    r = ratings.select(user, item, F.col(rating).cast("double").alias("_r")).join(x, user).join(y, item) \
-        .select(user, "_x", "_y", "_r", (dot - F.col("_r")).alias("_e"))
-    sums = r.groupBy(user).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.max(num("_x", i)).alias(f"_x{i}") for i in dims],
-        *[F.sum(F.col("_e") * num("_y", i)).alias(f"_g{i}") for i in dims],
-        *[F.sum(F.col("_r") * num("_y", i)).alias(f"_b{i}") for i in dims])
+    hot = [u[0] for u in ratings.groupBy(user).count().where(F.col("count") > max_user_rows).select(user).collect()]
+
+    def sums_of(part, factors):
+        r = part.select(user, item, F.col(rating).cast("double").alias("_r")).join(y, item).drop(item).join(factors, user) \
+            .select(user, "_x", "_y", "_r", (dot - F.col("_r")).alias("_e"))
+        return r.groupBy(user).agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.max(num("_x", i)).alias(f"_x{i}") for i in dims],
+            *[F.sum(F.col("_e") * num("_y", i)).alias(f"_g{i}") for i in dims],
+            *[F.sum(F.col("_r") * num("_y", i)).alias(f"_b{i}") for i in dims])
+
+    is_hot = F.col(user).isin(hot)
+    sums = sums_of(ratings.where(~is_hot), x).unionByName(
+        sums_of(ratings.where(is_hot), F.broadcast(x.where(is_hot)))) if hot else sums_of(ratings, x)
     length = lambda parts: F.sqrt(sum((p * p for p in parts), F.lit(0.0)))
     left = length([F.col(f"_g{i}") + F.lit(reg) * F.col("n") * F.col(f"_x{i}") for i in dims])
     right = length([F.col(f"_b{i}") for i in dims])

@@ -147,3 +147,24 @@ def test_nb_hashed_terms_equal_brute_force(spark):
                     + sum(math.log(own[bucket(w)] + 1) - math.log(total + 16) for w in words))
         best = max(score(c) for c in classes)
         assert got[i] == min(c for c in classes if score(c) > best - 1e-9)
+
+
+def test_als_sums_do_not_move_and_hot_users_are_summed_in_parts(spark):
+    r = spark.range(400).select((F.col("id") % 13).cast("int").alias("userId"), (F.col("id") % 31).cast("int").alias("movieId"),
+                                (F.col("id") % 5 + 1).cast("double").alias("rating"))
+    r = r.unionByName(r.where("userId = 5").withColumn("movieId", (F.col("movieId") + 40)))
+    model = ml.fit_als(r, max_iter=2)
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plain = ml.als_residuals(model, r)
+        above = plain._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]
+        assert "Exchange" not in above
+        split = ml.als_residuals(model, r, max_user_rows=40)
+        rows = lambda d: {x["userId"]: (x["n"], round(x["residual"], 9)) for x in d.collect()}
+        assert rows(plain) == rows(split) and len(rows(plain)) == 13
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -36,16 +36,24 @@ def flight_rows(t: Tables, lineitem: DataFrame | None = None, supplier: DataFram
     """Flights with their line-item keys (``l_orderkey``, ``l_linenumber``).
 
     ``lineitem`` may be given instead of the table, for example a stream of
-    line items joined with the static dimensions, and ``supplier`` likewise. Orders meet
-    their customers first, so line items are never moved by customer. With ``dealt``
+    line items joined with the static dimensions, and ``supplier`` likewise. Orders of the
+    whole table meet their customers first, so line items are never moved by customer. With ``dealt``
     both are dealt by order key into so many partitions, whatever the session's number."""
     li = t.lineitem if lineitem is None else lineitem
     o, c, s = t.orders, t.customer, t.supplier if supplier is None else supplier
+    if lineitem is not None:
+        j = (li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(c, o["o_custkey"] == c["c_custkey"])
+             .join(s, li["l_suppkey"] == s["s_suppkey"]))
+        return _flight_fields(j)
     oc = o.join(c, o["o_custkey"] == c["c_custkey"])
     if dealt:
         li, oc = li.repartition(dealt, "l_orderkey"), oc.repartition(dealt, "o_orderkey")
     j = (li.join(oc, li["l_orderkey"] == oc["o_orderkey"])
            .join(s, li["l_suppkey"] == s["s_suppkey"]))
+    return _flight_fields(j)
+
+
+def _flight_fields(j: DataFrame) -> DataFrame:
     return j.select(
         *_line_fields(), F.col("c_mktsegment").alias("uniqueCarrier"),
         F.col("s_nationkey").cast("string").alias("origin"),

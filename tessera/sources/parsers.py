@@ -20,7 +20,7 @@ from tessera.fixed_values import (
     PAIR_LINE, PLANE_HEADER, PLANE_LINE, PLANE_NO_YEAR, PLANE_TAIL_ONLY, RATING_SEPARATOR,
     VECTOR_SEPARATOR,
 )
-from tessera.functions.strings import java_split, java_trim, to_int
+from tessera.functions.strings import explode_split, java_split, java_trim, to_int
 
 
 class Parsed(NamedTuple):
@@ -43,6 +43,12 @@ def _g(arr: Column, i: int) -> Column:
     return F.get(arr, i)
 
 
+def _with_fields(lines: DataFrame, pattern: str) -> DataFrame:
+    """Each line with the fields of its trimmed text. They are a row of their own step:
+    Catalyst does not copy the split into each field and into the filter."""
+    return explode_split(lines, java_trim(F.col("value")), pattern, keep=["value"], alias="_fields", whole=True)
+
+
 # ---------------------------------------------------------------- flights (SRC-8)
 
 
@@ -52,7 +58,7 @@ def parse_flights(lines: DataFrame, missing: int | None = MISSING_INT) -> Parsed
     Header (first field ``Year``) and lines with fewer than 29 fields are
     rejected; fields after the 29th are ignored; blank/``NA``/bad ints -> ``missing``.
     """
-    f = java_split(java_trim(F.col("value")), FLIGHT_SEPARATOR)
+    f = F.col("_fields")
 
     def i(k):
         return to_int(_g(f, k), missing)
@@ -69,7 +75,7 @@ def parse_flights(lines: DataFrame, missing: int | None = MISSING_INT) -> Parsed
     for n, k in FLIGHT_TAIL_FIELDS:
         cols.append((s(k) if n == "cancellationCode" else i(k)).alias(n))
     header = _g(f, 0) == F.lit(FLIGHT_HEADER_FIRST_FIELD)
-    return _split_result(lines, header, F.size(f) >= FLIGHT_FIELDS, cols)
+    return _split_result(_with_fields(lines, FLIGHT_SEPARATOR), header, F.size(f) >= FLIGHT_FIELDS, cols)
 
 
 # ---------------------------------------------------------------- airports (SRC-9)

@@ -89,3 +89,23 @@ def test_pairs_ratings_movies_vectors(spark):
     good, bad = P.parse_vectors(lines_df(spark, ["0.0 0.0 0.0", "", "9.1 9.1 9.1", "1 x 2"]))
     assert [list(r["features"]) for r in good.collect()] == [[0.0, 0.0, 0.0], [9.1, 9.1, 9.1]]
     assert bad.count() == 1
+
+
+def test_flight_lines_are_split_once(spark):
+    from pyspark.sql import functions as F
+    lines = spark.range(3).select(F.concat_ws(",", *[F.col("id").cast("string")] * 30).alias("value"))
+    good = P.parse_flights(lines).good.select("date.*", "times.*", "flightNum", "origin", "distance")
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    assert [tuple(r)[:2] for r in good.orderBy("flightNum").collect()] == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_odd_ints_are_cast_as_before(spark):
+    from pyspark.sql import functions as F
+    from tessera.functions.strings import java_trim, to_int
+    odd = [None, "", " ", "NA", "10x3", "7", " 7 ", "\t-7\n", "+7", "+", "-", "--7", "7.0", ".5", "1e3", "007", "\x7f7\x7f",
+           "7 7", "2147483647", "2147483648", "-2147483648", "-2147483649", "99999999999999999999", "٣", "\x857", "0x1"]
+    rows = spark.createDataFrame([(x,) for x in odd], "v string")
+    got = rows.select(to_int("v").alias("a"), F.coalesce(java_trim("v").try_cast("int"), F.lit(-1)).alias("b"),
+                      to_int("v", None).alias("c"), java_trim("v").try_cast("int").alias("d")).collect()
+    assert [(r.a, r.c) for r in got] == [(r.b, r.d) for r in got]

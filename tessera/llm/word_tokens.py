@@ -72,31 +72,70 @@ def _latin_cut(path: str) -> bool:
         and [p["type"] for p in pre.get("pretokenizers", [])] == ["Split", "ByteLevel"]
 
 
-def encode_pieces(path: str, todo: list[bytes]) -> list[list[int]]:
-    """Ids of each piece by the library. Latin pieces without special
-    strings are cut into pre-tokens here, and the library's model encodes each
-    distinct one; all others take the library's whole way."""
+class PreTokens(dict):
+    """Latin pre-token -> its ids by the library's model, packed; two halves by age
+    bound its size."""
+
+    def __init__(self, path: str, limit: int):
+        super().__init__()
+        self.limit, self.old = limit, {}
+        self.tokenize = load(path).model.tokenize
+
+    def age(self) -> None:
+        if len(self) > self.limit // 2:
+            self.old = dict(self)
+            self.clear()
+
+    def __missing__(self, x: str) -> bytes:
+        ids = self.old.get(x)
+        if ids is None:
+            chars = x if x.isascii() else x.encode().decode("latin-1").translate(BYTE_CHAR)
+            found = self.tokenize(chars)
+            ids = struct.pack(f"<{len(found)}I", *[y.id for y in found])
+        self[x] = ids
+        return ids
+
+
+@functools.cache
+def pre_tokens(path: str, limit: int = 400_000) -> PreTokens:
+    return PreTokens(path, limit)
+
+
+@functools.cache
+def _special(path: str):
+    """Search for any special string."""
+    return re.compile("|".join(re.escape(x.content) for x in load(path).get_added_tokens_decoder().values()) or "(?!)").search
+
+
+def packed_pieces(path: str, todo: list[bytes]) -> list[bytes]:
+    """Ids of each piece by the library, as little-endian unsigned 32-bit integers. Latin
+    pieces without special strings are cut into pre-tokens here, and the library's
+    model encodes each distinct one; all others take the library's whole way."""
     t = load(path)
     words = [p.decode() for p in todo]
     out: list = [None] * len(words)
     if _latin_cut(path):
-        special = re.compile("|".join(re.escape(x.content) for x in t.get_added_tokens_decoder().values()) or "(?!)").search
-        tokenize, known = t.model.tokenize, {}
+        special, latin, cut = _special(path), LATIN.fullmatch, LATIN_PATTERN.findall
+        known = pre_tokens(path)
+        known.age()
         for i, w in enumerate(words):
-            if LATIN.fullmatch(w) and not special(w):
-                ids: list[int] = []
-                for x in LATIN_PATTERN.findall(w.lower()):
-                    if x not in known:
-                        chars = x if x.isascii() else x.encode().decode("latin-1").translate(BYTE_CHAR)
-                        known[x] = [y.id for y in tokenize(chars)]
-                    ids += known[x]
-                out[i] = ids
+            if latin(w) and not special(w):
+                low = w.lower()
+                if low.isascii() and low.isalpha():  # one pre-token
+                    out[i] = known[low]
+                else:
+                    out[i] = b"".join([known[x] for x in cut(low)])
     rest = [i for i, x in enumerate(out) if x is None]
     for i, e in zip(rest, t.encode_batch_fast([words[i] for i in rest], add_special_tokens=False) if rest else []):
-        out[i] = e.ids
+        out[i] = struct.pack(f"<{len(e.ids)}I", *e.ids)
     return out
 
 
+def encode_pieces(path: str, todo: list[bytes]) -> list[list[int]]:
+    """Ids of each piece by the library."""
+    return [list(struct.unpack(f"<{len(x) // 4}I", x)) for x in packed_pieces(path, todo)]
+
+
 class IdCache(dict):
     """Piece -> its ids as little-endian unsigned 32-bit integers; two halves by
     age bound its size."""
@@ -116,7 +155,7 @@ class IdCache(dict):
         todo = [p for p in todo if p not in old]
         for at in range(0, len(todo), 20_000):
             part = todo[at:at + 20_000]
-            self.update(zip(part, (struct.pack(f"<{len(x)}I", *x) for x in encode_pieces(self.path, part))))
+            self.update(zip(part, packed_pieces(self.path, part)))
 
 
 @functools.cache

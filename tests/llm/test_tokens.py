@@ -92,3 +92,23 @@ def test_query(spark, lib):
         start += len(x)
     got = O.op3(spark, SF001).select("doc_id", "start", "n_tokens", "ids_crc32").orderBy("doc_id").collect()
     assert [tuple(r) for r in got] == want
+
+
+def test_pre_tokens_are_encoded_once_and_bounded():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words = [f"{a}{b}{c}".encode() for a in ("qzx", "Qzx", "Ünb", "中") for b in ("", "'s", "7é") for c in ("", ",", "ſ", "<|")]
+    known = W.PreTokens(path, 40)
+    calls, tokenize = [], known.tokenize
+    known.tokenize = lambda x: calls.append(x) or tokenize(x)
+    before, W.pre_tokens = W.pre_tokens, lambda p: known
+    try:
+        first = W.encode_pieces(path, words)
+        n = len(calls)
+        assert W.encode_pieces(path, words[:20]) == first[:20] and len(calls) == n  # across calls
+        for i in range(300):
+            W.encode_pieces(path, [b"w" + bytes([97 + i // 26, 97 + i % 26])])
+        assert len(known) <= 40 and len(known.old) <= 40
+    finally:
+        W.pre_tokens = before
+    whole = [e.ids for e in W.load(path).encode_batch([w.decode() for w in words], add_special_tokens=False)]
+    assert first == whole

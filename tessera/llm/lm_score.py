@@ -41,10 +41,12 @@ import functools
 import heapq
 import itertools
 import pickle
-import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +68,7 @@ CHUNK = 1 << 14
 RATE = 0.05
 WORD_CONTEXTS, SPELL_CONTEXTS = 2, 4
 CACHE_WORDS = 600_000
+TOGETHER = 4_000_000  # characters of texts that are cut into words together
 END = b""  # the end's key in the dictionary; no word equals it
 LOG10E = float(np.log10(np.e))
 
@@ -112,6 +115,7 @@ class Codebook:
         #: of the nodes of a depth the leaves come first: their number, and where the inner nodes are numbered from
         self.leaves, self.start = np.zeros(high + 1, np.int64), np.zeros(high + 1, np.int64)
         prior, inner = [], 1
+        self.inner = np.zeros(high + 1, self.codes.dtype)  # from a code's first bits to the number of the node they lead to
         for d in range(high):
             deep = self.lens > d
             below = (codes[deep] >> (self.lens[deep] - np.int64(d + 1))) - 2 * ((np.int64(1) << d) - inner)
@@ -119,6 +123,7 @@ class Codebook:
             prior.append(np.log(odds[1::2] / odds[::2]))
             self.start[d + 1] = self.start[d] + inner
             self.leaves[d + 1] = ((lens == d + 1) & (self.lens == d + 1)).sum()
+            self.inner[d] = self.start[d] - ((1 << d) - inner)
             inner = 2 * inner - int(self.leaves[d + 1])
         #: log odds of a 1, by inner node
         self.prior = np.concatenate([*prior, np.zeros(1)]).astype(np.float32)
@@ -133,7 +138,7 @@ class Mixer:
     def __init__(self, contexts: int, bits: int = TABLE_BITS):
         self.contexts, self.shift, self.size = contexts, np.uint32(32 - bits), 1 << bits
         self.cells = [np.zeros(2 * self.size, np.uint32) for _ in range(contexts)]  # of one task: zeros and ones by slot
-        self.packed = [np.zeros(self.size, np.int16) for _ in range(contexts)]
+        self._packed: list[np.ndarray] | None = None
         self.weights = np.full((contexts + 2, GATES), 0.3, np.float32)
         self.seen = np.zeros(GATES)
         self.map_n = np.zeros(GATES * BUCKETS)
@@ -149,6 +154,13 @@ class Mixer:
     def n1(self) -> list[np.ndarray]:
         return [c[1::2] for c in self.cells]
 
+    @property
+    def packed(self) -> list[np.ndarray]:
+        """What the counts predict, by slot; while learning only the slots met are packed, as they are met."""
+        if self._packed is None:
+            self._packed = [pack(n, n1) for n, n1 in zip(self.n, self.n1)]
+        return self._packed
+
     def run(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None, learn: bool,
             scores: bool = True) -> np.ndarray | None:
         """Natural log probability of each symbol, from the counts known before the
@@ -163,102 +175,146 @@ class Mixer:
             if scores:
                 out[cut] = lp
         if learn and len(ids):
+            self._packed = None
             for k in range(self.contexts):
-                cell = np.concatenate(cells[k])
-                if len(cell) < self.size:  # the slots met only
-                    np.add.at(self.cells[k], cell, np.uint32(1))
-                    cell |= 1
-                    n1 = _take(self.cells[k], cell)
-                    self.packed[k][cell >> 1] = pack(n1 + _take(self.cells[k], cell - 1), n1)
+                if sum(map(len, cells[k])) < self.size:  # the cells met only
+                    for cell in cells[k]:
+                        np.add.at(self.cells[k], cell, np.uint32(1))
                 else:
-                    self.cells[k] += np.bincount(cell, minlength=2 * self.size).astype(np.uint32)
-                    self.packed[k] = pack(self.cells[k][::2] + self.cells[k][1::2], self.cells[k][1::2])
+                    self.cells[k] += np.bincount(np.concatenate(cells[k]), minlength=2 * self.size).astype(np.uint32)
         return out
 
     def _run(self, cb: Codebook, ids: np.ndarray, ctx: list[np.ndarray], pred: np.ndarray | None, cells: list | None,
              scores: bool) -> np.ndarray | None:
+        """All bits of the symbols are laid out one depth after the other; only the weights,
+        which learn after each depth, go depth by depth."""
         lens = cb.lens[ids]
         order = np.argsort(255 - lens, kind="stable")  # longest codes first: a depth's symbols are a prefix
         ids, lens = ids[order], lens[order].astype(np.int32)
-        codes = cb.codes[ids]
-        ctx = [c[order] for c in ctx]
-        lp = cb.tail[ids] if scores else None
-        node = np.zeros(len(ids), np.int64)
-        if pred is not None:
-            pred = pred[order]
-            alive = pred >= 0
-            q = np.maximum(pred, 0)
-            q_codes, q_lens = cb.codes[q], cb.lens[q].astype(np.int32)
-        live = np.cumsum(np.bincount(lens, minlength=1)[::-1])[::-1]  # symbols of at least so many bits
-        for d in range(len(live) - 1):
-            n = int(live[d + 1])
-            node = node[:n]
-            bit = (codes[:n] >> (lens[:n] - (d + 1))) & 1
-            at = node + cb.start[d]
-            spread = at.astype(np.uint32) * np.uint32(0x9E3779B1)
-            xs = [_take(cb.prior, at)]
-            gate = np.zeros(n, np.int16)
-            for k in range(self.contexts):
-                slot = (((ctx[k][:n] ^ spread) * np.uint32(0x85EBCA6B)) >> self.shift).astype(np.intp)
+        live = np.cumsum(np.bincount(lens, minlength=1)[::-1])[::-1][1:]  # symbols of more than so many bits
+        each = live.tolist()
+
+        def bits(of: np.ndarray) -> np.ndarray:
+            return np.concatenate([of[:n] for n in each])
+
+        if not each:
+            return cb.tail[ids] if scores else None
+        depth = np.repeat(np.arange(len(each), dtype=np.int32), live)
+        code, left = bits(cb.codes[ids]), bits(lens) - depth
+        path = code >> left
+        bit = (code >> (left - 1)) & 1
+        node = path + np.repeat(cb.inner[:len(each)], live)
+        spread = node.astype(np.uint32) * np.uint32(0x9E3779B1)
+        xs = np.empty((self.contexts + (2 if pred is None else 1), len(node)), np.float32)
+        xs[0] = _take(cb.prior, node)
+        gate = np.zeros(len(node), np.int16)
+        for k in range(self.contexts):
+            slot = bits(ctx[k][order])
+            slot ^= spread
+            slot *= np.uint32(0x85EBCA6B)
+            slot = (slot >> self.shift).astype(np.intp)
+            if cells is None:
                 v = _take(self.packed[k], slot)
-                xs.append((v >> 2).astype(np.float32) * np.float32(1 / 512))
-                if k < 2:
-                    gate += (v & 3) << (2 * k)
-                if cells is not None:
-                    cells[k].append(2 * slot + bit)
-            row = np.int16(min(d, 15))
-            if pred is None:
-                xs.append(np.ones(n, np.float32))
+                seen = v & 3
+                np.multiply(v >> 2, np.float32(1 / 512), out=xs[k + 1], dtype=np.float32)
             else:
-                alive = alive[:n] & (q_lens[:n] > d)
-                says = (q_codes[:n] >> np.maximum(q_lens[:n] - (d + 1), 0)) & 1
-                xs.append((2 * says - 1).astype(np.float32) * alive)
-                match = alive.astype(np.int16) << 4
-                gate += match
-                row = row + match
-                alive = alive & (says == bit)
-            gate = gate.astype(np.intp)
-            x = _take(self.weights[0], gate) * xs[0]
-            for w, s in zip(self.weights[1:], xs[1:]):
-                x += _take(w, gate) * s
-            np.clip(x, -12, 12, out=x)
-            if cells is not None:
-                self._correct(xs, gate, row, x, bit)
-            if scores:
-                sign = (1 - 2 * bit).astype(np.float32)
-                if cells is None and self.map is not None:
-                    x += _take(self.map, _cell(row, x))
-                    sign *= np.float32(0.5)
-                lp[:n] -= np.log1p(np.exp(x * sign))
-            node = 2 * node + bit - cb.leaves[d + 1]  # less than 0: the code ends here
+                pair = _take(self.cells[k].view(np.uint64), slot)  # zeros in the low half
+                ones = (pair >> np.uint64(32)).astype(np.int32)
+                odds, seen = log_odds(pair.astype(np.int32) + ones, ones)
+                np.multiply(odds, np.float32(1 / 512), out=xs[k + 1])
+                slot <<= 1
+                slot |= bit
+                cells[k].append(slot)
+            if k < 2:
+                gate |= seen << (2 * k)
+        row = np.minimum(depth, 15).astype(np.int16)
+        match = None
+        if pred is None:
+            xs[-1] = 1
+        else:  # of the bits of predicted symbols, those where the predicted symbol's code goes on and was right so far
+            pred = pred[order]
+            place = np.flatnonzero(bits(pred >= 0))
+            q = pred[place - (np.cumsum(live) - live)[depth[place]]]
+            q_code, q_left = cb.codes[q], cb.lens[q].astype(np.int32) - depth[place]
+            alive = (q_left > 0) & ((q_code >> np.maximum(q_left, 0)) == path[place])
+            place = place[alive]
+            says = (q_code[alive] >> (q_left[alive] - 1)) & 1
+            match = place, (2 * says - 1).astype(np.float32)
+            gate[place] |= 16
+            row[place] |= 16
+        if cells is not None:
+            x = self._learn(xs, match, gate, bit, each)
+            both = np.bincount(2 * _cell(row, x) + bit, minlength=2 * GATES * BUCKETS)
+            self.map_n += both[::2] + both[1::2]
+            self.map_n1 += both[1::2]
+        else:
+            x = self._mixed(xs, match, gate.astype(np.intp))
         if not scores:
             return None
+        sign = (1 - 2 * bit).astype(np.float32)
+        if cells is None and self.map is not None:
+            x += _take(self.map, _cell(row, x))
+            sign *= np.float32(0.5)
+        cost = np.log1p(np.exp(x * sign))
+        lp, at = cb.tail[ids], 0
+        for n in each:
+            lp[:n] -= cost[at:at + n]
+            at += n
         out = np.empty(len(lp))
         out[order] = lp
         return out
 
-    def _correct(self, xs: list, gate: np.ndarray, row, x: np.ndarray, bit: np.ndarray) -> None:
-        """A gradient step of the weights, and the map's counts, by all bits of the run."""
-        err = bit.astype(np.float32) - 1 / (1 + np.exp(-x))
-        n = np.bincount(gate, minlength=GATES)
-        step = RATE / (0.3 * n + 12)
-        for k, s in enumerate(xs):
-            self.weights[k] += (np.bincount(gate, err * s, GATES) * step).astype(np.float32)
-        self.seen += n
-        both = np.bincount(2 * _cell(row, x) + bit, minlength=2 * GATES * BUCKETS)
-        self.map_n += both[::2] + both[1::2]
-        self.map_n1 += both[1::2]
+    def _mixed(self, xs: np.ndarray, match: tuple | None, gate: np.ndarray) -> np.ndarray:
+        """Log odds of a 1 by the weights of the gates. ``match``: places that have a
+        prediction by match, and the predictions."""
+        x = _take(self.weights[0], gate) * xs[0]
+        for w, s in zip(self.weights[1:], xs[1:]):
+            x += _take(w, gate) * s
+        if match is not None:
+            x[match[0]] += self.weights[-1][gate[match[0]]] * match[1]
+        return np.clip(x, -12, 12, out=x)
+
+    def _learn(self, xs: np.ndarray, match: tuple | None, gate: np.ndarray, bit: np.ndarray, each: list[int]) -> np.ndarray:
+        """Log odds of a 1, and a gradient step of the weights after each depth, by all its bits."""
+        x, at = np.empty(len(gate), np.float32), 0
+        goal = bit.astype(np.float32)
+        gate = gate.astype(np.intp)
+        rows = GATES * np.arange(len(xs), dtype=np.intp)[:, None]
+        met = np.bincount(gate + np.repeat(GATES * np.arange(len(each)), each), minlength=GATES * len(each)).reshape(-1, GATES)
+        change = np.zeros(self.weights.shape)
+        cuts = np.searchsorted(match[0], np.cumsum([0, *each])).tolist() if match is not None else [0] * (len(each) + 1)
+        for n, step, i, j in zip(each, RATE / (0.3 * met + 12), cuts, cuts[1:]):
+            s, w = xs[:, at:at + n], gate[at:at + n] + rows  # places in the array of all weights
+            mixed = _take(self.weights.ravel(), w)
+            mixed *= s
+            p = np.add.reduce(mixed, axis=0, out=x[at:at + n])
+            if match is not None:
+                place, says = match[0][i:j] - at, match[1][i:j]
+                of = w[0][place]
+                p[place] += self.weights[-1][of] * says
+            np.maximum(p, np.float32(-12), out=p)
+            np.minimum(p, np.float32(12), out=p)
+            p = np.exp(-p)
+            p += np.float32(1)
+            np.divide(np.float32(1), p, out=p)
+            err = np.subtract(goal[at:at + n], p, out=p)
+            change[:len(xs)] = np.bincount(w.ravel(), np.multiply(err, s, out=mixed).ravel(), len(xs) * GATES).reshape(-1, GATES)
+            if match is not None:
+                change[-1] = np.bincount(of, err[place] * says, GATES)
+            self.weights += (change * step).astype(np.float32)
+            at += n
+        self.seen += met.sum(0)
+        return x
 
     def parts(self, kind: str):
         """What other tasks' models are added to: (kind, place, bytes)."""
         for k in range(self.contexts):
             for at in range(0, self.size, CHUNK):
-                cut = self.cells[k][2 * at:2 * (at + CHUNK)].reshape(-1, 2)
-                both = np.stack([cut.sum(1), cut[:, 1]])
-                if both.any():
-                    yield f"{kind}{k}", at // CHUNK, zlib.compress(both.astype("<u8").tobytes(), 1)
+                cut = self.cells[k][2 * at:2 * (at + CHUNK)]
+                if cut.any():  # zeros, then ones
+                    yield f"{kind}{k}", at // CHUNK, zstandard.compress(cut.reshape(-1, 2).T.astype("<u4").tobytes(), 1)
         rest = np.concatenate([(self.weights * self.seen).ravel(), self.seen, self.map_n.ravel(), self.map_n1.ravel()])
-        yield f"{kind}w", 0, zlib.compress(rest.astype("<f8").tobytes(), 1)
+        yield f"{kind}w", 0, zstandard.compress(rest.astype("<f8").tobytes(), 1)
 
 
 def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -267,15 +323,28 @@ def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _cell(row, x: np.ndarray) -> np.ndarray:
     """The map's cell: a row by depth and match, a column by the log odds."""
-    return row * np.intp(BUCKETS) + (x * np.float32((BUCKETS - 1) / 24) + np.float32(BUCKETS / 2)).astype(np.intp)
+    return row * np.int16(BUCKETS) + (x * np.float32((BUCKETS - 1) / 24) + np.float32(BUCKETS / 2)).astype(np.int16)
+
+
+def log_odds(n: np.ndarray, n1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds, rounded (times 512), and the confidence, 0 to 3, of counts."""
+    n, odds = n.astype(np.float32), n1.astype(np.float32)
+    conf = (n > 0).view(np.int8) + (n > 3).view(np.int8) + (n > 30).view(np.int8)
+    n -= odds
+    n += np.float32(0.4)
+    odds += np.float32(0.4)
+    odds /= n
+    np.log(odds, out=odds)
+    np.maximum(odds, np.float32(-15), out=odds)
+    np.minimum(odds, np.float32(15), out=odds)
+    odds *= np.float32(512)
+    return np.rint(odds, out=odds), conf
 
 
 def pack(n: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Log odds (times 512) and two bits of confidence of counts in 16 bits."""
-    n, n1 = n.astype(np.float32), n1.astype(np.float32)
-    odds = np.log((n1 + np.float32(0.4)) / (n - n1 + np.float32(0.4)))
-    conf = (n > 0).astype(np.int16) + (n > 3) + (n > 30)
-    return (np.rint(np.clip(odds, -15, 15) * 512).astype(np.int16) << 2) | conf
+    odds, conf = log_odds(n, n1)
+    return (odds.astype(np.int16) << 2) | conf
 
 
 def merged(rows: DataFrame) -> dict:
@@ -285,14 +354,17 @@ def merged(rows: DataFrame) -> dict:
         key, total = None, None
 
         def out(key, total):
-            data = pack(*total.reshape(2, -1)).astype("<i2") if key[0][-1] != "w" else total
+            if key[0][-1] != "w":
+                zeros, ones = total.reshape(2, -1)
+                total = pack(zeros + ones, ones).astype("<i2")
             return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int32()),
-                                               pa.array([zlib.compress(data.tobytes(), 1)], pa.binary())], ["kind", "place", "data"])
+                                               pa.array([zstandard.compress(total.tobytes(), 1)], pa.binary())], ["kind", "place", "data"])
 
         for b in batches:
             for kind, place, data in zip(*(b.column(i) for i in range(3))):
                 here = (kind.as_py(), place.as_py())
-                x = np.frombuffer(zlib.decompress(data.as_py()), "<f8" if here[0][-1] == "w" else "<u8")
+                x = zstandard.decompress(data.as_py())
+                x = np.frombuffer(x, "<f8") if here[0][-1] == "w" else np.frombuffer(x, "<u4").astype(np.uint64)
                 if here == key:
                     total = total + x
                 else:
@@ -303,12 +375,13 @@ def merged(rows: DataFrame) -> dict:
             yield out(key, total)
 
     summed = rows.repartition("kind", "place").sortWithinPartitions("kind", "place").mapInArrow(run, rows.schema)
-    return {(r["kind"], r["place"]): zlib.decompress(r["data"]) for r in summed.collect()}
+    return {(r["kind"], r["place"]): zstandard.decompress(r["data"]) for r in summed.collect()}
 
 
 def mixer_of(parts: dict, kind: str, contexts: int, bits: int = TABLE_BITS) -> Mixer:
     m = Mixer(contexts, bits)
     m.cells = []  # only the packed form is needed to predict
+    m._packed = [np.zeros(m.size, np.int16) for _ in range(contexts)]
     for k in range(contexts):
         for at in range(0, m.size, CHUNK):
             if data := parts.get((f"{kind}{k}", at // CHUNK)):
@@ -359,19 +432,40 @@ def word_contexts(ids: np.ndarray, first: np.ndarray, end: int, classes: np.ndar
     return [mix32(classes[p1], 1), mix32(frequent, 3)], pred
 
 
-def spell_contexts(ids: np.ndarray, first: np.ndarray):
-    """Contexts of the bytes ``ids`` of words, one after the other."""
+def bytes_before(ids: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Of the bytes ``ids`` of words, one after the other, the one to four bytes before; 257 before a word."""
+    since = np.arange(len(ids)) - np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))
+
     def before(k: int) -> np.ndarray:
         out = np.full(len(ids), 257, np.int64)
         out[k:] = ids[:-k]
-        since = np.arange(len(ids)) - np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))
         return np.where(since >= k, out, 257)
 
-    a, b, c, d = before(1), before(2), before(3), before(4)
+    return [before(k) for k in (1, 2, 3, 4)]
+
+
+def spell_contexts(ids: np.ndarray, first: np.ndarray):
+    """Contexts of the bytes ``ids`` of words, one after the other."""
+    a, b, c, d = bytes_before(ids, first)
     three = (a * 259 + b) * 259 + c
     return [mix32(three, 6), mix32(a * 259 + b, 5), mix32(a, 4), mix32(three * 259 + d, 7)]
 
 
+def before_and_byte(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A number of each byte and all that its contexts are made of."""
+    return functools.reduce(lambda x, y: x * 259 + y, bytes_before(ids, first), ids.astype(np.int64))
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct value, and for each value which of them it is."""
+    order = np.argsort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[order[1:]] != values[order[:-1]]
+    of = np.empty(len(values), np.intp)
+    of[order] = np.cumsum(new) - 1
+    return order[new], of
+
+
 class Model:
     """Dictionary, codes and (after training) the mixers; one per worker."""
 
@@ -405,20 +499,33 @@ class Model:
     def spelled(self) -> list[dict[bytes, float]]:
         return [{}, {}]
 
-    def token_ids(self, texts: list[str | None], once: bool = False):
+    def token_ids(self, texts: pa.Array | list[str | None], once: bool = False):
         """(ids, whether a text begins, escaped places, their words, lengths) of texts
         one after the other; ``once``: escape words counted once as well."""
-        rows = [tokens_of(t) for t in texts]
-        lens = np.fromiter(map(len, rows), np.int64, len(rows))
-        flat = list(itertools.chain.from_iterable(rows))
-        ids = np.fromiter(map(self.ids.get, flat, itertools.repeat(-1)), np.int32, len(flat))
-        first = np.zeros(len(flat), bool)
+        flat, lens = arrow_tokens(texts)
+        flat = flat.dictionary_encode()  # a word is looked up once
+        at, keys = flat.indices.to_numpy(), flat.dictionary.to_numpy(zero_copy_only=False)
+        of = np.fromiter(map(self.ids.get, keys, itertools.repeat(-1)), np.int32, len(keys))
+        rare = of < 0
+        if once and self.end:
+            rare |= (of < self.end) & (self.counts[np.minimum(of, self.end - 1)] < 2)
+        of[rare] = self.end + 1 + np.fromiter((w[0] for w in keys[rare]), np.int32, int(rare.sum()))
+        first = np.zeros(len(at), bool)
         first[np.cumsum(lens) - lens] = True
-        rare = np.flatnonzero((ids < 0) | (ids < self.end) & (self.counts[np.minimum(ids, self.end - 1)] < 2)
-                              if once and self.end else ids < 0)
-        words = [flat[i] for i in rare.tolist()]
-        ids[rare] = self.end + 1 + np.fromiter((w[0] for w in words), np.int32, len(words))
-        return ids, first, rare, words, lens
+        places = np.flatnonzero(rare[at])
+        return of[at], first, places, keys[at[places]].tolist(), lens
+
+    def token_blocks(self, texts: pa.Array, size: int, once: bool = False):
+        """(texts, ``token_ids`` of them) by blocks of about ``size`` characters, several of which are cut into words together."""
+        for held in itertools.batched(blocks(texts, size), max(1, TOGETHER // size)):
+            ids, first, rare, words, lens = self.token_ids(pa.concat_arrays(held), once)
+            text, at, seen = 0, 0, 0
+            for b in held:
+                n = lens[text:text + len(b)]
+                end = at + int(n.sum())
+                upto = int(np.searchsorted(rare, end))
+                yield b, ids[at:end], first[at:end], rare[seen:upto] - at, words[seen:upto], n
+                text, at, seen = text + len(b), end, upto
 
     def spell(self, words: list[bytes]) -> np.ndarray:
         """Natural log probability of the spelling of each word."""
@@ -428,15 +535,27 @@ class Model:
         todo = set(words).difference(known)
         known.update((w, old[w]) for w in todo if w in old)
         todo = [w for w in todo if w not in old]
-        for at in range(0, len(todo), 8192):
-            part = todo[at:at + 8192]
+        for at in range(0, len(todo), 1 << 14):
+            part = todo[at:at + (1 << 14)]
             ids, first, lens = byte_ids(part)
-            lp = self.byte_mixer.run(self.byte_code, ids, spell_contexts(ids, first), None, False)
+            ctx = spell_contexts(ids, first)
+            once, of = distinct(before_and_byte(ids, first))
+            lp = self.byte_mixer.run(self.byte_code, ids[once], [c[once] for c in ctx], None, False)[of]
             lp[first] = 0.0  # the escape has told the first byte
             known.update(zip(part, np.add.reduceat(lp, np.cumsum(lens) - lens).tolist()))
         return np.fromiter(map(known.__getitem__, words), np.float64, len(words))
 
 
+def arrow_tokens(texts: pa.Array | list[str | None]) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of ``tokens_of``, one text after the other, and the texts' numbers of them."""
+    t = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+    t = pc.ascii_lower(pc.ascii_trim_whitespace(t))
+    none, space = pa.scalar("", t.type), pa.scalar(" ", t.type)
+    t = pc.binary_join_element_wise(t, pc.if_else(pc.equal(t, none), none, space), none)  # the last space is followed by the end
+    words = pc.ascii_split_whitespace(t)
+    return words.flatten().cast(pa.binary() if t.type == pa.string() else pa.large_binary()), pc.list_value_length(words).to_numpy().astype(np.int64)
+
+
 def tokens_of(text: str | None) -> list[bytes]:
     words = (text or "").encode().lower().split()  # bytes: A-Z and ASCII white space only
     words.append(END)
@@ -455,37 +574,26 @@ def byte_ids(words: list[bytes]):
     return ids, first, lens
 
 
-def blocks(texts: list[str | None], size: int = 6 * BLOCK_TOKENS):
+def blocks(texts: pa.Array, size: int) -> Iterator[pa.Array]:
     """Runs of texts of about ``size`` characters."""
-    block, held = [], 0
-    for t in texts:
-        block.append(t)
-        held += len(t or "") + 1
+    start, held = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), 1):
+        held += n + 1
         if held >= size:
-            yield block
-            block, held = [], 0
-    if block:
-        yield block
+            yield texts.slice(start, i - start)
+            start, held = i, 0
+    if start < len(texts):
+        yield texts.slice(start)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """Stored rows (word, n) of the tokens of ``docs`` (text)."""
 
     def run(batches):
-        names = ["word", "n"]
-        from collections import Counter
-        c: Counter = Counter()
-
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(c.keys()), pa.binary()), pa.array(list(c.values()), pa.int64())], names)
-
         for b in batches:
-            for t in b.column(0).to_pylist():
-                c.update(tokens_of(t))
-                if len(c) > 700_000:
-                    yield out()
-                    c.clear()
-        yield out()
+            for texts in blocks(b.column(0), 4 * TOGETHER):
+                words, n = arrow_tokens(texts)[0].value_counts().flatten()
+                yield pa.RecordBatch.from_arrays([words.cast(pa.binary()), n], ["word", "n"])
 
     rows = docs.select("text").mapInArrow(run, "word binary, n long")
     return stored(rows.groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
@@ -520,9 +628,8 @@ def train(docs: DataFrame, max_words: int | None = None):
         mixer, size = Mixer(WORD_CONTEXTS, word_bits), 20_000  # small blocks first: weights and counts learn together
         with no_gc():
             for b in batches:
-                for texts in blocks(b.column(0).to_pylist(), size):
+                for _, ids, first, _, _, _ in m.token_blocks(b.column(0), size, once=True):
                     size = min(6 * BLOCK_TOKENS, size + size // 4)
-                    ids, first, _, _, _ = m.token_ids(texts, once=True)
                     ctx, pred = word_contexts(ids, first, m.end, m.word_code.classes)
                     mixer.run(m.word_code, ids, ctx, pred, True, scores=False)
         yield from part_batches(mixer.parts("w"))
@@ -578,8 +685,7 @@ def _scored(docs: DataFrame, sent) -> DataFrame:
         for b in batches:
             at = 0
             with no_gc():
-                for texts in blocks(b.column("text").to_pylist()):
-                    ids, first, rare, rare_words, lens = m.token_ids(texts)
+                for texts, ids, first, rare, rare_words, lens in m.token_blocks(b.column("text"), 6 * BLOCK_TOKENS):
                     starts = np.cumsum(lens) - lens
                     ctx, pred = word_contexts(ids, first, m.end, m.word_code.classes)
                     lp = m.word_mixer.run(m.word_code, ids, ctx, pred, False)
@@ -591,7 +697,7 @@ def _scored(docs: DataFrame, sent) -> DataFrame:
                     n = len(texts)
                     yield pa.RecordBatch.from_arrays([
                         b.column("id").slice(at, n), pa.array(lens),
-                        pa.array([len((t or "").encode()) for t in texts], pa.int64()),
+                        pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64()),
                         pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)),
                         pa.array(np.add.reduceat(lp, starts) * LOG10E),
                         pa.array([list(c.keys()) for c in per], pa.list_(pa.binary())),

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from llm_fixtures import SF001, empty, docs, odd, spark  # noqa: F401  (fixtures)
@@ -266,3 +267,44 @@ def test_words_tied_with_the_last_dictionary_word_count_as_escapes(spark):
     assert m.blob.split(b"\n") == [b"b", b"a"] and n == 11
     code = L.Codebook(np.concatenate([m.counts, [1], np.bincount([*b"ccdde"], minlength=256)]), np.arange(259))
     assert sorted(m.word_code.lens.tolist()) == sorted(code.lens.tolist())
+
+
+def test_words_are_cut_as_python_cuts_them():
+    texts = [None, "", " \n\t ", "a", " A  b ", "\x0bA\x0cB\x1c d\x85e\xa0 　x İ ẞ", "a\x00b"]
+    texts += [f"x{chr(i)}Y{chr(i)}" for i in range(0x2100)]
+    flat, lens = L.arrow_tokens(texts)
+    want = [tokens(t) for t in texts]
+    assert lens.tolist() == [len(x) for x in want] and flat.to_pylist() == [w for x in want for w in x]
+
+
+def test_a_word_is_looked_up_and_a_byte_with_those_before_it_scored_once(monkeypatch):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            self.asked += 1
+            return super().get(*a)
+
+    m = model(["aa ab b", "cc b"])
+    m.__dict__["ids"] = Counted(m.ids)
+    ids = m.token_ids(["aa b aa zz"] * 50)[0]
+    assert len(ids) == 250 and m.ids.asked == 4  # aa, b, zz, the end
+    rare = [w.encode() for w in ("zzzzzzzz", "zzzzzzzzzz", "zzzzy")]
+    want = []
+    for w in rare:
+        b, first, _ = L.byte_ids([w])
+        want.append(m.byte_mixer.run(m.byte_code, b, L.spell_contexts(b, first), None, False)[1:].sum())
+    sizes, run = [], L.Mixer.run
+    monkeypatch.setattr(L.Mixer, "run", lambda self, cb, ids, *a, **k: sizes.append(len(ids)) or run(self, cb, ids, *a, **k))
+    assert np.allclose(m.spell(rare), want, atol=1e-5)
+    assert sum(sizes) == 8  # z after 0 to 4 z, y and the terminator after zzzz, the terminator after zzzy
+
+
+def test_blocks_cut_together_are_the_blocks_cut_alone():
+    texts = pa.array([None, "", "aa zz b", "b zz"] * 40, pa.string())
+    m = model(["aa ab b", "cc b"])
+    got = list(m.token_blocks(texts, 30))
+    assert [x for b, *_ in got for x in b.to_pylist()] == texts.to_pylist() and len(got) > 5
+    for b, *rest in got:
+        for x, y in zip(rest, m.token_ids(b)):
+            assert list(x) == list(y)

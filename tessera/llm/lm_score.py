@@ -420,15 +420,24 @@ def word_contexts(ids: np.ndarray, first: np.ndarray, end: int, classes: np.ndar
     frequent = np.where(last >= begin, ids[np.maximum(last, 0)], end)
     wide = end + 257  # ids are less
     pair = p2 * wide + p1
+    pred = np.full(n, -1, np.int64)
     if n * wide * wide < 1 << 63:
         key = doc * (wide * wide) + pair
-        order = np.argsort(key, kind="stable")
-        same = key[order[1:]] == key[order[:-1]]
+        bits = np.uint64(n.bit_length())
+        order = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> bits << bits | place.astype(np.uint64)
+        order.sort()  # by a hash of the key, then by place: sorts faster than an index
+        same = np.flatnonzero(order[1:] >> bits == order[:-1] >> bits)
+        order = (order & np.uint64((1 << n.bit_length()) - 1)).astype(np.intp)
+        before, after = order[same], order[same + 1]
+        if (key[before] != key[after]).any():  # two keys have one hash
+            order = np.argsort(key, kind="stable")
+            same = key[order[1:]] == key[order[:-1]]
+            before, after = order[:-1][same], order[1:][same]
     else:
         order = np.lexsort((pair, doc))
         same = (pair[order[1:]] == pair[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
-    pred = np.full(n, -1, np.int64)
-    pred[order[1:][same]] = ids[order[:-1][same]]
+        before, after = order[:-1][same], order[1:][same]
+    pred[after] = ids[before]
     return [mix32(classes[p1], 1), mix32(frequent, 3)], pred
 
 
@@ -446,14 +455,13 @@ def bytes_before(ids: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
 
 def spell_contexts(ids: np.ndarray, first: np.ndarray):
     """Contexts of the bytes ``ids`` of words, one after the other."""
-    a, b, c, d = bytes_before(ids, first)
-    three = (a * 259 + b) * 259 + c
-    return [mix32(three, 6), mix32(a * 259 + b, 5), mix32(a, 4), mix32(three * 259 + d, 7)]
+    return contexts_of(bytes_before(ids, first))
 
 
-def before_and_byte(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A number of each byte and all that its contexts are made of."""
-    return functools.reduce(lambda x, y: x * 259 + y, bytes_before(ids, first), ids.astype(np.int64))
+def contexts_of(before: list[np.ndarray]) -> list[np.ndarray]:
+    a, b, c, d = before
+    three = (a * 259 + b) * 259 + c
+    return [mix32(three, 6), mix32(a * 259 + b, 5), mix32(a, 4), mix32(three * 259 + d, 7)]
 
 
 def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -538,9 +546,9 @@ class Model:
         for at in range(0, len(todo), 1 << 14):
             part = todo[at:at + (1 << 14)]
             ids, first, lens = byte_ids(part)
-            ctx = spell_contexts(ids, first)
-            once, of = distinct(before_and_byte(ids, first))
-            lp = self.byte_mixer.run(self.byte_code, ids[once], [c[once] for c in ctx], None, False)[of]
+            before = bytes_before(ids, first)
+            once, of = distinct(functools.reduce(lambda x, y: x * 259 + y, before, ids))  # of the byte and all that its contexts are made of
+            lp = self.byte_mixer.run(self.byte_code, ids[once], contexts_of([b[once] for b in before]), None, False)[of]
             lp[first] = 0.0  # the escape has told the first byte
             known.update(zip(part, np.add.reduceat(lp, np.cumsum(lens) - lens).tolist()))
         return np.fromiter(map(known.__getitem__, words), np.float64, len(words))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tessera.fixed_values import WORD_SEPARATOR
 from tessera.functions.strings import java_split
 from tessera.operators.joins import MAX_KEY_ROWS, dealt_by_document
+from tessera.session import ensure_checkpoint_dir, shuffles_removed
 
 
 # ---------------------------------------------------------------- ALS (ML-1..5)
@@ -29,9 +30,14 @@ from tessera.operators.joins import MAX_KEY_ROWS, dealt_by_document
 def fit_als(ratings: DataFrame, user: str = "userId", item: str = "movieId",
             rating: str = "rating", rank: int = 10, max_iter: int = 10, seed: int = 42,
             cold_start: str = "nan"):
-    """Collaborative filtering, rank 10 and 10 iterations as in the reference."""
+    """Collaborative filtering, rank 10 and 10 iterations as in the reference.
+
+    Every iteration shuffles all factors to the blocks that need them. ALS removes these
+    shuffles when it checkpoints the item factors, so it does that after each
+    iteration: the disk holds the factors of one iteration in place of all, and the fit is the same."""
+    ensure_checkpoint_dir(ratings.sparkSession)
     als = ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, maxIter=max_iter,
-              seed=seed, coldStartStrategy=cold_start)
+              seed=seed, coldStartStrategy=cold_start, checkpointInterval=1)
     return als.fit(ratings)
 
 
@@ -51,7 +57,8 @@ def als_residuals(model, ratings: DataFrame, user: str = "userId", item: str = "
     y = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("_y"))
     num = lambda c, i: F.col(c)[i].cast("double")
     dot = sum((num("_x", i) * num("_y", i) for i in dims), F.lit(0.0))
-    hot = [u[0] for u in ratings.groupBy(user).count().where(F.col("count") > max_user_rows).select(user).collect()]
+    with shuffles_removed(ratings.sparkSession):
+        hot = [u[0] for u in ratings.groupBy(user).count().where(F.col("count") > max_user_rows).select(user).collect()]
 
     def sums_of(part, factors):
         r = part.select(user, item, F.col(rating).cast("double").alias("_r")).join(y, item).drop(item).join(factors, user) \

@@ -11,7 +11,7 @@ from tessera.plans import standins as si
 from tessera.plans.oracle_sql import AIRPORTS_CTE, with_
 from tessera.plans.q_ml import ALS_SEED, ALS_SQL, _in_test
 from tessera.plans.registry import query
-from tessera.session import shared_dir
+from tessera.session import shared_dir, shuffles_removed
 from tessera.sources.tables import Tables
 
 AIRPORT_COLUMNS = {"iata": "string", "airport": "string", "city": "string", "state": "string",
@@ -93,7 +93,8 @@ def als_chosen_pairs(spark, sf_dir):
     """One user with a few parts, and a part that nobody rated, scored by ALS (ML-4): whether
     there is a score, and whether it is the product of the pair's factors."""
     path = shared_dir(spark, "ratings-pairs")
-    si.ratings(Tables(spark, sf_dir)).groupBy("userId", "movieId").agg(F.avg("rating").alias("rating")).write.parquet(path)
+    with shuffles_removed(spark):
+        si.ratings(Tables(spark, sf_dir)).groupBy("userId", "movieId").agg(F.avg("rating").alias("rating")).write.parquet(path)
     pairs = spark.read.parquet(path)
     train = pairs.where(f"NOT {_in_test('userId', 'movieId')}")
     model = ml.fit_als(train, seed=ALS_SEED)

@@ -1,13 +1,20 @@
 """Models on small separable inline data, with seeds."""
 
 import math
+import re
+import time
 from collections import Counter
 
+import pytest
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from tessera.operators import ml
 
+from conftest import SF001
+
 
 def test_kmeans(spark):
     pts = [[0.0, 0.0, 0.0], [0.1, 0.1, 0.1], [0.2, 0.2, 0.2],
@@ -168,3 +175,45 @@ def test_als_sums_do_not_move_and_hot_users_are_summed_in_parts(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def kept_shuffles(spark, at_most=0, seconds=20):
+    """The shuffles whose files are on disk; files go in the background, so wait for ``at_most``."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    end = time.time() + seconds
+    while True:
+        left = set(re.findall(r"shuffle_(\d+)_", blocks.getAllFiles().mkString(" ")))
+        if len(left) <= at_most or time.time() > end:
+            return left
+        time.sleep(0.2)
+
+
+def test_als_keeps_the_shuffles_of_one_iteration(spark):
+    r = spark.range(600).select((F.col("id") % 23).cast("int").alias("userId"), (F.col("id") % 31).cast("int").alias("movieId"),
+                                (F.col("id") % 5 + 1).cast("double").alias("rating"))
+    old = kept_shuffles(spark, seconds=0)
+    models = [ml.fit_als(r, max_iter=2)]   # kept: its shuffles stay as long as it does
+    first = kept_shuffles(spark, seconds=2) - old
+    models.append(ml.fit_als(r, max_iter=8))
+    second = kept_shuffles(spark, at_most=len(old) + 2 * len(first)) - old - first
+    assert 0 < len(second) <= len(first)
+    # checkpoints are no part of the result: Spark's default keeps but one
+    plain = ALS(userCol="userId", itemCol="movieId", ratingCol="rating", rank=10, maxIter=8, seed=42).fit(r)
+    factors = lambda m: {x["id"]: list(x["features"]) for x in m.userFactors.collect()}
+    got, want = factors(models[1]), factors(plain)
+    assert got.keys() == want.keys() and all(abs(a - b) < 1e-5 for k in got for a, b in zip(got[k], want[k]))
+
+
+@pytest.mark.parametrize("name", ["als_normal_equations", "als_predict", "als_chosen_pairs"])
+def test_stored_ratings_leave_no_shuffle(spark, monkeypatch, name):
+    class Fit(Exception):
+        pass
+
+    def fit(*_, **__):
+        raise Fit
+
+    monkeypatch.setattr(ml, "fit_als", fit)
+    old = kept_shuffles(spark, seconds=0)
+    with pytest.raises(Fit):
+        E.queries()[name](spark, SF001)
+    assert not kept_shuffles(spark, at_most=len(old)) - old
